@@ -72,8 +72,9 @@ def movie_length(source: DataFrame, item="aid", seconds=None, bound: int = C.ITE
 
 def trailer_ids(source: DataFrame) -> DataFrame:
     """Items with a trailer flag on an internal source (auth 1, source 12)."""
+    cols = ["aid", "auth"] + (["title"] if "title" in source.columns else [])
     return (source.where((F.col("auth") == C.AUTH_TRAILER) & (F.col("source") == C.SOURCE_INTERNAL))
-            .select("aid", "title", "auth").dropDuplicates(["aid"]))
+            .groupBy("aid").agg(*[F.min(c).alias(c) for c in cols if c != "aid"]))
 
 
 def short_single_episode(source: DataFrame, seconds=None, minutes: int = 60) -> DataFrame:
@@ -81,7 +82,7 @@ def short_single_episode(source: DataFrame, seconds=None, minutes: int = 60) ->
     sec = X.json_double("extra", "$.len") if seconds is None else (F.col(seconds) if isinstance(seconds, str) else seconds)
     return (source.where((F.col("source") == C.SOURCE_INTERNAL) & (F.col("eptotal") == 1)
                          & (sec / F.lit(60) < minutes))
-            .select(F.col("aid").alias("movie_id2"), "eptotal").dropDuplicates(["movie_id2"]))
+            .groupBy(F.col("aid").alias("movie_id2")).agg(F.min("eptotal").alias("eptotal")))
 
 
 def hot_watch_ratio(plays: DataFrame, as_of_epoch: int, days: int = C.HOT_RATIO_DAYS) -> DataFrame:
@@ -98,12 +99,15 @@ def hot_watch_ratio(plays: DataFrame, as_of_epoch: int, days: int = C.HOT_RATIO_
 
 def match_ids(plays: DataFrame, source: DataFrame, catalog: DataFrame) -> DataFrame:
     """Cross-catalogue id match: internal source rows (sid, channel) matched
-    to play rows (qid, cid).  One row per os_id, the smallest ys_id; rows
-    without a match are dropped."""
-    ys = plays.groupBy(F.col("aid").alias("ys_id")).agg(F.min("qid").alias("qid"), F.min("cid").alias("cid"))
+    to play rows (qid, cid).  Each side is first reduced to one row per id
+    (smallest key, so the result is deterministic); one row per os_id with
+    the smallest matching ys_id; rows without a match are dropped."""
+    ys = (plays.groupBy(F.col("aid").alias("ys_id")).agg(F.min(F.struct("qid", "cid")).alias("_m"))
+          .select("ys_id", "_m.qid", "_m.cid"))
     os_ = (source.where(F.col("source") == C.SOURCE_INTERNAL)
-           .groupBy(F.col("aid").alias("os_id")).agg(F.min("title").alias("title"), F.min("sid").alias("sid")))
-    os_ = os_.join(catalog.select(F.col("id").alias("os_id"), F.col("cid").alias("os_cid")), "os_id", "left")
+           .groupBy(F.col("aid").alias("os_id")).agg(F.min("sid").alias("sid")))
+    os_ = os_.join(catalog.select(F.col("id").alias("os_id"), "title", F.col("cid").alias("os_cid")),
+                   "os_id", "left")
     m = os_.join(ys, (os_["sid"] == ys["qid"]) & (os_["os_cid"] == ys["cid"]), "left")
     return (m.groupBy("os_id", "title", "os_cid").agg(F.min("ys_id").alias("ys_id"))
             .na.drop())

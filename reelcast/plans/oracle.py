@@ -153,3 +153,79 @@ SELECT CAST((year(ts) - 2023) * 36 + (month(ts) - 12) * 3
        count(*) AS n_events
 FROM events GROUP BY 1""",
 }
+
+
+SRC = """
+src AS (SELECT l_partkey AS aid, CASE WHEN l_returnflag = 'R' THEN 11 ELSE 12 END AS source,
+               l_suppkey AS sid,
+               CASE WHEN l_quantity = 50 AND l_discount = 0.1 THEN 1 ELSE 0 END AS auth,
+               CAST(l_linenumber AS BIGINT) AS eptotal, 1 AS status,
+               CAST(trunc(l_quantity * 300) AS BIGINT) AS len_s FROM lineitem)"""
+
+HOT = CAT + """,
+plays AS (SELECT l_partkey AS aid, CAST(strftime(l_shipdate, '%Y%m%d') AS INT) AS date,
+                 CAST(trunc(l_quantity) AS BIGINT) AS count FROM lineitem),
+cnt AS (SELECT aid, SUM(count) AS weight FROM plays WHERE date > 20011006 GROUP BY aid),
+hot AS (SELECT c.id AS aid, c.title, c.cid, CAST(COALESCE(n.weight, 0) AS BIGINT) AS weight
+        FROM cat c LEFT JOIN cnt n ON c.id = n.aid),
+hot_sort AS (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY weight DESC, aid) AS sort_num FROM hot)"""
+
+SCORE = CAT + """,
+mean AS (SELECT AVG(score) AS m FROM cat WHERE score > 0),
+sc AS (SELECT c.id AS aid, c.title, c.cid, c.score,
+              CASE WHEN c.score IS NULL OR c.score = 0 THEN mean.m ELSE c.score END AS s FROM cat c CROSS JOIN mean),
+score_f AS (SELECT aid, title, cid, score,
+                   ROUND(CASE WHEN s >= 7 THEN 1.0 / (ln(10.0 - s + 1) + 1) ELSE 1.0 / pow(2.0, 10.0 - s - 1) END, 4) AS factor
+            FROM sc)"""
+
+SQL.update({
+    "agg_hot_count": "WITH " + HOT + " SELECT aid, title, cid, weight FROM hot",
+    "rank_hot": "WITH " + HOT + " SELECT * FROM hot_sort",
+    "hot_factor": "WITH " + HOT + """
+SELECT aid, title, cid, weight AS play_num,
+       ROUND(1.0 / (ln((SELECT MAX(weight) FROM hot_sort) - weight + 1) + 1.0), 8) AS factor, sort_num
+FROM hot_sort""",
+    "score_factor": "WITH " + SCORE + " SELECT * FROM score_f",
+    "rank_score": "WITH " + SCORE + """
+SELECT *, row_number() OVER (PARTITION BY cid ORDER BY factor DESC, aid) AS sort_num FROM score_f""",
+    "year_factor": "WITH " + CAT + """,
+y AS (SELECT id, year, TRY_CAST(year AS INT) AS yi, cid FROM cat),
+y2 AS (SELECT id, year, cid, CASE WHEN yi IS NULL OR yi <= 0 OR yi > 2024 THEN 2019 ELSE yi END AS yy FROM y)
+SELECT id AS movie_id, year,
+       ROUND(CASE WHEN COALESCE(cid = 'PROMO', FALSE) THEN 1.0 / (log2(2024 - yy + 1) + 1)
+                  ELSE 1.0 / pow(2.0, (2024 - yy) / 10.0) END, 4) AS factor
+FROM y2""",
+    "movie_length": "WITH " + CAT + """,
+lengths AS (SELECT * FROM (
+              SELECT l_partkey AS movie_id,
+                     MIN(CAST(trunc(CAST(trunc(l_quantity * 300) AS BIGINT) / 60) AS BIGINT)) AS movie_len
+              FROM lineitem GROUP BY l_partkey) WHERE movie_len < 200)
+SELECT * FROM lengths""",
+    "agg_total_num": """
+SELECT l_partkey AS movie_id, CAST(MAX(l_linenumber) AS BIGINT) AS total_num FROM lineitem GROUP BY l_partkey""",
+    "trailer_ids": "WITH " + SRC + """
+SELECT aid, MIN(auth) AS auth FROM src WHERE auth = 1 AND source = 12 GROUP BY aid""",
+    "short_single_episode": "WITH " + SRC + """
+SELECT aid AS movie_id2, MIN(eptotal) AS eptotal FROM src
+WHERE source = 12 AND eptotal = 1 AND len_s / 60 < 60 GROUP BY aid""",
+    "hot_watch_ratio": f"""
+WITH w AS (SELECT l.l_partkey AS aid, p.p_type AS cid, CAST(p.p_size AS DOUBLE) AS tot, l.l_quantity AS pt,
+                  CAST(epoch(l.l_shipdate) AS BIGINT) AS ts
+           FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey)
+SELECT aid, cid,
+       CAST(SUM(CASE WHEN pt > 6 AND ((pt <= tot AND pt / (CASE WHEN tot > 0 THEN tot END) > 0.5)
+                                      OR (pt > tot AND pt > 30)) THEN 1 ELSE 0 END) AS BIGINT) AS weight
+FROM w WHERE ts > {LINE_AS_OF_EPOCH - 90 * 86400} GROUP BY aid, cid""",
+    "match_ids": "WITH " + CAT + "," + SRC + """,
+op AS (SELECT l.l_suppkey AS qid, l.l_orderkey AS aid, p.p_type AS cid
+       FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey),
+ys AS (SELECT ys_id, qid, cid FROM (
+         SELECT aid AS ys_id, qid, cid,
+                row_number() OVER (PARTITION BY aid ORDER BY qid, cid NULLS LAST) AS rn FROM op) WHERE rn = 1),
+os AS (SELECT aid AS os_id, MIN(sid) AS sid FROM src WHERE source = 12 GROUP BY aid),
+os2 AS (SELECT os.*, c.title, c.cid AS os_cid FROM os LEFT JOIN cat c ON os.os_id = c.id),
+m AS (SELECT os2.os_id, os2.title, os2.os_cid, MIN(ys.ys_id) AS ys_id
+      FROM os2 LEFT JOIN ys ON os2.sid = ys.qid AND os2.os_cid = ys.cid
+      GROUP BY os2.os_id, os2.title, os2.os_cid)
+SELECT * FROM m WHERE os_id IS NOT NULL AND title IS NOT NULL AND os_cid IS NOT NULL AND ys_id IS NOT NULL""",
+})

@@ -113,3 +113,73 @@ def q_slice_index(spark, d):
     ev = S.table(spark, d, "events")
     return (ev.select(X.slice_index("ts", (2023, 12, 10)).alias("slice"))
             .groupBy("slice").agg(F.count(F.lit(1)).alias("n_events")))
+
+
+# ---------------------------------------------------------------- factors
+from reelcast.operators import factors as FA  # noqa: E402
+
+
+def _hot_sort(spark, d):
+    hot = FA.agg_hot_count(S.catalog(spark, d), S.daily_plays(spark, d), S.LINE_AS_OF, 30)
+    return FA.rank_in_channel(hot, "weight").withColumn("sort_num", F.col("sort_num").cast("bigint"))
+
+
+@query("agg_hot_count")
+def q_agg_hot_count(spark, d):
+    return FA.agg_hot_count(S.catalog(spark, d), S.daily_plays(spark, d), S.LINE_AS_OF, 30)
+
+
+@query("rank_hot")
+def q_rank_hot(spark, d):
+    return _hot_sort(spark, d)
+
+
+@query("hot_factor")
+def q_hot_factor(spark, d):
+    return FA.hot_factor(_hot_sort(spark, d))
+
+
+@query("score_factor")
+def q_score_factor(spark, d):
+    return FA.score_factor(S.catalog(spark, d))
+
+
+@query("rank_score")
+def q_rank_score(spark, d):
+    sf = FA.rank_in_channel(FA.score_factor(S.catalog(spark, d)), "factor")
+    return sf.withColumn("sort_num", F.col("sort_num").cast("bigint"))
+
+
+@query("year_factor")
+def q_year_factor(spark, d):
+    return FA.year_factor(S.catalog(spark, d), S.NOW_YEAR, variety=S.STAR_CHANNELS.variety)
+
+
+@query("movie_length")
+def q_movie_length(spark, d):
+    return S.item_lengths(spark, d)
+
+
+@query("agg_total_num")
+def q_agg_total_num(spark, d):
+    return S.episode_totals(spark, d)
+
+
+@query("trailer_ids")
+def q_trailer_ids(spark, d):
+    return FA.trailer_ids(S.asset_source(spark, d))
+
+
+@query("short_single_episode")
+def q_short_single_episode(spark, d):
+    return FA.short_single_episode(S.asset_source(spark, d), seconds="len_s")
+
+
+@query("hot_watch_ratio")
+def q_hot_watch_ratio(spark, d):
+    return FA.hot_watch_ratio(S.watch_log(spark, d), X.as_epoch(S.LINE_AS_OF), 90)
+
+
+@query("match_ids")
+def q_match_ids(spark, d):
+    return FA.match_ids(S.order_plays(spark, d), S.asset_source(spark, d), S.catalog(spark, d))

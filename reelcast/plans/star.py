@@ -121,3 +121,21 @@ def order_actions(spark, d) -> DataFrame:
                     F.lit(False).alias("click"), F.lit(False).alias("top"),
                     F.col("l_quantity").cast("bigint").alias("play_time"),
                     F.col("l_linenumber").cast("bigint").alias("total_num"))
+
+
+def watch_log(spark, d) -> DataFrame:
+    """Play log with item length: (aid, cid, totalTime, playtime, timestamp), minutes."""
+    li = table(spark, d, "lineitem").select("l_partkey", "l_quantity", "l_shipdate")
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_size")
+    j = li.join(p, "l_partkey", "left")
+    return j.select(F.col("l_partkey").alias("aid"), F.col("p_type").alias("cid"),
+                    F.col("p_size").cast("double").alias("totalTime"),
+                    F.col("l_quantity").alias("playtime"), X.epoch_of("l_shipdate").alias("timestamp"))
+
+
+def order_plays(spark, d) -> DataFrame:
+    """Third-party play rows: (qid = supplier, aid = order, cid = part type)."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    j = li.join(p, "l_partkey", "left")
+    return j.select(F.col("l_suppkey").alias("qid"), F.col("l_orderkey").alias("aid"), F.col("p_type").alias("cid"))

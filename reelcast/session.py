@@ -42,6 +42,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         conf.setdefault("spark.ui.enabled", "false")
+        conf.setdefault("spark.ui.showConsoleProgress", "false")
         conf.setdefault("spark.driver.memory", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
