@@ -9,6 +9,7 @@ can replace it.
 
 from __future__ import annotations
 
+import os
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -22,14 +23,15 @@ HAN_RUN = r"^\p{IsHan}+$"
 DIGITS = r"^[0-9]+$"
 
 
+STOPWORDS_FILE = os.path.join(os.path.dirname(os.path.dirname(__file__)), "resources", "stopwords.txt")
+
+
 @lru_cache(maxsize=1)
 def default_stop_words() -> tuple[str, ...]:
-    """Spark's bundled stop-word lists for the four languages of the corpus."""
-    from pyspark.ml.feature import StopWordsRemover
-    words: list[str] = []
-    for lang in ("english", "french", "german", "spanish"):
-        words.extend(StopWordsRemover.loadDefaultStopWords(lang))
-    return tuple(sorted({w.lower() for w in words}))
+    """Spark ML's bundled stop-word lists (english, french, german, spanish),
+    lower-cased and merged into one file shipped with the package."""
+    with open(STOPWORDS_FILE, encoding="utf-8") as fh:
+        return tuple(w.strip() for w in fh if w.strip())
 
 
 def raw_tokens(text) -> Column:

@@ -229,3 +229,138 @@ m AS (SELECT os2.os_id, os2.title, os2.os_cid, MIN(ys.ys_id) AS ys_id
       GROUP BY os2.os_id, os2.title, os2.os_cid)
 SELECT * FROM m WHERE os_id IS NOT NULL AND title IS NOT NULL AND os_cid IS NOT NULL AND ys_id IS NOT NULL""",
 })
+
+
+# ---------------------------------------------------------------- text
+def _stop_list() -> str:
+    from reelcast.functions.text import default_stop_words
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in default_stop_words()) + "]"
+
+
+HAN = r"regexp_full_match({t}, '\p{{Han}}+')"
+
+
+def raw_tokens_sql(text: str) -> str:
+    han = HAN.format(t="t")
+    return (f"flatten(list_transform(regexp_extract_all(lower({text}), '\\p{{Han}}+|[^\\P{{L}}\\p{{Han}}]+|[0-9]+'), "
+            f"lambda t: CASE WHEN {han} AND length(t) > 2 "
+            f"THEN list_transform(range(1, length(t)), lambda i: substr(t, i, 2)) ELSE [t] END))")
+
+
+def keep_sql(t: str) -> str:
+    han = HAN.format(t=t)
+    return (f"((regexp_full_match({t}, '[0-9]+') OR (length({t}) > 2 AND NOT {han}) "
+            f"OR (length({t}) = 2 AND {han})) AND NOT list_contains(STOPS, {t}))")
+
+
+def text_ctes() -> str:
+    stops = _stop_list()
+    raw = raw_tokens_sql("text")
+    words = f"CASE WHEN length(text) <= 2 THEN [text] ELSE list_filter({raw}, lambda t: {keep_sql('t')}) END"
+    iters = []
+    prev = "nodes"
+    for i in range(1, 11):
+        iters.append(f"""r{i} AS (SELECT c.movie_id, c.cate_id, c.a AS n, (1.0 - 0.85) + 0.85 * SUM(c.c * r.ws) AS ws
+            FROM coef c JOIN {prev} r ON c.movie_id = r.movie_id AND c.b = r.n GROUP BY c.movie_id, c.cate_id, c.a)""")
+        prev = f"r{i}"
+    return f"""
+docs AS (SELECT doc_id AS movie_id, lang AS cate_id, source AS title, text FROM documents),
+words AS (SELECT movie_id, cate_id, {words} AS words FROM docs),
+terms AS (SELECT movie_id, cate_id, keyword, count(*) AS tf
+          FROM (SELECT movie_id, cate_id, UNNEST(words) AS keyword FROM words) GROUP BY movie_id, cate_id, keyword),
+ndocs AS (SELECT count(DISTINCT movie_id) AS n FROM terms),
+idf AS (SELECT keyword, count(DISTINCT movie_id) AS doc_freq,
+               ln(((SELECT n FROM ndocs) + 1) / (count(DISTINCT movie_id) + 1)) AS idf
+        FROM terms GROUP BY keyword),
+tfidf AS (SELECT t.movie_id, t.cate_id, t.keyword, t.tf, i.idf, ROUND(t.tf * i.idf, 4) AS tfidf
+          FROM terms t JOIN idf i ON t.keyword = i.keyword),
+tr_raw AS (SELECT movie_id, cate_id, {raw} AS toks FROM docs),
+tr_pos AS (SELECT movie_id, cate_id, UNNEST(toks) AS t, generate_subscripts(toks, 1) AS pos FROM tr_raw),
+tr_keep AS (SELECT * FROM tr_pos WHERE {keep_sql('t')} AND length(t) >= 2),
+pairs AS (SELECT a.movie_id, a.cate_id, a.t AS a, b.t AS b
+          FROM tr_keep a CROSS JOIN range(1, 10) r(o)
+          JOIN tr_keep b ON b.movie_id = a.movie_id AND b.pos = a.pos + r.o),
+edges AS (SELECT movie_id, cate_id, a, b, CAST(count(*) AS DOUBLE) AS w
+          FROM (SELECT movie_id, cate_id, a, b FROM pairs UNION ALL SELECT movie_id, cate_id, b, a FROM pairs)
+          GROUP BY movie_id, cate_id, a, b),
+outs AS (SELECT movie_id, a AS n, SUM(w) AS o FROM edges GROUP BY movie_id, a),
+coef AS (SELECT e.movie_id, e.cate_id, e.a, e.b, e.w / o.o AS c
+         FROM edges e JOIN outs o ON e.movie_id = o.movie_id AND e.b = o.n),
+nodes AS (SELECT movie_id, cate_id, n, 1.0 / count(*) OVER (PARTITION BY movie_id) AS ws
+          FROM (SELECT DISTINCT movie_id, cate_id, a AS n FROM edges)),
+{", ".join(iters)},
+rng AS (SELECT movie_id, MIN(ws) AS mn, MAX(ws) AS mx FROM r10 GROUP BY movie_id),
+textrank AS (SELECT r.movie_id, r.cate_id, r.n AS tag,
+                    ROUND((r.ws - g.mn / 10.0) / (g.mx - g.mn / 10.0), 6) AS textrank
+             FROM r10 r JOIN rng g ON r.movie_id = g.movie_id),
+idf_tr AS (SELECT t.movie_id, t.cate_id, t.tag AS keyword, ROUND(t.textrank * f.idf, 8) AS weight
+           FROM textrank t JOIN tfidf f ON t.movie_id = f.movie_id AND t.cate_id = f.cate_id AND t.tag = f.keyword),
+tfidf_tr AS (SELECT t.movie_id, t.cate_id, t.tag AS keyword, ROUND((t.textrank + f.tfidf) / 2, 8) AS weight
+             FROM textrank t JOIN tfidf f ON t.movie_id = f.movie_id AND t.cate_id = f.cate_id AND t.tag = f.keyword),
+top_idf_tr AS (SELECT movie_id, cate_id, keyword, weight FROM (
+                 SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY weight DESC, keyword) AS r FROM idf_tr)
+               WHERE r <= 30),
+top_tfidf_tr AS (SELECT movie_id, cate_id, keyword, weight FROM (
+                   SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY weight DESC, keyword) AS r FROM tfidf_tr)
+                 WHERE r <= 30),
+topics AS (SELECT a.movie_id, a.cate_id, a.keyword AS topic FROM top_idf_tr a
+           JOIN top_tfidf_tr b ON a.movie_id = b.movie_id AND a.cate_id = b.cate_id AND a.keyword = b.keyword),
+topic_weights AS (SELECT a.movie_id, a.cate_id, a.keyword AS topic, a.weight, 20240130 AS timestamp
+                  FROM top_idf_tr a JOIN topics t ON a.movie_id = t.movie_id AND a.keyword = t.topic)""".replace(
+        "STOPS", stops)
+
+
+def text_sql(body: str) -> str:
+    return "WITH " + text_ctes() + "\n" + body
+
+
+SQL.update({
+    "clean_catalog": "WITH " + CAT + """
+SELECT * FROM cat c WHERE NOT COALESCE(
+    CASE WHEN cid = 'STANDARD' THEN (right(lower(trim(title)), 2) IN ('像奖', '指南', '影节', '斯卡', '直击', '鲜看', '剧集', '音乐', '纪念', '电影', '体验', '看版')
+                                     OR substr(lower(trim(title)), 1, 1) || substr(lower(trim(title)), 4, 1) IN ('【】', '第届')
+                                     OR contains(lower(trim(title)), '《'))
+         WHEN cid = 'MEDIUM' THEN (right(lower(trim(title)), 2) IN ('映礼', '手记', '专访', '看版', '春晚', '老歌', '合集', '编版', '制版', '华版', '战队', '纪实', '回顾', '剧场', '大赏', 'og', '日常', '货版', '演唱', 'p版', '录片', '盛典', '速看', 'mv', '外篇', '视频', '唱会')
+                                   OR contains(lower(trim(title)), '《') OR substr(lower(trim(title)), 1, 4) = 'test')
+         ELSE FALSE END, FALSE)
+  AND (NOT COALESCE(cid IN ('STANDARD', 'MEDIUM'), FALSE)
+       OR (id IS NOT NULL AND cid IS NOT NULL AND title IS NOT NULL AND score IS NOT NULL
+           AND year IS NOT NULL AND cate IS NOT NULL))""",
+    "build_summary": "WITH " + CAT + """
+SELECT id, cid, title, concat_ws(',', title, cate, year) AS summary FROM cat""",
+    "tokenize_chars": """
+SELECT p_partkey AS id, array_to_string(regexp_extract_all(lower(p_name), '([a-z]+|.)', 1), '|') AS tokens FROM part""",
+    "normalize_release_name": """
+SELECT page_id, regexp_replace(url, '\\.', ' ', 'g') AS name FROM pages""",
+    "tokenize_words": text_sql("""
+SELECT movie_id, cate_id, len(words) AS n_words, array_to_string(words, ' ') AS words FROM words"""),
+    "fit_count_vectorizer": text_sql("""
+SELECT keyword, count(DISTINCT movie_id) AS doc_freq, CAST(SUM(tf) AS BIGINT) AS term_count FROM terms GROUP BY keyword"""),
+    "fit_idf": text_sql("SELECT keyword, doc_freq, ROUND(idf, 8) AS idf FROM idf"),
+    "explode_tfidf": text_sql("SELECT movie_id, cate_id, keyword, tf, ROUND(idf, 8) AS idf, tfidf FROM tfidf"),
+    "topk_tfidf": text_sql("""
+SELECT * FROM (SELECT movie_id, cate_id, keyword, tfidf,
+                      row_number() OVER (PARTITION BY movie_id ORDER BY tfidf DESC, keyword) AS sort_num FROM tfidf)
+WHERE sort_num <= 30"""),
+    "textrank_keywords": text_sql("SELECT * FROM textrank"),
+    "idf_textrank": text_sql("SELECT * FROM idf_tr"),
+    "tfidf_textrank": text_sql("SELECT * FROM tfidf_tr"),
+    "topk_keyword_weight": text_sql("SELECT * FROM top_idf_tr"),
+    "topic_words": text_sql("SELECT * FROM topics"),
+    "agg_topic_list": text_sql("""
+SELECT movie_id, cate_id, count(*) AS n_topics, array_to_string(list_sort(list(topic)), ' ') AS topics
+FROM topics GROUP BY movie_id, cate_id"""),
+    "item_profile": text_sql("""
+, kw AS (SELECT movie_id, MIN(cate_id) AS cate_id, count(*) AS n_keywords,
+               array_to_string(list_sort(list(keyword)), ' ') AS keywords FROM top_idf_tr GROUP BY movie_id),
+tl AS (SELECT movie_id, array_to_string(list_sort(list(topic)), ' ') AS topics FROM topics GROUP BY movie_id)
+SELECT kw.movie_id, kw.cate_id, CAST(kw.n_keywords AS INT) AS n_keywords, kw.keywords, tl.topics
+FROM kw JOIN tl ON kw.movie_id = tl.movie_id"""),
+    "topic_weights": text_sql("SELECT * FROM topic_weights"),
+    "topic_weights_normal": text_sql("""
+, mm AS (SELECT MIN(weight) AS mn, MAX(weight) AS mx FROM topic_weights)
+SELECT t.movie_id, t.cate_id, t.topic,
+       ROUND(CASE WHEN mm.mx - mm.mn = 0 THEN 0.0 ELSE (t.weight - mm.mn) / (mm.mx - mm.mn) END, 8) AS weight,
+       d.title
+FROM topic_weights t CROSS JOIN mm LEFT JOIN docs d ON t.cate_id = d.cate_id AND t.movie_id = d.movie_id"""),
+})

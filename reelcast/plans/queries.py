@@ -183,3 +183,110 @@ def q_hot_watch_ratio(spark, d):
 @query("match_ids")
 def q_match_ids(spark, d):
     return FA.match_ids(S.order_plays(spark, d), S.asset_source(spark, d), S.catalog(spark, d))
+
+
+# ---------------------------------------------------------------- text
+from reelcast.functions import text as TX  # noqa: E402
+from reelcast.operators import profiles as P  # noqa: E402
+from reelcast.operators import text as TO  # noqa: E402
+
+
+@query("clean_catalog")
+def q_clean_catalog(spark, d):
+    return TO.clean_catalog(S.catalog(spark, d), S.STAR_CHANNELS)
+
+
+@query("build_summary")
+def q_build_summary(spark, d):
+    return TO.build_summary(S.catalog(spark, d), parts=("title", "cate", "year"))
+
+
+@query("tokenize_chars")
+def q_tokenize_chars(spark, d):
+    p = S.catalog(spark, d)
+    return p.select("id", F.array_join(TX.tokenize_chars("title"), "|").alias("tokens"))
+
+
+@query("normalize_release_name")
+def q_normalize_release_name(spark, d):
+    pg = S.table(spark, d, "pages")
+    return pg.select("page_id", TX.normalize_release_name(F.col("url")).alias("name"))
+
+
+@query("tokenize_words")
+def q_tokenize_words(spark, d):
+    w = TO.cut_words(S.documents(spark, d), "summary")
+    return w.select("movie_id", "cate_id", F.size("words").alias("n_words"),
+                    TO.tokens_column(F.col("words")).alias("words"))
+
+
+@query("fit_count_vectorizer")
+def q_fit_count_vectorizer(spark, d):
+    return TO.term_vocabulary(S.text_chain(spark, d)["terms"])
+
+
+@query("fit_idf")
+def q_fit_idf(spark, d):
+    return S.text_chain(spark, d)["idf"].withColumn("idf", F.round("idf", 8))
+
+
+@query("explode_tfidf")
+def q_explode_tfidf(spark, d):
+    return S.text_chain(spark, d)["tfidf"].withColumn("idf", F.round("idf", 8))
+
+
+@query("topk_tfidf")
+def q_topk_tfidf(spark, d):
+    t = S.text_chain(spark, d)["tfidf"].select("movie_id", "cate_id", "keyword", "tfidf")
+    return TO.topk_by(t, ["movie_id"], "tfidf", 30, "keyword").withColumn("sort_num", F.col("sort_num").cast("bigint"))
+
+
+@query("textrank_keywords")
+def q_textrank_keywords(spark, d):
+    return S.text_chain(spark, d)["textrank"]
+
+
+@query("idf_textrank")
+def q_idf_textrank(spark, d):
+    return S.text_chain(spark, d)["idf_tr"]
+
+
+@query("tfidf_textrank")
+def q_tfidf_textrank(spark, d):
+    return S.text_chain(spark, d)["tfidf_tr"]
+
+
+@query("topk_keyword_weight")
+def q_topk_keyword_weight(spark, d):
+    return S.text_chain(spark, d)["top_idf_tr"]
+
+
+@query("topic_words")
+def q_topic_words(spark, d):
+    return S.text_chain(spark, d)["topics"]
+
+
+@query("agg_topic_list")
+def q_agg_topic_list(spark, d):
+    t = S.text_chain(spark, d)["topic_list"]
+    return t.select("movie_id", "cate_id", F.size("topics").alias("n_topics"),
+                    F.array_join("topics", " ").alias("topics"))
+
+
+@query("item_profile")
+def q_item_profile(spark, d):
+    p = S.text_chain(spark, d)["profile"]
+    return p.select("movie_id", "cate_id", F.size("keywords").alias("n_keywords"),
+                    F.array_join(F.array_sort(F.map_keys("keywords")), " ").alias("keywords"),
+                    F.array_join("topics", " ").alias("topics"))
+
+
+@query("topic_weights")
+def q_topic_weights(spark, d):
+    return S.text_chain(spark, d)["topic_weights"]
+
+
+@query("topic_weights_normal")
+def q_topic_weights_normal(spark, d):
+    c = S.text_chain(spark, d)
+    return P.topic_weights_normal(c["topic_weights"], c["docs"])

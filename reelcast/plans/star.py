@@ -139,3 +139,37 @@ def order_plays(spark, d) -> DataFrame:
     p = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
     j = li.join(p, "l_partkey", "left")
     return j.select(F.col("l_suppkey").alias("qid"), F.col("l_orderkey").alias("aid"), F.col("p_type").alias("cid"))
+
+
+def documents(spark, d) -> DataFrame:
+    """Catalogue text: item = doc_id, channel = lang, title = source."""
+    return table(spark, d, "documents").select(
+        F.col("doc_id").alias("movie_id"), F.col("lang").alias("cate_id"),
+        F.col("source").alias("title"), F.col("text").alias("summary"))
+
+
+STAMP = 20240130                    # yyyymmdd of the day before AS_OF
+
+
+def text_chain(spark, d) -> dict:
+    """The item-profile chain over ``documents`` as lazily composed frames."""
+    from reelcast.operators import profiles as P
+    from reelcast.operators import text as TO
+    docs = documents(spark, d)
+    words = TO.cut_words(docs, "summary")
+    terms = TO.doc_terms(words)
+    idf = TO.fit_idf(terms)
+    tfidf = TO.explode_tfidf(terms, idf)
+    tr = TO.textrank_keywords(TO.textrank_edges(docs, "summary"))
+    idf_tr = P.idf_textrank(tr, tfidf)
+    tfidf_tr = P.tfidf_textrank(tr, tfidf)
+    top_idf_tr = P.topk_keywords(idf_tr, C.KEYWORD_TOPK)
+    top_tfidf_tr = P.topk_keywords(tfidf_tr, C.KEYWORD_TOPK)
+    topics = P.topic_words(top_idf_tr, top_tfidf_tr)
+    kw_map = P.agg_keyword_map(top_idf_tr)
+    topic_list = P.agg_topic_list(topics)
+    profile = P.item_profile(kw_map, topic_list)
+    tw = P.topic_weights(profile, STAMP)
+    return dict(docs=docs, words=words, terms=terms, idf=idf, tfidf=tfidf, textrank=tr, idf_tr=idf_tr,
+                tfidf_tr=tfidf_tr, top_idf_tr=top_idf_tr, top_tfidf_tr=top_tfidf_tr, topics=topics,
+                kw_map=kw_map, topic_list=topic_list, profile=profile, topic_weights=tw)
