@@ -110,8 +110,8 @@ def textrank_edges(docs: DataFrame, text="summary", keys=("movie_id", "cate_id")
 
 def _pagerank_group(damping: float, iterations: int, key_names: list[str]):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        words, a_idx = np.unique(pdf["a"].to_numpy(), return_inverse=True)
-        b_idx = np.searchsorted(words, pdf["b"].to_numpy())
+        a_idx, words = pd.factorize(pdf["a"])
+        b_idx = pd.Index(words).get_indexer(pdf["b"])
         w = pdf["w"].to_numpy(dtype="float64")
         n = len(words)
         out = np.bincount(a_idx, weights=w, minlength=n)
@@ -121,7 +121,7 @@ def _pagerank_group(damping: float, iterations: int, key_names: list[str]):
             ws = (1.0 - damping) + damping * np.bincount(a_idx, weights=coef * ws[b_idx], minlength=n)
         lo, hi = ws.min(), ws.max()
         ws = (ws - lo / 10.0) / (hi - lo / 10.0)
-        res = pd.DataFrame({"tag": words, "textrank": ws})
+        res = pd.DataFrame({"tag": np.asarray(words, dtype=object), "textrank": ws})
         for k in key_names:
             res.insert(0, k, pdf[k].iloc[0])
         return res

@@ -162,21 +162,23 @@ src AS (SELECT l_partkey AS aid, CASE WHEN l_returnflag = 'R' THEN 11 ELSE 12 EN
                CAST(l_linenumber AS BIGINT) AS eptotal, 1 AS status,
                CAST(trunc(l_quantity * 300) AS BIGINT) AS len_s FROM lineitem)"""
 
-HOT = CAT + """,
+HOT_BODY = """
 plays AS (SELECT l_partkey AS aid, CAST(strftime(l_shipdate, '%Y%m%d') AS INT) AS date,
                  CAST(trunc(l_quantity) AS BIGINT) AS count FROM lineitem),
 cnt AS (SELECT aid, SUM(count) AS weight FROM plays WHERE date > 20011006 GROUP BY aid),
 hot AS (SELECT c.id AS aid, c.title, c.cid, CAST(COALESCE(n.weight, 0) AS BIGINT) AS weight
         FROM cat c LEFT JOIN cnt n ON c.id = n.aid),
 hot_sort AS (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY weight DESC, aid) AS sort_num FROM hot)"""
+HOT = CAT + "," + HOT_BODY
 
-SCORE = CAT + """,
+SCORE_BODY = """
 mean AS (SELECT AVG(score) AS m FROM cat WHERE score > 0),
 sc AS (SELECT c.id AS aid, c.title, c.cid, c.score,
               CASE WHEN c.score IS NULL OR c.score = 0 THEN mean.m ELSE c.score END AS s FROM cat c CROSS JOIN mean),
 score_f AS (SELECT aid, title, cid, score,
                    ROUND(CASE WHEN s >= 7 THEN 1.0 / (ln(10.0 - s + 1) + 1) ELSE 1.0 / pow(2.0, 10.0 - s - 1) END, 4) AS factor
             FROM sc)"""
+SCORE = CAT + "," + SCORE_BODY
 
 SQL.update({
     "agg_hot_count": "WITH " + HOT + " SELECT aid, title, cid, weight FROM hot",
@@ -264,7 +266,8 @@ def text_ctes() -> str:
             FROM coef c JOIN {prev} r ON c.movie_id = r.movie_id AND c.b = r.n GROUP BY c.movie_id, c.cate_id, c.a)""")
         prev = f"r{i}"
     return f"""
-docs AS (SELECT doc_id AS movie_id, lang AS cate_id, source AS title, text FROM documents),
+docs AS (SELECT d.doc_id AS movie_id, p.p_type AS cate_id, p.p_name AS title, d.text
+         FROM documents d LEFT JOIN part p ON d.doc_id = p.p_partkey),
 words AS (SELECT movie_id, cate_id, {words} AS words FROM docs),
 terms AS (SELECT movie_id, cate_id, keyword, count(*) AS tf
           FROM (SELECT movie_id, cate_id, UNNEST(words) AS keyword FROM words) GROUP BY movie_id, cate_id, keyword),
@@ -364,3 +367,125 @@ SELECT t.movie_id, t.cate_id, t.topic,
        d.title
 FROM topic_weights t CROSS JOIN mm LEFT JOIN docs d ON t.cate_id = d.cate_id AND t.movie_id = d.movie_id"""),
 })
+
+
+# ---------------------------------------------------------------- user profile recall
+def _deny(vals) -> str:
+    return "(" + ", ".join("'" + v.replace("'", "''") + "'" for v in vals) + ")"
+
+
+def tokenize_words_sql(text: str) -> str:
+    raw = raw_tokens_sql(text)
+    return f"(CASE WHEN length({text}) <= 2 THEN [{text}] ELSE list_filter({raw}, lambda t: {keep_sql('t')}) END)"
+
+
+def title_tokens_sql(title: str) -> str:
+    tok = tokenize_words_sql(title)
+    return f"(CASE WHEN length({title}) > 2 THEN (CASE WHEN len({tok}) = 0 THEN [{title}] ELSE {tok} END) ELSE [{title}] END)"
+
+
+def title_deny_sql(title: str, cid: str) -> str:
+    from reelcast import config as C
+    return (f"COALESCE(({cid} = 'STANDARD' AND {title} IN {_deny(C.TITLE_DENY[C.FILM])}) "
+            f"OR ({cid} = 'MEDIUM' AND {title} IN {_deny(C.TITLE_DENY[C.SERIES])}), FALSE)")
+
+
+YEARF = """
+y0 AS (SELECT id, year, TRY_CAST(year AS INT) AS yi, cid FROM cat),
+y1 AS (SELECT id, year, cid, CASE WHEN yi IS NULL OR yi <= 0 OR yi > 2024 THEN 2019 ELSE yi END AS yy FROM y0),
+yearf AS (SELECT id AS movie_id, year,
+                 ROUND(CASE WHEN COALESCE(cid = 'PROMO', FALSE) THEN 1.0 / (log2(2024 - yy + 1) + 1)
+                            ELSE 1.0 / pow(2.0, (2024 - yy) / 10.0) END, 4) AS factor FROM y1),
+yearv AS (SELECT id AS movie_id, year, ROUND(1.0 / (log2(2024 - yy + 1) + 1), 4) AS factor FROM y1)"""
+
+HOTF = """
+hotf AS (SELECT aid, title, cid, weight AS play_num,
+                ROUND(1.0 / (ln((SELECT MAX(weight) FROM hot_sort) - weight + 1) + 1.0), 8) AS factor, sort_num
+         FROM hot_sort)"""
+
+
+def profile_ctes() -> str:
+    from reelcast import config as C
+    return WEIGHTS + "," + text_ctes() + "," + HOT_BODY + "," + HOTF + "," + SCORE_BODY + "," + YEARF + f""",
+awn AS (SELECT w.user_id, w.movie_id, w.cate_id,
+               ROUND(CASE WHEN mm.mx - mm.mn = 0 THEN 0.0 ELSE (w.weight - mm.mn) / (mm.mx - mm.mn) END, 8) AS weight
+        FROM weights w CROSS JOIN (SELECT MIN(weight) AS mn, MAX(weight) AS mx FROM weights) mm),
+twn AS (SELECT t.movie_id, t.cate_id, t.topic,
+               ROUND(CASE WHEN mm.mx - mm.mn = 0 THEN 0.0 ELSE (t.weight - mm.mn) / (mm.mx - mm.mn) END, 8) AS weight
+        FROM topic_weights t CROSS JOIN (SELECT MIN(weight) AS mn, MAX(weight) AS mx FROM topic_weights) mm),
+atw AS (SELECT a.movie_id, a.user_id, a.cate_id, t.topic, a.weight * t.weight AS weight
+        FROM awn a JOIN twn t ON a.movie_id = t.movie_id),
+ut AS (SELECT user_id, cate_id, topic, SUM(weight) AS weight FROM atw GROUP BY user_id, cate_id, topic),
+uw AS (SELECT user_id, cate_id, SUM(weight) AS user_weight FROM ut GROUP BY user_id, cate_id),
+uc AS (SELECT cate_id, count(DISTINCT user_id) AS user_count FROM ut GROUP BY cate_id),
+tc AS (SELECT cate_id, topic, count(user_id) AS topic_count FROM ut GROUP BY cate_id, topic),
+uprof_all AS (SELECT ut.user_id, ut.cate_id, ut.topic,
+                     ROUND((ut.weight / (uw.user_weight + 1)) * (ln((uc.user_count + 1) / (tc.topic_count + 1)) + 1), 8) AS weight
+              FROM ut JOIN uw ON ut.user_id = uw.user_id AND ut.cate_id = uw.cate_id
+                      JOIN uc ON ut.cate_id = uc.cate_id
+                      JOIN tc ON ut.cate_id = tc.cate_id AND ut.topic = tc.topic),
+uprof AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, cate_id ORDER BY weight DESC, topic) AS row_number
+                         FROM uprof_all) WHERE row_number <= 30),
+inv AS (SELECT t.cate_id, t.topic, t.movie_id, t.weight, c.movie_count
+        FROM twn t JOIN (SELECT cate_id, topic, count(*) AS movie_count FROM twn GROUP BY cate_id, topic) c
+          ON t.cate_id = c.cate_id AND t.topic = c.topic),
+cands AS (SELECT p.user_id, p.cate_id, i.movie_id, p.topic, ROUND(p.weight * i.weight, 8) AS weight
+          FROM uprof p JOIN inv i ON p.cate_id = i.cate_id AND p.topic = i.topic),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY weight DESC, movie_id, topic) AS total_sort FROM cands),
+based AS (SELECT *, MIN(total_sort) OVER (PARTITION BY user_id, movie_id) AS base_sort FROM ranked),
+merged AS (SELECT user_id, cate_id, movie_id,
+                  ROUND(SUM(ROUND(CASE WHEN total_sort = base_sort THEN weight
+                                       ELSE weight / (ln(total_sort - base_sort + 1) + 1) END, 8)), 8) AS weight
+           FROM based GROUP BY user_id, cate_id, movie_id),
+pre AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY weight DESC, movie_id) AS sort_num
+                       FROM merged) WHERE sort_num <= 1000),
+hist AS (SELECT DISTINCT user_id, movie_id FROM actions WHERE click OR play_time > 0),
+nohist AS (SELECT p.user_id, p.cate_id, p.movie_id, p.weight FROM pre p
+           WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.user_id = p.user_id AND h.movie_id = p.movie_id)),
+vt AS (SELECT n.*, c.title FROM nohist n LEFT JOIN cat c ON n.cate_id = c.cid AND n.movie_id = c.id),
+vtok AS (SELECT *, length(title) AS title_len, {title_tokens_sql('title')} AS words
+         FROM vt WHERE title IS NOT NULL AND NOT {title_deny_sql('title', 'cate_id')}),
+vtok2 AS (SELECT *, len(words) AS words_len FROM vtok WHERE title_len < {C.VERSION_TITLE_MAX}),
+vex AS (SELECT user_id, movie_id, title_len, UNNEST(words) AS word FROM vtok2),
+vwin AS (SELECT user_id, movie_id FROM (
+           SELECT *, row_number() OVER (PARTITION BY user_id, word ORDER BY title_len, movie_id) AS r FROM vex) WHERE r = 1),
+vcnt AS (SELECT user_id, movie_id, count(*) AS cnt FROM vwin GROUP BY user_id, movie_id),
+vers AS (SELECT v.user_id, v.cate_id, v.movie_id, v.weight, v.title
+         FROM vtok2 v JOIN vcnt c ON v.user_id = c.user_id AND v.movie_id = c.movie_id WHERE c.cnt = v.words_len),
+fac AS (SELECT v.user_id, v.cate_id, v.movie_id, v.title, y.year, h.play_num, s.score,
+               ROUND(v.weight * h.factor * s.factor * y.factor, 8) AS weight
+        FROM vers v LEFT JOIN hotf h ON v.movie_id = h.aid LEFT JOIN score_f s ON v.movie_id = s.aid
+                    LEFT JOIN yearf y ON v.movie_id = y.movie_id),
+facr AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY weight DESC, movie_id) AS sort_num
+         FROM fac WHERE user_id IS NOT NULL AND cate_id IS NOT NULL AND movie_id IS NOT NULL AND title IS NOT NULL
+                    AND year IS NOT NULL AND play_num IS NOT NULL AND score IS NOT NULL AND weight IS NOT NULL),
+fin1 AS (SELECT *, substr(lower(title), 1, 2) AS title2 FROM facr
+         WHERE sort_num <= {C.USER_FINAL_TOPK}
+           AND NOT COALESCE(right(lower(title), 2) IN {_deny(C.USER_SUFFIX_DENY)}
+                            OR substr(lower(title), 1, 1) || substr(lower(title), 4, 1) IN {_deny(C.CHAR_PAIR_DENY)}, FALSE)),
+fin2 AS (SELECT * EXCLUDE (r, title2, sort_num) FROM (
+           SELECT *, row_number() OVER (PARTITION BY user_id, title2 ORDER BY weight DESC, movie_id) AS r FROM fin1)
+         WHERE r = 1),
+final AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY weight DESC, movie_id) AS sort_num,
+                 20240130 AS timestamp FROM fin2)""".replace("STOPS", _stop_list())
+
+
+def profile_sql(body: str) -> str:
+    return "WITH " + profile_ctes() + "\n" + body
+
+
+SQL.update({
+    "join_user_topics": profile_sql("SELECT movie_id, user_id, cate_id, topic, ROUND(weight, 8) AS weight FROM atw"),
+    "user_topic_profile": profile_sql("SELECT * FROM uprof"),
+    "agg_inverted_index": profile_sql("SELECT * FROM inv"),
+    "expand_candidates": profile_sql("SELECT * FROM cands"),
+    "merge_same_item": profile_sql("SELECT * FROM merged"),
+    "topk_prerecall": profile_sql("SELECT * FROM pre"),
+    "anti_history": profile_sql("SELECT * FROM nohist"),
+    "filter_versions_user": profile_sql("SELECT * FROM vers"),
+    "weight_by_factors_user": profile_sql("SELECT * FROM facr"),
+    "profile_recall": profile_sql("SELECT * FROM final"),
+    "log_topic_count": profile_sql("""
+SELECT cate_id, topic, count(user_id) AS user_count, ROUND(ln(count(user_id) + 1), 8) AS log_count
+FROM uprof GROUP BY cate_id, topic"""),
+})

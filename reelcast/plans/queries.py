@@ -290,3 +290,28 @@ def q_topic_weights(spark, d):
 def q_topic_weights_normal(spark, d):
     c = S.text_chain(spark, d)
     return P.topic_weights_normal(c["topic_weights"], c["docs"])
+
+
+# ---------------------------------------------------------------- user profile recall
+def _pc(name, post=None):
+    def fn(spark, d):
+        df = S.profile_chain(spark, d)[name]
+        return post(df) if post else df
+    return fn
+
+
+REGISTRY["join_user_topics"] = _pc("action_topic", lambda df: df.withColumn("weight", F.round("weight", 8)))
+REGISTRY["user_topic_profile"] = _pc("profile", lambda df: df.withColumn("row_number", F.col("row_number").cast("bigint")))
+REGISTRY["agg_inverted_index"] = _pc("inverted")
+REGISTRY["expand_candidates"] = _pc("cands")
+REGISTRY["merge_same_item"] = _pc("merged")
+REGISTRY["topk_prerecall"] = _pc("pre")
+REGISTRY["anti_history"] = _pc("nohist")
+REGISTRY["filter_versions_user"] = _pc("versions")
+REGISTRY["weight_by_factors_user"] = _pc("factors")
+REGISTRY["profile_recall"] = _pc("final")
+
+
+@query("log_topic_count")
+def q_log_topic_count(spark, d):
+    return P.log_topic_count(S.profile_chain(spark, d)["profile"])

@@ -12,8 +12,9 @@
 * daily play counts = ``lineitem`` by l_partkey and ship day (count = quantity).
 * large action log  = ``orders`` x ``lineitem`` (user = o_custkey, item =
   l_partkey, minutes = l_quantity, time = o_orderdate).
-* text              = ``documents`` (channel = lang); vectors = ``embeddings``
-  (channel = label).
+* text              = ``documents``: item doc_id takes the catalogue channel
+  and title of the part with the same key; vectors = ``embeddings``
+  (vec_id = item, cluster label as a channel).
 """
 
 from __future__ import annotations
@@ -36,6 +37,19 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+_PERSISTED: dict = {}
+
+
+def persisted(spark: SparkSession, d: str, name: str, build) -> DataFrame:
+    """A stage table computed once per session and input folder and kept as a
+    reliable checkpoint (the chain's intermediate tables)."""
+    from reelcast.session import cut_lineage
+    key = (id(spark), spark.sparkContext.applicationId, d, name)
+    if key not in _PERSISTED:
+        _PERSISTED[key] = cut_lineage(build())
+    return _PERSISTED[key]
+
+
 def catalog(spark, d) -> DataFrame:
     return table(spark, d, "part").select(
         F.col("p_partkey").alias("id"), F.col("p_type").alias("cid"), F.col("p_name").alias("title"),
@@ -142,10 +156,10 @@ def order_plays(spark, d) -> DataFrame:
 
 
 def documents(spark, d) -> DataFrame:
-    """Catalogue text: item = doc_id, channel = lang, title = source."""
-    return table(spark, d, "documents").select(
-        F.col("doc_id").alias("movie_id"), F.col("lang").alias("cate_id"),
-        F.col("source").alias("title"), F.col("text").alias("summary"))
+    """Catalogue text: item = doc_id with the catalogue's channel and title."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("movie_id"), F.col("text").alias("summary"))
+    cat = catalog(spark, d).select(F.col("id").alias("movie_id"), F.col("cid").alias("cate_id"), "title")
+    return docs.join(cat, "movie_id", "left").select("movie_id", "cate_id", "title", "summary")
 
 
 STAMP = 20240130                    # yyyymmdd of the day before AS_OF
@@ -160,7 +174,9 @@ def text_chain(spark, d) -> dict:
     terms = TO.doc_terms(words)
     idf = TO.fit_idf(terms)
     tfidf = TO.explode_tfidf(terms, idf)
-    tr = TO.textrank_keywords(TO.textrank_edges(docs, "summary"))
+    # textrank and topic weights are the chain's persisted tables: reliable
+    # checkpoints keep the Python stage from running once per plan branch
+    tr = persisted(spark, d, "textrank", lambda: TO.textrank_keywords(TO.textrank_edges(docs, "summary")))
     idf_tr = P.idf_textrank(tr, tfidf)
     tfidf_tr = P.tfidf_textrank(tr, tfidf)
     top_idf_tr = P.topk_keywords(idf_tr, C.KEYWORD_TOPK)
@@ -169,7 +185,50 @@ def text_chain(spark, d) -> dict:
     kw_map = P.agg_keyword_map(top_idf_tr)
     topic_list = P.agg_topic_list(topics)
     profile = P.item_profile(kw_map, topic_list)
-    tw = P.topic_weights(profile, STAMP)
+    tw = persisted(spark, d, "topic_weights", lambda: P.topic_weights(profile, STAMP))
     return dict(docs=docs, words=words, terms=terms, idf=idf, tfidf=tfidf, textrank=tr, idf_tr=idf_tr,
                 tfidf_tr=tfidf_tr, top_idf_tr=top_idf_tr, top_tfidf_tr=top_tfidf_tr, topics=topics,
                 kw_map=kw_map, topic_list=topic_list, profile=profile, topic_weights=tw)
+
+
+def factor_tables(spark, d) -> dict:
+    cat = catalog(spark, d)
+    hot = FA.agg_hot_count(cat, daily_plays(spark, d), LINE_AS_OF, C.HOT_DAYS)
+    hot = FA.hot_factor(FA.rank_in_channel(hot, "weight"))
+    score = FA.score_factor(cat)
+    year = FA.year_factor(cat, NOW_YEAR, variety=STAR_CHANNELS.variety)
+    year_variety = FA.year_factor(cat, NOW_YEAR, cate_id=STAR_CHANNELS.variety, variety=STAR_CHANNELS.variety)
+    return dict(catalog=cat, hot=hot, score=score, year=year, year_variety=year_variety)
+
+
+def history_pairs(spark, d) -> DataFrame:
+    """Play and click history (user, item) used to exclude seen items."""
+    acts = merged_actions(spark, d)
+    play = A.user_history(acts, "play").select("user_id", "movie_id")
+    click = A.user_history(acts, "click").select("user_id", "movie_id")
+    return play.unionByName(click).dropDuplicates()
+
+
+def profile_chain(spark, d, skew_safe=True) -> dict:
+    from reelcast.operators import profiles as P
+    from reelcast.operators import recall as R
+    from reelcast.operators.ranking import top_k
+    aw = A.minmax_normalize(action_weights(spark, d), "weight", 8)
+    t = text_chain(spark, d)
+    twn = P.topic_weights_normal(t["topic_weights"])
+    atw = P.join_user_topics(aw, twn)
+    prof = P.user_topic_profile(atw, C.PROFILE_TOPK)
+    inv = P.inverted_index(twn)
+    cands = R.expand_candidates(prof, inv)
+    merged = persisted(spark, d, f"merged_{skew_safe}", lambda: R.merge_same_item(cands, skew_safe=skew_safe))
+    pre = top_k(merged, ["user_id"], [F.desc("weight"), F.asc("movie_id")], C.USER_PRE_TOPK)
+    hist = history_pairs(spark, d)
+    nohist = R.anti_history(pre.drop("sort_num"), hist)
+    fx = factor_tables(spark, d)
+    vers = R.filter_versions_user(nohist, fx["catalog"], STAR_CHANNELS)
+    fac = R.weight_by_factors_user(vers, fx["hot"], fx["score"], fx["year"])
+    final = R.profile_recall(prof, inv, hist, fx["catalog"], fx["hot"], fx["score"], fx["year"], STAR_CHANNELS,
+                             STAMP, skew_safe=skew_safe, merged=merged)
+    return dict(action_weight_normal=aw, topic_weights_normal=twn, action_topic=atw, profile=prof,
+                inverted=inv, cands=cands, merged=merged, pre=pre, history=hist, nohist=nohist,
+                versions=vers, factors=fac, final=final)
