@@ -141,11 +141,16 @@ def agg_action_weight(row_weights: DataFrame) -> DataFrame:
 def minmax_normalize(df: DataFrame, value="weight", digits=8, by: list[str] | None = None) -> DataFrame:
     """``(w - min) / (max - min)`` over the whole table (or per ``by`` group).
 
-    The one-row aggregate is joined back (cross join with a single row,
-    which the planner broadcasts); a constant column gives 0.0."""
+    Global bounds are scalar subqueries (partially aggregated, one row);
+    per-group bounds are a grouped aggregate joined back.  A constant column
+    gives 0.0."""
     keys = by or []
-    stats = df.groupBy(*keys).agg(F.min(value).alias("_mn"), F.max(value).alias("_mx"))
-    joined = df.crossJoin(F.broadcast(stats)) if not keys else df.join(stats, keys, "left")
+    if keys:
+        stats = df.groupBy(*keys).agg(F.min(value).alias("_mn"), F.max(value).alias("_mx"))
+        joined = df.join(stats, keys, "left")
+    else:
+        joined = df.withColumn("_mn", df.select(F.min(value)).scalar()).withColumn(
+            "_mx", df.select(F.max(value)).scalar())
     span = F.col("_mx") - F.col("_mn")
     nv = F.when(span == 0, F.lit(0.0)).otherwise((F.col(value) - F.col("_mn")) / F.when(span != 0, span))
     return joined.withColumn(value, F.round(nv, digits)).drop("_mn", "_mx")

@@ -1,7 +1,7 @@
 """Item factors: popularity, score, year, length, trailers, episode totals.
 
-Global scalars (max play count, mean score) are one-row aggregates joined back
-with a broadcast cross join -- no ``.first()`` round trip to the driver.
+Global scalars (max play count, mean score) are scalar subqueries (partially
+aggregated one-row results) -- no join and no ``.first()`` in user code.
 """
 
 from __future__ import annotations
@@ -34,8 +34,7 @@ def rank_in_channel(df: DataFrame, value: str, key="aid", channel="cid") -> Data
 
 def hot_factor(hot_sort: DataFrame) -> DataFrame:
     """``1 / (ln(max - w + 1) + 1)`` with max over all channels, round 8."""
-    mx = hot_sort.agg(F.max("weight").alias("_mx"))
-    out = hot_sort.crossJoin(F.broadcast(mx))
+    out = hot_sort.withColumn("_mx", hot_sort.select(F.max("weight")).scalar())
     return out.select("aid", "title", "cid", F.col("weight").alias("play_num"),
                       F.round(X.log_decay(F.col("_mx") - F.col("weight")), 8).alias("factor"),
                       *(["sort_num"] if "sort_num" in hot_sort.columns else []))
@@ -44,8 +43,7 @@ def hot_factor(hot_sort: DataFrame) -> DataFrame:
 def score_factor(catalog: DataFrame) -> DataFrame:
     """Null or zero score -> mean of positive scores; >= 7 log decay, else
     exponential decay; round 4.  The raw score is kept."""
-    mean = catalog.where(F.col("score") > 0).agg(F.avg("score").alias("_mean"))
-    out = catalog.crossJoin(F.broadcast(mean))
+    out = catalog.withColumn("_mean", catalog.where(F.col("score") > 0).select(F.avg("score")).scalar())
     s = F.when(F.col("score").isNull() | (F.col("score") == 0), F.col("_mean")).otherwise(F.col("score"))
     return out.select(F.col("id").alias("aid"), "title", "cid", "score", X.score_factor(s).alias("factor"))
 

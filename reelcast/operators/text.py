@@ -71,9 +71,9 @@ def term_vocabulary(terms: DataFrame, key="movie_id") -> DataFrame:
 
 def fit_idf(terms: DataFrame, key="movie_id") -> DataFrame:
     """``idf = ln((N + 1) / (df + 1))`` (Spark ML's formula) per keyword."""
-    n_docs = terms.agg(F.countDistinct(key).alias("_n"))
+    n_docs = terms.select(F.countDistinct(key)).scalar()
     df_ = terms.groupBy("keyword").agg(F.countDistinct(key).alias("doc_freq"))
-    out = df_.crossJoin(F.broadcast(n_docs))
+    out = df_.withColumn("_n", n_docs)
     return out.select("keyword", "doc_freq",
                       F.log((F.col("_n") + 1) / (F.col("doc_freq") + 1)).alias("idf"))
 

@@ -489,3 +489,120 @@ SQL.update({
 SELECT cate_id, topic, count(user_id) AS user_count, ROUND(ln(count(user_id) + 1), 8) AS log_count
 FROM uprof GROUP BY cate_id, topic"""),
 })
+
+
+# ---------------------------------------------------------------- vectors and item / similar recall
+def _cos(a: str, b: str) -> str:
+    return (f"ROUND(list_dot_product({a}, {b}) / (sqrt(list_dot_product({a}, {a})) * "
+            f"sqrt(list_dot_product({b}, {b}))), 4)")
+
+
+def item_ctes() -> str:
+    from reelcast import config as C
+    return profile_ctes() + "," + SRC + f""",
+vec AS (SELECT e.vec_id AS movie_id, e.label, CAST(e.embedding AS DOUBLE[]) AS v, c.cid AS cate_id
+        FROM embeddings e LEFT JOIN cat c ON e.vec_id = c.id),
+npairs AS (SELECT a.movie_id, b.movie_id AS movie_id2, a.cate_id, {_cos('a.v', 'b.v')} AS cos_sim
+           FROM vec a JOIN vec b ON a.cate_id = b.cate_id AND a.movie_id <> b.movie_id),
+neigh AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY cos_sim DESC, movie_id2) AS sort_num
+                         FROM npairs) WHERE sort_num <= {C.NEIGHBOURS_K}),
+iv0 AS (SELECT n.movie_id, n.movie_id2, n.cos_sim, n.cate_id, c.title FROM neigh n LEFT JOIN cat c ON n.movie_id2 = c.id),
+ivt AS (SELECT *, length(title) AS title_len, {title_tokens_sql('title')} AS words
+        FROM iv0 WHERE title IS NOT NULL AND NOT {title_deny_sql('title', 'cate_id')}),
+ivt2 AS (SELECT *, len(words) AS words_len FROM ivt
+         WHERE COALESCE(cate_id IN ('PROMO', 'SMALL'), FALSE) OR title_len < {C.VERSION_TITLE_MAX}),
+ivx AS (SELECT movie_id, movie_id2, title_len, UNNEST(words) AS word FROM ivt2),
+ivw AS (SELECT movie_id, movie_id2 FROM (
+          SELECT *, row_number() OVER (PARTITION BY movie_id, word ORDER BY title_len, movie_id2) AS r FROM ivx) WHERE r = 1),
+ivc AS (SELECT movie_id, movie_id2, count(*) AS cnt FROM ivw GROUP BY movie_id, movie_id2),
+iversions AS (SELECT v.movie_id, v.movie_id2, v.cos_sim, v.cate_id, v.title
+              FROM ivt2 v JOIN ivc c ON v.movie_id = c.movie_id AND v.movie_id2 = c.movie_id2 WHERE c.cnt = v.words_len),
+ifac AS (SELECT v.movie_id, v.cate_id, s1.title, s1.year, v.movie_id2, s2.title AS title2, s2.year AS year2,
+                sf.score, hf.play_num,
+                ROUND(v.cos_sim * sf.factor * hf.factor
+                      * (CASE WHEN v.cate_id = 'PROMO' THEN yv.factor ELSE yf.factor END), 8) + 0.0 AS weight
+         FROM iversions v LEFT JOIN cat s1 ON v.movie_id = s1.id LEFT JOIN cat s2 ON v.movie_id2 = s2.id
+              LEFT JOIN score_f sf ON v.movie_id2 = sf.aid LEFT JOIN hotf hf ON v.movie_id2 = hf.aid
+              LEFT JOIN yearf yf ON v.movie_id2 = yf.movie_id LEFT JOIN yearv yv ON v.movie_id2 = yv.movie_id),
+ifac2 AS (SELECT * FROM ifac WHERE movie_id IS NOT NULL AND cate_id IS NOT NULL AND title IS NOT NULL
+            AND year IS NOT NULL AND movie_id2 IS NOT NULL AND title2 IS NOT NULL AND year2 IS NOT NULL
+            AND score IS NOT NULL AND play_num IS NOT NULL AND weight IS NOT NULL),
+sshort AS (SELECT DISTINCT aid AS movie_id2 FROM src WHERE source = 12 AND eptotal = 1 AND len_s / 60 < 60),
+irules0 AS (SELECT f.*, lower(trim(f.title)) AS t, lower(trim(f.title2)) AS t2, lb.cate AS label, ss.movie_id2 AS short
+            FROM ifac2 f LEFT JOIN cat lb ON f.movie_id2 = lb.id LEFT JOIN sshort ss ON f.movie_id2 = ss.movie_id2),
+irules AS (SELECT movie_id, cate_id, title, year, movie_id2, title2, year2, score, play_num, weight,
+                  CASE WHEN cate_id IN ('STANDARD', 'MEDIUM') THEN substr(t2, 1, 2) ELSE substr(t2, 1, 4) END AS title3
+           FROM irules0
+           WHERE title IS NOT NULL AND title2 IS NOT NULL AND NOT COALESCE(
+             CASE WHEN cate_id = 'STANDARD' THEN (right(t2, 2) IN {_deny(C.FILM_SUFFIX_DENY_RECALL)}
+                                                  OR substr(t2, 1, 1) || substr(t2, 4, 1) IN {_deny(C.CHAR_PAIR_DENY)}
+                                                  OR contains(t2, '《') OR substr(t, 1, 2) = substr(t2, 1, 2))
+                  WHEN cate_id = 'MEDIUM' THEN (right(t2, 2) IN {_deny(C.SERIES_SUFFIX_DENY)}
+                                                OR contains(t2, '《') OR substr(t, 1, 2) = substr(t2, 1, 2))
+                  WHEN cate_id = 'SMALL' THEN (COALESCE(label, '') = '' OR short IS NOT NULL
+                                               OR substr(t, 1, 4) = substr(t2, 1, 4) OR length(t2) > 16)
+                  ELSE substr(t, 1, 4) = substr(t2, 1, 4) END, FALSE)),
+idd AS (SELECT * EXCLUDE (r, title3) FROM (
+          SELECT *, row_number() OVER (PARTITION BY movie_id, title3 ORDER BY weight DESC, movie_id2) AS r FROM irules)
+        WHERE r = 1),
+ifinal AS (SELECT * FROM (
+             SELECT *, 12 AS source, row_number() OVER (PARTITION BY movie_id ORDER BY weight DESC, movie_id2) AS sort_num
+             FROM idd WHERE movie_id2 NOT IN (SELECT aid FROM src WHERE auth = 1 AND source = 12)
+                        AND movie_id2 IN (SELECT aid FROM src WHERE source = 12 AND status = 1))
+           WHERE sort_num <= {C.NEIGHBOURS_K}),
+item_final AS (SELECT *, 20240130 AS timestamp FROM ifinal),
+sexp0 AS (SELECT a.user_id, r.movie_id, r.title, r.year, r.movie_id2, r.title2, r.year2, r.score, r.play_num,
+                 ROUND(a.weight * r.weight, 8) + 0.0 AS weight
+          FROM awn a JOIN item_final r ON a.movie_id = r.movie_id),
+sexp AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY weight DESC, movie_id2, movie_id) AS total_sort
+         FROM sexp0 WHERE user_id IS NOT NULL AND movie_id IS NOT NULL AND title IS NOT NULL AND year IS NOT NULL
+           AND movie_id2 IS NOT NULL AND title2 IS NOT NULL AND year2 IS NOT NULL AND score IS NOT NULL
+           AND play_num IS NOT NULL AND weight IS NOT NULL),
+sw AS (SELECT *, ROUND(CASE WHEN total_sort = base_sort THEN weight
+                            ELSE weight / (ln(total_sort - base_sort + 1) + 1) END, 8) + 0.0 AS w2
+       FROM (SELECT *, MIN(total_sort) OVER (PARTITION BY user_id, movie_id2) AS base_sort FROM sexp)),
+smerged AS (SELECT user_id, movie_id2 AS movie_id, title2 AS title, year2 AS year, score, play_num,
+                   ROUND(SUM(w2), 8) + 0.0 AS weight
+            FROM sw GROUP BY user_id, movie_id2, title2, year2, score, play_num),
+sexpl AS (SELECT user_id, movie_id2 AS movie_id, movie_id AS base_movie, title AS base_title, year AS base_year FROM sw),
+sfinal AS (SELECT *, 20240130 AS timestamp FROM (
+             SELECT m.*, 12 AS source, row_number() OVER (PARTITION BY user_id ORDER BY weight DESC, movie_id) AS sort_num
+             FROM smerged m
+             WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.user_id = m.user_id AND h.movie_id = m.movie_id)
+               AND m.movie_id IN (SELECT aid FROM src WHERE source = 12))
+           WHERE sort_num <= {C.USER_FINAL_TOPK})""".replace("STOPS", _stop_list())
+
+
+def item_sql(body: str) -> str:
+    return "WITH " + item_ctes() + "\n" + body
+
+
+SQL.update({
+    "cosine_in_cluster": f"""
+WITH vec AS (SELECT vec_id AS movie_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+p AS (SELECT a.movie_id, b.movie_id AS movie_id2, {_cos('a.v', 'b.v')} AS cos_sim
+      FROM vec a JOIN vec b ON a.label = b.label AND a.movie_id <> b.movie_id)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY cos_sim DESC, movie_id2) AS sort_num FROM p)
+WHERE sort_num <= 100""",
+    "knn_exact_l2": """
+WITH vec AS (SELECT vec_id AS movie_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+p AS (SELECT a.movie_id, b.movie_id AS movie_id2,
+             ROUND(greatest(list_dot_product(a.v, a.v) + list_dot_product(b.v, b.v) - 2.0 * list_dot_product(a.v, b.v), 0.0), 4) AS distance
+      FROM vec a, vec b)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY distance, movie_id2) AS sort_num FROM p)
+WHERE sort_num <= 10""",
+    "agg_vector_mean": "WITH " + WEIGHTS + """,
+wv AS (SELECT DISTINCT w.user_id, list_transform(CAST(e.embedding AS DOUBLE[]), lambda x: x * w.weight) AS v
+       FROM weights w JOIN embeddings e ON w.movie_id = e.vec_id),
+ex AS (SELECT user_id, UNNEST(v) AS x, generate_subscripts(v, 1) - 1 AS dim FROM wv)
+SELECT user_id, CAST(dim AS BIGINT) AS dim, ROUND(AVG(x), 6) AS value FROM ex GROUP BY user_id, dim""",
+    "topk_neighbours": item_sql("SELECT movie_id, movie_id2, cos_sim, sort_num FROM neigh"),
+    "filter_versions_item": item_sql("SELECT * FROM iversions"),
+    "weight_by_factors_item": item_sql("SELECT * FROM ifac2"),
+    "rules_item_final": item_sql("SELECT * FROM irules"),
+    "item_recall_final": item_sql("SELECT * FROM item_final"),
+    "similar_recall_expand": item_sql("SELECT * FROM sexp"),
+    "similar_recall_merge": item_sql("SELECT * FROM smerged"),
+    "similar_recall_explanations": item_sql("SELECT * FROM sexpl"),
+    "similar_recall": item_sql("SELECT * FROM sfinal"),
+})

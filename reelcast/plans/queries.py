@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelcast import config as C
 from reelcast.functions import columns as X
 from reelcast.operators import actions as A
 from reelcast.plans import star as S
@@ -315,3 +316,89 @@ REGISTRY["profile_recall"] = _pc("final")
 @query("log_topic_count")
 def q_log_topic_count(spark, d):
     return P.log_topic_count(S.profile_chain(spark, d)["profile"])
+
+
+# ---------------------------------------------------------------- vectors
+from reelcast.operators import recall as R  # noqa: E402
+from reelcast.operators import vectors as V  # noqa: E402
+
+
+@query("cosine_in_cluster")
+def q_cosine_in_cluster(spark, d):
+    v = S.item_vectors(spark, d).select("label", "movie_id", "vec")
+    return V.cosine_in_cluster(v, "label", C.NEIGHBOURS_K)
+
+
+@query("knn_exact_l2")
+def q_knn_exact_l2(spark, d):
+    return V.knn_exact_l2(S.item_vectors(spark, d), 10)
+
+
+@query("topk_neighbours")
+def q_topk_neighbours(spark, d):
+    """Channel-wise top-100 cosine neighbours (input of the item recall)."""
+    return S.item_chain(spark, d)["neighbours"]
+
+
+@query("ann_neighbours")
+def q_ann_neighbours(spark, d):
+    return V.ann_neighbours(S.item_vectors(spark, d), k=10, nlist=10, nprobe=3)
+
+
+@query("lsh_pairs")
+def q_lsh_pairs(spark, d):
+    return V.lsh_neighbours(S.item_vectors(spark, d), k=10, bucket_length=1.0, tables=3)
+
+
+@query("agg_vector_mean")
+def q_agg_vector_mean(spark, d):
+    """Mean of the distinct action-weighted item vectors per user."""
+    w = S.action_weights(spark, d).select("user_id", "movie_id", "weight")
+    v = S.item_vectors(spark, d).select("movie_id", "vec")
+    j = w.join(v, "movie_id").select("user_id", F.transform("vec", lambda x: x * F.col("weight")).alias("vec"))
+    m = V.mean_of_distinct(j, "user_id")
+    return m.select("user_id", F.posexplode("vec").alias("dim", "value")).select(
+        "user_id", F.col("dim").cast("bigint").alias("dim"), F.round("value", 6).alias("value"))
+
+
+@query("fit_word2vec")
+def q_fit_word2vec(spark, d):
+    words = TO.cut_words(S.documents(spark, d), "summary")
+    return V.word_vectors(V.fit_word2vec(words, dim=C.VECTOR_DIM, min_count=C.W2V_MIN_COUNT))
+
+
+@query("item_vector")
+def q_item_vector(spark, d):
+    words = TO.cut_words(S.documents(spark, d), "summary")
+    wv = V.word_vectors(V.fit_word2vec(words, dim=C.VECTOR_DIM, min_count=C.W2V_MIN_COUNT))
+    return V.item_vector(S.text_chain(spark, d)["topic_weights"], wv)
+
+
+@query("cluster_items")
+def q_cluster_items(spark, d):
+    assigned, _ = V.cluster_items(S.item_vectors(spark, d), k=10, min_size=1.0)
+    return assigned.select("movie_id", "cate_id", "group")
+
+
+# ---------------------------------------------------------------- item and similar recall
+def _ic(name, post=None):
+    def fn(spark, d):
+        df = S.item_chain(spark, d)[name]
+        return post(df) if post else df
+    return fn
+
+
+def _sc(name):
+    def fn(spark, d):
+        return S.similar_chain(spark, d)[name]
+    return fn
+
+
+REGISTRY["filter_versions_item"] = _ic("versions")
+REGISTRY["weight_by_factors_item"] = _ic("factors")
+REGISTRY["rules_item_final"] = _ic("rules")
+REGISTRY["item_recall_final"] = _ic("final")
+REGISTRY["similar_recall_expand"] = _sc("expanded")
+REGISTRY["similar_recall_merge"] = _sc("merged")
+REGISTRY["similar_recall_explanations"] = _sc("explanations")
+REGISTRY["similar_recall"] = _sc("final")

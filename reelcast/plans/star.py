@@ -232,3 +232,43 @@ def profile_chain(spark, d, skew_safe=True) -> dict:
     return dict(action_weight_normal=aw, topic_weights_normal=twn, action_topic=atw, profile=prof,
                 inverted=inv, cands=cands, merged=merged, pre=pre, history=hist, nohist=nohist,
                 versions=vers, factors=fac, final=final)
+
+
+def item_vectors(spark, d) -> DataFrame:
+    """embeddings as item vectors: (movie_id, label, vec array<double>, cate_id)."""
+    e = table(spark, d, "embeddings").select(F.col("vec_id").alias("movie_id"), "label",
+                                              F.col("embedding").cast("array<double>").alias("vec"))
+    cat = catalog(spark, d).select(F.col("id").alias("movie_id"), F.col("cid").alias("cate_id"))
+    return e.join(cat, "movie_id", "left")
+
+
+def item_chain(spark, d) -> dict:
+    """Item -> item recall over channel-wise exact cosine neighbours."""
+    from reelcast.operators import recall as R
+    from reelcast.operators import vectors as V
+    vec = item_vectors(spark, d)
+    neigh = persisted(spark, d, "item_neighbours", lambda: V.block_topk(
+        vec.select("cate_id", "movie_id", "vec"), vec.select("cate_id", "movie_id", "vec"), ["cate_id"],
+        C.NEIGHBOURS_K, "cosine").withColumnRenamed("score", "cos_sim"))
+    src = vec.select("movie_id", "cate_id")
+    nb = neigh.drop("sort_num").join(src, "movie_id")
+    fx = factor_tables(spark, d)
+    vers = R.filter_versions_item(nb, fx["catalog"], STAR_CHANNELS)
+    fac = R.weight_by_factors_item(vers, fx["catalog"], fx["score"], fx["hot"], fx["year"], fx["year_variety"],
+                                   STAR_CHANNELS)
+    sources = asset_source(spark, d)
+    rules = R.rules_item_final(fac, STAR_CHANNELS, labels=fx["catalog"],
+                               short_single=FA.short_single_episode(sources, seconds="len_s"))
+    final = R.item_recall_final(rules, FA.trailer_ids(sources), sources, STAMP, C.NEIGHBOURS_K)
+    return dict(vectors=vec, neighbours=neigh, versions=vers, factors=fac, rules=rules, final=final)
+
+
+def similar_chain(spark, d, skew_safe=True) -> dict:
+    from reelcast.operators import recall as R
+    aw = A.minmax_normalize(action_weights(spark, d), "weight", 8)
+    item = persisted(spark, d, "item_recall", lambda: item_chain(spark, d)["final"])
+    exp = R.similar_recall_expand(aw, item, skew_safe=skew_safe)
+    merged, expl = R.similar_recall_merge(exp)
+    final = R.similar_recall(aw, item, history_pairs(spark, d), asset_source(spark, d), STAMP,
+                             C.USER_FINAL_TOPK, skew_safe=skew_safe)
+    return dict(expanded=exp, merged=merged, explanations=expl, final=final)
