@@ -606,3 +606,64 @@ SELECT user_id, CAST(dim AS BIGINT) AS dim, ROUND(AVG(x), 6) AS value FROM ex GR
     "similar_recall_explanations": item_sql("SELECT * FROM sexpl"),
     "similar_recall": item_sql("SELECT * FROM sfinal"),
 })
+
+
+def search_ctes() -> str:
+    tq = tokenize_words_sql("regexp_replace(text, '\\.', ' ', 'g')")
+    tt = tokenize_words_sql("text")
+    return f"""
+qw AS (SELECT DISTINCT item_id AS qid, UNNEST({tq}) AS word FROM benchmark),
+tw AS (SELECT DISTINCT doc_id AS tid, UNNEST({tt}) AS word FROM documents),
+hits0 AS (SELECT q.qid AS query_id, t.tid AS movie_id, count(*) AS num,
+                 array_to_string(list_sort(list(q.word)), ' ') AS words
+          FROM qw q JOIN tw t ON q.word = t.word GROUP BY q.qid, t.tid),
+hits AS (SELECT * FROM hits0 WHERE regexp_matches(words, '[a-z]'))""".replace("STOPS", _stop_list())
+
+
+SQL.update({
+    "agg_token_hits": "WITH " + search_ctes() + " SELECT * FROM hits",
+    "title_search": "WITH " + search_ctes() + """
+SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY num DESC, movie_id) AS sort FROM hits""",
+    "best_query_match": "WITH " + search_ctes() + """
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY num DESC, movie_id) AS sort FROM hits)
+WHERE sort = 1""",
+})
+
+
+SQL.update({
+    "scan_time_window": f"""
+SELECT event_id, user_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS create_time FROM events
+WHERE floor(epoch(ts)) >= {AS_OF_EPOCH - 86400} AND floor(epoch(ts)) < {AS_OF_EPOCH}""",
+    "scan_table": "SELECT p_partkey, p_name, p_type FROM part WHERE p_type = 'STANDARD'",
+    "union_distinct": "WITH " + EVENTS + """
+SELECT DISTINCT user_id, movie_id FROM actions WHERE click OR play_time > 0""",
+    "dedupe_keys": """
+SELECT user_id, event_type, event_id, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id) AS r FROM events)
+WHERE r = 1""",
+    "null_profile": """
+SELECT 1.0 - count(d.doc_id) / count(*) AS doc_id_missing, 1.0 - count(l.quality) / count(*) AS quality_missing,
+       1.0 - count(l.toxic) / count(*) AS toxic_missing, 1.0 - count(d.lang) / count(*) AS lang_missing
+FROM labels l RIGHT JOIN (SELECT doc_id, lang FROM documents) d ON l.doc_id = d.doc_id""",
+    "describe_columns": " UNION ALL ".join(
+        f"""SELECT '{c}' AS column, count({c}) AS count, ROUND(AVG({c}), 6) AS mean, ROUND(stddev_samp({c}), 6) AS std,
+       MIN(CAST({c} AS DOUBLE)) AS min, MAX(CAST({c} AS DOUBLE)) AS max, ROUND(median(CAST({c} AS DOUBLE)), 6) AS median
+FROM lineitem""" for c in ("l_quantity", "l_extendedprice", "l_discount")),
+    "save_keyed_map": item_sql("""
+SELECT movie_id AS rowkey, CAST(movie_id2 AS VARCHAR) AS qualifier, ROUND(weight, 4) + 0.0 AS value FROM item_final"""),
+    "recommend_lookup": item_sql("""
+, u AS (SELECT lpad(CAST(user_id AS VARCHAR), 12, '0') AS key, movie_id AS rec, sort_num FROM final),
+i AS (SELECT CAST(movie_id AS VARCHAR) AS key, movie_id2 AS rec, sort_num FROM item_final),
+keys AS (SELECT key FROM u UNION SELECT key FROM i),
+hits AS (SELECT k.key, u.rec, u.sort_num FROM keys k JOIN u ON k.key = u.key WHERE length(k.key) > 10
+         UNION ALL
+         SELECT k.key, i.rec, i.sort_num FROM keys k JOIN i ON k.key = i.key WHERE length(k.key) <= 10)
+SELECT key, string_agg(CAST(rec AS VARCHAR), ',' ORDER BY sort_num, rec) AS movie_ids FROM hits GROUP BY key"""),
+    "rows_to_json": "WITH " + search_ctes() + """
+SELECT to_json({'query_id': query_id, 'movie_id': movie_id, 'num': num}) AS json FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY num DESC, movie_id) AS sort FROM hits) WHERE sort = 1""",
+    "explanation_to_string": item_sql("""
+SELECT user_id, movie_id,
+       array_to_string(list_sort(list(concat_ws(':', CAST(base_movie AS VARCHAR), base_title, base_year))), ',') AS base_movie
+FROM sexpl GROUP BY user_id, movie_id"""),
+})

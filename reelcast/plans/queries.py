@@ -402,3 +402,100 @@ REGISTRY["similar_recall_expand"] = _sc("expanded")
 REGISTRY["similar_recall_merge"] = _sc("merged")
 REGISTRY["similar_recall_explanations"] = _sc("explanations")
 REGISTRY["similar_recall"] = _sc("final")
+
+
+# ---------------------------------------------------------------- search
+from reelcast.operators import search as SE  # noqa: E402
+
+STAR_REQUIRED = "[a-z]"      # the star corpus is Latin-script: a match needs a letter token
+
+
+def _search_inputs(spark, d):
+    q = SE.tokenize_queries(S.table(spark, d, "benchmark"), "item_id", "text")
+    t = SE.tokenize_targets(S.table(spark, d, "documents"), "doc_id", "text")
+    return q, t
+
+
+@query("agg_token_hits")
+def q_agg_token_hits(spark, d):
+    return SE.agg_token_hits(*_search_inputs(spark, d), required=STAR_REQUIRED)
+
+
+@query("title_search")
+def q_title_search(spark, d):
+    return SE.title_search(*_search_inputs(spark, d), required=STAR_REQUIRED)
+
+
+@query("best_query_match")
+def q_best_query_match(spark, d):
+    return SE.best_query_match(*_search_inputs(spark, d), required=STAR_REQUIRED)
+
+
+# ---------------------------------------------------------------- sources, sinks, generic
+from reelcast.operators import generic as G  # noqa: E402
+from reelcast.sources import sinks as SK  # noqa: E402
+from reelcast.sources import tables as TB  # noqa: E402
+
+
+@query("scan_time_window")
+def q_scan_time_window(spark, d):
+    ev = S.table(spark, d, "events").select("event_id", "user_id", "event_type", X.epoch_of("ts").alias("create_time"))
+    return TB.scan_time_window(ev, "create_time", S.AS_OF, days=1)
+
+
+@query("scan_table")
+def q_scan_table(spark, d):
+    """Projection + channel filter pushed into the Parquet scan."""
+    return TB.scan_table(spark, f"{d}/part.parquet", ["p_partkey", "p_name", "p_type"],
+                         where=F.col("p_type") == S.STAR_CHANNELS.film)
+
+
+@query("union_distinct")
+def q_union_distinct(spark, d):
+    return S.history_pairs(spark, d)
+
+
+@query("dedupe_keys")
+def q_dedupe_keys(spark, d):
+    ev = S.table(spark, d, "events").select("user_id", "event_type", "event_id", "ts", "value")
+    newest_first = -F.unix_micros(F.col("ts").cast("timestamp"))
+    return G.dedupe_keys(ev, ["user_id", "event_type"], [newest_first, F.col("event_id")]).drop("ts")
+
+
+@query("null_profile")
+def q_null_profile(spark, d):
+    return G.null_profile(S.table(spark, d, "labels").join(S.table(spark, d, "documents").select("doc_id", "lang"),
+                                                           "doc_id", "right"))
+
+
+@query("describe_columns")
+def q_describe_columns(spark, d):
+    return G.describe_columns(S.table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+
+
+@query("save_keyed_map")
+def q_save_keyed_map(spark, d):
+    """Item recall in the keyed-map layout, read back as (rowkey, qualifier, value)."""
+    m = SK.keyed_map(S.item_chain(spark, d)["final"], "movie_id", "movie_id2", "weight", 4)
+    return m.select(F.col("movie_id").alias("rowkey"), F.explode("cells").alias("qualifier", "value"))
+
+
+@query("recommend_lookup")
+def q_recommend_lookup(spark, d):
+    """Every user key (12-char padded id) and every item key looked up."""
+    users = S.profile_chain(spark, d)["final"].withColumn("user_id", F.lpad(F.col("user_id").cast("string"), 12, "0"))
+    items = S.item_chain(spark, d)["final"]
+    keys = users.select(F.col("user_id").alias("key")).unionByName(
+        items.select(F.col("movie_id").cast("string").alias("key"))).distinct()
+    return R.recommend_lookup(keys, users, items)
+
+
+@query("rows_to_json")
+def q_rows_to_json(spark, d):
+    b = SE.best_query_match(*_search_inputs(spark, d), required=STAR_REQUIRED)
+    return SE.rows_to_json(b.select("query_id", "movie_id", "num"))
+
+
+@query("explanation_to_string")
+def q_explanation_to_string(spark, d):
+    return R.explanation_list(S.similar_chain(spark, d)["explanations"])
