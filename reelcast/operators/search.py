@@ -38,20 +38,26 @@ def tokenize_targets(df: DataFrame, id_col: str, text_col: str, tokenizer=None)
 def _matcher(required: str):
     rx = re.compile(required)
 
+    def empty() -> pd.DataFrame:
+        return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "movie_id": pd.Series(dtype="int64"),
+                             "num": pd.Series(dtype="int64"), "words": pd.Series(dtype="object")})
+
     def run(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         cols = ["query_id", "movie_id", "num", "words"]
         if q.empty or t.empty:
-            return pd.DataFrame({c: [] for c in cols})
+            return empty()
         qe = q[["qid", "words"]].explode("words").dropna()
         te = t[["tid", "words"]].explode("words").dropna()
         m = qe.merge(te, on="words")
         if m.empty:
-            return pd.DataFrame({c: [] for c in cols})
+            return empty()
         g = (m.sort_values("words").groupby(["qid", "tid"], sort=False)["words"]
              .agg(num="size", words=" ".join).reset_index())
         g = g[g["words"].map(lambda s: rx.search(s) is not None)]
+        if g.empty:
+            return empty()
         g = g.rename(columns={"qid": "query_id", "tid": "movie_id"})
-        return g[cols]
+        return g[cols].astype({"query_id": "int64", "movie_id": "int64", "num": "int64"})
     return run
 
 

@@ -128,6 +128,75 @@ def _pagerank_group(damping: float, iterations: int, key_names: list[str]):
     return run
 
 
+def _textrank_docs(span: int, damping: float, iterations: int, key_names: list[str]):
+    def one(toks) -> tuple[np.ndarray, np.ndarray]:
+        ids, words = pd.factorize(pd.Series(list(toks), dtype=object), use_na_sentinel=True)
+        n = len(words)
+        if n == 0:
+            return words, np.empty(0)
+        a_parts, b_parts = [], []
+        for o in range(1, span):
+            if o >= len(ids):
+                break
+            a, b = ids[:-o], ids[o:]
+            m = (a >= 0) & (b >= 0)
+            a_parts += [a[m], b[m]]
+            b_parts += [b[m], a[m]]
+        if not a_parts or sum(len(x) for x in a_parts) == 0:
+            return words[:0], np.empty(0)
+        key, w = np.unique(np.concatenate(a_parts).astype("int64") * n + np.concatenate(b_parts), return_counts=True)
+        a_idx, b_idx, w = key // n, key % n, w.astype("float64")
+        nodes = np.unique(a_idx)
+        out = np.bincount(a_idx, weights=w, minlength=n)
+        coef = w / out[b_idx]
+        ws = np.zeros(n)
+        ws[nodes] = 1.0 / len(nodes)
+        for _ in range(iterations):
+            ws = (1.0 - damping) + damping * np.bincount(a_idx, weights=coef * ws[b_idx], minlength=n)
+        ws = ws[nodes]
+        lo, hi = ws.min(), ws.max()
+        return np.asarray(words, dtype=object)[nodes], (ws - lo / 10.0) / (hi - lo / 10.0)
+
+    def run(it):
+        for pdf in it:
+            parts = []
+            keyvals = [pdf[k].tolist() for k in key_names]
+            for i, toks in enumerate(pdf["_k"].tolist()):
+                if toks is None:
+                    continue
+                tags, ranks = one(toks)
+                if len(tags) == 0:
+                    continue
+                res = pd.DataFrame({"tag": tags, "textrank": ranks})
+                for j in reversed(range(len(key_names))):
+                    res.insert(0, key_names[j], keyvals[j][i])
+                parts.append(res)
+            yield (pd.concat(parts, ignore_index=True) if parts
+                   else pd.DataFrame({c: [] for c in [*key_names, "tag", "textrank"]}))
+    return run
+
+
+def textrank_documents(docs: DataFrame, text="summary", keys=("movie_id", "cate_id"), span=C.TEXTRANK_SPAN,
+                       min_len=C.TEXTRANK_MIN_LEN, damping=C.TEXTRANK_DAMPING, iterations=C.TEXTRANK_ITERATIONS,
+                       stop_words=None, digits=6) -> DataFrame:
+    """TextRank per document without a shuffle.
+
+    Tokens and the keep rules are evaluated in the JVM; every document's
+    token array (non-kept positions null, so distances follow the raw
+    sequence) goes through one Arrow-batched ``mapInPandas`` that counts the
+    co-occurrence pairs within ``span`` (both directions) and runs the
+    weighted PageRank; same numbers as :func:`textrank_edges` +
+    :func:`textrank_keywords`."""
+    key_names = list(keys)
+    toks = TX.raw_tokens(F.col(text))
+    kept = F.transform(toks, lambda t: F.when(TX.keep_token(t, stop_words) & (F.length(t) >= min_len), t))
+    d = docs.select(*key_names, kept.alias("_k"))
+    schema = T.StructType([T.StructField(k, docs.schema[k].dataType) for k in key_names]
+                          + [T.StructField("tag", T.StringType()), T.StructField("textrank", T.DoubleType())])
+    out = d.mapInPandas(_textrank_docs(span, damping, iterations, key_names), schema)
+    return out.withColumn("textrank", F.round("textrank", digits))
+
+
 def textrank_keywords(edges: DataFrame, keys=("movie_id", "cate_id"), damping=C.TEXTRANK_DAMPING,
                       iterations=C.TEXTRANK_ITERATIONS, digits=6) -> DataFrame:
     """Weighted PageRank on each document's word graph, scaled per document

@@ -24,7 +24,7 @@ def _block_scorer(metric: str, k: int, exclude_self: bool, digits: int, keys: li
     def score(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         cols = keys + ["movie_id", "movie_id2", "score"]
         if q.empty or c.empty:
-            return pd.DataFrame({k_: [] for k_ in cols})
+            return pd.DataFrame({k_: pd.Series(dtype="float64" if k_ == "score" else "int64") for k_ in cols})
         Q = np.stack(q["vec"].to_numpy()).astype("float64")
         Cm = np.stack(c["vec"].to_numpy()).astype("float64")
         qid = q["movie_id"].to_numpy()

@@ -667,3 +667,16 @@ SELECT user_id, movie_id,
        array_to_string(list_sort(list(concat_ws(':', CAST(base_movie AS VARCHAR), base_title, base_year))), ',') AS base_movie
 FROM sexpl GROUP BY user_id, movie_id"""),
 })
+
+
+SQL.update({
+    "stream_action_dedupe": """
+SELECT DISTINCT user_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS movie_id,
+       CASE event_type WHEN 'click' THEN 'click' WHEN 'purchase' THEN 'top' ELSE 'play' END AS action,
+       CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS ymd
+FROM events
+WHERE event_type IN ('click', 'purchase', 'view') AND user_id IS NOT NULL
+  AND TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) IS NOT NULL""",
+})
+
+SQL["textrank_edges"] = text_sql("SELECT * FROM edges")

@@ -499,3 +499,18 @@ def q_rows_to_json(spark, d):
 @query("explanation_to_string")
 def q_explanation_to_string(spark, d):
     return R.explanation_list(S.similar_chain(spark, d)["explanations"])
+
+
+# ---------------------------------------------------------------- streaming
+@query("stream_action_dedupe")
+def q_stream_action_dedupe(spark, d):
+    """Structured Streaming ingestion of ``events`` (one distinct action per
+    user/item/day, repeats within the watermark dropped)."""
+    from reelcast.streaming.ingest import ingest_actions
+    return ingest_actions(spark, d)
+
+
+@query("textrank_edges")
+def q_textrank_edges(spark, d):
+    """Co-occurrence edge table of every document (window 10, both directions)."""
+    return TO.textrank_edges(S.documents(spark, d), "summary")

@@ -157,38 +157,52 @@ def order_plays(spark, d) -> DataFrame:
 
 def documents(spark, d) -> DataFrame:
     """Catalogue text: item = doc_id with the catalogue's channel and title."""
+    from reelcast.session import spread
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("movie_id"), F.col("text").alias("summary"))
     cat = catalog(spark, d).select(F.col("id").alias("movie_id"), F.col("cid").alias("cate_id"), "title")
-    return docs.join(cat, "movie_id", "left").select("movie_id", "cate_id", "title", "summary")
+    return spread(docs.join(cat, "movie_id", "left").select("movie_id", "cate_id", "title", "summary"))
 
 
 STAMP = 20240130                    # yyyymmdd of the day before AS_OF
 
 
-def text_chain(spark, d) -> dict:
-    """The item-profile chain over ``documents`` as lazily composed frames."""
+class Chain(dict):
+    """Stage frames built on first access (persisted stages are built only
+    when a query needs them)."""
+
+    def __init__(self, builders: dict):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, key):
+        val = self._builders[key](self)
+        self[key] = val
+        return val
+
+
+def text_chain(spark, d) -> Chain:
+    """The item-profile chain over ``documents``."""
     from reelcast.operators import profiles as P
     from reelcast.operators import text as TO
-    docs = documents(spark, d)
-    words = TO.cut_words(docs, "summary")
-    terms = TO.doc_terms(words)
-    idf = TO.fit_idf(terms)
-    tfidf = TO.explode_tfidf(terms, idf)
-    # textrank and topic weights are the chain's persisted tables: reliable
-    # checkpoints keep the Python stage from running once per plan branch
-    tr = persisted(spark, d, "textrank", lambda: TO.textrank_keywords(TO.textrank_edges(docs, "summary")))
-    idf_tr = P.idf_textrank(tr, tfidf)
-    tfidf_tr = P.tfidf_textrank(tr, tfidf)
-    top_idf_tr = P.topk_keywords(idf_tr, C.KEYWORD_TOPK)
-    top_tfidf_tr = P.topk_keywords(tfidf_tr, C.KEYWORD_TOPK)
-    topics = P.topic_words(top_idf_tr, top_tfidf_tr)
-    kw_map = P.agg_keyword_map(top_idf_tr)
-    topic_list = P.agg_topic_list(topics)
-    profile = P.item_profile(kw_map, topic_list)
-    tw = persisted(spark, d, "topic_weights", lambda: P.topic_weights(profile, STAMP))
-    return dict(docs=docs, words=words, terms=terms, idf=idf, tfidf=tfidf, textrank=tr, idf_tr=idf_tr,
-                tfidf_tr=tfidf_tr, top_idf_tr=top_idf_tr, top_tfidf_tr=top_tfidf_tr, topics=topics,
-                kw_map=kw_map, topic_list=topic_list, profile=profile, topic_weights=tw)
+    return Chain({
+        "docs": lambda c: documents(spark, d),
+        "words": lambda c: TO.cut_words(c["docs"], "summary"),
+        "terms": lambda c: TO.doc_terms(c["words"]),
+        "idf": lambda c: TO.fit_idf(c["terms"]),
+        "tfidf": lambda c: TO.explode_tfidf(c["terms"], c["idf"]),
+        # textrank and topic weights are the chain's persisted tables: reliable
+        # checkpoints keep the Python stage from running once per plan branch
+        "textrank": lambda c: persisted(spark, d, "textrank", lambda: TO.textrank_documents(c["docs"], "summary")),
+        "idf_tr": lambda c: P.idf_textrank(c["textrank"], c["tfidf"]),
+        "tfidf_tr": lambda c: P.tfidf_textrank(c["textrank"], c["tfidf"]),
+        "top_idf_tr": lambda c: P.topk_keywords(c["idf_tr"], C.KEYWORD_TOPK),
+        "top_tfidf_tr": lambda c: P.topk_keywords(c["tfidf_tr"], C.KEYWORD_TOPK),
+        "topics": lambda c: P.topic_words(c["top_idf_tr"], c["top_tfidf_tr"]),
+        "kw_map": lambda c: P.agg_keyword_map(c["top_idf_tr"]),
+        "topic_list": lambda c: P.agg_topic_list(c["topics"]),
+        "profile": lambda c: P.item_profile(c["kw_map"], c["topic_list"]),
+        "topic_weights": lambda c: persisted(spark, d, "topic_weights", lambda: P.topic_weights(c["profile"], STAMP)),
+    })
 
 
 def factor_tables(spark, d) -> dict:
