@@ -216,3 +216,26 @@ def device_map(*logs: DataFrame, device="deviceid", user="mac") -> DataFrame:
         s = lg.select(F.col(device).alias("deviceid"), F.col(user).alias("mac"))
         out = s if out is None else out.unionByName(s)
     return out.where(F.col("deviceid").isNotNull() & F.col("mac").isNotNull()).dropDuplicates()
+
+
+def merge_action_log(log: DataFrame, totals: DataFrame, start_time: int = 0, film_channel=C.FILM,
+                     lo=C.PLAY_RANGE[0], hi=C.PLAY_RANGE[1]) -> DataFrame:
+    """Single-pass form of parse -> de-duplicate -> one-hot for a log that
+    carries all three actions (one scan, one shuffle).
+
+    log: (user_id, movie_id, cate_id, datetime, action in click/top/play,
+    play_time in ms for plays, movie_num).  One grouped pass keeps one row
+    per distinct click/top and the longest report per play key; the play
+    branch then resolves episode totals and the minute range.  Same rows as
+    ``merge_actions`` over the separately parsed logs."""
+    keys = ["user_id", "movie_id", "cate_id", "datetime", "action", "movie_num"]
+    g = log.groupBy(*keys).agg(F.max("play_time").alias("play_time"))
+    play = g.where(F.col("action") == "play").drop("action")
+    play = play_minutes_range(resolve_episode_total(play, totals, film_channel), lo, hi)
+    other = g.where(F.col("action") != "play")
+    one_hot_other = other.select(
+        "user_id", "movie_id", "cate_id", "datetime",
+        (F.col("action") == "click").alias("click"), (F.col("action") == "top").alias("top"),
+        F.lit(C.MISSING).cast("bigint").alias("play_time"), F.lit(C.MISSING).cast("bigint").alias("total_num"))
+    out = one_hot_other.unionByName(onehot_actions(play, "play"))
+    return out.where(F.col("datetime") > F.lit(start_time)).na.drop()

@@ -109,3 +109,12 @@ def match_ids(plays: DataFrame, source: DataFrame, catalog: DataFrame) -> DataFr
     m = os_.join(ys, (os_["sid"] == ys["qid"]) & (os_["os_cid"] == ys["cid"]), "left")
     return (m.groupBy("os_id", "title", "os_cid").agg(F.min("ys_id").alias("ys_id"))
             .na.drop())
+
+
+def item_source_stats(source: DataFrame, item="aid", total="eptotal", seconds=None) -> DataFrame:
+    """Episode total (max) and single-episode length in minutes (min) of every
+    item from one grouped pass over the source rows: (movie_id, total_num,
+    movie_len); ``movie_len`` is null when unknown."""
+    sec = X.json_long("extra", "$.len") if seconds is None else (F.col(seconds) if isinstance(seconds, str) else seconds)
+    return source.groupBy(F.col(item).alias("movie_id")).agg(
+        F.max(total).cast("bigint").alias("total_num"), F.min((sec / F.lit(60)).cast("bigint")).alias("movie_len"))

@@ -104,6 +104,30 @@ def item_lengths(spark, d) -> DataFrame:
     return FA.movie_length(asset_source(spark, d), seconds="len_s")
 
 
+def source_stats(spark, d):
+    """(totals, lengths) from one grouped pass over the sources (the shared
+    aggregate is planned once and its exchange reused by both consumers)."""
+    st = FA.item_source_stats(asset_source(spark, d), seconds="len_s")
+    totals = st.select("movie_id", "total_num")
+    lengths = st.where(F.col("movie_len").isNotNull() & (F.col("movie_len") < C.ITEM_LENGTH_BOUND)).select(
+        "movie_id", "movie_len")
+    return totals, lengths
+
+
+def action_log(spark, d) -> DataFrame:
+    """All three actions of ``events`` in one frame (one scan)."""
+    ev = event_logs(spark, d)
+    action = (F.when(F.col("event_type") == "click", "click").when(F.col("event_type") == "purchase", "top")
+              .otherwise("play"))
+    out = ev.select(F.col("user_id"), F.col("aid").alias("movie_id"), F.col("cid").alias("cate_id"),
+                    F.col("ymd").alias("datetime"), action.alias("action"),
+                    F.when(F.col("event_type") == "view", (F.col("value") * 60000).cast("bigint")).alias("play_time"),
+                    F.lit(1).cast("bigint").alias("movie_num"))
+    ok = (F.col("user_id").isNotNull() & F.col("movie_id").isNotNull() & F.col("cate_id").isNotNull()
+          & F.col("datetime").isNotNull() & ((F.col("action") != "play") | F.col("play_time").isNotNull()))
+    return out.where(ok)
+
+
 def merged_logs(spark, d):
     """(click, top, play) merged logs: distinct rows, plays in minutes."""
     click = A.union_slices_distinct(click_log(spark, d, "click"))
@@ -114,12 +138,15 @@ def merged_logs(spark, d):
 
 
 def merged_actions(spark, d) -> DataFrame:
-    click, top, play = merged_logs(spark, d)
-    return A.merge_actions(click, top, play)
+    """One-hot merged actions (single pass over the event log)."""
+    totals, _ = source_stats(spark, d)
+    return A.merge_action_log(action_log(spark, d), totals, film_channel=STAR_CHANNELS.film)
 
 
 def action_weights(spark, d) -> DataFrame:
-    rows = A.action_row_weights(merged_actions(spark, d), item_lengths(spark, d), X.as_epoch(AS_OF))
+    totals, lengths = source_stats(spark, d)
+    acts = A.merge_action_log(action_log(spark, d), totals, film_channel=STAR_CHANNELS.film)
+    rows = A.action_row_weights(acts, lengths, X.as_epoch(AS_OF))
     return A.agg_action_weight(rows)
 
 
@@ -189,7 +216,7 @@ def text_chain(spark, d) -> Chain:
         "words": lambda c: TO.cut_words(c["docs"], "summary"),
         "terms": lambda c: TO.doc_terms(c["words"]),
         "idf": lambda c: TO.fit_idf(c["terms"]),
-        "tfidf": lambda c: TO.explode_tfidf(c["terms"], c["idf"]),
+        "tfidf": lambda c: persisted(spark, d, "tfidf", lambda: TO.explode_tfidf(c["terms"], c["idf"])),
         # textrank and topic weights are the chain's persisted tables: reliable
         # checkpoints keep the Python stage from running once per plan branch
         "textrank": lambda c: persisted(spark, d, "textrank", lambda: TO.textrank_documents(c["docs"], "summary")),

@@ -73,4 +73,4 @@ def ingest_actions(spark: SparkSession, folder: str, out_root: str | None = None
     sink, ckpt = os.path.join(root, "actions"), os.path.join(root, "_checkpoint")
     stream = dedupe_actions(parse_actions(read_action_stream(spark, folder)), watermark)
     run_available_now(stream.select("user_id", "movie_id", "action", "ymd"), sink, ckpt)
-    return spark.read.parquet(sink)
+    return spark.read.schema("user_id long, movie_id long, action string, ymd long").parquet(sink)

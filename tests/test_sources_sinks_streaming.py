@@ -68,11 +68,14 @@ def test_keyed_map(spark):
 
 
 def test_stream_ingest_dedupes_repeats(spark, tmp_dir):
-    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    import pyarrow.parquet as pq
     src = os.path.join(tmp_dir, "in")
-    ev.write.parquet(os.path.join(src, "events_a.parquet"))
-    ev.limit(100).write.parquet(os.path.join(src, "events_b.parquet"))    # repeated reports
-    out = IN.ingest_actions(spark, os.path.join(src, "*"), os.path.join(tmp_dir, "out"))
+    os.makedirs(src)
+    tbl = pq.read_table(f"{SF001}/events.parquet")
+    pq.write_table(tbl, os.path.join(src, "events_a.parquet"))
+    pq.write_table(tbl.slice(0, 100), os.path.join(src, "events_b.parquet"))    # repeated reports
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    out = IN.ingest_actions(spark, src, os.path.join(tmp_dir, "out"))
     expect = IN.parse_actions(ev).select("user_id", "movie_id", "action", "ymd").distinct()
     assert out.count() == expect.count()
     assert out.exceptAll(expect).count() == 0
