@@ -218,21 +218,25 @@ def device_map(*logs: DataFrame, device="deviceid", user="mac") -> DataFrame:
     return out.where(F.col("deviceid").isNotNull() & F.col("mac").isNotNull()).dropDuplicates()
 
 
-def merge_action_log(log: DataFrame, totals: DataFrame, start_time: int = 0, film_channel=C.FILM,
-                     lo=C.PLAY_RANGE[0], hi=C.PLAY_RANGE[1]) -> DataFrame:
-    """Single-pass form of parse -> de-duplicate -> one-hot for a log that
-    carries all three actions (one scan, one shuffle).
+def dedupe_action_log(log: DataFrame) -> DataFrame:
+    """The merged log: one grouped pass over a log carrying all three actions
+    keeps one row per distinct click/top and the longest report per play key.
 
     log: (user_id, movie_id, cate_id, datetime, action in click/top/play,
-    play_time in ms for plays, movie_num).  One grouped pass keeps one row
-    per distinct click/top and the longest report per play key; the play
-    branch then resolves episode totals and the minute range.  Same rows as
-    ``merge_actions`` over the separately parsed logs."""
+    play_time in ms for plays, movie_num).  This is the stage to persist: the
+    raw log is scanned once, every later branch reads the merged log."""
     keys = ["user_id", "movie_id", "cate_id", "datetime", "action", "movie_num"]
-    g = log.groupBy(*keys).agg(F.max("play_time").alias("play_time"))
-    play = g.where(F.col("action") == "play").drop("action")
+    return log.groupBy(*keys).agg(F.max("play_time").alias("play_time"))
+
+
+def merge_action_log(merged_log: DataFrame, totals: DataFrame, start_time: int = 0, film_channel=C.FILM,
+                     lo=C.PLAY_RANGE[0], hi=C.PLAY_RANGE[1]) -> DataFrame:
+    """One-hot actions from the merged log: plays get their episode total and
+    the minute range, clicks and favourites pass.  Same rows as
+    ``merge_actions`` over the separately parsed logs."""
+    play = merged_log.where(F.col("action") == "play").drop("action")
     play = play_minutes_range(resolve_episode_total(play, totals, film_channel), lo, hi)
-    other = g.where(F.col("action") != "play")
+    other = merged_log.where(F.col("action") != "play")
     one_hot_other = other.select(
         "user_id", "movie_id", "cate_id", "datetime",
         (F.col("action") == "click").alias("click"), (F.col("action") == "top").alias("top"),

@@ -268,3 +268,12 @@ def recommend_lookup(keys: DataFrame, user_recall: DataFrame, item_recall: DataF
     return hits.groupBy("key").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sort_num", "rec"))),
                                  lambda s: s["rec"].cast("string")), ",").alias("movie_ids"))
+
+
+def dedupe_keep_max(cands: DataFrame, owner="user_id", item="movie_id", tie: str = "topic",
+                    keys=("user_id", "cate_id", "movie_id")) -> DataFrame:
+    """Retired merge strategy: the same item recalled several times keeps only
+    its heaviest row (grouped min over an order struct: partial aggregation)."""
+    from reelcast.operators.generic import dedupe_keys
+    best = dedupe_keys(cands, [owner, item], [-F.col("weight"), F.col(tie)])
+    return best.select(*keys, "weight")

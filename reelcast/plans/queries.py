@@ -514,3 +514,8 @@ def q_stream_action_dedupe(spark, d):
 def q_textrank_edges(spark, d):
     """Co-occurrence edge table of every document (window 10, both directions)."""
     return TO.textrank_edges(S.documents(spark, d), "summary")
+
+
+@query("dedupe_keep_max")
+def q_dedupe_keep_max(spark, d):
+    return R.dedupe_keep_max(S.profile_chain(spark, d)["cands"])

@@ -107,7 +107,7 @@ def item_lengths(spark, d) -> DataFrame:
 def source_stats(spark, d):
     """(totals, lengths) from one grouped pass over the sources (the shared
     aggregate is planned once and its exchange reused by both consumers)."""
-    st = FA.item_source_stats(asset_source(spark, d), seconds="len_s")
+    st = persisted(spark, d, "source_stats", lambda: FA.item_source_stats(asset_source(spark, d), seconds="len_s"))
     totals = st.select("movie_id", "total_num")
     lengths = st.where(F.col("movie_len").isNotNull() & (F.col("movie_len") < C.ITEM_LENGTH_BOUND)).select(
         "movie_id", "movie_len")
@@ -138,15 +138,18 @@ def merged_logs(spark, d):
 
 
 def merged_actions(spark, d) -> DataFrame:
-    """One-hot merged actions (single pass over the event log)."""
-    totals, _ = source_stats(spark, d)
-    return A.merge_action_log(action_log(spark, d), totals, film_channel=STAR_CHANNELS.film)
+    """One-hot merged actions (single pass over the event log), kept as the
+    ``merge_action`` stage table."""
+    def build():
+        totals, _ = source_stats(spark, d)
+        log = persisted(spark, d, "merged_log", lambda: A.dedupe_action_log(action_log(spark, d)))
+        return A.merge_action_log(log, totals, film_channel=STAR_CHANNELS.film)
+    return persisted(spark, d, "merge_action", build)
 
 
 def action_weights(spark, d) -> DataFrame:
-    totals, lengths = source_stats(spark, d)
-    acts = A.merge_action_log(action_log(spark, d), totals, film_channel=STAR_CHANNELS.film)
-    rows = A.action_row_weights(acts, lengths, X.as_epoch(AS_OF))
+    _, lengths = source_stats(spark, d)
+    rows = A.action_row_weights(merged_actions(spark, d), lengths, X.as_epoch(AS_OF))
     return A.agg_action_weight(rows)
 
 

@@ -92,3 +92,34 @@ def test_pipelines_write_and_counts_shrink(spark, tmp_dir):
     assert r["user_similar_expand"] >= r["user_similar_merged"] >= r["user_similar_recall"]
     audit = spark.read.parquet(os.path.join(tmp_dir, "_audit"))
     assert audit.count() >= 10
+
+
+def test_scan_text_lines_and_inline_rows(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "stop.txt")
+    with open(p, "w", encoding="utf-8") as fh:
+        fh.write("  the \n\nund\n")
+    assert [r.line for r in TB.scan_text_lines(spark, p).collect()] == ["the", "und"]
+    df = TB.inline_rows(spark, [(1969, "film")], "cate_id long, name string")
+    assert df.collect()[0].name == "film"
+
+
+def test_mode_and_dedupe_keys(spark):
+    from reelcast.operators import generic as G
+    df = spark.createDataFrame([(1, 5), (1, 3), (2, 3), (2, 5)], "k long, v long")
+    assert G.mode_of(df, "v").collect()[0]["mode"] == 3
+    got = {r.k: r.v for r in G.dedupe_keys(df, ["k"], [-F.col("v")]).collect()}
+    assert got == {1: 5, 2: 5}
+
+
+def test_save_insert_and_device_map(spark, tmp_dir):
+    from reelcast.operators import actions as A
+    p = os.path.join(tmp_dir, "ins")
+    df = spark.createDataFrame([(1, "a")], "id long, v string")
+    SK.save_insert(df, p, ["v", "id"], full=True)
+    SK.save_insert(df, p, ["v", "id"], full=False)
+    assert spark.read.parquet(p).columns == ["v", "id"] and spark.read.parquet(p).count() == 2
+    SK.save_insert(df, p, ["v", "id"], full=True)
+    assert spark.read.parquet(p).count() == 1
+    logs = [spark.createDataFrame([("d1", "m1"), ("d1", "m1"), (None, "m2")], "deviceid string, mac string"),
+            spark.createDataFrame([("d2", "m2")], "deviceid string, mac string")]
+    assert sorted(tuple(r) for r in A.device_map(*logs).collect()) == [("d1", "m1"), ("d2", "m2")]
