@@ -70,3 +70,13 @@ def tokenize_chars(text) -> Column:
 def normalize_release_name(text) -> Column:
     """File-style release names: dots become spaces."""
     return F.regexp_replace(col(text), r"\.", " ")
+
+
+def token_rows(text, stop_words=None) -> Column:
+    """Token array for ``explode``: the same tokens as :func:`tokenize_words`
+    in order, with dropped positions set to null (filter the nulls after the
+    explode).  ``filter`` inside a generator is evaluated on a slow path;
+    ``transform`` is not."""
+    s = col(text)
+    return F.when(F.length(s) <= 2, F.array(s)).otherwise(
+        F.transform(raw_tokens(s), lambda t: F.when(keep_token(t, stop_words), t)))

@@ -63,16 +63,25 @@ def doc_terms(words: DataFrame, keys=("movie_id", "cate_id")) -> DataFrame:
             .groupBy(*keys, "keyword").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def text_terms(docs: DataFrame, text="summary", keys=("movie_id", "cate_id"), stop_words=None) -> DataFrame:
+    """Term counts straight from the text (same tokens as ``cut_words``):
+    one explode of the token array with dropped positions as nulls, then a
+    grouped count per (document, keyword)."""
+    e = docs.select(*keys, F.explode(TX.token_rows(F.col(text), stop_words)).alias("keyword"))
+    return e.where(F.col("keyword").isNotNull()).groupBy(*keys, "keyword").agg(F.count(F.lit(1)).alias("tf"))
+
+
 def term_vocabulary(terms: DataFrame, key="movie_id") -> DataFrame:
     """CountVectorizer twin: (keyword, doc_freq, term_count) over all documents."""
-    return terms.groupBy("keyword").agg(F.countDistinct(key).alias("doc_freq"),
+    # terms hold one row per (document, keyword): a plain count is the document frequency
+    return terms.groupBy("keyword").agg(F.count(F.lit(1)).alias("doc_freq"),
                                         F.sum("tf").alias("term_count"))
 
 
 def fit_idf(terms: DataFrame, key="movie_id") -> DataFrame:
     """``idf = ln((N + 1) / (df + 1))`` (Spark ML's formula) per keyword."""
     n_docs = terms.select(F.countDistinct(key)).scalar()
-    df_ = terms.groupBy("keyword").agg(F.countDistinct(key).alias("doc_freq"))
+    df_ = terms.groupBy("keyword").agg(F.count(F.lit(1)).alias("doc_freq"))  # one row per (doc, keyword)
     out = df_.withColumn("_n", n_docs)
     return out.select("keyword", "doc_freq",
                       F.log((F.col("_n") + 1) / (F.col("doc_freq") + 1)).alias("idf"))

@@ -217,7 +217,7 @@ def text_chain(spark, d) -> Chain:
     return Chain({
         "docs": lambda c: documents(spark, d),
         "words": lambda c: TO.cut_words(c["docs"], "summary"),
-        "terms": lambda c: TO.doc_terms(c["words"]),
+        "terms": lambda c: TO.text_terms(c["docs"], "summary"),
         "idf": lambda c: TO.fit_idf(c["terms"]),
         "tfidf": lambda c: persisted(spark, d, "tfidf", lambda: TO.explode_tfidf(c["terms"], c["idf"])),
         # textrank and topic weights are the chain's persisted tables: reliable
