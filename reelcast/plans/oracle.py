@@ -336,7 +336,7 @@ SELECT p_partkey AS id, array_to_string(regexp_extract_all(lower(p_name), '([a-z
     "normalize_release_name": """
 SELECT page_id, regexp_replace(url, '\\.', ' ', 'g') AS name FROM pages""",
     "tokenize_words": text_sql("""
-SELECT movie_id, cate_id, len(words) AS n_words, array_to_string(words, ' ') AS words FROM words"""),
+SELECT movie_id, cate_id, CAST(len(words) AS INT) AS n_words, array_to_string(words, ' ') AS words FROM words"""),
     "fit_count_vectorizer": text_sql("""
 SELECT keyword, count(DISTINCT movie_id) AS doc_freq, CAST(SUM(tf) AS BIGINT) AS term_count FROM terms GROUP BY keyword"""),
     "fit_idf": text_sql("SELECT keyword, doc_freq, ROUND(idf, 8) AS idf FROM idf"),
@@ -351,7 +351,7 @@ WHERE sort_num <= 30"""),
     "topk_keyword_weight": text_sql("SELECT * FROM top_idf_tr"),
     "topic_words": text_sql("SELECT * FROM topics"),
     "agg_topic_list": text_sql("""
-SELECT movie_id, cate_id, count(*) AS n_topics, array_to_string(list_sort(list(topic)), ' ') AS topics
+SELECT movie_id, cate_id, CAST(count(*) AS INT) AS n_topics, array_to_string(list_sort(list(topic)), ' ') AS topics
 FROM topics GROUP BY movie_id, cate_id"""),
     "item_profile": text_sql("""
 , kw AS (SELECT movie_id, MIN(cate_id) AS cate_id, count(*) AS n_keywords,
