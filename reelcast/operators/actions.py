@@ -164,19 +164,25 @@ def topk_per_user(weights: DataFrame, k: int, part=("user_id",), order=None) ->
     return weights.withColumn("sort_num", F.row_number().over(w)).where(F.col("sort_num") <= k)
 
 
-def user_history(actions: DataFrame, kind: str, titles: DataFrame | None = None) -> DataFrame:
-    """History of one action kind: latest time per (user, item), titled, and
-    ranked per (user, channel) newest first."""
+def history_items(actions: DataFrame, kind: str) -> DataFrame:
+    """Latest time per (user, item) of one action kind (grouped, partial)."""
     if kind == "play":
         h = actions.where(F.col("play_time") > 0)
     else:
         h = actions.where(F.col(kind))
-    h = h.groupBy("user_id", "movie_id").agg(F.max("cate_id").alias("cate_id"),
-                                             F.max("datetime").alias("datetime"))
+    return h.groupBy("user_id", "movie_id").agg(F.max("cate_id").alias("cate_id"),
+                                                F.max("datetime").alias("datetime"))
+
+
+def user_history(actions: DataFrame, kind: str, titles: DataFrame | None = None, skew_safe: bool = True) -> DataFrame:
+    """History of one action kind: latest time per (user, item), titled, and
+    ranked per (user, channel) newest first (a user's whole history: the rank
+    is skew-safe so one heavy user is not one task)."""
+    from reelcast.operators.ranking import rank_all
+    h = history_items(actions, kind)
     if titles is not None:
         h = h.join(titles.select("movie_id", "title", "year"), "movie_id", "left")
-    w = Window.partitionBy("user_id", "cate_id").orderBy(F.desc("datetime"), F.asc("movie_id"))
-    return h.withColumn("sort_time", F.row_number().over(w))
+    return rank_all(h, ["user_id", "cate_id"], [F.desc("datetime"), F.asc("movie_id")], "sort_time", skew_safe)
 
 
 def agg_action_stat(actions: DataFrame, zone: str = C.HOME_ZONE) -> DataFrame:

@@ -220,7 +220,10 @@ def similar_recall_merge(expanded: DataFrame, digits=8) -> tuple[DataFrame, Data
     Returns (merged, explanations); explanations are rows (user_id,
     movie_id, base_movie, base_title, base_year) instead of one list per
     candidate, so a heavy user's explanation is not gathered in one row."""
-    r = expanded.withColumn("base_sort", F.min("total_sort").over(Window.partitionBy("user_id", "movie_id2")))
+    # best rank of each candidate: grouped min joined back (partial
+    # aggregation; a heavy user's popular candidate is not one window group)
+    base = expanded.groupBy("user_id", "movie_id2").agg(F.min("total_sort").alias("base_sort"))
+    r = expanded.join(base, ["user_id", "movie_id2"])
     gap = F.col("total_sort") - F.col("base_sort")
     w = F.when(gap == 0, F.col("weight")).otherwise(F.col("weight") / (F.log(gap + 1) + 1))
     r = r.withColumn("weight", F.round(w, digits))

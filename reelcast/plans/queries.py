@@ -122,7 +122,7 @@ from reelcast.operators import factors as FA  # noqa: E402
 
 def _hot_sort(spark, d):
     hot = FA.agg_hot_count(S.catalog(spark, d), S.daily_plays(spark, d), S.LINE_AS_OF, 30)
-    return FA.rank_in_channel(hot, "weight").withColumn("sort_num", F.col("sort_num").cast("bigint"))
+    return FA.rank_in_channel(hot, "weight")
 
 
 @query("agg_hot_count")

@@ -237,8 +237,8 @@ def text_chain(spark, d) -> Chain:
 
 def factor_tables(spark, d) -> dict:
     cat = catalog(spark, d)
-    hot = FA.agg_hot_count(cat, daily_plays(spark, d), LINE_AS_OF, C.HOT_DAYS)
-    hot = FA.hot_factor(FA.rank_in_channel(hot, "weight"))
+    hot = persisted(spark, d, "movie_hot_factor", lambda: FA.hot_factor(FA.rank_in_channel(
+        FA.agg_hot_count(cat, daily_plays(spark, d), LINE_AS_OF, C.HOT_DAYS), "weight")))
     score = FA.score_factor(cat)
     year = FA.year_factor(cat, NOW_YEAR, variety=STAR_CHANNELS.variety)
     year_variety = FA.year_factor(cat, NOW_YEAR, cate_id=STAR_CHANNELS.variety, variety=STAR_CHANNELS.variety)
@@ -248,8 +248,8 @@ def factor_tables(spark, d) -> dict:
 def history_pairs(spark, d) -> DataFrame:
     """Play and click history (user, item) used to exclude seen items."""
     acts = merged_actions(spark, d)
-    play = A.user_history(acts, "play").select("user_id", "movie_id")
-    click = A.user_history(acts, "click").select("user_id", "movie_id")
+    play = A.history_items(acts, "play").select("user_id", "movie_id")
+    click = A.history_items(acts, "click").select("user_id", "movie_id")
     return play.unionByName(click).dropDuplicates()
 
 
