@@ -69,14 +69,19 @@ def block_topk(queries: DataFrame, cands: DataFrame, group: list[str], k: int, m
     # same DataFrame (self search)
     fresh = lambda df: df.select(*[F.col(x).alias(x) for x in df.columns])
     queries, cands = fresh(queries), fresh(cands)
-    sizes = fresh(cands.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")))
-    nb = F.greatest(F.ceil(F.col("_n") / F.lit(block_size)), F.lit(1)).cast("int")
-    blk = lambda: F.pmod(F.xxhash64("movie_id"), nb.cast("bigint")).cast("int")
-    q = (queries.join(sizes, group).withColumn("_qb", blk())
-         .withColumn("_cb", F.explode(F.sequence(F.lit(0), nb - 1)))
+    # block counts per group, sized separately for the query and the
+    # candidate side (an IVF list can be probed by many more queries than it
+    # stores); each side is replicated over the other side's blocks
+    qn = queries.groupBy(*group).agg(F.count(F.lit(1)).alias("_nq"))
+    cn = cands.groupBy(*group).agg(F.count(F.lit(1)).alias("_nc"))
+    sizes = fresh(qn.join(cn, group))
+    nbq = F.greatest(F.ceil(F.col("_nq") / F.lit(block_size)), F.lit(1)).cast("bigint")
+    nbc = F.greatest(F.ceil(F.col("_nc") / F.lit(block_size)), F.lit(1)).cast("bigint")
+    q = (queries.join(sizes, group).withColumn("_qb", F.pmod(F.xxhash64("movie_id"), nbq))
+         .withColumn("_cb", F.explode(F.sequence(F.lit(0).cast("bigint"), nbc - 1)))
          .select(*group, "_qb", "_cb", "movie_id", "vec"))
-    c = (cands.join(sizes, group).withColumn("_cb", blk())
-         .withColumn("_qb", F.explode(F.sequence(F.lit(0), nb - 1)))
+    c = (cands.join(sizes, group).withColumn("_cb", F.pmod(F.xxhash64("movie_id"), nbc))
+         .withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("bigint"), nbq - 1)))
          .select(*group, "_qb", "_cb", "movie_id", "vec"))
     gkeys = [*group, "_qb", "_cb"]
     schema = T.StructType([queries.schema[g] for g in group]
