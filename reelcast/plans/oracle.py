@@ -684,3 +684,5 @@ SQL["textrank_edges"] = text_sql("SELECT * FROM edges")
 SQL["dedupe_keep_max"] = profile_sql("""
 SELECT user_id, cate_id, movie_id, weight FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, movie_id ORDER BY weight DESC, topic) AS r FROM cands) WHERE r = 1""")
+
+SQL["topic_weights_direct"] = text_sql("SELECT * FROM topic_weights")

@@ -519,3 +519,10 @@ def q_textrank_edges(spark, d):
 @query("dedupe_keep_max")
 def q_dedupe_keep_max(spark, d):
     return R.dedupe_keep_max(S.profile_chain(spark, d)["cands"])
+
+
+@query("topic_weights_direct")
+def q_topic_weights_direct(spark, d):
+    """Incremental form: topic words joined with their idf x textrank weight."""
+    c = S.text_chain(spark, d)
+    return P.topic_weights_direct(c["top_idf_tr"], c["topics"], S.STAMP)
