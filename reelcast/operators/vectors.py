@@ -72,15 +72,21 @@ def block_topk(queries: DataFrame, cands: DataFrame, group: list[str], k: int, m
     # block counts per group, sized separately for the query and the
     # candidate side (an IVF list can be probed by many more queries than it
     # stores); each side is replicated over the other side's blocks
-    qn = queries.groupBy(*group).agg(F.count(F.lit(1)).alias("_nq"))
-    cn = cands.groupBy(*group).agg(F.count(F.lit(1)).alias("_nc"))
-    sizes = fresh(qn.join(cn, group))
-    nbq = F.greatest(F.ceil(F.col("_nq") / F.lit(block_size)), F.lit(1)).cast("bigint")
-    nbc = F.greatest(F.ceil(F.col("_nc") / F.lit(block_size)), F.lit(1)).cast("bigint")
-    q = (queries.join(sizes, group).withColumn("_qb", F.pmod(F.xxhash64("movie_id"), nbq))
+    if group:
+        qn = queries.groupBy(*group).agg(F.count(F.lit(1)).alias("_nq"))
+        cn = cands.groupBy(*group).agg(F.count(F.lit(1)).alias("_nc"))
+        sizes = fresh(qn.join(cn, group))
+        qs, cs = queries.join(sizes, group), cands.join(sizes, group)
+        nq, nc = F.col("_nq"), F.col("_nc")
+    else:   # one global group: the two counts are scalar subqueries
+        qs, cs = queries, cands
+        nq, nc = queries.select(F.count(F.lit(1))).scalar(), cands.select(F.count(F.lit(1))).scalar()
+    nbq = F.greatest(F.ceil(nq / F.lit(block_size)), F.lit(1)).cast("bigint")
+    nbc = F.greatest(F.ceil(nc / F.lit(block_size)), F.lit(1)).cast("bigint")
+    q = (qs.withColumn("_qb", F.pmod(F.xxhash64("movie_id"), nbq))
          .withColumn("_cb", F.explode(F.sequence(F.lit(0).cast("bigint"), nbc - 1)))
          .select(*group, "_qb", "_cb", "movie_id", "vec"))
-    c = (cands.join(sizes, group).withColumn("_cb", F.pmod(F.xxhash64("movie_id"), nbc))
+    c = (cs.withColumn("_cb", F.pmod(F.xxhash64("movie_id"), nbc))
          .withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("bigint"), nbq - 1)))
          .select(*group, "_qb", "_cb", "movie_id", "vec"))
     gkeys = [*group, "_qb", "_cb"]
@@ -109,8 +115,8 @@ def cosine_in_cluster(vectors: DataFrame, cluster: str, k: int = C.NEIGHBOURS_K,
 def knn_exact_l2(vectors: DataFrame, k: int = 10, block_size: int = 1024) -> DataFrame:
     """k nearest items by squared L2 over the whole table (the item itself
     included, as an index searched with its own vectors returns it first)."""
-    v = vectors.select(F.lit(0).alias("_all"), "movie_id", "vec")
-    nb = block_topk(v, v, ["_all"], k, "l2", block_size, exclude_self=False)
+    v = vectors.select("movie_id", "vec")
+    nb = block_topk(v, v, [], k, "l2", block_size, exclude_self=False)
     return nb.withColumnRenamed("score", "distance")
 
 
