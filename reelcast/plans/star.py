@@ -44,7 +44,11 @@ def persisted(spark: SparkSession, d: str, name: str, build) -> DataFrame:
     """A stage table computed once per session and input folder and kept as a
     reliable checkpoint (the chain's intermediate tables)."""
     from reelcast.session import cut_lineage
-    key = (id(spark), spark.sparkContext.applicationId, d, name)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - remote sessions expose no driver context
+        app = getattr(spark, "session_id", None)
+    key = (id(spark), app, d, name)
     if key not in _PERSISTED:
         _PERSISTED[key] = cut_lineage(build())
     return _PERSISTED[key]
