@@ -16,7 +16,7 @@ def test_rank_all_matches_row_number_with_hot_key(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97).alias("user_id"),
                                   F.col("id").alias("movie_id"), ((F.col("id") * 7919) % 101).cast("double").alias("weight"))
     order = [F.desc("weight"), F.asc("movie_id")]
-    a = rank_all(df, ["user_id"], order, "r", skew_safe=True, partitions=7)
+    a = rank_all(df, ["user_id"], order, "r", skew_safe=True, partitions=7, max_group_rows=0)
     b = df.withColumn("r", F.row_number().over(Window.partitionBy("user_id").orderBy(*order)).cast("bigint"))
     assert a.count() == 3000
     assert a.exceptAll(b).count() == 0
