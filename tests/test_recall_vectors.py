@@ -98,3 +98,15 @@ def test_title_search_brute_force(spark):
                           required="[a-z]", block_size=1)
     got = {(r.query_id, r.movie_id): (r.num, r.sort) for r in res.collect()}
     assert got == {(1, 10): (2, 1), (1, 13): (1, 2), (2, 11): (2, 1), (2, 13): (2, 2)}
+
+
+def test_exact_median_distributed_path(spark):
+    import statistics
+    from reelcast.operators.generic import exact_median
+    vals = [float((i * 7919) % 1009) for i in range(2001)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(5)
+    for bound in (0, None):           # 0 forces the range-partitioned global rank
+        got = df.select(exact_median(df, "x", bound).alias("m")).first().m
+        assert got == statistics.median(vals)
+    even = spark.createDataFrame([(v,) for v in vals[:2000]], "x double").repartition(3)
+    assert even.select(exact_median(even, "x", 0).alias("m")).first().m == statistics.median(vals[:2000])
