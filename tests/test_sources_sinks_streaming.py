@@ -123,3 +123,18 @@ def test_save_insert_and_device_map(spark, tmp_dir):
     logs = [spark.createDataFrame([("d1", "m1"), ("d1", "m1"), (None, "m2")], "deviceid string, mac string"),
             spark.createDataFrame([("d2", "m2")], "deviceid string, mac string")]
     assert sorted(tuple(r) for r in A.device_map(*logs).collect()) == [("d1", "m1"), ("d2", "m2")]
+
+
+def test_foreach_batch_sink_is_per_batch(spark, tmp_dir):
+    import pyarrow.parquet as pq
+    src = os.path.join(tmp_dir, "in2")
+    os.makedirs(src)
+    pq.write_table(pq.read_table(f"{SF001}/events.parquet"), os.path.join(src, "events_a.parquet"))
+    target = os.path.join(tmp_dir, "merged")
+    stream = IN.parse_actions(IN.read_action_stream(spark, src))
+    q = (stream.writeStream.foreachBatch(IN.foreach_batch_merge(target))
+         .option("checkpointLocation", os.path.join(tmp_dir, "ck2")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    out = spark.read.parquet(target)
+    assert "batch" in out.columns
+    assert out.count() == IN.parse_actions(spark.read.parquet(f"{SF001}/events.parquet")).count()
