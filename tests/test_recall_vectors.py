@@ -110,3 +110,16 @@ def test_exact_median_distributed_path(spark):
         assert got == statistics.median(vals)
     even = spark.createDataFrame([(v,) for v in vals[:2000]], "x double").repartition(3)
     assert even.select(exact_median(even, "x", 0).alias("m")).first().m == statistics.median(vals[:2000])
+
+
+def test_word2vec_synonyms_and_item_vectors(spark):
+    from reelcast.operators import text as TO
+    docs = S.documents(spark, SF001)
+    model = V.fit_word2vec(TO.cut_words(docs, "summary"), dim=16, min_count=3)
+    wv = V.word_vectors(model)
+    word = wv.orderBy("word").first().word
+    syn = V.word_synonyms(model, word, 5)
+    assert syn.count() == 5 and word not in {r.word for r in syn.collect()}
+    tw = spark.createDataFrame([(1, "k", word, 0.5), (1, "k", word, 0.5)], "movie_id long, cate_id string, topic string, weight double")
+    iv = V.item_vector(tw, wv).collect()
+    assert len(iv) == 1 and len(iv[0].vec) == 16       # duplicates of one weighted vector average to itself
