@@ -123,3 +123,12 @@ def test_word2vec_synonyms_and_item_vectors(spark):
     tw = spark.createDataFrame([(1, "k", word, 0.5), (1, "k", word, 0.5)], "movie_id long, cate_id string, topic string, weight double")
     iv = V.item_vector(tw, wv).collect()
     assert len(iv) == 1 and len(iv[0].vec) == 16       # duplicates of one weighted vector average to itself
+
+
+def test_recommend_lookup_routes_keys(spark):
+    users = spark.createDataFrame([("AA:BB:CC:DD:01", 7, 2), ("AA:BB:CC:DD:01", 5, 1)],
+                                  "user_id string, movie_id long, sort_num long")
+    items = spark.createDataFrame([(7, 9, 1), (7, 8, 2)], "movie_id long, movie_id2 long, sort_num long")
+    keys = spark.createDataFrame([("AA:BB:CC:DD:01",), ("7",), ("unknown-key-x",)], "key string")
+    got = {r.key: r.movie_ids for r in R.recommend_lookup(keys, users, items).collect()}
+    assert got == {"AA:BB:CC:DD:01": "5,7", "7": "9,8"}
