@@ -132,3 +132,15 @@ def test_recommend_lookup_routes_keys(spark):
     keys = spark.createDataFrame([("AA:BB:CC:DD:01",), ("7",), ("unknown-key-x",)], "key string")
     got = {r.key: r.movie_ids for r in R.recommend_lookup(keys, users, items).collect()}
     assert got == {"AA:BB:CC:DD:01": "5,7", "7": "9,8"}
+
+
+def test_rules_item_final_title_rules(spark):
+    rows = [(1, 1969, "流浪地球", 2, "电影节直击"), (1, 1969, "流浪地球", 3, "【独家】花絮"), (1, 1969, "流浪地球", 4, "《红》"),
+            (1, 1969, "流浪地球", 5, "流浪猫咪"), (1, 1969, "流浪地球", 6, "满江红"),
+            (10, 1970, "繁花", 11, "好剧合集"), (10, 1970, "繁花", 12, "人世间"),
+            (20, 1971, "奔跑吧兄弟", 21, "奔跑吧兄弟第二季"), (20, 1971, "奔跑吧兄弟", 22, "极限挑战")]
+    rec = spark.createDataFrame([(a, c, t, b, t2, 1.0) for a, c, t, b, t2 in rows],
+                                "movie_id long, cate_id long, title string, movie_id2 long, title2 string, weight double")
+    out = {r.movie_id2: r.title3 for r in R.rules_item_final(rec, C.DEFAULT_CHANNELS).collect()}
+    # film: deny suffix, 【】 pair, 《 and the same first two characters are dropped; series: 合集; others: same first 4
+    assert out == {6: "满江", 12: "人世", 22: "极限挑战"}
