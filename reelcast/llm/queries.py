@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from reelcast.llm import bpe_backtrack, url_automaton
+from reelcast.llm import bpe_backtrack, chunk_dedup, url_automaton
 
 REGISTRY = {
+    "op3_chunk_recipes": chunk_dedup.op3_chunk_recipes,
     "op6_bpe_backtracking": bpe_backtrack.op6_bpe_backtracking,
     "op10_url_filters": url_automaton.op10_url_filters,
 }
 
 SQL = {
+    "op3_chunk_recipes": chunk_dedup.ORACLE_SQL,
     "op10_url_filters": url_automaton.ORACLE_SQL,
 }
