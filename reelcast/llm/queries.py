@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from reelcast.llm import bpe_backtrack, chunk_dedup, url_automaton
+from reelcast.llm import bpe_backtrack, chunk_dedup, positional_index, url_automaton
 
 REGISTRY = {
     "op3_chunk_recipes": chunk_dedup.op3_chunk_recipes,
     "op6_bpe_backtracking": bpe_backtrack.op6_bpe_backtracking,
+    "op7_positional_index": positional_index.op7_positional_index,
     "op10_url_filters": url_automaton.op10_url_filters,
 }
 
 SQL = {
     "op3_chunk_recipes": chunk_dedup.ORACLE_SQL,
+    "op7_positional_index": positional_index.ORACLE_SQL,
     "op10_url_filters": url_automaton.ORACLE_SQL,
 }
