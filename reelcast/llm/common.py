@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 # rows up to which a small side is broadcast after it was counted; beyond it Spark plans a shuffled join
 BROADCAST_ROWS = 200_000
 # bytes of text that one vectorised block holds at most (a longer single text is its own block)
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = (1 << 20) - 1
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -99,7 +99,7 @@ class RollingHash:
 
     def _grow(self, n: int) -> None:
         if n > len(self._up):
-            size = 1 << n.bit_length()
+            size = 1 << (n - 1).bit_length()
             self._up, self._down = self._powers(self.base, size), self._powers(self.inverse, size)
 
     def prefix(self, data: np.ndarray) -> np.ndarray:

@@ -170,7 +170,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = named.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
     heads = named.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.first("k").alias("k"),
                                                F.first("prefix").alias("prefix"))
-    postings = heads.select(F.explode("prefix").alias("token"), "rep", "n", "k").repartition("token")
+    postings = heads.select(F.explode("prefix").alias("token"), "rep", "n", "k")
     repeated = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
     lists = stage_table(postings.join(repeated, "token"))
     busy = lists.groupBy("rep").agg(F.count(F.lit(1)).alias("busy"))

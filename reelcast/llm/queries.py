@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from reelcast.llm import bpe_backtrack, chunk_dedup, jaccard_join, positional_index, url_automaton
+from reelcast.llm import bpe_backtrack, chunk_dedup, jaccard_join, positional_index, radix_dedup, url_automaton
 
 REGISTRY = {
     "op3_chunk_recipes": chunk_dedup.op3_chunk_recipes,
     "op4_adaptive_prefix_join": jaccard_join.op4_adaptive_prefix_join,
     "op6_bpe_backtracking": bpe_backtrack.op6_bpe_backtracking,
     "op7_positional_index": positional_index.op7_positional_index,
+    "op9_radix_suffixes": radix_dedup.op9_radix_suffixes,
     "op10_url_filters": url_automaton.op10_url_filters,
 }
 
