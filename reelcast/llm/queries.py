@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from reelcast.llm import bpe_backtrack, chunk_dedup, jaccard_join, positional_index, radix_dedup, url_automaton
+from reelcast.llm import bpe_backtrack, chunk_dedup, jaccard_join, positional_index, radix_dedup, trigram_secrets, url_automaton
 
 REGISTRY = {
     "op3_chunk_recipes": chunk_dedup.op3_chunk_recipes,
     "op4_adaptive_prefix_join": jaccard_join.op4_adaptive_prefix_join,
+    "op5_trigram_secrets": trigram_secrets.op5_trigram_secrets,
     "op6_bpe_backtracking": bpe_backtrack.op6_bpe_backtracking,
     "op7_positional_index": positional_index.op7_positional_index,
     "op9_radix_suffixes": radix_dedup.op9_radix_suffixes,
@@ -15,6 +16,7 @@ REGISTRY = {
 
 SQL = {
     "op3_chunk_recipes": chunk_dedup.ORACLE_SQL,
+    "op5_trigram_secrets": trigram_secrets.ORACLE_SQL,
     "op7_positional_index": positional_index.ORACLE_SQL,
     "op10_url_filters": url_automaton.ORACLE_SQL,
 }
