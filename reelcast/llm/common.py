@@ -120,3 +120,17 @@ class RollingHash:
 def i64(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64) if values.dtype == np.uint64
                     else values.astype(np.int64))
+
+
+def sum_vectors(rows: DataFrame, key: str, key_type: str) -> DataFrame:
+    """(key, total binary): element-wise sums of the int64 vectors in ``counts``, first over the rows of one of 64
+    ``task`` classes, then over classes, so no group holds more than a 64th of a key's rows."""
+    schema = f"{key} {key_type}, task int, counts binary"
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, np.int64) for x in table["counts"].to_pylist())
+        return pa.table({key: table[key][:1], "task": table["task"][:1],
+                         "counts": pa.array([np.asarray(total).tobytes()], pa.binary())})
+
+    return rows.groupBy(key, "task").applyInArrow(add, schema).groupBy(key).applyInArrow(add, schema).select(
+        key, "counts")

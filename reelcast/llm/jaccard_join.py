@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelcast.llm.common import i64, sized_broadcast, stage_table
+from reelcast.llm.common import i64, sized_broadcast, stage_table, sum_vectors
 from reelcast.llm.components import connected_components
 from reelcast.llm.shingles import text_shingles
 
@@ -50,14 +50,8 @@ def _sketch(docs: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([task] * parts, pa.int32()),
                                               pa.array(rows, pa.binary())], names=["part", "task", "counts"])
 
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x, np.int64) for x in table["counts"].to_pylist())
-        return pa.table({"part": table["part"][:1], "task": table["task"][:1],
-                         "counts": pa.array([total.tobytes()], pa.binary())})
-
-    schema = "part int, task int, counts binary"
-    some = docs.select("text").mapInArrow(count, schema).groupBy("part", "task").applyInArrow(add, schema)
-    rows = some.groupBy("part").applyInArrow(add, schema).collect()      # a fixed number of rows, 4 MB in all
+    counted = docs.select("text").mapInArrow(count, "part int, task int, counts binary")
+    rows = sum_vectors(counted, "part", "int").collect()       # a fixed number of rows, 4 MB in all
     out = np.zeros(size, np.int64)
     for r in rows:
         out[r["part"] * SKETCH_PART:(r["part"] + 1) * SKETCH_PART] = np.frombuffer(r["counts"], np.int64)
