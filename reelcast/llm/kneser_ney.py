@@ -10,7 +10,8 @@ so counts are exact.  Word n-grams would need a row per word and document in a s
 3. The evaluated n-grams are split by hash into shards of at most ``SHARD_ENTRIES``; each shard is sent to all tasks
    (a proven bound of 24 MB) and adds its part of every document's log probability; the parts are summed by document.
    Texts are never shuffled.
-4. A document is kept when its perplexity is at most the ``QUANTILE`` of its language's trusted documents.
+4. A document is kept when its perplexity, drawn towards its language's mean by ``SHRINK_UNITS`` units, is at most
+   the ``QUANTILE`` of its language's trusted documents that the model has not been trained on.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ from reelcast.llm.common import i64, sized_broadcast, stage_table, utf8_blocks
 ORDER = 5
 BITS = 8
 SHARD_ENTRIES = 2_000_000
-QUANTILE = 0.995
-SPREAD = 0.02               # a threshold is this share above the quantile: the quantile itself is a sample's
+QUANTILE = 0.99
+SPREAD = 0.05               # a threshold is this share above the quantile: the quantile itself is a sample's
+HELD_OUT = 5                # every fifth trusted document sets thresholds instead of training the model
+SHRINK_UNITS = 64           # units at the language's mean that are added to a text, so that short texts vary less
 FLUSH = 1_000_000           # distinct n-grams a task holds before it sends them on
 
 _FOLD = np.arange(256, dtype=np.uint64)
@@ -124,7 +127,7 @@ def probabilities(counts: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def _add_up(rows: DataFrame, grams: np.ndarray, logs: np.ndarray) -> DataFrame:
-    """(key, id, lang, trusted, log_p, n) over the units whose n-gram is in this shard."""
+    """(key, id, lang, known, log_p, n) over the units whose n-gram is in this shard."""
     shared = rows.sparkSession.sparkContext.broadcast((grams, logs))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,18 +142,19 @@ def _add_up(rows: DataFrame, grams: np.ndarray, logs: np.ndarray) -> DataFrame:
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(4)] + [
                     pa.array(log_p, pa.float64()), pa.array(n, pa.int64())],
-                    names=["key", "id", "lang", "trusted", "log_p", "n"])
+                    names=["key", "id", "lang", "known", "log_p", "n"])
 
     kind = dict(rows.dtypes)["id"]
-    return rows.select("key", "id", "lang", "trusted", "text").mapInArrow(
-        score, f"key long, id {kind}, lang string, trusted boolean, log_p double, n long")
+    return rows.select("key", "id", "lang", "known", "text").mapInArrow(
+        score, f"key long, id {kind}, lang string, known boolean, log_p double, n long")
 
 
 def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang", quantile: float = QUANTILE, shard_entries: int = SHARD_ENTRIES) -> DataFrame:
-    """(id, lang, n_units, perplexity, threshold, trusted, kept), one row per input row.
+    """(id, lang, n_units, perplexity, shrunk, threshold, trusted, kept), one row per input row.
 
-    ``trusted`` names the ids (column ``id_col``) of the text that trains the model.  A language without trusted
+    ``trusted`` names the ids (column ``id_col``) of the text that trains the model and, every fifth by a hash of the
+    id, sets the thresholds.  A language without trusted
     documents has the threshold of all trusted documents together; without any trusted text every unit is equally
     likely, there is no threshold, and every document with text is kept.  Null or empty texts have no perplexity and are
     not kept; a null language is a language of its own; of rows that share an id all are trusted or none; rows repeated
@@ -160,7 +164,9 @@ def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
     names = sized_broadcast(trusted.select(F.col(id_col).alias("t_id")).where("t_id IS NOT NULL").distinct())
     rows = df.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(id_col).alias("id"),
                      F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.join(names, F.col("id") == F.col("t_id"), "left").withColumn("trusted", F.col("t_id").isNotNull())
+    rows = rows.join(names, F.col("id") == F.col("t_id"), "left").withColumn("known", F.col("t_id").isNotNull())
+    held = F.pmod(F.xxhash64("id"), F.lit(HELD_OUT)) == 0
+    rows = rows.withColumn("trusted", F.col("known") & ~held)
     model = stage_table(probabilities(_gather(rows)).select("g", F.log("p").cast("float").alias("l")))
     shards = max(1, -(-model.count() // shard_entries))
     scored = None
@@ -172,17 +178,29 @@ def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
         one = _add_up(rows, grams[order], logs)
         scored = one if scored is None else scored.union(one)
     if shards > 1:
-        scored = scored.groupBy("key", "id", "lang", "trusted").agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n"))
-    scored = stage_table(scored.withColumn("perplexity", F.when(F.col("n") > 0, F.exp(-F.col("log_p") / F.col("n")))))
-    sample = scored.where("trusted AND perplexity IS NOT NULL")
-    cut = F.percentile_approx("perplexity", quantile, 100_000)
-    by_lang = sample.groupBy(F.coalesce("lang", F.lit("")).alias("l_lang")).agg(cut.alias("own"))
-    overall = sample.agg(cut.alias("all")).collect()[0]["all"]
-    limit = F.coalesce(F.col("own"), F.lit(overall).cast("double")) * (1 + SPREAD)
-    out = scored.join(by_lang, F.coalesce("lang", F.lit("")) == F.col("l_lang"), "left").withColumn("threshold", limit)
-    keep = F.coalesce(F.col("perplexity") <= F.coalesce("threshold", F.lit(float("inf"))), F.lit(False))
-    return out.select(F.col("id").alias(id_col), "lang", F.col("n").alias("n_units"), "perplexity", "threshold",
-                      "trusted", keep.alias("kept"))
+        scored = scored.groupBy("key", "id", "lang", "known").agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n"))
+    scored = stage_table(scored.withColumn("l_lang", F.coalesce("lang", F.lit(""))))
+    sample = scored.where(F.col("known") & held & (F.col("n") > 0))
+    mean = -F.sum("log_p") / F.sum("n")
+    overall = sample.agg(mean.alias("m")).collect()[0]["m"]
+    means = sample.groupBy("l_lang").agg(mean.alias("mean"))
+
+    def shrunk(frame: DataFrame) -> DataFrame:
+        at = F.coalesce(F.col("mean"), F.lit(overall).cast("double"), F.lit(0.0))
+        return frame.join(means, "l_lang", "left").withColumn("shrunk", F.when(F.col("n") > 0, F.exp(
+            (-F.col("log_p") + SHRINK_UNITS * at) / (F.col("n") + SHRINK_UNITS)))).drop("mean")
+
+    cut = F.percentile_approx("shrunk", quantile, 100_000)
+    limits = shrunk(sample)
+    by_lang = limits.groupBy("l_lang").agg(cut.alias("own"))
+    every = limits.agg(cut.alias("all")).collect()[0]["all"]
+    limit = F.coalesce(F.col("own"), F.lit(every).cast("double")) * (1 + SPREAD)
+    out = shrunk(scored).join(by_lang, "l_lang", "left").withColumn("threshold", limit)
+    keep = F.coalesce(F.col("shrunk") <= F.coalesce("threshold", F.lit(float("inf"))), F.lit(False))
+    return out.select(
+        F.col("id").alias(id_col), "lang", F.col("n").alias("n_units"),
+        F.when(F.col("n") > 0, F.exp(-F.col("log_p") / F.col("n"))).alias("perplexity"), "shrunk", "threshold",
+        F.col("known").alias("trusted"), keep.alias("kept"))
 
 
 def op1_kneser_ney(spark, sf_dir: str) -> DataFrame:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from reelcast.llm import bpe_backtrack, chunk_dedup, jaccard_join, positional_index, radix_dedup, trigram_secrets, url_automaton
+from reelcast.llm import (
+    bpe_backtrack, chunk_dedup, jaccard_join, kneser_ney, language_evidence, positional_index, radix_dedup,
+    trigram_secrets, url_automaton)
 
 REGISTRY = {
+    "op1_kneser_ney": kneser_ney.op1_kneser_ney,
+    "op2_language_evidence": language_evidence.op2_language_evidence,
+    "llm_page_language": language_evidence.page_language,
     "op3_chunk_recipes": chunk_dedup.op3_chunk_recipes,
     "op4_adaptive_prefix_join": jaccard_join.op4_adaptive_prefix_join,
     "op5_trigram_secrets": trigram_secrets.op5_trigram_secrets,
