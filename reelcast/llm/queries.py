@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from reelcast.llm import (
-    bpe_backtrack, chunk_dedup, jaccard_join, kneser_ney, language_evidence, positional_index, radix_dedup,
+    bpe_backtrack, chunk_dedup, jaccard_join, kneser_ney, language_evidence, pii_boosting, positional_index, radix_dedup,
     trigram_secrets, url_automaton)
 
 REGISTRY = {
@@ -15,6 +15,7 @@ REGISTRY = {
     "op5_trigram_secrets": trigram_secrets.op5_trigram_secrets,
     "op6_bpe_backtracking": bpe_backtrack.op6_bpe_backtracking,
     "op7_positional_index": positional_index.op7_positional_index,
+    "op8_pii_boosting": pii_boosting.op8_pii_boosting,
     "op9_radix_suffixes": radix_dedup.op9_radix_suffixes,
     "op10_url_filters": url_automaton.op10_url_filters,
 }
