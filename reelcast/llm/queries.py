@@ -20,6 +20,15 @@ REGISTRY = {
     "op10_url_filters": url_automaton.op10_url_filters,
 }
 
+
+
+def pipeline(spark, sf_dir: str):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+REGISTRY["pipeline"] = pipeline
+
 SQL = {
     "op3_chunk_recipes": chunk_dedup.ORACLE_SQL,
     "op5_trigram_secrets": trigram_secrets.ORACLE_SQL,
