@@ -174,7 +174,7 @@ def history_items(actions: DataFrame, kind: str) -> DataFrame:
                                                 F.max("datetime").alias("datetime"))
 
 
-def user_history(actions: DataFrame, kind: str, titles: DataFrame | None = None, skew_safe: bool = True) -> DataFrame:
+def user_history(actions: DataFrame, kind: str, titles: DataFrame | None = None) -> DataFrame:
     """History of one action kind: latest time per (user, item), titled, and
     ranked per (user, channel) newest first (a user's whole history: the rank
     is skew-safe so one heavy user is not one task)."""
@@ -182,7 +182,7 @@ def user_history(actions: DataFrame, kind: str, titles: DataFrame | None = None,
     h = history_items(actions, kind)
     if titles is not None:
         h = h.join(titles.select("movie_id", "title", "year"), "movie_id", "left")
-    return rank_all(h, ["user_id", "cate_id"], [F.desc("datetime"), F.asc("movie_id")], "sort_time", skew_safe)
+    return rank_all(h, ["user_id", "cate_id"], [F.desc("datetime"), F.asc("movie_id")], "sort_time")
 
 
 def agg_action_stat(actions: DataFrame, zone: str = C.HOME_ZONE) -> DataFrame:

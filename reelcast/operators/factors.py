@@ -26,11 +26,11 @@ def agg_hot_count(catalog: DataFrame, plays: DataFrame, as_of, days: int = C.HOT
                       F.coalesce(F.col("weight"), F.lit(0)).cast("bigint").alias("weight"))
 
 
-def rank_in_channel(df: DataFrame, value: str, key="aid", channel="cid", skew_safe: bool = True) -> DataFrame:
+def rank_in_channel(df: DataFrame, value: str, key="aid", channel="cid") -> DataFrame:
     """Rank per channel by ``value`` desc, id asc.  A channel can hold a large
     share of the catalogue, so the rank is the skew-safe one."""
     from reelcast.operators.ranking import rank_all
-    return rank_all(df, [channel], [F.desc(value), F.asc(key)], "sort_num", skew_safe)
+    return rank_all(df, [channel], [F.desc(value), F.asc(key)], "sort_num")
 
 
 def hot_factor(hot_sort: DataFrame) -> DataFrame:

@@ -10,19 +10,20 @@ from reelcast import config as C
 from reelcast.operators.actions import minmax_normalize
 
 
+# keys: the item first, then what is carried along (the channel, which may be null and takes no part in joins)
 def _kw(textrank: DataFrame, keys):
     return textrank.withColumnRenamed("tag", "keyword").select(*keys, "keyword", "textrank")
 
 
 def idf_textrank(textrank: DataFrame, tfidf: DataFrame, keys=("movie_id", "cate_id"), digits=8) -> DataFrame:
     """Keyword weight = textrank x idf (words present in both tables)."""
-    j = _kw(textrank, keys).join(tfidf.select(*keys, "keyword", "idf"), [*keys, "keyword"])
+    j = _kw(textrank, keys).join(tfidf.select(keys[0], "keyword", "idf"), [keys[0], "keyword"])
     return j.select(*keys, "keyword", F.round(F.col("textrank") * F.col("idf"), digits).alias("weight"))
 
 
 def tfidf_textrank(textrank: DataFrame, tfidf: DataFrame, keys=("movie_id", "cate_id"), digits=8) -> DataFrame:
     """Keyword weight = (textrank + tfidf) / 2."""
-    j = _kw(textrank, keys).join(tfidf.select(*keys, "keyword", "tfidf"), [*keys, "keyword"])
+    j = _kw(textrank, keys).join(tfidf.select(keys[0], "keyword", "tfidf"), [keys[0], "keyword"])
     return j.select(*keys, "keyword", F.round((F.col("textrank") + F.col("tfidf")) / 2, digits).alias("weight"))
 
 
@@ -34,8 +35,8 @@ def topk_keywords(weights: DataFrame, k: int = C.KEYWORD_TOPK, key="movie_id") -
 
 def topic_words(top_a: DataFrame, top_b: DataFrame, keys=("movie_id", "cate_id")) -> DataFrame:
     """Words present in both top-K lists of an item."""
-    return (top_a.select(*keys, "keyword").join(top_b.select(*keys, "keyword"), [*keys, "keyword"])
-            .withColumnRenamed("keyword", "topic"))
+    both = top_a.select(*keys, "keyword").join(top_b.select(keys[0], "keyword"), [keys[0], "keyword"])
+    return both.select(*keys, F.col("keyword").alias("topic"))
 
 
 def agg_keyword_map(top: DataFrame, key="movie_id", channel="cate_id") -> DataFrame:
@@ -65,7 +66,7 @@ def topic_weights(profile: DataFrame, stamp: int, key="movie_id", channel="cate_
 def topic_weights_direct(top_idf_tr: DataFrame, topics: DataFrame, stamp: int,
                          keys=("movie_id", "cate_id")) -> DataFrame:
     """Incremental form: join the topic words with their idf x textrank weight."""
-    j = top_idf_tr.join(topics.withColumnRenamed("topic", "keyword"), [*keys, "keyword"])
+    j = top_idf_tr.join(topics.select(keys[0], F.col("topic").alias("keyword")), [keys[0], "keyword"])
     return j.select(*keys, F.col("keyword").alias("topic"), "weight", F.lit(stamp).alias("timestamp"))
 
 
@@ -103,7 +104,7 @@ def user_topic_profile(action_topic: DataFrame, k: int | None = C.PROFILE_TOPK,
     uw = ut.groupBy("user_id", "cate_id").agg(F.sum("weight").alias("user_weight"))
     uc = ut.groupBy("cate_id").agg(F.countDistinct("user_id").alias("user_count"))
     tc = ut.groupBy("cate_id", "topic").agg(F.count("user_id").alias("topic_count"))
-    j = ut.join(uw, ["user_id", "cate_id"]).join(F.broadcast(uc), "cate_id").join(tc, ["cate_id", "topic"])
+    j = ut.join(uw, ["user_id", "cate_id"]).join(uc, "cate_id").join(tc, ["cate_id", "topic"])
     w = (F.col("weight") / (F.col("user_weight") + 1)) * (
         F.log((F.col("user_count") + 1) / (F.col("topic_count") + 1)) + 1)
     out = j.select("user_id", "cate_id", "topic", F.round(w, digits).alias("weight"))

@@ -1,12 +1,9 @@
 """Ranks over possibly hot groups.
 
-``row_number() over (partition by user order by ...)`` sends a whole user to
-one task.  When one user (or item, or topic) may hold a large share of all
-rows, :func:`rank_all` computes the same dense row number without that
-single-task group: rows are range-partitioned on (group, order), so a hot
-group spans several partitions; per-partition counts give each partition's
-offset inside its group.  The order must be total (include unique
-tie-breaks) so every recomputation assigns the same numbers.
+``row_number() over (partition by user order by ...)`` sends a whole user to one task.  :func:`rank_all` computes the
+same numbers without a single-task group: rows are range-partitioned on (group, order), so a hot group spans several
+partitions, and per-partition counts give each partition's offset inside its group.  The order must be total (include
+unique tie-breaks).
 """
 
 from __future__ import annotations
@@ -15,47 +12,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reelcast.session import cut_lineage
+from reelcast.session import stage_table
 
 
-# a group up to this many rows is ranked by one task with a plain window
-MAX_GROUP_ROWS = 2_000_000
+def rank_all(df: DataFrame, part: list[str], order: list[Column], name: str, partitions: int | None = None) -> DataFrame:
+    """Exact ``row_number`` of every row within its group, with one plan at every size.
 
-
-def rank_all(df: DataFrame, part: list[str], order: list[Column], name: str,
-             skew_safe: bool = True, partitions: int | None = None,
-             max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Exact ``row_number`` of every row within its group.
-
-    With ``skew_safe`` the plan is chosen from a measured statistic (one
-    partially aggregated count per group, reduced to its maximum): when no
-    group exceeds ``max_group_rows`` the plain window is used, otherwise the
-    range-partitioned rank below.  Both give the same numbers."""
-    plain = lambda: df.withColumn(
-        name, F.row_number().over(Window.partitionBy(*part).orderBy(*order)).cast("bigint"))
-    if not skew_safe:
-        return plain()
-    if part:
-        biggest = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    else:
-        biggest = df.select(F.count(F.lit(1))).first()[0]
-    if biggest is None or biggest <= max_group_rows:
-        return plain()
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    Rows are range-partitioned and sorted on (group, order) and written as a stage table with their partition and
+    place, so every later read sees the same places.  Counts per (partition, group) give each partition's offset in
+    its group.  Null group values are a group of their own; the columns keep their order."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sort = [F.col(p).asc() for p in part] + list(order)
-    s = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
-         .withColumn("_pid", F.spark_partition_id())
-         .withColumn("_mid", F.monotonically_increasing_id()))
-    # partition ids and row ids are assigned once and persisted reliably, so
-    # the statistics branch and the row branch see the same assignment
-    s = cut_lineage(s)
-    stats = s.groupBy("_pid", *part).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_base"))
-    before = Window.partitionBy(*part).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    placed = stage_table(df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+                         .withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_mid", F.monotonically_increasing_id()))
+    keys = [F.col(p).alias(f"_k{i}") for i, p in enumerate(part)]
+    stats = placed.groupBy(F.col("_pid").alias("_p"), *keys).agg(F.count(F.lit(1)).alias("_cnt"),
+                                                                 F.min("_mid").alias("_base"))
+    before = Window.partitionBy(*[f"_k{i}" for i in range(len(part))]).orderBy("_p").rowsBetween(
+        Window.unboundedPreceding, -1)
     stats = stats.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-    out = s.join(stats.select("_pid", *part, "_off", "_base"), ["_pid", *part])
+    same = F.col("_pid") == F.col("_p")
+    for i, p in enumerate(part):
+        same = same & F.col(p).eqNullSafe(F.col(f"_k{i}"))
     rank = F.col("_off") + F.col("_mid") - F.col("_base") + F.lit(1)
-    return out.withColumn(name, rank.cast("bigint")).drop("_pid", "_mid", "_off", "_base")
+    return placed.join(stats, same).select(*df.columns, rank.cast("bigint").alias(name))
+
+
+def cumulative_counts(df: DataFrame, value: str, partitions: int | None = None) -> DataFrame:
+    """(value, n, below): how often each non-null value occurs and how many rows have a smaller one.  Values are
+    counted first (partial aggregation), then summed within range partitions; no task holds the whole column."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+    placed = stage_table(counts.repartitionByRange(n, value).withColumn("_pid", F.spark_partition_id()))
+    totals = placed.groupBy(F.col("_pid").alias("_p")).agg(F.sum("n").alias("_all"))
+    offsets = totals.select("_p", F.coalesce(F.sum("_all").over(
+        Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))   # n rows
+    inside = F.coalesce(F.sum("n").over(
+        Window.partitionBy("_pid").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return placed.withColumn("_in", inside).join(offsets, F.col("_pid") == F.col("_p")).select(
+        value, "n", (F.col("_in") + F.col("_off")).alias("below"))
 
 
 def top_k(df: DataFrame, part: list[str], order: list[Column], k: int, name: str = "sort_num") -> DataFrame:

@@ -143,11 +143,11 @@ def expand_candidates(profile: DataFrame, inverted: DataFrame, digits=8) -> Data
 
 
 def merge_same_item(cands: DataFrame, owner="user_id", item="movie_id", tie: str = "topic",
-                    keys=("user_id", "cate_id", "movie_id"), digits=8, skew_safe=True) -> DataFrame:
+                    keys=("user_id", "cate_id", "movie_id"), digits=8) -> DataFrame:
     """Rank every candidate of a user (total_sort); the best row of an item
     keeps its weight, the others get ``w / (ln(total_sort - base_sort + 1) + 1)``;
     weights are then summed per item."""
-    r = rank_all(cands, [owner], [F.desc("weight"), F.asc(item), F.asc(tie)], "total_sort", skew_safe)
+    r = rank_all(cands, [owner], [F.desc("weight"), F.asc(item), F.asc(tie)], "total_sort")
     r = r.withColumn("base_sort", F.min("total_sort").over(Window.partitionBy(owner, item)))
     gap = F.col("total_sort") - F.col("base_sort")
     w = F.when(gap == 0, F.col("weight")).otherwise(F.col("weight") / (F.log(gap + 1) + 1))
@@ -187,12 +187,12 @@ def rules_user_final(rec: DataFrame) -> DataFrame:
 
 def profile_recall(profile: DataFrame, inverted: DataFrame, history: DataFrame, catalog: DataFrame,
                    hot: DataFrame, score: DataFrame, year: DataFrame, ch: C.Channels, stamp: int,
-                   pre_k: int = C.USER_PRE_TOPK, final_k: int = C.USER_FINAL_TOPK, skew_safe=True,
+                   pre_k: int = C.USER_PRE_TOPK, final_k: int = C.USER_FINAL_TOPK,
                    merged: DataFrame | None = None) -> DataFrame:
     """expand -> merge -> top pre_k -> minus history -> version filter ->
     factors -> <= final_k -> title rules -> prefix de-dup -> rank -> stamp.
     ``merged`` may carry an already computed merge step."""
-    m = merged if merged is not None else merge_same_item(expand_candidates(profile, inverted), skew_safe=skew_safe)
+    m = merged if merged is not None else merge_same_item(expand_candidates(profile, inverted))
     top = top_k(m, ["user_id"], [F.desc("weight"), F.asc("movie_id")], pre_k).drop("sort_num")
     nh = anti_history(top, history)
     v = filter_versions_user(nh, catalog, ch)
@@ -204,15 +204,14 @@ def profile_recall(profile: DataFrame, inverted: DataFrame, history: DataFrame,
 
 
 # ---------------------------------------------------------------- user by similar items
-def similar_recall_expand(action_weight: DataFrame, item_recall: DataFrame, digits=8, skew_safe=True) -> DataFrame:
+def similar_recall_expand(action_weight: DataFrame, item_recall: DataFrame, digits=8) -> DataFrame:
     """user->item weight x item->item weight; total_sort per user."""
     a = action_weight.select("user_id", "movie_id", F.col("weight").alias("_aw"))
     r = item_recall.select("movie_id", "title", "year", "movie_id2", "title2", "year2", "score", "play_num",
                            F.col("weight").alias("_iw"))
     j = a.join(r, "movie_id").withColumn("weight", F.round(F.col("_aw") * F.col("_iw"), digits))
     j = j.drop("_aw", "_iw").na.drop()
-    return rank_all(j, ["user_id"], [F.desc("weight"), F.asc("movie_id2"), F.asc("movie_id")], "total_sort",
-                    skew_safe)
+    return rank_all(j, ["user_id"], [F.desc("weight"), F.asc("movie_id2"), F.asc("movie_id")], "total_sort")
 
 
 def similar_recall_merge(expanded: DataFrame, digits=8) -> tuple[DataFrame, DataFrame]:
@@ -242,10 +241,9 @@ def explanation_list(expl: DataFrame) -> DataFrame:
     return expl.groupBy("user_id", "movie_id").agg(F.array_join(F.array_sort(F.collect_list(s)), ",").alias("base_movie"))
 
 
-def similar_recall(action_weight: DataFrame, item_recall: DataFrame, history: DataFrame, sources: DataFrame,
-                   stamp: int, k: int = C.USER_FINAL_TOPK, skew_safe=True) -> DataFrame:
-    """expand -> merge -> minus history -> internal source -> rank -> <= k -> stamp."""
-    merged, _ = similar_recall_merge(similar_recall_expand(action_weight, item_recall, skew_safe=skew_safe))
+def similar_recall(merged: DataFrame, history: DataFrame, sources: DataFrame, stamp: int,
+                   k: int = C.USER_FINAL_TOPK) -> DataFrame:
+    """Merged candidates (``similar_recall_merge``) -> minus history -> internal source -> rank -> <= k -> stamp."""
     nh = anti_history(merged, history)
     online = sources.where(F.col("source") == C.SOURCE_INTERNAL).select(F.col("aid").alias("movie_id"))
     nh = nh.join(online, "movie_id", "left_semi").withColumn("source", F.lit(C.SOURCE_INTERNAL))
@@ -253,11 +251,6 @@ def similar_recall(action_weight: DataFrame, item_recall: DataFrame, history: Da
     return out.withColumn("timestamp", F.lit(stamp))
 
 
-def serving_slice(rec: DataFrame, cols: list[str]) -> DataFrame:
-    """Narrow projection written to the serving table."""
-    return rec.select(*cols)
-
-
 def recommend_lookup(keys: DataFrame, user_recall: DataFrame, item_recall: DataFrame,
                      key="key", user_key_min_len: int = 10) -> DataFrame:
     """Batch form of the point lookup: keys longer than ``user_key_min_len``

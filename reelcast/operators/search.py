@@ -1,26 +1,21 @@
 """Title search: queries matched to titles by shared distinct tokens.
 
-Matching is done block by block (blocks of queries x blocks of titles, each
-block pair one Arrow batch): inside a task the token sets are merged and only
-the (query, title) pairs with at least one shared token leave it, with their
-count and matched tokens.  Hot tokens therefore never fan out through a
-shuffle as (query, title, token) triples.
+Both sides are exploded to (id, token) rows and joined on the token; the counts per (query, title) are partially
+aggregated before the shuffle, hot tokens are split by the adaptive skew join, and only the best ``TOP_K`` titles of
+each query (a stated parameter) leave the operator.  The matched words are looked up for those only.
 """
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from reelcast.functions import text as TX
-from reelcast.operators.ranking import rank_all, top_k
+from reelcast.operators.ranking import top_k
 
 # FIXED VALUE: a match must share at least one token with a CJK character
 HAN_REQUIRED = "[一-龥]"
+TOP_K = 100
 
 
 def tokenize_queries(df: DataFrame, id_col: str, text_col: str, normalize: bool = True, tokenizer=None) -> DataFrame:
@@ -35,65 +30,29 @@ def tokenize_targets(df: DataFrame, id_col: str, text_col: str, tokenizer=None)
     return df.select(F.col(id_col).alias("tid"), F.array_distinct(tok(F.col(text_col))).alias("words"))
 
 
-def _matcher(required: str):
-    rx = re.compile(required)
-
-    def empty() -> pd.DataFrame:
-        return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "movie_id": pd.Series(dtype="int64"),
-                             "num": pd.Series(dtype="int64"), "words": pd.Series(dtype="object")})
-
-    def run(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        cols = ["query_id", "movie_id", "num", "words"]
-        if q.empty or t.empty:
-            return empty()
-        qe = q[["qid", "words"]].explode("words").dropna()
-        te = t[["tid", "words"]].explode("words").dropna()
-        m = qe.merge(te, on="words")
-        if m.empty:
-            return empty()
-        g = (m.sort_values("words").groupby(["qid", "tid"], sort=False)["words"]
-             .agg(num="size", words=" ".join).reset_index())
-        g = g[g["words"].map(lambda s: rx.search(s) is not None)]
-        if g.empty:
-            return empty()
-        g = g.rename(columns={"qid": "query_id", "tid": "movie_id"})
-        return g[cols].astype({"query_id": "int64", "movie_id": "int64", "num": "int64"})
-    return run
-
-
-def agg_token_hits(queries: DataFrame, targets: DataFrame, required: str = HAN_REQUIRED,
-                   block_size: int = 512) -> DataFrame:
-    """(query_id, movie_id, num, words): shared distinct tokens per pair,
-    pairs whose shared tokens have no character of ``required`` dropped."""
-    fresh = lambda df: df.select(*[F.col(x).alias(x) for x in df.columns])
-    nq = queries.select(F.count(F.lit(1))).scalar()
-    nt = targets.select(F.count(F.lit(1))).scalar()
-    qb = F.greatest(F.ceil(nq / F.lit(block_size)), F.lit(1)).cast("bigint")
-    tb = F.greatest(F.ceil(nt / F.lit(block_size)), F.lit(1)).cast("bigint")
-    q = (queries.withColumn("_qb", F.pmod(F.xxhash64("qid"), qb))
-         .withColumn("_tb", F.explode(F.sequence(F.lit(0).cast("bigint"), tb - 1))))
-    t = (targets.withColumn("_tb", F.pmod(F.xxhash64("tid"), tb))
-         .withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("bigint"), qb - 1))))
-    schema = T.StructType([T.StructField("query_id", queries.schema["qid"].dataType),
-                           T.StructField("movie_id", targets.schema["tid"].dataType),
-                           T.StructField("num", T.LongType()), T.StructField("words", T.StringType())])
-    q, t = fresh(q), fresh(t)
-    return (q.groupBy("_qb", "_tb").cogroup(t.groupBy("_qb", "_tb"))
-            .applyInPandas(_matcher(required), schema))
-
-
-def title_search(queries: DataFrame, targets: DataFrame, required: str = HAN_REQUIRED,
-                 block_size: int = 512) -> DataFrame:
-    """All matches ranked per query by shared-token count (desc), id asc."""
-    hits = agg_token_hits(queries, targets, required, block_size)
-    return rank_all(hits, ["query_id"], [F.desc("num"), F.asc("movie_id")], "sort")
-
-
-def best_query_match(queries: DataFrame, targets: DataFrame, required: str = HAN_REQUIRED,
-                     block_size: int = 512) -> DataFrame:
+def title_search(queries: DataFrame, targets: DataFrame, required: str = HAN_REQUIRED, k: int = TOP_K) -> DataFrame:
+    """(query_id, movie_id, num, words, sort): the ``k`` titles of each query that share most distinct tokens (id
+    ascending on ties); pairs whose shared tokens have no character of ``required`` are no match."""
+    q = queries.select(F.col("qid").alias("query_id"), F.explode("words").alias("token")).distinct()
+    t = targets.select(F.col("tid").alias("movie_id"), F.explode("words").alias("token")).distinct()
+    pairs = q.join(t, "token")
+    counts = pairs.groupBy("query_id", "movie_id").agg(
+        F.count(F.lit(1)).alias("num"), F.max(F.col("token").rlike(required)).alias("ok"))
+    best = top_k(counts.where("ok").drop("ok"), ["query_id"], [F.desc("num"), F.asc("movie_id")], k, "sort")
+    words = (q.join(t.join(best.select("movie_id").distinct(), "movie_id", "left_semi"), "token")
+             .join(best.select("query_id", "movie_id"), ["query_id", "movie_id"], "left_semi")
+             .groupBy("query_id", "movie_id").agg(F.array_join(F.sort_array(F.collect_set("token")), " ").alias("words")))
+    return best.join(words, ["query_id", "movie_id"]).select("query_id", "movie_id", "num", "words", "sort")
+
+
+def agg_token_hits(queries: DataFrame, targets: DataFrame, required: str = HAN_REQUIRED, k: int = TOP_K) -> DataFrame:
+    """(query_id, movie_id, num, words) of the ``k`` best titles of each query."""
+    return title_search(queries, targets, required, k).drop("sort")
+
+
+def best_query_match(queries: DataFrame, targets: DataFrame, required: str = HAN_REQUIRED) -> DataFrame:
     """The single best title per query (the online form)."""
-    hits = agg_token_hits(queries, targets, required, block_size)
-    return top_k(hits, ["query_id"], [F.desc("num"), F.asc("movie_id")], 1, "sort")
+    return title_search(queries, targets, required, 1)
 
 
 def rows_to_json(df: DataFrame, n: int | None = None) -> DataFrame:

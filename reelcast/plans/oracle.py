@@ -262,53 +262,53 @@ def text_ctes() -> str:
     iters = []
     prev = "nodes"
     for i in range(1, 11):
-        iters.append(f"""r{i} AS (SELECT c.movie_id, c.cate_id, c.a AS n, (1.0 - 0.85) + 0.85 * SUM(c.c * r.ws) AS ws
+        iters.append(f"""r{i} AS MATERIALIZED (SELECT c.movie_id, c.cate_id, c.a AS n, (1.0 - 0.85) + 0.85 * SUM(c.c * r.ws) AS ws
             FROM coef c JOIN {prev} r ON c.movie_id = r.movie_id AND c.b = r.n GROUP BY c.movie_id, c.cate_id, c.a)""")
         prev = f"r{i}"
     return f"""
-docs AS (SELECT d.doc_id AS movie_id, p.p_type AS cate_id, p.p_name AS title, d.text
+docs AS MATERIALIZED (SELECT d.doc_id AS movie_id, p.p_type AS cate_id, p.p_name AS title, d.text
          FROM documents d LEFT JOIN part p ON d.doc_id = p.p_partkey),
-words AS (SELECT movie_id, cate_id, {words} AS words FROM docs),
-terms AS (SELECT movie_id, cate_id, keyword, count(*) AS tf
+words AS MATERIALIZED (SELECT movie_id, cate_id, {words} AS words FROM docs),
+terms AS MATERIALIZED (SELECT movie_id, cate_id, keyword, count(*) AS tf
           FROM (SELECT movie_id, cate_id, UNNEST(words) AS keyword FROM words) GROUP BY movie_id, cate_id, keyword),
-ndocs AS (SELECT count(DISTINCT movie_id) AS n FROM terms),
-idf AS (SELECT keyword, count(DISTINCT movie_id) AS doc_freq,
+ndocs AS MATERIALIZED (SELECT count(DISTINCT movie_id) AS n FROM terms),
+idf AS MATERIALIZED (SELECT keyword, count(DISTINCT movie_id) AS doc_freq,
                ln(((SELECT n FROM ndocs) + 1) / (count(DISTINCT movie_id) + 1)) AS idf
         FROM terms GROUP BY keyword),
-tfidf AS (SELECT t.movie_id, t.cate_id, t.keyword, t.tf, i.idf, ROUND(t.tf * i.idf, 4) AS tfidf
+tfidf AS MATERIALIZED (SELECT t.movie_id, t.cate_id, t.keyword, t.tf, i.idf, ROUND(t.tf * i.idf, 4) AS tfidf
           FROM terms t JOIN idf i ON t.keyword = i.keyword),
-tr_raw AS (SELECT movie_id, cate_id, {raw} AS toks FROM docs),
+tr_raw AS MATERIALIZED (SELECT movie_id, cate_id, {raw} AS toks FROM docs),
 tr_pos AS (SELECT movie_id, cate_id, UNNEST(toks) AS t, generate_subscripts(toks, 1) AS pos FROM tr_raw),
-tr_keep AS (SELECT * FROM tr_pos WHERE {keep_sql('t')} AND length(t) >= 2),
+tr_keep AS MATERIALIZED (SELECT * FROM tr_pos WHERE {keep_sql('t')} AND length(t) >= 2),
 pairs AS (SELECT a.movie_id, a.cate_id, a.t AS a, b.t AS b
           FROM tr_keep a CROSS JOIN range(1, 10) r(o)
           JOIN tr_keep b ON b.movie_id = a.movie_id AND b.pos = a.pos + r.o),
-edges AS (SELECT movie_id, cate_id, a, b, CAST(count(*) AS DOUBLE) AS w
+edges AS MATERIALIZED (SELECT movie_id, cate_id, a, b, CAST(count(*) AS DOUBLE) AS w
           FROM (SELECT movie_id, cate_id, a, b FROM pairs UNION ALL SELECT movie_id, cate_id, b, a FROM pairs)
           GROUP BY movie_id, cate_id, a, b),
-outs AS (SELECT movie_id, a AS n, SUM(w) AS o FROM edges GROUP BY movie_id, a),
-coef AS (SELECT e.movie_id, e.cate_id, e.a, e.b, e.w / o.o AS c
+outs AS MATERIALIZED (SELECT movie_id, a AS n, SUM(w) AS o FROM edges GROUP BY movie_id, a),
+coef AS MATERIALIZED (SELECT e.movie_id, e.cate_id, e.a, e.b, e.w / o.o AS c
          FROM edges e JOIN outs o ON e.movie_id = o.movie_id AND e.b = o.n),
-nodes AS (SELECT movie_id, cate_id, n, 1.0 / count(*) OVER (PARTITION BY movie_id) AS ws
+nodes AS MATERIALIZED (SELECT movie_id, cate_id, n, 1.0 / count(*) OVER (PARTITION BY movie_id) AS ws
           FROM (SELECT DISTINCT movie_id, cate_id, a AS n FROM edges)),
 {", ".join(iters)},
 rng AS (SELECT movie_id, MIN(ws) AS mn, MAX(ws) AS mx FROM r10 GROUP BY movie_id),
-textrank AS (SELECT r.movie_id, r.cate_id, r.n AS tag,
+textrank AS MATERIALIZED (SELECT r.movie_id, r.cate_id, r.n AS tag,
                     ROUND((r.ws - g.mn / 10.0) / (g.mx - g.mn / 10.0), 6) AS textrank
              FROM r10 r JOIN rng g ON r.movie_id = g.movie_id),
-idf_tr AS (SELECT t.movie_id, t.cate_id, t.tag AS keyword, ROUND(t.textrank * f.idf, 8) AS weight
-           FROM textrank t JOIN tfidf f ON t.movie_id = f.movie_id AND t.cate_id = f.cate_id AND t.tag = f.keyword),
-tfidf_tr AS (SELECT t.movie_id, t.cate_id, t.tag AS keyword, ROUND((t.textrank + f.tfidf) / 2, 8) AS weight
-             FROM textrank t JOIN tfidf f ON t.movie_id = f.movie_id AND t.cate_id = f.cate_id AND t.tag = f.keyword),
-top_idf_tr AS (SELECT movie_id, cate_id, keyword, weight FROM (
+idf_tr AS MATERIALIZED (SELECT t.movie_id, t.cate_id, t.tag AS keyword, ROUND(t.textrank * f.idf, 8) AS weight
+           FROM textrank t JOIN tfidf f ON t.movie_id = f.movie_id AND t.tag = f.keyword),
+tfidf_tr AS MATERIALIZED (SELECT t.movie_id, t.cate_id, t.tag AS keyword, ROUND((t.textrank + f.tfidf) / 2, 8) AS weight
+             FROM textrank t JOIN tfidf f ON t.movie_id = f.movie_id AND t.tag = f.keyword),
+top_idf_tr AS MATERIALIZED (SELECT movie_id, cate_id, keyword, weight FROM (
                  SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY weight DESC, keyword) AS r FROM idf_tr)
                WHERE r <= 30),
-top_tfidf_tr AS (SELECT movie_id, cate_id, keyword, weight FROM (
+top_tfidf_tr AS MATERIALIZED (SELECT movie_id, cate_id, keyword, weight FROM (
                    SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY weight DESC, keyword) AS r FROM tfidf_tr)
                  WHERE r <= 30),
-topics AS (SELECT a.movie_id, a.cate_id, a.keyword AS topic FROM top_idf_tr a
-           JOIN top_tfidf_tr b ON a.movie_id = b.movie_id AND a.cate_id = b.cate_id AND a.keyword = b.keyword),
-topic_weights AS (SELECT a.movie_id, a.cate_id, a.keyword AS topic, a.weight, 20240130 AS timestamp
+topics AS MATERIALIZED (SELECT a.movie_id, a.cate_id, a.keyword AS topic FROM top_idf_tr a
+           JOIN top_tfidf_tr b ON a.movie_id = b.movie_id AND a.keyword = b.keyword),
+topic_weights AS MATERIALIZED (SELECT a.movie_id, a.cate_id, a.keyword AS topic, a.weight, 20240130 AS timestamp
                   FROM top_idf_tr a JOIN topics t ON a.movie_id = t.movie_id AND a.keyword = t.topic)""".replace(
         "STOPS", stops)
 
@@ -621,9 +621,13 @@ hits AS (SELECT * FROM hits0 WHERE regexp_matches(words, '[a-z]'))""".replace("S
 
 
 SQL.update({
-    "agg_token_hits": "WITH " + search_ctes() + " SELECT * FROM hits",
+    "agg_token_hits": "WITH " + search_ctes() + """
+SELECT * EXCLUDE (sort) FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY num DESC, movie_id) AS sort FROM hits)
+WHERE sort <= 100""",
     "title_search": "WITH " + search_ctes() + """
-SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY num DESC, movie_id) AS sort FROM hits""",
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY num DESC, movie_id) AS sort FROM hits)
+WHERE sort <= 100""",
     "best_query_match": "WITH " + search_ctes() + """
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY num DESC, movie_id) AS sort FROM hits)
 WHERE sort = 1""",

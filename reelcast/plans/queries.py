@@ -505,7 +505,7 @@ def q_explanation_to_string(spark, d):
 @query("stream_action_dedupe")
 def q_stream_action_dedupe(spark, d):
     """Structured Streaming ingestion of ``events`` (one distinct action per
-    user/item/day, repeats within the watermark dropped)."""
+    user/item/day, late reports included)."""
     from reelcast.streaming.ingest import ingest_actions
     return ingest_actions(spark, d)
 

@@ -37,21 +37,20 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-_PERSISTED: dict = {}
+_STAGES: dict[tuple[str, str, str, str], object] = {}
 
 
 def persisted(spark: SparkSession, d: str, name: str, build) -> DataFrame:
-    """A stage table computed once per session and input folder and kept as a
-    reliable checkpoint (the chain's intermediate tables)."""
-    from reelcast.session import cut_lineage
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - remote sessions expose no driver context
-        app = getattr(spark, "session_id", None)
-    key = (id(spark), app, d, name)
-    if key not in _PERSISTED:
-        _PERSISTED[key] = cut_lineage(build())
-    return _PERSISTED[key]
+    """A chain's stage table in the shared folder, named by the version of the input folder: written when that
+    version is first met, read afterwards.  A table that changes has another version, so nothing stale is read.
+    ``reelcast.stages.run`` (a free text) starts stage tables of its own, as a cold run does."""
+    from reelcast.session import input_version, shared_folder, stage_table
+    run = spark.conf.get("reelcast.stages.run", "all")
+    key = (shared_folder(spark), run, input_version(spark, d), name)
+    path = f"{key[0]}/{run}-{key[2]}/{name}"
+    if key not in _STAGES:
+        _STAGES[key] = stage_table(build(), path).schema
+    return spark.read.schema(_STAGES[key]).parquet(path)
 
 
 def catalog(spark, d) -> DataFrame:
@@ -190,11 +189,15 @@ def order_plays(spark, d) -> DataFrame:
 
 
 def documents(spark, d) -> DataFrame:
-    """Catalogue text: item = doc_id with the catalogue's channel and title."""
-    from reelcast.session import spread
+    """Catalogue text: item = doc_id with the catalogue's channel and title.
+
+    The text is dealt out by item once (``spark.sql.shuffle.partitions`` tasks), whatever the number of input
+    splits: the per-row text work of the chain is heavy, and the channel's join needs the same layout."""
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("movie_id"), F.col("text").alias("summary"))
     cat = catalog(spark, d).select(F.col("id").alias("movie_id"), F.col("cid").alias("cate_id"), "title")
-    return spread(docs.join(cat, "movie_id", "left").select("movie_id", "cate_id", "title", "summary"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return docs.repartition(n, "movie_id").join(cat, "movie_id", "left").select(
+        "movie_id", "cate_id", "title", "summary")
 
 
 STAMP = 20240130                    # yyyymmdd of the day before AS_OF
@@ -239,14 +242,16 @@ def text_chain(spark, d) -> Chain:
     })
 
 
-def factor_tables(spark, d) -> dict:
-    cat = catalog(spark, d)
-    hot = persisted(spark, d, "movie_hot_factor", lambda: FA.hot_factor(FA.rank_in_channel(
-        FA.agg_hot_count(cat, daily_plays(spark, d), LINE_AS_OF, C.HOT_DAYS), "weight")))
-    score = FA.score_factor(cat)
-    year = FA.year_factor(cat, NOW_YEAR, variety=STAR_CHANNELS.variety)
-    year_variety = FA.year_factor(cat, NOW_YEAR, cate_id=STAR_CHANNELS.variety, variety=STAR_CHANNELS.variety)
-    return dict(catalog=cat, hot=hot, score=score, year=year, year_variety=year_variety)
+def factor_tables(spark, d) -> Chain:
+    year = lambda c, **kw: FA.year_factor(c["catalog"], NOW_YEAR, variety=STAR_CHANNELS.variety, **kw)
+    return Chain({
+        "catalog": lambda c: catalog(spark, d),
+        "hot": lambda c: persisted(spark, d, "movie_hot_factor", lambda: FA.hot_factor(
+            FA.agg_hot_count(c["catalog"], daily_plays(spark, d), LINE_AS_OF, C.HOT_DAYS))),
+        "score": lambda c: FA.score_factor(c["catalog"]),
+        "year": lambda c: year(c),
+        "year_variety": lambda c: year(c, cate_id=STAR_CHANNELS.variety),
+    })
 
 
 def history_pairs(spark, d) -> DataFrame:
@@ -257,29 +262,31 @@ def history_pairs(spark, d) -> DataFrame:
     return play.unionByName(click).dropDuplicates()
 
 
-def profile_chain(spark, d, skew_safe=True) -> dict:
+def profile_chain(spark, d) -> Chain:
     from reelcast.operators import profiles as P
     from reelcast.operators import recall as R
     from reelcast.operators.ranking import top_k
-    aw = A.minmax_normalize(action_weights(spark, d), "weight", 8)
-    t = text_chain(spark, d)
-    twn = P.topic_weights_normal(t["topic_weights"])
-    atw = P.join_user_topics(aw, twn)
-    prof = P.user_topic_profile(atw, C.PROFILE_TOPK)
-    inv = P.inverted_index(twn)
-    cands = R.expand_candidates(prof, inv)
-    merged = persisted(spark, d, f"merged_{skew_safe}", lambda: R.merge_same_item(cands, skew_safe=skew_safe))
-    pre = top_k(merged, ["user_id"], [F.desc("weight"), F.asc("movie_id")], C.USER_PRE_TOPK)
-    hist = history_pairs(spark, d)
-    nohist = R.anti_history(pre.drop("sort_num"), hist)
-    fx = factor_tables(spark, d)
-    vers = R.filter_versions_user(nohist, fx["catalog"], STAR_CHANNELS)
-    fac = R.weight_by_factors_user(vers, fx["hot"], fx["score"], fx["year"])
-    final = R.profile_recall(prof, inv, hist, fx["catalog"], fx["hot"], fx["score"], fx["year"], STAR_CHANNELS,
-                             STAMP, skew_safe=skew_safe, merged=merged)
-    return dict(action_weight_normal=aw, topic_weights_normal=twn, action_topic=atw, profile=prof,
-                inverted=inv, cands=cands, merged=merged, pre=pre, history=hist, nohist=nohist,
-                versions=vers, factors=fac, final=final)
+    return Chain({
+        "text": lambda c: text_chain(spark, d),
+        "factor_tables": lambda c: factor_tables(spark, d),
+        "action_weight_normal": lambda c: A.minmax_normalize(action_weights(spark, d), "weight", 8),
+        "topic_weights_normal": lambda c: P.topic_weights_normal(c["text"]["topic_weights"]),
+        "action_topic": lambda c: P.join_user_topics(c["action_weight_normal"], c["topic_weights_normal"]),
+        "profile": lambda c: persisted(spark, d, "user_topic_profile",
+                                       lambda: P.user_topic_profile(c["action_topic"], C.PROFILE_TOPK)),
+        "inverted": lambda c: P.inverted_index(c["topic_weights_normal"]),
+        "cands": lambda c: R.expand_candidates(c["profile"], c["inverted"]),
+        "merged": lambda c: persisted(spark, d, "merged", lambda: R.merge_same_item(c["cands"])),
+        "pre": lambda c: top_k(c["merged"], ["user_id"], [F.desc("weight"), F.asc("movie_id")], C.USER_PRE_TOPK),
+        "history": lambda c: history_pairs(spark, d),
+        "nohist": lambda c: R.anti_history(c["pre"].drop("sort_num"), c["history"]),
+        "versions": lambda c: R.filter_versions_user(c["nohist"], c["factor_tables"]["catalog"], STAR_CHANNELS),
+        "factors": lambda c: R.weight_by_factors_user(c["versions"], c["factor_tables"]["hot"],
+                                                      c["factor_tables"]["score"], c["factor_tables"]["year"]),
+        "final": lambda c: R.profile_recall(
+            c["profile"], c["inverted"], c["history"], c["factor_tables"]["catalog"], c["factor_tables"]["hot"],
+            c["factor_tables"]["score"], c["factor_tables"]["year"], STAR_CHANNELS, STAMP, merged=c["merged"]),
+    })
 
 
 def item_vectors(spark, d) -> DataFrame:
@@ -290,33 +297,40 @@ def item_vectors(spark, d) -> DataFrame:
     return e.join(cat, "movie_id", "left")
 
 
-def item_chain(spark, d) -> dict:
+def item_chain(spark, d) -> Chain:
     """Item -> item recall over channel-wise exact cosine neighbours."""
     from reelcast.operators import recall as R
     from reelcast.operators import vectors as V
-    vec = item_vectors(spark, d)
-    neigh = persisted(spark, d, "item_neighbours", lambda: V.block_topk(
-        vec.select("cate_id", "movie_id", "vec"), vec.select("cate_id", "movie_id", "vec"), ["cate_id"],
-        C.NEIGHBOURS_K, "cosine").withColumnRenamed("score", "cos_sim"))
-    src = vec.select("movie_id", "cate_id")
-    nb = neigh.drop("sort_num").join(src, "movie_id")
-    fx = factor_tables(spark, d)
-    vers = R.filter_versions_item(nb, fx["catalog"], STAR_CHANNELS)
-    fac = R.weight_by_factors_item(vers, fx["catalog"], fx["score"], fx["hot"], fx["year"], fx["year_variety"],
-                                   STAR_CHANNELS)
-    sources = asset_source(spark, d)
-    rules = R.rules_item_final(fac, STAR_CHANNELS, labels=fx["catalog"],
-                               short_single=FA.short_single_episode(sources, seconds="len_s"))
-    final = R.item_recall_final(rules, FA.trailer_ids(sources), sources, STAMP, C.NEIGHBOURS_K)
-    return dict(vectors=vec, neighbours=neigh, versions=vers, factors=fac, rules=rules, final=final)
-
-
-def similar_chain(spark, d, skew_safe=True) -> dict:
+    part = lambda c: c["vectors"].select("cate_id", "movie_id", "vec")
+    return Chain({
+        "vectors": lambda c: item_vectors(spark, d),
+        "factor_tables": lambda c: factor_tables(spark, d),
+        "sources": lambda c: asset_source(spark, d),
+        "neighbours": lambda c: persisted(spark, d, "item_neighbours", lambda: V.block_topk(
+            part(c), part(c), ["cate_id"], C.NEIGHBOURS_K, "cosine").withColumnRenamed("score", "cos_sim")),
+        "candidates": lambda c: c["neighbours"].drop("sort_num").join(c["vectors"].select("movie_id", "cate_id"),
+                                                                      "movie_id"),
+        "versions": lambda c: R.filter_versions_item(c["candidates"], c["factor_tables"]["catalog"], STAR_CHANNELS),
+        "factors": lambda c: R.weight_by_factors_item(
+            c["versions"], c["factor_tables"]["catalog"], c["factor_tables"]["score"], c["factor_tables"]["hot"],
+            c["factor_tables"]["year"], c["factor_tables"]["year_variety"], STAR_CHANNELS),
+        "rules": lambda c: R.rules_item_final(
+            c["factors"], STAR_CHANNELS, labels=c["factor_tables"]["catalog"],
+            short_single=FA.short_single_episode(c["sources"], seconds="len_s")),
+        "final": lambda c: R.item_recall_final(c["rules"], FA.trailer_ids(c["sources"]), c["sources"], STAMP,
+                                               C.NEIGHBOURS_K),
+    })
+
+
+def similar_chain(spark, d) -> Chain:
     from reelcast.operators import recall as R
-    aw = A.minmax_normalize(action_weights(spark, d), "weight", 8)
-    item = persisted(spark, d, "item_recall", lambda: item_chain(spark, d)["final"])
-    exp = R.similar_recall_expand(aw, item, skew_safe=skew_safe)
-    merged, expl = R.similar_recall_merge(exp)
-    final = R.similar_recall(aw, item, history_pairs(spark, d), asset_source(spark, d), STAMP,
-                             C.USER_FINAL_TOPK, skew_safe=skew_safe)
-    return dict(expanded=exp, merged=merged, explanations=expl, final=final)
+    return Chain({
+        "weights": lambda c: A.minmax_normalize(action_weights(spark, d), "weight", 8),
+        "item": lambda c: persisted(spark, d, "item_recall", lambda: item_chain(spark, d)["final"]),
+        "expanded": lambda c: R.similar_recall_expand(c["weights"], c["item"]),
+        "merge": lambda c: R.similar_recall_merge(c["expanded"]),
+        "merged": lambda c: c["merge"][0],
+        "explanations": lambda c: c["merge"][1],
+        "final": lambda c: R.similar_recall(c["merged"], history_pairs(spark, d), asset_source(spark, d), STAMP,
+                                            C.USER_FINAL_TOPK),
+    })

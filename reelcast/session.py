@@ -7,8 +7,8 @@ checkpoint helper used where an iterative plan must cut its lineage.
 
 from __future__ import annotations
 
-import os
-import tempfile
+import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,44 +52,35 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the folder must be set by the deployment (a shared file
-    system).  Only when it is unset -- local runs and tests -- a private
-    folder is created.
-    """
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for stage tables that all executors share: the one of ``spark.checkpoint.dir``; where that is
+    unset (local runs, tests) a folder of its own beside the warehouse.  Never a machine-local temporary folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        master = sc.master or ""
-        if not master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        configured = tempfile.mkdtemp(prefix="reelcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(configured)
-    return configured
+    if not current:
+        root = sc.getConf().get("spark.checkpoint.dir", None) or (
+            spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages")
+        sc.setCheckpointDir(root)
+        current = sc.getCheckpointDir()
+    return current
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss); never a local checkpoint."""
-    try:
-        ensure_checkpoint_dir(df.sparkSession)
-    except (AttributeError, NotImplementedError):
-        pass    # no driver-side context (remote session): the server's checkpoint folder applies
-    return df.checkpoint(eager=True)
+def stage_table(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back: an explicit stage that cuts the lineage,
+    is computed once however often it is read, and survives lost executors."""
+    spark = df.sparkSession
+    path = path or f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a narrow input over at least ``min_partitions`` tasks
-    (default parallelism) before CPU-heavy per-row work.  A large input that
-    already arrives in many splits is left as it is (no shuffle)."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except (AttributeError, NotImplementedError):
-        return df       # partition count not visible from this client: leave the plan as it is
-    return df.repartition(target)
+def input_version(spark: SparkSession, folder: str) -> str:
+    """Digest of the names, sizes and modification times of all files below ``folder``, through Spark's file system
+    layer (any store that Spark can read)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, seen = fs.listFiles(path, True), []
+    while found.hasNext():
+        f = found.next()
+        seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.md5("\n".join(sorted(seen)).encode()).hexdigest()

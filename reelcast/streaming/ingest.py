@@ -1,13 +1,9 @@
 """Incremental ingestion of action logs with Structured Streaming.
 
-The batch system re-reads the open 10-day slice every day and keeps one row
-per distinct action, which absorbs late and repeated reports.  The streaming
-form keeps that contract with state instead of re-reads: new log files are
-picked up as they land, each action is keyed by (user, item, action, day),
-and ``dropDuplicatesWithinWatermark`` drops repeats that arrive within the
-watermark (10 days = one slice).  ``foreachBatch`` hands every micro-batch to
-the batch operators (idempotent per batch id) so the merged log and the
-weights stay current without recomputing history.
+New log files are picked up as they land and every parsed action is appended, however late it comes: the stream
+keeps no watermark and drops nothing.  Repeats (the same user, item, action and day, reported again in any later
+file) are removed when the merged log is read or written, so the answer does not depend on how the files are cut or
+in which order they arrive.  ``foreachBatch`` hands every micro-batch to the batch operators under its batch id.
 """
 
 from __future__ import annotations
@@ -19,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelcast.functions import columns as X
-from reelcast.session import ensure_checkpoint_dir
+from reelcast.session import shared_folder
 
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 # FIXED VALUES: event type -> action of the merged log
@@ -42,10 +38,12 @@ def parse_actions(events: DataFrame) -> DataFrame:
             .where(F.col("action").isNotNull() & F.col("movie_id").isNotNull() & F.col("user_id").isNotNull()))
 
 
-def dedupe_actions(parsed: DataFrame, watermark: str = "10 days") -> DataFrame:
-    """One row per (user, item, action, day) among rows within the watermark."""
-    return (parsed.withWatermark("ts", watermark)
-            .dropDuplicatesWithinWatermark(["user_id", "movie_id", "action", "ymd"]))
+KEYS = ["user_id", "movie_id", "action", "ymd"]
+
+
+def dedupe_actions(actions: DataFrame) -> DataFrame:
+    """One row per (user, item, action, day) of a batch table of appended actions."""
+    return actions.select(*KEYS).dropDuplicates()
 
 
 def run_available_now(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet"):
@@ -66,11 +64,11 @@ def foreach_batch_merge(target: str):
 
 
 def ingest_actions(spark: SparkSession, folder: str, out_root: str | None = None,
-                   watermark: str = "10 days") -> DataFrame:
-    """Run the de-duplicating ingestion over ``folder`` and return the result
-    table (the stream's sink read back as a batch DataFrame)."""
-    root = out_root or os.path.join(ensure_checkpoint_dir(spark), f"ingest-{uuid.uuid4().hex}")
-    sink, ckpt = os.path.join(root, "actions"), os.path.join(root, "_checkpoint")
-    stream = dedupe_actions(parse_actions(read_action_stream(spark, folder)), watermark)
-    run_available_now(stream.select("user_id", "movie_id", "action", "ymd"), sink, ckpt)
-    return spark.read.schema("user_id long, movie_id long, action string, ymd long").parquet(sink)
+                   max_files: int | None = None) -> DataFrame:
+    """Ingest all files of ``folder`` (at most ``max_files`` per trigger) and return the merged log: the stream's
+    appended rows read back as a batch table, repeats removed."""
+    root = out_root or f"{shared_folder(spark)}/ingest-{uuid.uuid4().hex}"
+    sink, ckpt = f"{root}/actions", f"{root}/_checkpoint"
+    stream = parse_actions(read_action_stream(spark, folder, max_files=max_files))
+    run_available_now(stream.select(*KEYS), sink, ckpt)
+    return dedupe_actions(spark.read.schema("user_id long, movie_id long, action string, ymd long").parquet(sink))

@@ -16,12 +16,23 @@ def test_rank_all_matches_row_number_with_hot_key(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 97).alias("user_id"),
                                   F.col("id").alias("movie_id"), ((F.col("id") * 7919) % 101).cast("double").alias("weight"))
     order = [F.desc("weight"), F.asc("movie_id")]
-    a = rank_all(df, ["user_id"], order, "r", skew_safe=True, partitions=7, max_group_rows=0)
+    a = rank_all(df, ["user_id"], order, "r", partitions=7)
     b = df.withColumn("r", F.row_number().over(Window.partitionBy("user_id").orderBy(*order)).cast("bigint"))
     assert a.count() == 3000
     assert a.exceptAll(b).count() == 0
 
 
+def test_rank_all_keeps_null_groups_and_column_order(spark):
+    rows = [(None if i % 3 == 0 else i % 2, i, float(i % 5)) for i in range(60)] + [(None, 99, None)]
+    df = spark.createDataFrame(rows, "cid int, aid long, weight double")
+    order = [F.desc("weight"), F.asc("aid")]
+    got = rank_all(df, ["cid"], order, "r", partitions=5)
+    want = df.withColumn("r", F.row_number().over(Window.partitionBy("cid").orderBy(*order)).cast("bigint"))
+    assert got.columns == want.columns
+    assert got.count() == 61 and got.exceptAll(want).count() == 0
+    assert rank_all(df.limit(0), ["cid"], order, "r").count() == 0
+
+
 def test_merge_same_item(spark):
     c = spark.createDataFrame([("u", "k", 1, "t1", 0.9), ("u", "k", 2, "t1", 0.8), ("u", "k", 1, "t2", 0.5)],
                               "user_id string, cate_id string, movie_id long, topic string, weight double")
@@ -95,7 +106,7 @@ def test_title_search_brute_force(spark):
     t = spark.createDataFrame([(10, "red ring"), (11, "blue bolt"), (12, "green gear"), (13, "red bolt film")],
                               "doc_id long, text string")
     res = SE.title_search(SE.tokenize_queries(q, "item_id", "text"), SE.tokenize_targets(t, "doc_id", "text"),
-                          required="[a-z]", block_size=1)
+                          required="[a-z]")
     got = {(r.query_id, r.movie_id): (r.num, r.sort) for r in res.collect()}
     assert got == {(1, 10): (2, 1), (1, 13): (1, 2), (2, 11): (2, 1), (2, 13): (2, 2)}
 
@@ -105,11 +116,9 @@ def test_exact_median_distributed_path(spark):
     from reelcast.operators.generic import exact_median
     vals = [float((i * 7919) % 1009) for i in range(2001)]
     df = spark.createDataFrame([(v,) for v in vals], "x double").repartition(5)
-    for bound in (0, None):           # 0 forces the range-partitioned global rank
-        got = df.select(exact_median(df, "x", bound).alias("m")).first().m
-        assert got == statistics.median(vals)
+    assert df.select(exact_median(df, "x").alias("m")).first().m == statistics.median(vals)
     even = spark.createDataFrame([(v,) for v in vals[:2000]], "x double").repartition(3)
-    assert even.select(exact_median(even, "x", 0).alias("m")).first().m == statistics.median(vals[:2000])
+    assert even.select(exact_median(even, "x").alias("m")).first().m == statistics.median(vals[:2000])
 
 
 def test_word2vec_synonyms_and_item_vectors(spark):
