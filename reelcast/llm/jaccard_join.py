@@ -5,10 +5,11 @@ reach the threshold, the first ``n - ceil(t * n) + k`` shingles of both share at
 own k: a longer prefix costs more postings, but a pair must then share more of it before it is verified; the choice
 minimises (postings read) + (expected candidates) x (set size), with the sketch's counts as estimates.  A pair is a
 candidate when it shares ``min(k_x, k_y)`` prefix shingles and the shared part plus the longer rest can still reach
-the threshold.
+the threshold.  What a pair must share is known from both sizes, so only the first shingles of each prefix are looked
+up, as many as a pair that shares less cannot do without.
 
 Documents with equal sets are one class before the join.  Large groups of near copies are not expanded into all
-pairs: some rounds link each class only to the busiest class of each posting list and merge what links; then every
+pairs: some rounds link each class only to one class of each posting list (the busiest first) and merge what links; then every
 candidate pair between *different* components is verified, so no link between components is missed.
 """
 
@@ -20,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from reelcast.llm.common import i64, sized_broadcast, stage_table, sum_vectors
 from reelcast.llm.components import connected_components
@@ -138,16 +140,39 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return out.where(F.lit(DEN) * F.col("common") >= F.lit(NUM) * (F.col("n_u") + F.col("n_v") - F.col("common")))
 
 
-def _candidates(hits: DataFrame) -> DataFrame:
-    """Pairs that share enough prefix shingles, from one row (u, v, n_u, n_v, k_u, k_v) per shared shingle."""
-    def rest(n, k):         # what lies behind the prefix
-        return F.ceil(F.col(n) * NUM / F.lit(float(DEN))) - F.col(k)
+def _rest(n: str, k: str):
+    """Shingles behind the prefix."""
+    return F.ceil(F.col(n) * NUM / F.lit(float(DEN))) - F.col(k)
 
-    pairs = hits.groupBy("u", "v", "n_u", "n_v", "k_u", "k_v").agg(F.count(F.lit(1)).alias("c"))
-    need = F.ceil((F.col("n_u") + F.col("n_v")) * NUM / F.lit(float(NUM + DEN)) - 1e-9)
-    return pairs.where(
-        (F.least("n_u", "n_v") * DEN >= F.greatest("n_u", "n_v") * NUM) & (F.col("c") >= F.least("k_u", "k_v"))
-        & (F.col("c") + F.greatest(rest("n_u", "k_u"), rest("n_v", "k_v")) >= need))
+
+def _needed():
+    """Shingles two sets of n_u and n_v must share to reach the threshold."""
+    return F.ceil((F.col("n_u") + F.col("n_v")) * NUM / F.lit(float(NUM + DEN)) - 1e-9)
+
+
+def _share():
+    """Open prefix shingles that the pair must share at least (open: some other component has the shingle too)."""
+    return F.greatest(_needed() - F.greatest(_rest("n_u", "k_u"), _rest("n_v", "k_v")), F.least("k_u", "k_v"))
+
+
+def _hopeful():
+    """Conditions on one common shingle.  A pair that must share s of its open prefix shingles has one of them among
+    the first ``open - s + 1`` of both, so only those are hits; sizes and the places at which the shingle stands in
+    the prefixes (what precedes it, itself, the shorter rest) must also leave room for the threshold."""
+    by_place = F.least("pos_u", "pos_v") + F.least(F.col("n_u") - F.col("pos_u"), F.col("n_v") - F.col("pos_v"))
+    room = F.least(F.col("open_u") - F.col("at_u"), F.col("open_v") - F.col("at_v"))
+    return ((F.least("n_u", "n_v") * DEN >= F.greatest("n_u", "n_v") * NUM) & (room >= _share())
+            & (by_place >= _needed()))
+
+
+def _candidates(hits: DataFrame, here: DataFrame) -> DataFrame:
+    """Pairs that share enough open prefix shingles."""
+    pairs = stage_table(hits.select("u", "v", "n_u", "n_v", "k_u", "k_v").distinct())
+    reps = pairs.select(F.col("u").alias("rep")).union(pairs.select(F.col("v").alias("rep"))).distinct()
+    tokens = here.join(reps, "rep", "left_semi").groupBy("rep").agg(F.collect_list("token").alias("tokens"))
+    both = (pairs.join(tokens.withColumnsRenamed({"rep": "u", "tokens": "tokens_u"}), "u")
+            .join(tokens.withColumnsRenamed({"rep": "v", "tokens": "tokens_v"}), "v"))
+    return both.where(F.size(F.array_intersect("tokens_u", "tokens_v")) >= _share()).select("u", "v")
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,34 +189,39 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = named.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
     heads = named.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.first("k").alias("k"),
                                                F.first("prefix").alias("prefix"))
-    postings = heads.select(F.explode("prefix").alias("token"), "rep", "n", "k")
+    # one number for size (31 bits), place in the prefix (28 bits) and k (4 bits)
+    postings = heads.select("rep", "n", "k", F.posexplode("prefix").alias("pos", "token")).select(
+        "token", "rep", (F.shiftleft("n", 32) + F.shiftleft(F.col("pos").cast("long"), 4) + F.col("k")).alias("meta"))
     repeated = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
     lists = stage_table(postings.join(repeated, "token"))
-    busy = lists.groupBy("rep").agg(F.count(F.lit(1)).alias("busy"))
-    lists = stage_table(lists.join(busy, "rep"))
+    unpacked = lists.select("token", "rep", F.shiftright("meta", 32).alias("n"),
+                            F.shiftright("meta", 4).bitwiseAND((1 << 28) - 1).alias("pos"),
+                            F.col("meta").bitwiseAND(15).alias("k"))
 
     labels = None
     links = None
     for turn in range(HUB_ROUNDS + 1):
-        here = lists.withColumn("label", F.col("rep")) if labels is None else lists.join(
+        here = unpacked.withColumn("label", F.col("rep")) if labels is None else unpacked.join(
             labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
             "label", F.coalesce("label", "rep"))
         open_tokens = here.groupBy("token").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where(
             "l0 <> l1").select("token")
         here = here.join(open_tokens, "token")
+        by_rep = Window.partitionBy("rep")
+        here = stage_table(here.withColumn("open", F.count(F.lit(1)).over(by_rep)).withColumn(
+            "at", F.row_number().over(by_rep.orderBy("pos")) - 1))
+        names = ["rep", "n", "k", "pos", "open", "at", "label"]
+        left = here.withColumnsRenamed({x: "u" if x == "rep" else f"{x}_u" for x in names})
         if turn < HUB_ROUNDS:
-            rank = F.struct(F.col("busy") if turn == 0 else F.xxhash64("rep", F.lit(turn)), "rep", "n", "k", "label")
-            hubs = here.groupBy("token").agg(F.max(rank).alias("h")).select(
-                "token", F.col("h.rep").alias("v"), F.col("h.n").alias("n_v"), F.col("h.k").alias("k_v"),
-                F.col("h.label").alias("label_v"))
-            hits = here.join(hubs, "token").where("label <> label_v")
+            rank = F.struct((F.col("open") if turn == 0 else F.xxhash64("rep", F.lit(turn))).alias("first_"), *names)
+            hubs = here.groupBy("token").agg(F.max(rank).alias("h"))
+            right = hubs.select("token", *[F.col(f"h.{x}").alias("v" if x == "rep" else f"{x}_v") for x in names])
+            apart = F.col("label_u") != F.col("label_v")
         else:
-            other = here.select("token", F.col("rep").alias("v"), F.col("n").alias("n_v"), F.col("k").alias("k_v"),
-                                F.col("label").alias("label_v"))
-            hits = here.join(other, "token").where((F.col("label") < F.col("label_v")) & (
-                F.least("n", "n_v") * DEN >= F.greatest("n", "n_v") * NUM))
-        pairs = stage_table(_candidates(hits.select(
-            F.col("rep").alias("u"), "v", F.col("n").alias("n_u"), "n_v", F.col("k").alias("k_u"), "k_v")))
+            right = here.withColumnsRenamed({x: "v" if x == "rep" else f"{x}_v" for x in names})
+            apart = F.col("label_u") < F.col("label_v")
+        hits = left.join(right, "token").where(apart & _hopeful())
+        pairs = stage_table(_candidates(hits, here))
         linked = stage_table(_verify(pairs, docs).select("u", "v"))
         links = linked if links is None else stage_table(links.union(linked))
         labels = connected_components(links)
