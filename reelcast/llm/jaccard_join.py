@@ -3,7 +3,8 @@
 Order all shingles by corpus frequency (a fixed-size count sketch over every document), rarest first.  If two sets
 reach the threshold, the first ``n - ceil(t * n) + k`` shingles of both share at least k.  Each document chooses its
 own k: a longer prefix costs more postings, but a pair must then share more of it before it is verified; the choice
-minimises (postings read) + (expected candidates) x (set size), with the sketch's counts as estimates.  A pair is a
+minimises (shingles sent) + (postings read) + (expected candidates) x (set size), with the sketch's counts as
+estimates.  A pair is a
 candidate when it shares ``min(k_x, k_y)`` prefix shingles and the shared part plus the longer rest can still reach
 the threshold.  What a pair must share is known from both sizes, so only the first shingles of each prefix are looked
 up, as many as a pair that shares less cannot do without.
@@ -65,7 +66,7 @@ def choose_prefix(estimates: np.ndarray, n: int) -> tuple[int, int]:
     base = n - -(-NUM * n // DEN) + 1
     most = min(MAX_MATCHES, n - base + 1)
     lengths = base + np.arange(most)
-    lists = np.cumsum(estimates[:lengths[-1]])[lengths - 1] + lengths
+    lists = np.cumsum(estimates[:lengths[-1]])[lengths - 1]
     k = np.arange(1, most + 1)
     best = int(np.argmin(lists * (POSTING_COST + VERIFY_COST * n / k) + lengths))
     return best + 1, int(lengths[best])

@@ -93,29 +93,39 @@ def _first_of(keys: list[np.ndarray], doc: np.ndarray, at: np.ndarray) -> np.nda
     return out
 
 
+def _rows(first: np.ndarray, key: np.ndarray, ctx: np.ndarray, doc: np.ndarray, at: np.ndarray,
+          n: np.ndarray) -> pa.RecordBatch:
+    """First runs with their digits; the others as resolved stretches (n below zero), neighbouring ones joined."""
+    done = np.flatnonzero(~first)
+    done = done[np.lexsort((at[done], doc[done]))]
+    d, a, b = doc[done], at[done], at[done] + n[done]
+    new = np.concatenate([[True], (d[1:] != d[:-1]) | (a[1:] > b[:-1])]) if len(done) else done
+    begin = np.flatnonzero(new)
+    d0, a0 = d[begin], a[begin]
+    span = np.maximum.reduceat(b, begin) - a0 if len(begin) else a0
+    spread = mix64(d0.astype(np.uint64) * np.uint64(31) + a0.astype(np.uint64))
+    return pa.RecordBatch.from_arrays(
+        [i64(np.concatenate([key[first], spread])), i64(np.concatenate([ctx[first], np.zeros(len(d0), np.uint64)])),
+         i64(np.concatenate([doc[first], d0])), i64(np.concatenate([at[first], a0])),
+         pa.array(np.concatenate([n[first], -span]).astype(np.int32))], names=["key", "ctx", "doc", "at", "n"])
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of each batch: the first of equal ones with its digits, the others as resolved (n below zero)."""
-    names = ["key", "ctx", "doc", "at", "n"]
+    """Runs of each batch: the first of equal ones with its digits, the others as resolved."""
     for batch in batches:
         ids = np.asarray(batch.column(0), np.int64)
         parts = []
         for lo, _, data, offsets in utf8_blocks(batch.column(1)):
             text, at, count, key, ctx = window_runs(data, offsets)
             parts.append((key, ctx, ids[lo + text], at, count))
-        if not parts:
-            continue
-        key, ctx, doc, at, n = (np.concatenate(x) for x in zip(*parts))
-        first = _first_of([key, ctx], doc, at)
-        spread = mix64(doc.astype(np.uint64) * np.uint64(31) + at.astype(np.uint64))
-        key = np.where(first, key, spread)
-        n = np.where(first, n, -n)
-        yield pa.RecordBatch.from_arrays([i64(key), i64(ctx), i64(doc), i64(at), pa.array(n.astype(np.int32))],
-                                         names=names)
+        if parts:
+            key, ctx, doc, at, n = (np.concatenate(x) for x in zip(*parts))
+            yield _rows(_first_of([key, ctx], doc, at), key, ctx, doc, at, n)
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window of the listed runs with two hashes; of windows equal within a batch all but the first have
-    ``n = -1``."""
+    """Every window of the listed runs with 96 bits of two hashes; of windows equal within a block all but the first
+    are resolved."""
     for batch in batches:
         ids = np.asarray(batch.column(0), np.int64)
         runs = batch.column(2)
@@ -130,11 +140,8 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = start + offsets[text]
             a, b = (h.spans(p, at, at + DEPTH) for h in _hashers() for p in [h.prefix(data)])
             doc = ids[lo + text]
-            first = _first_of([a, b], doc, start)
-            spread = mix64(doc.astype(np.uint64) * np.uint64(31) + start.astype(np.uint64))
-            yield pa.RecordBatch.from_arrays(
-                [i64(np.where(first, a, spread)), i64(b), i64(doc), i64(start),
-                 pa.array(np.where(first, 1, -1).astype(np.int32))], names=["key", "ctx", "doc", "at", "n"])
+            b &= _LOW
+            yield _rows(_first_of([a, b], doc, start), a, b, doc, start, np.ones(len(a), np.int64))
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
