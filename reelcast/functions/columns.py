@@ -154,16 +154,6 @@ def cosine(a, b) -> Column:
     return dot(a, b) / (norm(a) * norm(b))
 
 
-def sq_l2(a, b) -> Column:
-    return F.aggregate(F.zip_with(col(a), col(b), lambda x, y: (x - y) * (x - y)), F.lit(0.0),
-                       lambda acc, v: acc + v)
-
-
-def scale(a, w) -> Column:
-    return F.transform(col(a), lambda x: x * col(w))
-
-
-# ---------------------------------------------------------------- titles
 def norm_title(title) -> Column:
     return F.lower(F.trim(col(title)))
 

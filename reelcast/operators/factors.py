@@ -1,7 +1,7 @@
 """Item factors: popularity, score, year, length, trailers, episode totals.
 
-Global scalars (max play count, mean score) are scalar subqueries (partially
-aggregated one-row results) -- no join and no ``.first()`` in user code.
+Global scalars (max play count, mean score) are scalar subqueries: partially
+aggregated one-row results, no join.
 """
 
 from __future__ import annotations

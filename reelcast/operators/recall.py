@@ -111,7 +111,7 @@ def rules_item_final(rec: DataFrame, ch: C.Channels, labels: DataFrame | None =
     film_drop = (X.last2(t2).isin(*C.FILM_SUFFIX_DENY_RECALL) | X.first_fourth(t2).isin(*C.CHAR_PAIR_DENY)
                  | t2.contains(C.BOOK_MARK) | same2)
     series_drop = X.last2(t2).isin(*C.SERIES_SUFFIX_DENY) | t2.contains(C.BOOK_MARK) | same2
-    kids_drop = (F.coalesce(F.col("_label"), F.lit("")) == "") | F.col("_short").isNotNull() | same4 | (F.length(t2) > 16)
+    kids_drop = (F.coalesce(F.col("_label"), F.lit("")) == "") | F.col("_short").isNotNull() | same4 | (F.length(t2) > C.KIDS_TITLE_MAX)
     drop = (F.when(cid == F.lit(ch.film), film_drop).when(cid == F.lit(ch.series), series_drop)
             .when(cid == F.lit(ch.kids), kids_drop).otherwise(same4))
     prefix = F.when(cid.isin(ch.film, ch.series), F.substring(t2, 1, 2)).otherwise(F.substring(t2, 1, 4))

@@ -57,12 +57,6 @@ def cut_words(docs: DataFrame, text="summary", tokenizer=None, keep=("movie_id",
     return docs.select(*keep, tok(F.col(text)).alias("words"))
 
 
-def doc_terms(words: DataFrame, keys=("movie_id", "cate_id")) -> DataFrame:
-    """Term counts per document: (keys..., keyword, tf)."""
-    return (words.select(*keys, F.explode("words").alias("keyword"))
-            .groupBy(*keys, "keyword").agg(F.count(F.lit(1)).alias("tf")))
-
-
 def text_terms(docs: DataFrame, text="summary", keys=("movie_id", "cate_id"), stop_words=None) -> DataFrame:
     """Term counts straight from the text (same tokens as ``cut_words``):
     one explode of the token array with dropped positions as nulls, then a

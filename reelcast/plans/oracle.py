@@ -690,3 +690,17 @@ SELECT user_id, cate_id, movie_id, weight FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, movie_id ORDER BY weight DESC, topic) AS r FROM cands) WHERE r = 1""")
 
 SQL["topic_weights_direct"] = text_sql("SELECT * FROM topic_weights")
+
+SQL["append_once"] = SQL["parse_click_log"]
+SQL["rotate_merge"] = "SELECT DISTINCT * FROM (" + SQL["parse_click_log"] + ")"
+SQL["save_insert"] = "SELECT aid, title, weight FROM (" + SQL["agg_hot_count"] + ")"
+SQL["save_serving_slice"] = "SELECT aid, weight, cid FROM (" + SQL["agg_hot_count"] + ")"
+SQL["row_count_audit"] = (
+    "SELECT (SELECT count(*) FROM (" + SQL["parse_click_log"] + ")) AS rows, 'click' AS \"table\", 20240130 AS stamp "
+    "UNION ALL SELECT (SELECT count(*) FROM (" + SQL["agg_hot_count"] + ")), 'hot', 20240130")
+SQL["scan_action_slices"] = """
+SELECT CAST(user_id AS VARCHAR) AS mac, event_id, slice FROM (
+  SELECT *, CAST((year(ts) - 2023) * 36 + (month(ts) - 12) * 3
+    + floor(((CASE WHEN day(ts) <= 10 THEN 10 WHEN day(ts) <= 20 THEN 20 ELSE 30 END) - 10) / 10) AS INT) AS slice
+  FROM events WHERE event_type = 'click' AND user_id IS NOT NULL)
+WHERE slice >= 4"""

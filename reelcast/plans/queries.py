@@ -501,6 +501,70 @@ def q_explanation_to_string(spark, d):
     return R.explanation_list(S.similar_chain(spark, d)["explanations"])
 
 
+# ---------------------------------------------------------------- tables written and read back
+def _place(spark, name):
+    import uuid
+
+    from reelcast.session import shared_folder
+    return f"{shared_folder(spark)}/sink-{name}-{uuid.uuid4().hex}"
+
+
+@query("append_once")
+def q_append_once(spark, d):
+    """The click log appended by day, the whole run twice: the second run replaces its days."""
+    rows, path = S.click_log(spark, d, "click"), _place(spark, "append")
+    for _ in range(2):
+        SK.append_once(rows, path, "datetime")
+    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+
+@query("rotate_merge")
+def q_rotate_merge(spark, d):
+    """Old merged log (the first half of the month) and the open slices (everything): one row per distinct action."""
+    rows = S.click_log(spark, d, "click")
+    return SK.rotate_merge(rows.where(F.col("datetime") < X.as_epoch("2024-01-16")), rows, _place(spark, "rotate"))
+
+
+@query("save_insert")
+def q_save_insert(spark, d):
+    """A full run over even ids, then the same increment of odd ids twice."""
+    rows, path = q_agg_hot_count(spark, d), _place(spark, "insert")
+    SK.save_insert(rows.where("aid % 2 = 0"), path, ["aid", "title", "weight"], full=True)
+    for _ in range(2):
+        SK.save_insert(rows.where("aid % 2 = 1"), path, ["aid", "title", "weight"], full=False)
+    return spark.read.parquet(path).select("aid", "title", "weight")
+
+
+@query("save_serving_slice")
+def q_save_serving_slice(spark, d):
+    """Narrow projection of the popularity table, one folder per channel."""
+    rows, path = q_agg_hot_count(spark, d), _place(spark, "slice")
+    SK.save_serving_slice(rows, ["aid", "weight"], path, "cid")
+    return spark.read.schema("aid long, weight long, cid string").parquet(path)
+
+
+@query("row_count_audit")
+def q_row_count_audit(spark, d):
+    """Two tables written twice on one day: one audit row each."""
+    path, audit = _place(spark, "audited"), _place(spark, "audit")
+    for _ in range(2):
+        SK.row_count_audit(S.click_log(spark, d, "click"), "click", f"{path}/click", audit, S.STAMP)
+        SK.row_count_audit(q_agg_hot_count(spark, d), "hot", f"{path}/hot", audit, S.STAMP)
+    return spark.read.schema("rows long, table string, stamp int").parquet(audit)
+
+
+@query("scan_action_slices")
+def q_scan_action_slices(spark, d):
+    """Clicks written as log slices, one folder per ten days, found again by folder name from slice 4 on."""
+    ev = S.table(spark, d, "events").where("event_type = 'click'").select(
+        F.col("user_id").cast("string").alias("mac"), "event_id", X.slice_index("ts", (2023, 12, 10)).alias("slice"))
+    root = _place(spark, "slices")
+    for r in ev.select("slice").distinct().collect():           # a few slices of ten days
+        ev.where(F.col("slice") == r["slice"]).drop("slice").write.parquet(f"{root}/log_enter{r['slice']}")
+    return TB.scan_action_slices(spark, root, "click", start=4).select(
+        "mac", "event_id", F.col("_slice").alias("slice"))
+
+
 # ---------------------------------------------------------------- streaming
 @query("stream_action_dedupe")
 def q_stream_action_dedupe(spark, d):

@@ -78,7 +78,8 @@ def test_textrank_paths_agree(spark):
 
 def test_idf_formula(spark):
     words = spark.createDataFrame([(1, "c", ["a", "b", "a"]), (2, "c", ["a"])], "movie_id long, cate_id string, words array<string>")
-    terms = TO.doc_terms(words)
+    terms = words.select("movie_id", "cate_id", F.explode("words").alias("keyword")).groupBy(
+        "movie_id", "cate_id", "keyword").agg(F.count(F.lit(1)).alias("tf"))
     idf = {r.keyword: r.idf for r in TO.fit_idf(terms).collect()}
     assert math.isclose(idf["a"], math.log(3 / 3)) and math.isclose(idf["b"], math.log(3 / 2))
     tf = {(r.movie_id, r.keyword): (r.tf, r.tfidf) for r in TO.explode_tfidf(terms, TO.fit_idf(terms)).collect()}
