@@ -48,6 +48,7 @@ KEYWORD_TOPK = 30
 PROFILE_TOPK = 30
 VECTOR_DIM = 100
 W2V_MIN_COUNT = 3
+W2V_PARTITIONS = 8                  # parts of the corpus that Word2Vec is trained on side by side
 NEIGHBOURS_K = 100
 CLUSTERS_K = 50
 MIN_CLUSTER_SIZE = 800

@@ -10,6 +10,8 @@ A final top-K per query merges the blocks.  The work per task is bounded by
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -18,6 +20,7 @@ from pyspark.sql import types as T
 
 from reelcast import config as C
 from reelcast.operators.ranking import top_k
+from reelcast.session import stage_table
 
 
 def _block_scorer(metric: str, k: int, exclude_self: bool, digits: int, keys: list[str]):
@@ -112,11 +115,11 @@ def cosine_in_cluster(vectors: DataFrame, cluster: str, k: int = C.NEIGHBOURS_K,
     return nb.withColumnRenamed("score", "cos_sim")
 
 
-def knn_exact_l2(vectors: DataFrame, k: int = 10, block_size: int = 1024) -> DataFrame:
-    """k nearest items by squared L2 over the whole table (the item itself
-    included, as an index searched with its own vectors returns it first)."""
-    v = vectors.select("movie_id", "vec")
-    nb = block_topk(v, v, [], k, "l2", block_size, exclude_self=False)
+def knn_exact_l2(queries: DataFrame, vectors: DataFrame, k: int = 10, block_size: int = 1024) -> DataFrame:
+    """k nearest items by squared L2 for a stated table of queries, searched
+    against all items in blocks (an item that is a query finds itself first)."""
+    nb = block_topk(queries.select("movie_id", "vec"), vectors.select("movie_id", "vec"), [], k, "l2", block_size,
+                    exclude_self=False)
     return nb.withColumnRenamed("score", "distance")
 
 
@@ -137,14 +140,16 @@ def _nearest_lists(centroids: np.ndarray, nprobe: int):
     return run
 
 
-def ann_neighbours(vectors: DataFrame, k: int = C.NEIGHBOURS_K, nlist: int = 50, nprobe: int = C.ANN_PROBES,
+def ann_neighbours(vectors: DataFrame, k: int = C.NEIGHBOURS_K, nlist: int | None = None, nprobe: int = C.ANN_PROBES,
                    seed: int = C.SEED, block_size: int = 1024) -> DataFrame:
     """Inverted-file approximate neighbours: k-means coarse lists (MLlib),
     each item stored in its nearest list and searched in its ``nprobe``
-    nearest lists with exact cosine inside the lists."""
+    nearest lists with exact cosine inside the lists.  Without ``nlist`` the
+    number of lists grows with the square root of the rows."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
-    v = vectors.select("movie_id", "vec")
+    v = stage_table(vectors.select("movie_id", "vec"))      # read once per k-means round
+    nlist = nlist or max(1, math.ceil(math.sqrt(v.count())))
     km = KMeans(k=nlist, seed=seed, featuresCol="features").fit(v.withColumn("features", array_to_vector("vec")))
     cents = np.array([np.asarray(c, dtype="float64") for c in km.clusterCenters()])  # nlist x dim, a parameter
     schema = T.StructType(list(v.schema.fields) + [T.StructField("list_id", T.IntegerType()),
@@ -179,10 +184,13 @@ def lsh_neighbours(vectors: DataFrame, k: int = 10, bucket_length: float = 2.0,
 
 
 # ---------------------------------------------------------------- models
-def fit_word2vec(words: DataFrame, dim: int = C.VECTOR_DIM, min_count: int = C.W2V_MIN_COUNT, seed: int = C.SEED):
-    """MLlib Word2Vec over token lists (``words`` column)."""
+def fit_word2vec(words: DataFrame, dim: int = C.VECTOR_DIM, min_count: int = C.W2V_MIN_COUNT, seed: int = C.SEED,
+                 partitions: int = C.W2V_PARTITIONS):
+    """MLlib Word2Vec over token lists (``words`` column), trained on
+    ``partitions`` parts of the corpus whose vectors are averaged."""
     from pyspark.ml.feature import Word2Vec
-    return Word2Vec(vectorSize=dim, minCount=min_count, seed=seed, inputCol="words", outputCol="w2v").fit(words)
+    return Word2Vec(vectorSize=dim, minCount=min_count, seed=seed, numPartitions=partitions,
+                    inputCol="words", outputCol="w2v").fit(words)
 
 
 def word_vectors(model) -> DataFrame:
@@ -219,7 +227,7 @@ def cluster_items(vectors: DataFrame, k: int = C.CLUSTERS_K, min_size: float = C
     """BisectingKMeans on item vectors; returns (assignments, model)."""
     from pyspark.ml.clustering import BisectingKMeans
     from pyspark.ml.functions import array_to_vector
-    v = vectors.withColumn("features", array_to_vector("vec"))
+    v = stage_table(vectors).withColumn("features", array_to_vector("vec"))
     model = BisectingKMeans(k=k, minDivisibleClusterSize=min_size, seed=seed, featuresCol="features",
                             predictionCol="group").fit(v)
     return model.transform(v).drop("features"), model

@@ -331,7 +331,9 @@ def q_cosine_in_cluster(spark, d):
 
 @query("knn_exact_l2")
 def q_knn_exact_l2(spark, d):
-    return V.knn_exact_l2(S.item_vectors(spark, d), 10)
+    """Queries: the items whose id is divisible by 100."""
+    v = S.item_vectors(spark, d)
+    return V.knn_exact_l2(v.where("movie_id % 100 = 0"), v, 10)
 
 
 @query("topk_neighbours")
@@ -342,7 +344,7 @@ def q_topk_neighbours(spark, d):
 
 @query("ann_neighbours")
 def q_ann_neighbours(spark, d):
-    return V.ann_neighbours(S.item_vectors(spark, d), k=10, nlist=10, nprobe=3)
+    return V.ann_neighbours(S.item_vectors(spark, d), k=10, nprobe=3)
 
 
 @query("lsh_pairs")
@@ -363,15 +365,12 @@ def q_agg_vector_mean(spark, d):
 
 @query("fit_word2vec")
 def q_fit_word2vec(spark, d):
-    words = TO.cut_words(S.documents(spark, d), "summary")
-    return V.word_vectors(V.fit_word2vec(words, dim=C.VECTOR_DIM, min_count=C.W2V_MIN_COUNT))
+    return S.word_vectors(spark, d)
 
 
 @query("item_vector")
 def q_item_vector(spark, d):
-    words = TO.cut_words(S.documents(spark, d), "summary")
-    wv = V.word_vectors(V.fit_word2vec(words, dim=C.VECTOR_DIM, min_count=C.W2V_MIN_COUNT))
-    return V.item_vector(S.text_chain(spark, d)["topic_weights"], wv)
+    return V.item_vector(S.text_chain(spark, d)["topic_weights"], S.word_vectors(spark, d))
 
 
 @query("cluster_items")

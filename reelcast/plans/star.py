@@ -224,7 +224,7 @@ def text_chain(spark, d) -> Chain:
     return Chain({
         "docs": lambda c: documents(spark, d),
         "words": lambda c: TO.cut_words(c["docs"], "summary"),
-        "terms": lambda c: TO.text_terms(c["docs"], "summary"),
+        "terms": lambda c: persisted(spark, d, "terms", lambda: TO.text_terms(c["docs"], "summary")),
         "idf": lambda c: TO.fit_idf(c["terms"]),
         "tfidf": lambda c: persisted(spark, d, "tfidf", lambda: TO.explode_tfidf(c["terms"], c["idf"])),
         # textrank and topic weights are the chain's persisted tables: reliable
@@ -242,6 +242,14 @@ def text_chain(spark, d) -> Chain:
     })
 
 
+def word_vectors(spark, d) -> DataFrame:
+    """Word vectors of ``documents``: the model is fitted once for a version of the input, its table read after."""
+    from reelcast.operators import text as TO
+    from reelcast.operators import vectors as V
+    return persisted(spark, d, "word_vectors", lambda: V.word_vectors(V.fit_word2vec(
+        TO.cut_words(documents(spark, d), "summary"), dim=C.VECTOR_DIM, min_count=C.W2V_MIN_COUNT)))
+
+
 def factor_tables(spark, d) -> Chain:
     year = lambda c, **kw: FA.year_factor(c["catalog"], NOW_YEAR, variety=STAR_CHANNELS.variety, **kw)
     return Chain({
