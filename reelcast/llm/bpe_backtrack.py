@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 # the pre-tokeniser pattern of the byte-level vocabularies (fixed value, public GPT-2 pattern)
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # pieces and pre-tokens a worker keeps at most; a table starts anew beyond it (a cache: results do not change)
-MAX_CACHED = 500_000
-SLICE_CHARS = 2 << 20
+MAX_CACHED = 400_000
+SLICE_CHARS = 1 << 20
 
 
 def default_vocabulary() -> str:
@@ -44,48 +44,68 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Vocabulary:
-    """Token bytes, merge results and special strings of one tokenizer file."""
+class TokenBytes:
+    """The bytes of every token of one tokenizer file, with an offset table: all that decoding needs."""
 
     def __init__(self, path: str):
-        import ahocorasick
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+            self._load(json.load(f))
+
+    def _load(self, spec: dict) -> None:
         letters = _byte_letters()
-        raw = lambda token: bytes(letters[c] for c in token)
+        self.raw = lambda token: bytes(letters[c] for c in token)
         vocab = spec["model"]["vocab"]
-        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        size = max([*vocab.values(), *special.values()]) + 1
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        size = max([*vocab.values(), *self.special.values()]) + 1
         self.bytes: list[bytes] = [b""] * size
         for token, number in vocab.items():
-            self.bytes[number] = token.encode() if token in special else raw(token)
-        for token, number in special.items():
+            self.bytes[number] = token.encode() if token in self.special else self.raw(token)
+        for token, number in self.special.items():
             self.bytes[number] = token.encode()
-        self.special = special
-        self.of_bytes = {raw(t): i for t, i in vocab.items() if t not in special}
-        # merge rank and result by pair; the pair that makes each token
+        lengths = np.fromiter(map(len, self.bytes), np.int64, size)
+        self.offsets = np.concatenate([[0], np.cumsum(lengths)])
+        self.blob = np.frombuffer(b"".join(self.bytes), np.uint8)
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """Text of every run of ids; bytes that are no UTF-8 become U+FFFD.  Null ids and ids outside the
+        vocabulary count as nothing."""
+        bad = (ids < 0) | (ids >= len(self.offsets) - 1)
+        safe = np.where(bad, 0, ids)
+        starts = self.offsets[safe]
+        n = np.where(bad, 0, self.offsets[safe + 1] - starts)
+        ends = np.concatenate([[0], np.cumsum(n)])
+        data = self.blob[np.repeat(starts - ends[:-1], n) + np.arange(int(ends[-1]))].tobytes()
+        border = ends[offsets]
+        return [data[border[i]:border[i + 1]].decode("utf-8", "replace") for i in range(len(offsets) - 1)]
+
+
+class Vocabulary(TokenBytes):
+    """Token bytes and what encoding needs: merge orders, the automaton, shorter tokens, the pair table."""
+
+    def _load(self, spec: dict) -> None:
+        import ahocorasick
+        super()._load(spec)
+        vocab = spec["model"]["vocab"]
+        self.of_bytes = {self.raw(t): i for t, i in vocab.items() if t not in self.special}
+        # merge rank by pair; the pair that makes each token
         self.rank: dict[tuple[int, int], int] = {}
-        self.made: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
         for order, merge in enumerate(spec["model"]["merges"]):
             a, b = merge.split(" ") if isinstance(merge, str) else merge
             pair = (vocab[a], vocab[b])
-            self.rank[pair], self.made[pair] = order, vocab[a + b]
+            self.rank[pair] = order
             self.parts.setdefault(vocab[a + b], pair)
+        self.of_text = {token.decode("latin-1"): number for token, number in self.of_bytes.items()}
         self.automaton = ahocorasick.Automaton()
-        for token, number in self.of_bytes.items():
-            self.automaton.add_word(token.decode("latin-1"), (len(token) - 1, number))
+        for token, number in self.of_text.items():
+            self.automaton.add_word(token, (len(token) - 1, number))
         self.automaton.make_automaton()
-        self.of_text = {token.decode("latin-1"): number for token, number in self.of_bytes.items()}
         self.size = list(map(len, self.bytes))
         self.shorter: dict[int, int] = {}       # longest proper prefix that is a token
         for token, number in self.of_bytes.items():
             self.shorter[number] = next((self.of_bytes[token[:k]] for k in range(len(token) - 1, 0, -1)
                                          if token[:k] in self.of_bytes), -1)
         self.pairs: dict[int, bool] = {}
-        lengths = np.fromiter(map(len, self.bytes), np.int64, size)
-        self.offsets = np.concatenate([[0], np.cumsum(lengths)])
-        self.blob = np.frombuffer(b"".join(self.bytes), np.uint8)
 
     def _formed(self, token: int) -> int:
         """Order in which the token is formed (-1: a single byte)."""
@@ -154,7 +174,14 @@ class Vocabulary:
             last = out[-1] if out else -1
 
 
-_LOADED: dict[str, "Encoder"] = {}
+_LOADED: dict[tuple[type, str], object] = {}
+
+
+def _loaded(kind: type, path: str):
+    """One object of a kind and file in each worker."""
+    if (kind, path) not in _LOADED:
+        _LOADED[kind, path] = kind(path)
+    return _LOADED[kind, path]
 
 
 class Encoder:
@@ -173,12 +200,6 @@ class Encoder:
         self.words: dict[str, list[int]] = {}
         self.reset()
 
-    @classmethod
-    def at(cls, path: str) -> "Encoder":
-        if path not in _LOADED:
-            _LOADED[path] = cls(path)
-        return _LOADED[path]
-
     def reset(self) -> None:
         self.flat, self.ends = array("i"), array("q", [0])
         encoder = self
@@ -247,19 +268,6 @@ class Encoder:
             ids = flat[index]
         return ids, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
 
-    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
-        """Text of every run of ids; bytes that are no UTF-8 become U+FFFD.  Null ids and ids outside the
-        vocabulary count as nothing."""
-        v = self.vocabulary
-        bad = (ids < 0) | (ids >= len(v.offsets) - 1)
-        safe = np.where(bad, 0, ids)
-        starts = v.offsets[safe]
-        n = np.where(bad, 0, v.offsets[safe + 1] - starts)
-        ends = np.concatenate([[0], np.cumsum(n)])
-        data = v.blob[np.repeat(starts - ends[:-1], n) + np.arange(int(ends[-1]))].tobytes()
-        border = ends[offsets]
-        return [data[border[i]:border[i + 1]].decode("utf-8", "replace") for i in range(len(offsets) - 1)]
-
 
 def _slices(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     lo, n = 0, len(sizes)
@@ -279,7 +287,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     kind = dict(df.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.at(path)
+        encoder = _loaded(Encoder, path)
         for batch in batches:
             texts = batch.column(1)
             sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
@@ -300,7 +308,7 @@ def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", vocabula
     kind = dict(df.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.at(path)
+        table = _loaded(TokenBytes, path)
         for batch in batches:
             lists = batch.column(1)
             if lists.null_count:
@@ -310,7 +318,7 @@ def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", vocabula
                 part = lists.slice(lo, hi - lo)
                 offsets = np.asarray(part.offsets, np.int64)
                 flat = part.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).fill_null(-1)
-                texts = encoder.decode(np.asarray(flat, np.int64), offsets - offsets[0])
+                texts = table.decode(np.asarray(flat, np.int64), offsets - offsets[0])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), part,
                                                   pa.array(texts, pa.string())], names=["id", "ids", "decoded"])
 

@@ -142,11 +142,11 @@ def test_bpe_survives_full_tables(monkeypatch):
         ids, offsets = e.encode(texts)
         for i, text in enumerate(texts):
             assert ids[offsets[i]:offsets[i + 1]].tolist() == t.encode(text, add_special_tokens=False).ids
-        assert e.decode(ids.astype(np.int64), offsets) == texts
+        assert e.vocabulary.decode(ids.astype(np.int64), offsets) == texts
 
 
 def test_pair_table_agrees_with_merging():
-    v, t = bpe_backtrack.Encoder.at(bpe_backtrack.default_vocabulary()).vocabulary, library()
+    v, t = bpe_backtrack.Vocabulary(bpe_backtrack.default_vocabulary()), library()
     rng = random.Random(2)
     letters = [i for i, b in enumerate(v.bytes) if b.isalpha() and b.isascii()]
     for _ in range(3000):
