@@ -1,12 +1,10 @@
 """Catalogue text -> tokens -> TF-IDF and TextRank keyword weights.
 
 Vocabulary and IDF are plain grouped aggregates over exploded tokens (the
-SQL twin of CountVectorizer/IDF; the MLlib models are in
-:mod:`reelcast.operators.models`).  TextRank builds every document's
-co-occurrence graph with array functions inside the row (no shuffle), counts
-edges with one ``groupBy``, and runs the fixed number of PageRank iterations
-per document graph (a document is bounded by its own length) in an
-Arrow-batched ``applyInPandas``.
+SQL twin of CountVectorizer/IDF).  TextRank counts every document's
+co-occurrence pairs and runs the fixed number of PageRank iterations on its
+graph (bounded by the document's own length) in an Arrow-batched
+``mapInPandas``; the edge table alone is also built with array functions.
 """
 
 from __future__ import annotations
