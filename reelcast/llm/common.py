@@ -1,43 +1,22 @@
-"""Helpers shared by the operators of this subpackage: shared-folder stage tables, checked broadcasts, text blocks."""
+"""Helpers shared by the operators of this subpackage: checked broadcasts, text blocks, hashes, vector sums."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelcast.session import stage_table  # noqa: F401
+
 # rows up to which a small side is broadcast after it was counted; beyond it Spark plans a shuffled join
 BROADCAST_ROWS = 200_000
 # bytes of text that one vectorised block holds at most (a longer single text is its own block)
 BLOCK_BYTES = (1 << 20) - 1
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where unset, one beside the warehouse (both are shared by all
-    executors)."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    root = sc.getConf().get("spark.checkpoint.dir", None) or (
-        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages")
-    sc.setCheckpointDir(root)
-    return sc.getCheckpointDir()
-
-
-def stage_table(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back: cuts the lineage, survives lost
-    executors, and the rows are computed once however often they are read."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only after counting at most ``max_rows + 1`` rows; a larger side is left to a shuffled join."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
