@@ -183,7 +183,7 @@ def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
     sample = scored.where(F.col("known") & held & (F.col("n") > 0))
     mean = -F.sum("log_p") / F.sum("n")
     overall = sample.agg(mean.alias("m")).collect()[0]["m"]
-    means = sample.groupBy("l_lang").agg(mean.alias("mean"))
+    means = sized_broadcast(stage_table(sample.groupBy("l_lang").agg(mean.alias("mean"))))
 
     def shrunk(frame: DataFrame) -> DataFrame:
         at = F.coalesce(F.col("mean"), F.lit(overall).cast("double"), F.lit(0.0))
@@ -192,7 +192,7 @@ def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
 
     cut = F.percentile_approx("shrunk", quantile, 100_000)
     limits = shrunk(sample)
-    by_lang = limits.groupBy("l_lang").agg(cut.alias("own"))
+    by_lang = sized_broadcast(stage_table(limits.groupBy("l_lang").agg(cut.alias("own"))))
     every = limits.agg(cut.alias("all")).collect()[0]["all"]
     limit = F.coalesce(F.col("own"), F.lit(every).cast("double")) * (1 + SPREAD)
     out = shrunk(scored).join(by_lang, "l_lang", "left").withColumn("threshold", limit)
