@@ -108,12 +108,12 @@ def _counts_by(scored: DataFrame, keys: list[str], n: int, name: str) -> DataFra
 
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared_col: str | None = "lang",
              host_col: str | None = "source") -> DataFrame:
-    """(id, lang, posterior, n_grams, declared, accepted), one row per input row.
+    """(id, lang, posterior, n_grams, declared, kept), one row per input row.
 
-    A document is accepted when its text has letters and the best language's posterior reaches ``MIN_POSTERIOR``;
-    else its language is ``und``.  Null or empty text, or text without letters: not accepted.  A null or malformed
+    A document is kept when its text has letters and the best language's posterior reaches ``MIN_POSTERIOR``;
+    else its language is ``und``.  Null or empty text, or text without letters: not kept.  A null or malformed
     declaration is no evidence, a null host is one host of its own without suffix, ties go to the first code.  With
-    no declared language in the whole table nothing can be learned and nothing is accepted.  Other columns are not
+    no declared language in the whole table nothing can be learned and nothing is kept.  Other columns are not
     read; an empty table gives an empty result.
     """
     empty = F.lit(None).cast("string")
@@ -126,7 +126,7 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", decl
     n = len(codes)
     if not n:
         return rows.select(F.col("id").alias(id_col), F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("posterior"),
-                           F.lit(0).cast("long").alias("n_grams"), "declared", F.lit(False).alias("accepted"))
+                           F.lit(0).cast("long").alias("n_grams"), "declared", F.lit(False).alias("kept"))
     grams = np.stack([np.log((c + SMOOTHING) / (c.sum() + SMOOTHING * FEATURES)) for c in counts.values()])
     scored = _scores(rows, grams)
     best = F.array_position("ll", F.array_max("ll")) - 1
@@ -165,13 +165,13 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", decl
                             F.element_at(names, F.array_position("w", top).cast("int")).alias("best"))
     accepted = (F.col("n_grams") > 0) & (F.col("posterior") >= MIN_POSTERIOR)
     return judged.select(F.col("id").alias(id_col), F.when(accepted, F.col("best")).otherwise(UNKNOWN).alias("lang"),
-                         "posterior", "n_grams", "declared", accepted.alias("accepted"))
+                         "posterior", "n_grams", "declared", accepted.alias("kept"))
 
 
 def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared_col: str = "lang",
                     host_col: str = "source") -> DataFrame:
-    """The rows of ``df`` whose language was accepted, all their columns unchanged."""
-    out = identify(df, id_col, text_col, declared_col, host_col).where("NOT accepted").select(
+    """The rows of ``df`` whose language was named, all their columns unchanged."""
+    out = identify(df, id_col, text_col, declared_col, host_col).where("NOT kept").select(
         F.col(id_col).alias("_bad_id"))
     return df.join(out, df[id_col].eqNullSafe(out["_bad_id"]), "left_anti")
 

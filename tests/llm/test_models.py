@@ -91,7 +91,7 @@ def test_language_edge_cases(spark):
     out = {r.doc_id: r for r in language_evidence.identify(docs(spark)).collect()}
     assert len(out) == len(corpus())
     for i in (36, 37, 38):
-        assert not out[i].accepted and out[i].lang == "und"
+        assert not out[i].kept and out[i].lang == "und"
     assert out[38].declared == "xx" and out[37].declared is None
     assert language_evidence.identify(empty(spark)).count() == 0
     assert language_evidence.keep_identified(docs(spark)).columns == docs(spark).columns
