@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 # the pre-tokeniser pattern of the byte-level vocabularies (fixed value, public GPT-2 pattern)
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # pieces and pre-tokens a worker keeps at most; a table starts anew beyond it (a cache: results do not change)
-MAX_CACHED = 400_000
+MAX_CACHED = 200_000
 SLICE_CHARS = 1 << 20
 
 
