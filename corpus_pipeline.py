@@ -15,7 +15,7 @@ from reelcast.llm.common import stage_table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is not accepted go."""
+    """Documents whose language is not identified go."""
     return language_evidence.keep_identified(docs)
 
 

@@ -238,8 +238,8 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` whose id is the smallest of its component, all their columns unchanged; rows with a null id
     stay."""
-    drop = jaccard_components(df, id_col, text_col).where(F.col("component_id") != F.col(id_col)).select(
-        F.col(id_col).alias("_drop_id"))
+    drop = sized_broadcast(stage_table(jaccard_components(df, id_col, text_col).where(
+        F.col("component_id") != F.col(id_col)).select(F.col(id_col).alias("_drop_id"))))
     return df.join(drop, df[id_col].cast("long") == drop["_drop_id"], "left_anti")
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelcast.llm.common import stage_table, sum_vectors, utf8_blocks
+from reelcast.llm.common import sized_broadcast, stage_table, sum_vectors, utf8_blocks
 
 FEATURES = 1 << 15
 TEMPER = 0.2                # neighbouring trigrams overlap: their joint evidence is scaled down
@@ -171,8 +171,8 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", decl
 def keep_identified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared_col: str = "lang",
                     host_col: str = "source") -> DataFrame:
     """The rows of ``df`` whose language was named, all their columns unchanged."""
-    out = identify(df, id_col, text_col, declared_col, host_col).where("NOT kept").select(
-        F.col(id_col).alias("_bad_id"))
+    out = sized_broadcast(stage_table(identify(df, id_col, text_col, declared_col, host_col).where("NOT kept").select(
+        F.col(id_col).alias("_bad_id"))))
     return df.join(out, df[id_col].eqNullSafe(out["_bad_id"]), "left_anti")
 
 

@@ -137,7 +137,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without any hit, all their columns unchanged."""
-    bad = decontaminate(docs, items, id_col, text_col).where("contaminated").select(F.col(id_col).alias("_bad_id"))
+    bad = sized_broadcast(stage_table(decontaminate(docs, items, id_col, text_col).where("contaminated").select(
+        F.col(id_col).alias("_bad_id"))))
     return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad_id"]), "left_anti")
 
 
