@@ -204,6 +204,6 @@ def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
 
 
 def op1_kneser_ney(spark, sf_dir: str) -> DataFrame:
-    """Trained on the documents that ``labels`` calls good."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")
+    """Trained on the documents that ``labels`` calls good and not toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1 AND toxic = 0")
     return classify(spark.read.parquet(f"{sf_dir}/documents.parquet"), labels.select("doc_id"))

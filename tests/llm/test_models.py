@@ -76,6 +76,19 @@ def test_classifier_keeps_clean_text_and_drops_junk(spark):
     assert all(r.kept == (r.perplexity is not None) for r in no_trust)
 
 
+def test_toxic_labels_are_not_trusted(spark, tmp_dir):
+    """Documents called good but toxic neither train the model nor set a threshold: such text is dropped."""
+    rng = random.Random(11)
+    slurs = lambda: " ".join(rng.choice(["zjqx", "vkwz", "qqxv", "xzkj"]) + str(rng.random()) for _ in range(40))
+    rows = [(i, words(rng, 60), "en", None) for i in range(100)] + [(100 + i, slurs(), "en", None) for i in range(25)]
+    docs(spark, rows, repeat=False).write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i >= 100)) for i in [*range(100), *range(100, 120)]],
+                          "doc_id long, quality long, toxic long").write.parquet(f"{tmp_dir}/labels.parquet")
+    out = {r.doc_id: r for r in kneser_ney.op1_kneser_ney(spark, tmp_dir).collect()}
+    assert all(out[i].trusted and out[i].kept for i in range(100))
+    assert not any(out[i].trusted or out[i].kept for i in range(100, 125))
+
+
 def test_language_without_declaration_on_held_out_documents(spark):
     """Text evidence alone names the language of documents whose declaration is hidden."""
     from pyspark.sql import functions as F
