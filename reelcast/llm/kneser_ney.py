@@ -157,9 +157,9 @@ def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
     id, sets the thresholds.  A language without trusted
     documents has the threshold of all trusted documents together; without any trusted text every unit is equally
     likely, there is no threshold, and every document with text is kept.  Null or empty texts have no perplexity and are
-    not kept; a null language is a language of its own; of rows that share an id all are trusted or none; rows repeated
-    whole give one row when the model needs several shards.  Other columns are not read; an empty table gives an empty
-    result.
+    not kept; a null language is a language of its own; of rows that share an id all are trusted or none; a row
+    repeated whole counts and comes back as often as it stands there.  The result does not depend on ``shard_entries``.
+    Other columns are not read; an empty table gives an empty result.
     """
     names = sized_broadcast(trusted.select(F.col(id_col).alias("t_id")).where("t_id IS NOT NULL").distinct())
     rows = df.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(id_col).alias("id"),
@@ -174,11 +174,18 @@ def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
         part = model.where(F.pmod(F.xxhash64("g"), F.lit(shards)) == shard).toArrow()
         grams = np.asarray(part["g"].combine_chunks(), np.int64).astype(np.uint64)
         order = np.argsort(grams)
-        logs = np.asarray(part["l"].combine_chunks(), np.float32)[order].astype(np.float64)
+        # multiples of 2**-20 add up exactly, so sums are equal in any order and for any number of shards
+        logs = np.round(np.asarray(part["l"].combine_chunks(), np.float64)[order] * 2.0 ** 20) / 2.0 ** 20
         one = _add_up(rows, grams[order], logs)
         scored = one if scored is None else scored.union(one)
     if shards > 1:
-        scored = scored.groupBy("key", "id", "lang", "known").agg(F.sum("log_p").alias("log_p"), F.sum("n").alias("n"))
+        # rows repeated whole share a group: it holds ``copies`` rows of each shard, and gives ``copies`` rows again
+        copies = (F.count(F.lit(1)) / shards).cast("long")
+        scored = scored.groupBy("key", "id", "lang", "known").agg(
+            F.sum("log_p").alias("log_p"), F.sum("n").alias("n"), copies.alias("copies")).select(
+            "key", "id", "lang", "known", (F.col("log_p") / F.col("copies")).alias("log_p"),
+            (F.col("n") / F.col("copies")).cast("long").alias("n"),
+            F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("col")
     scored = stage_table(scored.withColumn("l_lang", F.coalesce("lang", F.lit(""))))
     sample = scored.where(F.col("known") & held & (F.col("n") > 0))
     mean = -F.sum("log_p") / F.sum("n")

@@ -89,6 +89,19 @@ def test_toxic_labels_are_not_trusted(spark, tmp_dir):
     assert not any(out[i].trusted or out[i].kept for i in range(100, 125))
 
 
+def test_repeated_rows_score_alike_for_any_number_of_shards(spark):
+    rng = random.Random(6)
+    rows = [(i, words(rng, 8 + i % 20), "en", None) for i in range(40)] + [(50, None, None, None)]
+    df = docs(spark, rows, repeat=False)
+    df = df.union(df.where("doc_id % 5 = 0")).union(df.where("doc_id % 10 = 0"))
+    trusted = spark.range(0, 30).toDF("doc_id")
+    result = lambda size: sorted(map(tuple, kneser_ney.classify(df, trusted, shard_entries=size).collect()),
+                                 key=str)
+    one = result(kneser_ney.SHARD_ENTRIES)
+    assert len(one) == 41 + 9 + 5 and {r[0]: r[2] for r in one}[10] == len(rows[10][1])
+    assert result(400) == one
+
+
 def test_language_without_declaration_on_held_out_documents(spark):
     """Text evidence alone names the language of documents whose declaration is hidden."""
     from pyspark.sql import functions as F
