@@ -11,7 +11,9 @@ so counts are exact.  Word n-grams would need a row per word and document in a s
    (a proven bound of 24 MB) and adds its part of every document's log probability; the parts are summed by document.
    Texts are never shuffled.
 4. A document is kept when its perplexity, drawn towards its language's mean by ``SHRINK_UNITS`` units, is at most
-   the ``QUANTILE`` of its language's trusted documents that the model has not been trained on.
+   the ``QUANTILE`` of its language's trusted documents that the model has not been trained on.  By their number, mean
+   and quantile of a language are smoothed: the mean towards that of all languages, the quantile towards the larger of
+   that of all languages and the language's mean with the spread that documents of all languages have around theirs.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ QUANTILE = 0.99
 SPREAD = 0.05               # a threshold is this share above the quantile: the quantile itself is a sample's
 HELD_OUT = 5                # every fifth trusted document sets thresholds instead of training the model
 SHRINK_UNITS = 64           # units at the language's mean that are added to a text, so that short texts vary less
+MEAN_DOCS = 10              # held-out documents at which a language's own mean has half the weight
+QUANTILE_DOCS = 100         # the same for its own quantile: fewer documents hold no 0.99 quantile
 FLUSH = 1_000_000           # distinct n-grams a task holds before it sends them on
 
 _FOLD = np.arange(256, dtype=np.uint64)
@@ -190,18 +194,26 @@ def classify(df: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
     sample = scored.where(F.col("known") & held & (F.col("n") > 0))
     mean = -F.sum("log_p") / F.sum("n")
     overall = sample.agg(mean.alias("m")).collect()[0]["m"]
-    means = sized_broadcast(stage_table(sample.groupBy("l_lang").agg(mean.alias("mean"))))
+    centre = (F.col("docs") * F.col("own_mean") + MEAN_DOCS * F.lit(overall).cast("double")) / (
+        F.col("docs") + MEAN_DOCS)
+    means = sized_broadcast(stage_table(sample.groupBy("l_lang").agg(mean.alias("own_mean"), F.count(F.lit(1)).alias(
+        "docs")).withColumn("mean", centre)))
 
     def shrunk(frame: DataFrame) -> DataFrame:
         at = F.coalesce(F.col("mean"), F.lit(overall).cast("double"), F.lit(0.0))
         return frame.join(means, "l_lang", "left").withColumn("shrunk", F.when(F.col("n") > 0, F.exp(
             (-F.col("log_p") + SHRINK_UNITS * at) / (F.col("n") + SHRINK_UNITS)))).drop("mean")
 
-    cut = F.percentile_approx("shrunk", quantile, 100_000)
-    limits = shrunk(sample)
-    by_lang = sized_broadcast(stage_table(limits.groupBy("l_lang").agg(cut.alias("own"))))
-    every = limits.agg(cut.alias("all")).collect()[0]["all"]
-    limit = F.coalesce(F.col("own"), F.lit(every).cast("double")) * (1 + SPREAD)
+    cut = lambda x: F.percentile_approx(x, quantile, 100_000)
+    limits = stage_table(shrunk(sample))
+    by_lang = sized_broadcast(stage_table(limits.groupBy("l_lang").agg(cut(F.col("shrunk")).alias("own"))))
+    # the quantile over all languages, and how far it lies above a language's own mean
+    every, above = limits.agg(cut(F.col("shrunk")), cut(F.col("shrunk") / F.exp("own_mean"))).collect()[0]
+    every, above = F.lit(every).cast("double"), F.greatest(F.lit(above).cast("double"), F.lit(1.0))
+    # a mean over few documents is uncertain itself: the spread of a new document around it is wider
+    likely = F.greatest(every, F.exp("own_mean") * F.pow(above, F.sqrt(1 + 1 / F.col("docs"))))
+    smoothed = (F.col("docs") * F.col("own") + QUANTILE_DOCS * likely) / (F.col("docs") + QUANTILE_DOCS)
+    limit = F.coalesce(smoothed, every) * (1 + SPREAD)
     out = shrunk(scored).join(by_lang, "l_lang", "left").withColumn("threshold", limit)
     keep = F.coalesce(F.col("shrunk") <= F.coalesce("threshold", F.lit(float("inf"))), F.lit(False))
     return out.select(

@@ -102,6 +102,24 @@ def test_repeated_rows_score_alike_for_any_number_of_shards(spark):
     assert result(400) == one
 
 
+def test_one_held_out_document_does_not_set_a_language_threshold(spark):
+    """Clean text of a language with five trusted documents, of which one is held out, is kept; junk in it is not."""
+    from pyspark.sql import functions as F
+    rng = random.Random(9)
+    held = [r.id for r in spark.range(5000).where(F.pmod(F.xxhash64("id"), F.lit(5)) == 0).collect()]
+    trained = sorted(set(range(5000)) - set(held))
+    rare = [held[500], *trained[2000:2004]]
+    foreign = lambda n: " ".join(rng.choice(["und", "der", "nicht", "ist"]) + rng.choice(["", "e", "en"])
+                                 for _ in range(n))
+    rows = [(i, words(rng, 60), "en", None) for i in range(150)]
+    rows += [(i, "und der " * 40, "de", None) for i in rare[:2]] + [(i, foreign(60), "de", None) for i in rare[2:]]
+    rows += [(6000 + i, foreign(20 + 2 * i), "de", None) for i in range(20)]
+    rows += [(7000, "".join(chr(rng.randint(33, 126)) for _ in range(300)), "de", None)]
+    trusted = spark.createDataFrame([(i,) for i in [*range(150), *rare]], "doc_id long")
+    out = {r.doc_id: r for r in kneser_ney.classify(docs(spark, rows, repeat=False), trusted).collect()}
+    assert sorted(i for i in out if not out[i].kept) == [7000]
+
+
 def test_language_without_declaration_on_held_out_documents(spark):
     """Text evidence alone names the language of documents whose declaration is hidden."""
     from pyspark.sql import functions as F
