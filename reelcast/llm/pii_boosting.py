@@ -5,7 +5,7 @@
 2. Strict formats with their checks (ranges, digit counts, Luhn) mark the base spans, which always stay.
 3. Boosted trees learn base spans against candidates that fail the checks, from format and context features that do
    not contain the checks, on a bounded sample of candidates.
-4. Every kind has a threshold calibrated on held-out candidates: the lowest score from which on at least
+4. Every kind has a threshold calibrated on all held-out candidates: the lowest score from which on at least
    ``PRECISION`` of them are right.  Candidates beyond the base spans that reach it are added.
 
 Offsets count code points, end exclusive.
@@ -20,12 +20,12 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from reelcast.llm.common import stage_table
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_ROWS = 20_000        # candidates the trees are fitted on at most
-HELD_OUT_ROWS = 5_000       # candidates that thresholds are calibrated on at most
 PRECISION = 0.95
 LEAST_HELD_OUT = 20         # a kind with fewer held-out candidates above a score has no threshold there
 TREES, DEPTH = 10, 3
@@ -159,17 +159,14 @@ def fit(proposals: DataFrame):
     if train.select("label").distinct().count() < 2:
         return None, {}
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7).fit(_assembled(train))
-    check = stage_table(rows.where(held).orderBy("h", "key", "start").limit(HELD_OUT_ROWS))
-    scored = _score(model, check).select("kind", "label", "score").collect()     # at most HELD_OUT_ROWS rows
-    limits = {}
-    for kind in KINDS:
-        pairs = sorted(((r["score"], r["label"]) for r in scored if r["kind"] == kind), reverse=True)
-        right = 0.0
-        for i, (score, label) in enumerate(pairs, 1):
-            right += label
-            last_of_score = i == len(pairs) or pairs[i][0] < score
-            if last_of_score and i >= LEAST_HELD_OUT and right / i >= PRECISION:
-                limits[kind] = score
+    # the trees give few distinct scores, so the cumulated rows are few, however many candidates there are
+    scores = _score(model, rows.where(held)).groupBy("kind", "score").agg(
+        F.sum("label").alias("right"), F.count(F.lit(1)).alias("n"))
+    from_top = Window.partitionBy("kind").orderBy(F.desc("score"))
+    reached = stage_table(scores).select("kind", "score", F.sum("right").over(from_top).alias("right"),
+                                         F.sum("n").over(from_top).alias("n"))
+    good = reached.where((F.col("n") >= LEAST_HELD_OUT) & (F.col("right") / F.col("n") >= PRECISION))
+    limits = {r["kind"]: r["score"] for r in good.groupBy("kind").agg(F.min("score").alias("score")).collect()}
     return model, limits
 
 

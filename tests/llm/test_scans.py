@@ -182,3 +182,15 @@ def test_proximity_finds_reordered_neighbours(spark):
                                "doc_id long, text string")
     out = {r.doc_id: r for r in positional_index.decontaminate(df, bench).collect()}
     assert out[1].n_near == 1 and out[1].n_hit == 0 and out[2].n_near == 0
+
+
+def test_thresholds_come_from_all_held_out_candidates(spark):
+    """A kind that is rare among very many candidates of another kind has its threshold too."""
+    from pyspark.sql import functions as F
+    good = F.col("key") % 3 == 0
+    x = F.array(*[F.when(good, 1.0).otherwise(0.0) if f == "plus" else F.lit(0.0) for f in pii_boosting.FEATURES])
+    rows = spark.range(0, 200_900, numPartitions=4).select(
+        F.col("id").alias("key"), F.lit(0).alias("start"), F.when(F.col("id") < 900, "phone").otherwise("card").alias(
+            "kind"), F.lit(5).alias("end"), good.cast("int").alias("label")).withColumn("x", x)
+    model, limits = pii_boosting.fit(rows)
+    assert set(limits) == {"phone", "card"} and min(limits.values()) > 0.5
