@@ -12,6 +12,7 @@ up, as many as a pair that shares less cannot do without.
 Documents with equal sets are one class before the join.  Large groups of near copies are not expanded into all
 pairs: some rounds link each class only to one class of each posting list (the busiest first) and merge what links; then every
 candidate pair between *different* components is verified, so no link between components is missed.
+``jaccard_links`` and ``jaccard_join`` verify the candidate pairs inside components too and return every link.
 """
 
 from __future__ import annotations
@@ -176,13 +177,8 @@ def _candidates(hits: DataFrame, here: DataFrame) -> DataFrame:
     return both.where(F.size(F.array_intersect("tokens_u", "tokens_v")) >= _share()).select("u", "v")
 
 
-def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id), one row per input row.
-
-    Null or empty texts have no shingles and are components of their own; a text of fewer words than a shingle is one
-    shingle.  Rows that share an id share a component; a null id has a null component.  Ids are integers.  Other
-    columns are not read; an empty table gives an empty result.
-    """
+def _index(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(texts, sizes, members, classes, postings) of the prefix shingles that several classes have."""
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     docs = rows.where("id IS NOT NULL")
     found = stage_table(_prefixes(rows, _sketch(rows)))
@@ -198,7 +194,28 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     unpacked = lists.select("token", "rep", F.shiftright("meta", 32).alias("n"),
                             F.shiftright("meta", 4).bitwiseAND((1 << 28) - 1).alias("pos"),
                             F.col("meta").bitwiseAND(15).alias("k"))
+    return docs, found, named, classes, unpacked
+
+
+def _placed(here: DataFrame) -> DataFrame:
+    """Every posting with the number of its class's open shingles and its place among them."""
+    by_rep = Window.partitionBy("rep")
+    return stage_table(here.withColumn("open", F.count(F.lit(1)).over(by_rep)).withColumn(
+        "at", F.row_number().over(by_rep.orderBy("pos")) - 1))
+
+
+def _sided(here: DataFrame, side: str) -> DataFrame:
+    return here.withColumnsRenamed({x: side if x == "rep" else f"{x}_{side}" for x in here.columns if x != "token"})
+
+
+def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id), one row per input row.
 
+    Null or empty texts have no shingles and are components of their own; a text of fewer words than a shingle is one
+    shingle.  Rows that share an id share a component; a null id has a null component.  Ids are integers.  Other
+    columns are not read; an empty table gives an empty result.
+    """
+    docs, found, named, classes, unpacked = _index(df, id_col, text_col)
     labels = None
     links = None
     for turn in range(HUB_ROUNDS + 1):
@@ -208,9 +225,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         open_tokens = here.groupBy("token").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where(
             "l0 <> l1").select("token")
         here = here.join(open_tokens, "token")
-        by_rep = Window.partitionBy("rep")
-        here = stage_table(here.withColumn("open", F.count(F.lit(1)).over(by_rep)).withColumn(
-            "at", F.row_number().over(by_rep.orderBy("pos")) - 1))
+        here = _placed(here)
         names = ["rep", "n", "k", "pos", "open", "at", "label"]
         left = here.withColumnsRenamed({x: "u" if x == "rep" else f"{x}_u" for x in names})
         if turn < HUB_ROUNDS:
@@ -235,6 +250,37 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
                       F.coalesce("component", "id").alias("component_id"))
 
 
+def jaccard_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(u, v): every link between different shingle sets, also inside a component, u < v being the smallest ids with
+    these sets.  Of a group of n near copies that all link there are n (n - 1) / 2."""
+    docs, _, _, _, postings = _index(df, id_col, text_col)
+    return _links(docs, postings)
+
+
+def _links(docs: DataFrame, postings: DataFrame) -> DataFrame:
+    here = _placed(postings)
+    hits = _sided(here, "u").join(_sided(here, "v"), "token").where((F.col("u") < F.col("v")) & _hopeful())
+    return stage_table(_verify(stage_table(_candidates(hits, here)), docs).select("u", "v"))
+
+
+def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, class_id, n_links), one row per input row.
+
+    ``class_id`` is the smallest id with the same shingle set, ``n_links`` the number of other classes whose sets reach
+    the threshold with it (all of them verified).  A text without shingles is a class of its own without links; a null
+    id has a null class and no links."""
+    docs, found, named, classes, postings = _index(df, id_col, text_col)
+    links = _links(docs, postings)
+    counts = links.union(links.select("v", "u")).groupBy(F.col("u").alias("rep")).agg(
+        F.count(F.lit(1)).alias("n_links"))
+    member = named.select("id", "n", "s1", "s2").join(classes, ["n", "s1", "s2"]).groupBy("id").agg(
+        F.min("rep").alias("rep")).join(counts, "rep", "left")
+    out = found.select("id", "n").join(member, "id", "left")
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+                      F.coalesce("rep", "id").alias("class_id"),
+                      F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+
+
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` whose id is the smallest of its component, all their columns unchanged; rows with a null id
     stay."""

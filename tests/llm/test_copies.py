@@ -98,6 +98,30 @@ def test_jaccard_hub_group_and_threshold_border(spark):
     assert [r.component_id for r in out if r.doc_id is None] == [None]
 
 
+def test_join_returns_every_link_inside_components(spark):
+    """Links of a group of near copies, of which many do not link to each other, and of equal texts."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(60):
+        w = [f"w{j}" for j in range(60)]
+        for at in rng.choice(60, rng.integers(1, 3), replace=False):
+            w[at] = f"u{rng.integers(0, 40)}"
+        rows.append((i, " ".join(w)))
+    rows += [(100 + i, rows[i][1].upper()) for i in range(5)] + [(200, None), (201, "")]
+    sets = {i: shingles(t) for i, t in rows}
+    first = {}
+    for i in sorted(sets):
+        first.setdefault(sets[i] or i, i)
+    reps = sorted(i for s, i in first.items() if s in sets.values() and s)
+    link = lambda a, b: 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    want = {(a, b) for a in reps for b in reps if a < b and link(a, b)}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = jaccard_join.jaccard_links(df).collect()
+    assert len(got) == len(want) > 150 and {(r.u, r.v) for r in got} == want
+    out = {r.doc_id: (r.n_shingles, r.class_id, r.n_links) for r in jaccard_join.jaccard_join(df).collect()}
+    assert out == {i: (len(s), first[s or i], sum(first[s or i] in pair for pair in want)) for i, s in sets.items()}
+
+
 def test_prefix_choice_lengthens_for_common_shingles():
     rare, common = np.zeros(40), np.concatenate([np.zeros(5), np.full(35, 5000)])
     assert jaccard_join.choose_prefix(rare, 40)[0] == 1
