@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from reelcast.llm import (
-    bpe_backtrack, chunk_dedup, jaccard_join, kneser_ney, language_evidence, pii_boosting, positional_index, radix_dedup,
-    trigram_secrets, url_automaton)
+    bpe_backtrack, chunk_dedup, jaccard_join, kneser_ney, language_evidence, merkle_manifest, pii_boosting,
+    positional_index, radix_dedup, trigram_secrets, url_automaton)
 
 REGISTRY = {
     "op1_kneser_ney": kneser_ney.op1_kneser_ney,
@@ -18,10 +18,10 @@ REGISTRY = {
     "op8_pii_boosting": pii_boosting.op8_pii_boosting,
     "op9_radix_suffixes": radix_dedup.op9_radix_suffixes,
     "op10_url_filters": url_automaton.op10_url_filters,
+    "op11_merkle_manifest": merkle_manifest.op11_merkle_manifest,
 }
 
 
-
 def pipeline(spark, sf_dir: str):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -34,4 +34,5 @@ SQL = {
     "op5_trigram_secrets": trigram_secrets.ORACLE_SQL,
     "op7_positional_index": positional_index.ORACLE_SQL,
     "op10_url_filters": url_automaton.ORACLE_SQL,
+    "op11_merkle_manifest": merkle_manifest.ORACLE_SQL,
 }
