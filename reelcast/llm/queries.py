@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from reelcast.llm import (
     bpe_backtrack, chunk_dedup, jaccard_join, kneser_ney, language_evidence, merkle_manifest, pii_boosting,
-    positional_index, radix_dedup, trigram_secrets, url_automaton)
+    positional_index, radix_dedup, simhash_anchors, trigram_secrets, url_automaton)
 
 REGISTRY = {
     "op1_kneser_ney": kneser_ney.op1_kneser_ney,
@@ -19,6 +19,7 @@ REGISTRY = {
     "op9_radix_suffixes": radix_dedup.op9_radix_suffixes,
     "op10_url_filters": url_automaton.op10_url_filters,
     "op11_merkle_manifest": merkle_manifest.op11_merkle_manifest,
+    "op12_simhash_anchors": simhash_anchors.op12_simhash_anchors,
 }
 
 
