@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from reelcast.llm import (
-    bpe_backtrack, chunk_dedup, jaccard_join, kneser_ney, language_evidence, merkle_manifest, pii_boosting,
+    block_max_search, bpe_backtrack, chunk_dedup, jaccard_join, kneser_ney, language_evidence, merkle_manifest, pii_boosting,
     positional_index, radix_dedup, simhash_anchors, trigram_secrets, url_automaton)
 
 REGISTRY = {
@@ -20,6 +20,7 @@ REGISTRY = {
     "op10_url_filters": url_automaton.op10_url_filters,
     "op11_merkle_manifest": merkle_manifest.op11_merkle_manifest,
     "op12_simhash_anchors": simhash_anchors.op12_simhash_anchors,
+    "op13_block_max_search": block_max_search.op13_block_max_search,
 }
 
 
@@ -36,4 +37,5 @@ SQL = {
     "op7_positional_index": positional_index.ORACLE_SQL,
     "op10_url_filters": url_automaton.ORACLE_SQL,
     "op11_merkle_manifest": merkle_manifest.ORACLE_SQL,
+    "op13_block_max_search": block_max_search.ORACLE_SQL,
 }
