@@ -87,6 +87,21 @@ def explode_tfidf(terms: DataFrame, idf: DataFrame) -> DataFrame:
     return j.withColumn("tfidf", F.round(F.col("tf") * F.col("idf"), 4))
 
 
+def fit_idf_by(terms: DataFrame, by: str, key="movie_id") -> DataFrame:
+    """``fit_idf`` within each value of ``by`` (null is a value): a word's idf counts that group's documents only."""
+    n = terms.groupBy(F.col(by).alias("_by")).agg(F.countDistinct(key).alias("_n"))
+    df_ = terms.groupBy(by, "keyword").agg(F.count(F.lit(1)).alias("doc_freq"))
+    return df_.join(n, df_[by].eqNullSafe(n["_by"])).select(
+        by, "keyword", "doc_freq", F.log((F.col("_n") + 1) / (F.col("doc_freq") + 1)).alias("idf"))
+
+
+def explode_tfidf_by(terms: DataFrame, idf: DataFrame, by: str) -> DataFrame:
+    """``explode_tfidf`` with an idf table per value of ``by``."""
+    i = idf.select(F.col(by).alias("_by"), F.col("keyword").alias("_kw"), "idf")
+    j = terms.join(i, (terms["keyword"] == i["_kw"]) & terms[by].eqNullSafe(i["_by"])).drop("_by", "_kw")
+    return j.withColumn("tfidf", F.round(F.col("tf") * F.col("idf"), 4))
+
+
 # ---------------------------------------------------------------- textrank
 def textrank_edges(docs: DataFrame, text="summary", keys=("movie_id", "cate_id"), span=C.TEXTRANK_SPAN,
                    min_len=C.TEXTRANK_MIN_LEN, stop_words=None) -> DataFrame:

@@ -255,8 +255,20 @@ def keep_sql(t: str) -> str:
             f"OR (length({t}) = 2 AND {han})) AND NOT list_contains(STOPS, {t}))")
 
 
-def text_ctes() -> str:
+def text_ctes(by_channel: bool = False) -> str:
     stops = _stop_list()
+    idf = """
+ndocs AS MATERIALIZED (SELECT count(DISTINCT movie_id) AS n FROM terms),
+idf AS MATERIALIZED (SELECT keyword, count(DISTINCT movie_id) AS doc_freq,
+               ln(((SELECT n FROM ndocs) + 1) / (count(DISTINCT movie_id) + 1)) AS idf
+        FROM terms GROUP BY keyword),
+tfidf AS MATERIALIZED (SELECT t.movie_id, t.cate_id, t.keyword, t.tf, i.idf, ROUND(t.tf * i.idf, 4) AS tfidf
+          FROM terms t JOIN idf i ON t.keyword = i.keyword),""" if not by_channel else """
+ndocs AS MATERIALIZED (SELECT cate_id, count(DISTINCT movie_id) AS n FROM terms GROUP BY cate_id),
+idf AS MATERIALIZED (SELECT t.cate_id, keyword, ln((n + 1) / (count(DISTINCT movie_id) + 1)) AS idf
+        FROM terms t JOIN ndocs d ON t.cate_id IS NOT DISTINCT FROM d.cate_id GROUP BY t.cate_id, keyword, n),
+tfidf AS MATERIALIZED (SELECT t.movie_id, t.cate_id, t.keyword, t.tf, i.idf, ROUND(t.tf * i.idf, 4) AS tfidf
+          FROM terms t JOIN idf i ON t.keyword = i.keyword AND t.cate_id IS NOT DISTINCT FROM i.cate_id),"""
     raw = raw_tokens_sql("text")
     words = f"CASE WHEN length(text) <= 2 THEN [text] ELSE list_filter({raw}, lambda t: {keep_sql('t')}) END"
     iters = []
@@ -271,12 +283,7 @@ docs AS MATERIALIZED (SELECT d.doc_id AS movie_id, p.p_type AS cate_id, p.p_name
 words AS MATERIALIZED (SELECT movie_id, cate_id, {words} AS words FROM docs),
 terms AS MATERIALIZED (SELECT movie_id, cate_id, keyword, count(*) AS tf
           FROM (SELECT movie_id, cate_id, UNNEST(words) AS keyword FROM words) GROUP BY movie_id, cate_id, keyword),
-ndocs AS MATERIALIZED (SELECT count(DISTINCT movie_id) AS n FROM terms),
-idf AS MATERIALIZED (SELECT keyword, count(DISTINCT movie_id) AS doc_freq,
-               ln(((SELECT n FROM ndocs) + 1) / (count(DISTINCT movie_id) + 1)) AS idf
-        FROM terms GROUP BY keyword),
-tfidf AS MATERIALIZED (SELECT t.movie_id, t.cate_id, t.keyword, t.tf, i.idf, ROUND(t.tf * i.idf, 4) AS tfidf
-          FROM terms t JOIN idf i ON t.keyword = i.keyword),
+{idf}
 tr_raw AS MATERIALIZED (SELECT movie_id, cate_id, {raw} AS toks FROM docs),
 tr_pos AS (SELECT movie_id, cate_id, UNNEST(toks) AS t, generate_subscripts(toks, 1) AS pos FROM tr_raw),
 tr_keep AS MATERIALIZED (SELECT * FROM tr_pos WHERE {keep_sql('t')} AND length(t) >= 2),
@@ -313,8 +320,8 @@ topic_weights AS MATERIALIZED (SELECT a.movie_id, a.cate_id, a.keyword AS topic,
         "STOPS", stops)
 
 
-def text_sql(body: str) -> str:
-    return "WITH " + text_ctes() + "\n" + body
+def text_sql(body: str, by_channel: bool = False) -> str:
+    return "WITH " + text_ctes(by_channel) + "\n" + body
 
 
 SQL.update({
@@ -704,3 +711,18 @@ SELECT CAST(user_id AS VARCHAR) AS mac, event_id, slice FROM (
     + floor(((CASE WHEN day(ts) <= 10 THEN 10 WHEN day(ts) <= 20 THEN 20 ELSE 30 END) - 10) / 10) AS INT) AS slice
   FROM events WHERE event_type = 'click' AND user_id IS NOT NULL)
 WHERE slice >= 4"""
+
+
+# the channels of which some items come late (plans/queries.py: LATE_CHANNELS, LATE_MOD)
+_LATE = "{id} % 10 = 0 AND cate_id IN ('STANDARD', 'MEDIUM')"
+SQL.update({
+    "change_marker": f"""
+WITH docs AS (SELECT d.doc_id AS movie_id, p.p_type AS cate_id FROM documents d LEFT JOIN part p ON d.doc_id = p.p_partkey)
+SELECT movie_id, cate_id, 'new' AS change FROM docs WHERE {_LATE.format(id="movie_id")}""",
+    "incremental_items": text_sql(f"""
+SELECT t.*, CASE WHEN cate_id IN (SELECT cate_id FROM docs WHERE {_LATE.format(id="movie_id")}) THEN 2 ELSE 1 END AS run
+FROM topic_weights t""", by_channel=True),
+    "incremental_recall": item_sql(f"""
+SELECT i.*, CASE WHEN cate_id IN (SELECT cate_id FROM vec WHERE {_LATE.format(id="movie_id")}) THEN 2 ELSE 1 END AS run
+FROM item_final i"""),
+})

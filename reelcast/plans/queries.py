@@ -589,3 +589,46 @@ def q_topic_weights_direct(spark, d):
     """Incremental form: topic words joined with their idf x textrank weight."""
     c = S.text_chain(spark, d)
     return P.topic_weights_direct(c["top_idf_tr"], c["topics"], S.STAMP)
+
+
+# ---------------------------------------------------------------- incremental runs
+LATE_CHANNELS, LATE_MOD = ("STANDARD", "MEDIUM"), 10
+
+
+def _first_day(rows):
+    """The table as it is before the late items of some channels arrive."""
+    late = (F.col("movie_id") % LATE_MOD == 0) & F.coalesce(F.col("cate_id").isin(*LATE_CHANNELS), F.lit(False))
+    return rows.where(~late)
+
+
+def _two_runs(spark, d, name, rows, update):
+    """(tables, second run): a run before and one after the late items arrive."""
+    from reelcast.plans import incremental as INC
+    out = _place(spark, name)
+    update(_first_day(rows), out)
+    return INC.ChannelTables(spark, out), update(rows, out)
+
+
+@query("change_marker")
+def q_change_marker(spark, d):
+    """Keys that the second run finds changed, by channel."""
+    from reelcast.plans import incremental as INC
+    rows = S.documents(spark, d)
+    return INC.change_marker(INC.digests(_first_day(rows)), INC.digests(rows))
+
+
+@query("incremental_items")
+def q_incremental_items(spark, d):
+    """Topic weights (idf by channel) after the table grew in some channels, and the run that wrote each row."""
+    from reelcast.plans import incremental as INC
+    tables, _ = _two_runs(spark, d, "items", S.documents(spark, d), lambda rows, out: INC.update_items(spark, rows, out))
+    return tables.current(INC.item_stages(S.STAMP)[-1])
+
+
+@query("incremental_recall")
+def q_incremental_recall(spark, d):
+    """Item recall after vectors of some channels arrived, and the run that wrote each row."""
+    from reelcast.plans import incremental as INC
+    rows = S.item_vectors(spark, d).select("movie_id", "cate_id", "vec")
+    tables, _ = _two_runs(spark, d, "recall", rows, lambda v, out: INC.update_recall(spark, d, v, out))
+    return tables.current(INC.recall_stages(spark, d, S.STAMP)[-1])

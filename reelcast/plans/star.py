@@ -330,6 +330,14 @@ def item_chain(spark, d) -> Chain:
     })
 
 
+def item_recall(spark, d, neighbours: DataFrame, stamp: int = STAMP) -> DataFrame:
+    """Item recall from given neighbours (movie_id, movie_id2, cos_sim, cate_id): the tail of :func:`item_chain`."""
+    from reelcast.operators import recall as R
+    chain = item_chain(spark, d)
+    chain["candidates"] = neighbours.select("movie_id", "movie_id2", "cos_sim", "cate_id")
+    return R.item_recall_final(chain["rules"], FA.trailer_ids(chain["sources"]), chain["sources"], stamp, C.NEIGHBOURS_K)
+
+
 def similar_chain(spark, d) -> Chain:
     from reelcast.operators import recall as R
     return Chain({

@@ -74,6 +74,12 @@ def stage_table(df: DataFrame, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is there, asked through Spark's file system layer."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def input_version(spark: SparkSession, folder: str) -> str:
     """Digest of the names, sizes and modification times of all files below ``folder``, through Spark's file system
     layer (any store that Spark can read)."""
