@@ -14,6 +14,7 @@ Both run in Arrow batches; the vocabulary file's path is a parameter, read by ea
 
 from __future__ import annotations
 
+import hashlib
 import json
 from array import array
 from collections.abc import Iterator
@@ -26,8 +27,10 @@ from pyspark.sql import functions as F
 
 # the pre-tokeniser pattern of the byte-level vocabularies (fixed value, public GPT-2 pattern)
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# pieces and pre-tokens a worker keeps at most; a table starts anew beyond it (a cache: results do not change)
-MAX_CACHED = 200_000
+# bytes that a worker's tables of pieces, pre-tokens and token pairs may take, each; a table starts anew beyond it
+# (caches: results do not change).  An entry counts as its characters, four bytes an id and a fixed overhead.
+TABLE_BYTES = 24 << 20
+ENTRY_BYTES = 160
 SLICE_CHARS = 1 << 20
 
 
@@ -44,6 +47,19 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _gather(blob: np.ndarray, table: np.ndarray, ids: np.ndarray, offsets: np.ndarray,
+            used: np.ndarray | None = None) -> list[bytes]:
+    """The blob's parts that ``ids`` name, joined for every run of ids."""
+    starts = table[ids]
+    n = table[ids + 1] - starts
+    if used is not None:
+        n = np.where(used, n, 0)
+    ends = np.concatenate([[0], np.cumsum(n)])
+    data = blob[np.repeat(starts - ends[:-1], n) + np.arange(int(ends[-1]))].tobytes()
+    border = ends[offsets]
+    return [data[border[i]:border[i + 1]] for i in range(len(offsets) - 1)]
+
+
 class TokenBytes:
     """The bytes of every token of one tokenizer file, with an offset table: all that decoding needs."""
 
@@ -65,18 +81,21 @@ class TokenBytes:
         lengths = np.fromiter(map(len, self.bytes), np.int64, size)
         self.offsets = np.concatenate([[0], np.cumsum(lengths)])
         self.blob = np.frombuffer(b"".join(self.bytes), np.uint8)
+        self.written: tuple[np.ndarray, np.ndarray] | None = None
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
         """Text of every run of ids; bytes that are no UTF-8 become U+FFFD.  Null ids and ids outside the
         vocabulary count as nothing."""
         bad = (ids < 0) | (ids >= len(self.offsets) - 1)
-        safe = np.where(bad, 0, ids)
-        starts = self.offsets[safe]
-        n = np.where(bad, 0, self.offsets[safe + 1] - starts)
-        ends = np.concatenate([[0], np.cumsum(n)])
-        data = self.blob[np.repeat(starts - ends[:-1], n) + np.arange(int(ends[-1]))].tobytes()
-        border = ends[offsets]
-        return [data[border[i]:border[i + 1]].decode("utf-8", "replace") for i in range(len(offsets) - 1)]
+        runs = _gather(self.blob, self.offsets, np.where(bad, 0, ids), offsets, ~bad)
+        return [x.decode("utf-8", "replace") for x in runs]
+
+    def numbers(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """Decimal ids of every run, joined by commas."""
+        if self.written is None:
+            texts = [b"%d," % i for i in range(len(self.bytes))]
+            self.written = (np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum(list(map(len, texts)))]))
+        return [x[:-1] for x in _gather(*self.written, ids, offsets)]
 
 
 class Vocabulary(TokenBytes):
@@ -117,6 +136,8 @@ class Vocabulary(TokenBytes):
         key = left << 20 | right
         known = self.pairs.get(key)
         if known is None:
+            if len(self.pairs) * ENTRY_BYTES > TABLE_BYTES:
+                self.pairs.clear()
             known = self.pairs[key] = self._border_holds(left, right)
         return known
 
@@ -188,7 +209,8 @@ class Encoder:
     """Pre-tokenises texts and keeps the ids of the pieces seen by this worker.
 
     A text without neighbouring white space has a border of pre-tokens before every space and on both sides of every
-    line end, so it is cut there first; only pieces not seen before go through the pattern."""
+    line end, so it is cut there first; only pieces not seen before go through the pattern.  Other texts go through
+    it whole, and nothing but their pre-tokens is kept."""
 
     def __init__(self, path: str):
         import regex
@@ -198,10 +220,11 @@ class Encoder:
         names = sorted(self.vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.words: dict[str, list[int]] = {}
+        self.word_bytes = 0
         self.reset()
 
     def reset(self) -> None:
-        self.flat, self.ends = array("i"), array("q", [0])
+        self.flat, self.ends, self.piece_bytes = array("i"), array("q", [0]), 0
         encoder = self
 
         class Table(dict):
@@ -209,6 +232,7 @@ class Encoder:
 
             def __missing__(self, piece):
                 self[piece] = number = encoder._add(piece if piece[:1] == "\n" else " " + piece)
+                encoder.piece_bytes += ENTRY_BYTES + len(piece)
                 return number
 
         self.table = Table()
@@ -223,42 +247,58 @@ class Encoder:
         for word in found:
             ids = self.words.get(word)
             if ids is None:
-                if len(self.words) > MAX_CACHED:
-                    self.words.clear()
                 ids = self.vocabulary.encode(word)
                 if len(ids) < 64:
+                    if self.word_bytes > TABLE_BYTES:
+                        self.words.clear()
+                        self.word_bytes = 0
                     self.words[word] = ids
+                    self.word_bytes += ENTRY_BYTES + len(word) + 8 * len(ids)
             self.flat.extend(ids)
         self.ends.append(len(self.flat))
         return len(self.ends) - 2
 
-    def _pieces(self, text: str) -> np.ndarray:
-        """Numbers of the text's pieces; a special string is a piece of its own, marked as below zero."""
-        if self.special is not None and any(s in text for s in self.vocabulary.special):
-            return np.asarray([-1 - self.vocabulary.special[piece] if i % 2 else self._add(piece)
-                               for i, piece in enumerate(self.special.split(text))], np.int64)
-        if self.spaced(text):
-            return np.asarray([self._add(text)], np.int64)
+    def _is_plain(self, text: str) -> bool:
+        return not (self.spaced(text) or self.special is not None and any(s in text for s in self.vocabulary.special))
+
+    def _plain(self, text: str) -> np.ndarray:
+        """Numbers of the text's pieces."""
         pieces = text.replace("\n", " \n").split(" ")
         out = np.empty(len(pieces), np.int64)
         out[0] = self._add(pieces[0])
         out[1:] = np.fromiter(map(self.table.__getitem__, pieces[1:]), np.int64, len(pieces) - 1)
         return out
 
+    def _whole(self, text: str) -> np.ndarray:
+        """Numbers of the parts between special strings; a special string is marked as below zero."""
+        parts = self.special.split(text) if self.special is not None else [text]
+        return np.asarray([-1 - self.vocabulary.special[part] if i % 2 else self._add(part)
+                           for i, part in enumerate(parts)], np.int64)
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Concatenated ids of all texts, and offsets by text."""
-        if len(self.ends) > MAX_CACHED:
+        if self.piece_bytes + 4 * len(self.flat) + 8 * len(self.ends) > TABLE_BYTES:
             self.reset()
-        numbers = [self._pieces(text) for text in texts]
+        plain = [self._is_plain(text) for text in texts]
+        first = [self._plain(text) if p else None for text, p in zip(texts, plain)]
+        kept, kept_ends = len(self.flat), len(self.ends)
+        numbers = [self._whole(text) if n is None else n for text, n in zip(texts, first)]
+        try:
+            return self._ids(numbers)
+        finally:                                 # what only these texts need goes again
+            del self.flat[kept:]
+            del self.ends[kept_ends:]
+
+    def _ids(self, numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         if not numbers:
             return np.zeros(0, np.int32), np.zeros(1, np.int64)
         counts = np.fromiter(map(len, numbers), np.int64, len(numbers))
         pieces = np.concatenate(numbers)
         bounds = np.array(self.ends, np.int64)
         flat = np.array(self.flat, np.int32)
-        plain = np.maximum(pieces, 0)
-        starts = bounds[plain]
-        n = np.where(pieces < 0, 1, bounds[plain + 1] - starts)
+        at = np.maximum(pieces, 0)
+        starts = bounds[at]
+        n = np.where(pieces < 0, 1, bounds[at + 1] - starts)
         ends = np.cumsum(n)
         index = np.repeat(starts - (ends - n), n) + np.arange(int(ends[-1]))
         if (pieces < 0).any():
@@ -327,12 +367,28 @@ def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", vocabula
 
 
 def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
-    """Encode, decode again, and reduce both to counts and digests."""
-    both = decode(encode(df, id_col, text_col, vocabulary), id_col, "ids", vocabulary)
-    return both.select(
-        F.col(id_col), F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+    """(id, n_tokens, ids_sha256, decoded_sha256) of every row: encoded, decoded again and reduced to digests in one
+    pass of one worker a core.  Rows as in :func:`encode`."""
+    path = vocabulary or default_vocabulary()
+    kind = dict(df.dtypes)[id_col]
+    sha = lambda data: hashlib.sha256(data).hexdigest()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _loaded(Encoder, path)
+        table = encoder.vocabulary
+        for batch in batches:
+            texts = batch.column(1)
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+            for lo, hi in _slices(sizes, SLICE_CHARS):
+                ids, offsets = encoder.encode([t or "" for t in texts.slice(lo, hi - lo).to_pylist()])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(offsets)),
+                     pa.array([sha(x) for x in table.numbers(ids, offsets)], pa.string()),
+                     pa.array([sha(x.encode()) for x in table.decode(ids, offsets)], pa.string())],
+                    names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+        run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 
 def op6_bpe_backtracking(spark, sf_dir: str) -> DataFrame:

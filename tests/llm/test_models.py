@@ -178,7 +178,7 @@ def test_bpe_matches_the_library(spark):
 
 
 def test_bpe_survives_full_tables(monkeypatch):
-    monkeypatch.setattr(bpe_backtrack, "MAX_CACHED", 50)
+    monkeypatch.setattr(bpe_backtrack, "TABLE_BYTES", 9000)
     e, t = bpe_backtrack.Encoder(bpe_backtrack.default_vocabulary()), library()
     rng = random.Random(8)
     for _ in range(5):
@@ -189,6 +189,21 @@ def test_bpe_survives_full_tables(monkeypatch):
         assert e.vocabulary.decode(ids.astype(np.int64), offsets) == texts
 
 
+def test_texts_with_double_white_space_leave_nothing_behind():
+    e, t = bpe_backtrack.Encoder(bpe_backtrack.default_vocabulary()), library()
+    rng = random.Random(9)
+    plain = [words(rng, 30) for _ in range(5)]
+    e.encode(plain)
+    kept = len(e.flat), len(e.ends), len(e.table)
+    special = next(iter(e.vocabulary.special))
+    for _ in range(3):
+        texts = [words(rng, 2000) + "\n\n", plain[0], f"a  b{special}c", "", "x " * 500 + " y"]
+        ids, offsets = e.encode(texts)
+        for i, text in enumerate(texts):
+            assert ids[offsets[i]:offsets[i + 1]].tolist() == t.encode(text, add_special_tokens=False).ids
+    assert len(e.table) == kept[2] and len(e.flat) < kept[0] + 200 and len(e.ends) < kept[1] + 10
+
+
 def test_pair_table_agrees_with_merging():
     v, t = bpe_backtrack.Vocabulary(bpe_backtrack.default_vocabulary()), library()
     rng = random.Random(2)
