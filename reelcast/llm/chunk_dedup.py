@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelcast.llm.common import stage_table
+from reelcast.llm.common import sized_broadcast, stage_table
 
 # characters that equality ignores (fixed values): space and U+0009 to U+000D
 SPACES = " \t\n\x0b\x0c\r"
@@ -57,11 +57,13 @@ def verified_ids(chunks: DataFrame) -> DataFrame:
 
 
 def recipes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text_digest, chars, recipe): ordered list of verified chunk identifiers, one row per document."""
+    """(id, text_digest, chars, copies, recipe): ordered list of verified chunk identifiers, one row per document;
+    ``copies`` counts the rows of it."""
     ids = verified_ids(chunk_rows(df, id_col, text_col))
     parts = F.array_sort(F.collect_set(F.when(F.col("chunk_id").isNotNull(), F.struct("pos", "chunk_id"))))
-    return ids.groupBy("id", "text_digest", "chars").agg(parts.alias("parts")).select(
-        "id", "text_digest", "chars", F.transform("parts", lambda p: p["chunk_id"]).alias("recipe"))
+    return ids.groupBy("id", "text_digest", "chars").agg(
+        parts.alias("parts"), F.count_if(F.col("pos") == 0).alias("copies")).select(
+        "id", "text_digest", "chars", "copies", F.transform("parts", lambda p: p["chunk_id"]).alias("recipe"))
 
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -85,9 +87,34 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, all their columns unchanged; a document repeated with the same id stays once."""
-    kept = exact_dedup(df, id_col, text_col).where("kept").select(F.col(id_col).alias("_kept_id")).distinct()
-    return df.join(kept, df[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """One row of ``df`` for each set of equal texts, all its columns unchanged.
+
+    The row that stays is that of :func:`exact_dedup`: the most code points, then the smallest id (null last).  Of
+    several rows with the same id and an equal text of the same length (a row repeated whole, say) one stays; rows
+    that share an id but not a text are decided on their own.  What goes is named by (id, text digest, length); while
+    its number allows a broadcast, texts are not shuffled, but for those of rows that are repeated."""
+    rows = stage_table(recipes(df, id_col, text_col))
+    order = F.struct(-F.col("chars"), F.col("id").isNull(), F.col("id"))
+    first = rows.groupBy("recipe").agg(F.min(order).alias("first"))
+    ranked = rows.join(first, "recipe").select("id", "text_digest", "chars", "copies", (order > F.col("first")).alias("later"))
+    ranked = stage_table(ranked.where("later OR copies > 1"))
+    mark = lambda t: t.select(*[F.col(c).alias(f"_{c}") for c in ("id", "text_digest", "chars")])
+    text = F.col(text_col).cast("string")
+    keyed = df.withColumns({"_chars_": F.length(F.coalesce(text, F.lit(""))),
+                            "_digest_": F.unhex(F.sha2(normalise(F.col(text_col)), 256))})
+
+    def same(t: DataFrame) -> Column:
+        return (keyed["_digest_"] == t["_text_digest"]) & (keyed["_chars_"] == t["_chars"]) & (
+            keyed[id_col].eqNullSafe(t["_id"]))
+
+    gone = sized_broadcast(mark(ranked.where("later")))
+    twice = mark(ranked.where("NOT later AND copies > 1"))
+    left = keyed.join(gone, same(gone), "left_anti")
+    if twice.limit(1).count():
+        twice = sized_broadcast(twice)
+        once = keyed.join(twice, same(twice), "left_semi").dropDuplicates([id_col, "_digest_", "_chars_"])
+        left = left.join(twice, same(twice), "left_anti").unionByName(once)
+    return left.select(*df.columns)
 
 
 def op3_chunk_recipes(spark, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from llm_fixtures import SCHEMA, corpus, docs, empty
 from reelcast.llm import chunk_dedup, jaccard_join, radix_dedup
+from reelcast.llm.common import stage_table
 from reelcast.llm.components import connected_components
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -40,11 +41,35 @@ def test_chunks_cover_the_text_and_equal_hashes_are_told_apart(spark):
     assert ids[1] == b"a" and ids[2] == b"b" and ids[3] == (8).to_bytes(8, "big")
 
 
-def test_keep_first_keeps_columns(spark):
+def brute_keep(rows):
+    """Multiset of the (id, text) rows that stay."""
+    groups = defaultdict(list)
+    for i, text in rows:
+        groups[re.sub(r"[\x20\x09-\x0D]", "", text or "")].append((-len(text or ""), i is None, i or 0, i))
+    return sorted(((min(g)[3], norm, -min(g)[0]) for norm, g in groups.items()), key=str)
+
+
+def kept_rows(df):
+    return sorted(((r.doc_id, re.sub(r"[\x20\x09-\x0D]", "", r.text or ""), len(r.text or "")) for r in df.collect()), key=str)
+
+
+def test_keep_first_leaves_one_row_of_equal_texts(spark):
+    """Multisets of rows: repeated rows, shared ids, equal texts under one id, null ids and texts."""
     out = chunk_dedup.keep_first(docs(spark))
     assert out.columns == docs(spark).columns
-    left = {r.doc_id for r in out.collect()}
-    assert 35 in left and not {5, 34} & left and len({36, 37, 38} & left) == 1
+    assert kept_rows(out) == brute_keep([(r[0], r[1]) for r in corpus()])
+    rows = [(1, "a b c"), (1, "a b c"), (2, "abc"), (3, "q"), (3, "abc"), (4, "x y"), (4, "x\ny"), (4, "other"),
+            (None, "z"), (None, "z"), (5, "z"), (None, "alone"), (None, "alone"), (6, None), (7, ""), (8, " "), (8, " ")]
+    df = spark.createDataFrame([(i, t, None, None) for i, t in rows], SCHEMA).repartition(4)
+    assert kept_rows(chunk_dedup.keep_first(df)) == brute_keep(rows)
+    assert chunk_dedup.keep_first(empty(spark)).count() == 0
+
+
+def test_keep_first_moves_no_text(spark):
+    """Without repeated rows no exchange carries the text."""
+    df = docs(spark, repeat=False)
+    plan = chunk_dedup.keep_first(stage_table(df))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastExchange" in plan
 
 
 def shingles(text):
