@@ -726,3 +726,5 @@ FROM topic_weights t""", by_channel=True),
 SELECT i.*, CASE WHEN cate_id IN (SELECT cate_id FROM vec WHERE {_LATE.format(id="movie_id")}) THEN 2 ELSE 1 END AS run
 FROM item_final i"""),
 })
+
+SQL["cluster_neighbours"] = item_sql("SELECT movie_id, movie_id2, cos_sim, sort_num FROM neigh")

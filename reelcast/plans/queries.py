@@ -632,3 +632,25 @@ def q_incremental_recall(spark, d):
     rows = S.item_vectors(spark, d).select("movie_id", "cate_id", "vec")
     tables, _ = _two_runs(spark, d, "recall", rows, lambda v, out: INC.update_recall(spark, d, v, out))
     return tables.current(INC.recall_stages(spark, d, S.STAMP)[-1])
+
+
+# ---------------------------------------------------------------- clusters
+@query("cluster_neighbours")
+def q_cluster_neighbours(spark, d):
+    """Channel-wise exact neighbours that score only the clusters which can hold one."""
+    from reelcast.operators import clusters as CL
+    v = S.item_vectors(spark, d).select("cate_id", "movie_id", "vec")
+    return CL.nearest_by_clusters(v, ["cate_id"], C.NEIGHBOURS_K, max_size=256)
+
+
+@query("clustering_cost")
+def q_clustering_cost(spark, d):
+    """Clusters, largest cluster and cost of each channel's own item vectors."""
+    from reelcast.operators import clusters as CL
+    return CL.clustering_cost(S.vector_chain(spark, d)["clusters"], ["cate_id"])
+
+
+@query("vector_recall")
+def q_vector_recall(spark, d):
+    """Item recall from the item vectors of this library instead of given embeddings."""
+    return S.vector_chain(spark, d)["final"]

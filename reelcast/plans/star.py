@@ -338,6 +338,23 @@ def item_recall(spark, d, neighbours: DataFrame, stamp: int = STAMP) -> DataFram
     return R.item_recall_final(chain["rules"], FA.trailer_ids(chain["sources"]), chain["sources"], stamp, C.NEIGHBOURS_K)
 
 
+def vector_chain(spark, d) -> Chain:
+    """Own item vectors -> size-bounded clusters per channel -> cosine inside the clusters -> item recall."""
+    from reelcast.operators import clusters as CL
+    from reelcast.operators import vectors as V
+    key = F.concat_ws("/", "cate_id", "node")
+    return Chain({
+        "vectors": lambda c: persisted(spark, d, "item_vector", lambda: V.item_vector(
+            text_chain(spark, d)["topic_weights"], word_vectors(spark, d))),
+        "clusters": lambda c: persisted(spark, d, "item_clusters", lambda: CL.split_clusters(
+            c["vectors"], ["cate_id"], C.MIN_CLUSTER_SIZE)),
+        "neighbours": lambda c: persisted(spark, d, "cluster_neighbours", lambda: V.cosine_in_cluster(
+            c["clusters"].select(key.alias("cluster"), "movie_id", "vec"), "cluster", C.NEIGHBOURS_K)),
+        "final": lambda c: item_recall(spark, d, c["neighbours"].join(
+            c["clusters"].select("movie_id", "cate_id"), "movie_id")),
+    })
+
+
 def similar_chain(spark, d) -> Chain:
     from reelcast.operators import recall as R
     return Chain({
