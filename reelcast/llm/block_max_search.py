@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelcast.llm.common import stage_table, utf8_blocks
+from reelcast.llm.common import small_batches, stage_table, utf8_blocks
 from reelcast.operators.ranking import top_k
 
 TOP = 50
@@ -75,7 +75,7 @@ def corpus_size(docs: DataFrame) -> tuple[int, int]:
                 n_terms += int(own.sum())
         yield pa.RecordBatch.from_arrays([pa.array([n_docs]), pa.array([n_terms])], names=["n_docs", "n_terms"])
 
-    row = docs.select("text").mapInArrow(count, "n_docs long, n_terms long").agg(
+    row = small_batches(docs).select("text").mapInArrow(count, "n_docs long, n_terms long").agg(
         F.sum("n_docs").alias("n_docs"), F.sum("n_terms").alias("n_terms")).first()
     return row["n_docs"] or 0, row["n_terms"] or 0
 

@@ -25,6 +25,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelcast.llm.common import small_batches
+
 # the pre-tokeniser pattern of the byte-level vocabularies (fixed value, public GPT-2 pattern)
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # bytes that a worker's tables of pieces, pre-tokens and token pairs may take, each; a table starts anew beyond it
@@ -336,7 +338,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], names=["id", "ids"])
 
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+    return small_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 
@@ -387,7 +389,7 @@ def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab
                      pa.array([sha(x.encode()) for x in table.decode(ids, offsets)], pa.string())],
                     names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+    return small_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 

@@ -17,6 +17,20 @@ BROADCAST_ROWS = 200_000
 BLOCK_BYTES = (1 << 20) - 1
 
 
+# bytes of rows that Spark hands to a Python worker at a time; a batch is held by the JVM and by the worker, on every core
+ARROW_BYTES = 4 << 20
+_ARROW_KEY, _ARROW_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df`` as it is; its session cuts Arrow batches at ``ARROW_BYTES`` from now on, unless it has a bound of its
+    own already."""
+    conf = df.sparkSession.conf
+    if conf.get(_ARROW_KEY, _ARROW_DEFAULT) == _ARROW_DEFAULT:
+        conf.set(_ARROW_KEY, str(ARROW_BYTES))
+    return df
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only after counting at most ``max_rows + 1`` rows; a larger side is left to a shuffled join."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

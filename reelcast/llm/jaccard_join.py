@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reelcast.llm.common import i64, sized_broadcast, stage_table, sum_vectors
+from reelcast.llm.common import i64, sized_broadcast, small_batches, stage_table, sum_vectors
 from reelcast.llm.components import connected_components
 from reelcast.llm.shingles import text_shingles
 
@@ -54,7 +54,7 @@ def _sketch(docs: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([task] * parts, pa.int32()),
                                               pa.array(rows, pa.binary())], names=["part", "task", "counts"])
 
-    counted = docs.select("text").mapInArrow(count, "part int, task int, counts binary")
+    counted = small_batches(docs.select("text")).mapInArrow(count, "part int, task int, counts binary")
     rows = sum_vectors(counted, "part", "int").collect()       # a fixed number of rows, 4 MB in all
     out = np.zeros(size, np.int64)
     for r in rows:
@@ -104,7 +104,7 @@ def _prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                  pa.array(ks, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), flat)],
                 names=["id", "n", "s1", "s2", "k", "prefix"])
 
-    return docs.select("id", "text").mapInArrow(
+    return small_batches(docs.select("id", "text")).mapInArrow(
         run, "id long, n long, s1 long, s2 long, k int, prefix array<long>")
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelcast.llm.common import sized_broadcast, stage_table, sum_vectors, utf8_blocks
+from reelcast.llm.common import sized_broadcast, small_batches, stage_table, sum_vectors, utf8_blocks
 
 FEATURES = 1 << 15
 TEMPER = 0.2                # neighbouring trigrams overlap: their joint evidence is scaled down
@@ -72,7 +72,7 @@ def _language_counts(rows: DataFrame) -> dict[str, np.ndarray]:
                  pa.array([x.astype(np.int64).tobytes() for x in sums.values()], pa.binary())],
                 names=["code", "task", "counts"])
 
-    told = rows.where("declared IS NOT NULL").select("declared", "text")
+    told = small_batches(rows.where("declared IS NOT NULL").select("declared", "text"))
     found = sum_vectors(told.mapInArrow(count, "code string, task int, counts binary"), "code", "string").collect()
     return {r["code"]: np.frombuffer(r["counts"], np.int64) for r in sorted(found, key=lambda r: r["code"])}
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelcast.llm.common import sized_broadcast, stage_table
+from reelcast.llm.common import sized_broadcast, small_batches, stage_table
 from reelcast.llm.components import connected_components
 
 WIDTH = 3
@@ -86,7 +86,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+    return small_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, f"id {kind}, fp long")
 
 
