@@ -62,12 +62,13 @@ def _block_scorer(metric: str, k: int, exclude_self: bool, digits: int, keys: li
 
 def block_topk(queries: DataFrame, cands: DataFrame, group: list[str], k: int, metric: str = "cosine",
                block_size: int = 1024, exclude_self: bool = True, digits: int = 4,
-               final_topk: bool = True) -> DataFrame:
+               final_topk: bool = True, scorer=None) -> DataFrame:
     """Exact top-K candidates per query within the same group.
 
     queries / cands: (group..., movie_id, vec array<double>).  Returns
     (movie_id, movie_id2, score, sort_num); score is the cosine similarity
-    (larger first) or the squared L2 distance (smaller first)."""
+    (larger first) or the squared L2 distance (smaller first).  ``scorer`` may replace the scoring of one block pair
+    (two pandas frames in, the group's best rows out)."""
     # fresh attribute ids on both sides: queries and candidates are often the
     # same DataFrame (self search)
     fresh = lambda df: df.select(*[F.col(x).alias(x) for x in df.columns])
@@ -99,7 +100,7 @@ def block_topk(queries: DataFrame, cands: DataFrame, group: list[str], k: int, m
                              T.StructField("score", T.DoubleType())])
     q, c = fresh(q), fresh(c)
     scored = (q.groupBy(*gkeys).cogroup(c.groupBy(*gkeys))
-              .applyInPandas(_block_scorer(metric, k, exclude_self, digits, list(group)), schema))
+              .applyInPandas(scorer or _block_scorer(metric, k, exclude_self, digits, list(group)), schema))
     scored = scored.drop(*group)
     if not final_topk:
         return scored

@@ -654,3 +654,23 @@ def q_clustering_cost(spark, d):
 def q_vector_recall(spark, d):
     """Item recall from the item vectors of this library instead of given embeddings."""
     return S.vector_chain(spark, d)["final"]
+
+
+# ---------------------------------------------------------------- product quantisation
+@query("pq_neighbours")
+def q_pq_neighbours(spark, d):
+    from reelcast.operators import pq
+    return pq.pq_neighbours(S.item_vectors(spark, d), k=10)
+
+
+@query("ann_recall")
+def q_ann_recall(spark, d):
+    """Quantised neighbours of all items against the exact ones: whether nine in ten are found, and the code's size."""
+    from reelcast.operators import pq
+    from reelcast.operators import vectors as V
+    v = S.item_vectors(spark, d).select("movie_id", "vec")
+    near = pq.pq_neighbours(v, k=10).select("movie_id", "movie_id2", F.lit(True).alias("hit"))
+    both = V.block_topk(v, v, [], 10, "cosine").join(near, ["movie_id", "movie_id2"], "left")
+    return both.agg(F.lit(10).alias("k"), F.lit(pq.PARTS).alias("bytes_per_vector"),
+                    F.countDistinct("movie_id").alias("items"),
+                    (F.count("hit") / F.count(F.lit(1)) >= 0.9).alias("recall_reached"))
