@@ -185,13 +185,18 @@ def lsh_neighbours(vectors: DataFrame, k: int = 10, bucket_length: float = 2.0,
 
 
 # ---------------------------------------------------------------- models
-def fit_word2vec(words: DataFrame, dim: int = C.VECTOR_DIM, min_count: int = C.W2V_MIN_COUNT, seed: int = C.SEED,
-                 partitions: int = C.W2V_PARTITIONS):
-    """MLlib Word2Vec over token lists (``words`` column), trained on
+def word2vec(dim: int = C.VECTOR_DIM, min_count: int = C.W2V_MIN_COUNT, seed: int = C.SEED,
+             partitions: int = C.W2V_PARTITIONS):
+    """MLlib Word2Vec over token lists (``words`` column), to be trained on
     ``partitions`` parts of the corpus whose vectors are averaged."""
     from pyspark.ml.feature import Word2Vec
     return Word2Vec(vectorSize=dim, minCount=min_count, seed=seed, numPartitions=partitions,
-                    inputCol="words", outputCol="w2v").fit(words)
+                    inputCol="words", outputCol="w2v")
+
+
+def fit_word2vec(words: DataFrame, dim: int = C.VECTOR_DIM, min_count: int = C.W2V_MIN_COUNT, seed: int = C.SEED,
+                 partitions: int = C.W2V_PARTITIONS):
+    return word2vec(dim, min_count, seed, partitions).fit(words)
 
 
 def word_vectors(model) -> DataFrame:

@@ -730,3 +730,5 @@ FROM item_final i"""),
 SQL["cluster_neighbours"] = item_sql("SELECT movie_id, movie_id2, cos_sim, sort_num FROM neigh")
 SQL["ann_recall"] = """
 SELECT 10 AS k, 16 AS bytes_per_vector, count(*) AS items, TRUE AS recall_reached FROM embeddings"""
+SQL["daily_action_weight"] = SQL["agg_action_weight"]
+SQL["daily_history_play"] = SQL["user_history_play"]

@@ -674,3 +674,32 @@ def q_ann_recall(spark, d):
     return both.agg(F.lit(10).alias("k"), F.lit(pq.PARTS).alias("bytes_per_vector"),
                     F.countDistinct("movie_id").alias("items"),
                     (F.count("hit") / F.count(F.lit(1)) >= 0.9).alias("recall_reached"))
+
+
+# ---------------------------------------------------------------- day buckets
+def _buckets_day_by_day(spark, d):
+    """Buckets of the whole log: the first weeks at once, the last week day by day, the last day twice."""
+    from reelcast.plans import daily as DY
+    path, log, week = _place(spark, "days"), S.action_log(spark, d), DY.recent_start(S.AS_OF)
+    DY.append_days(spark, log.where(F.col("datetime") <= week), path)
+    for day in [*range(week + 86400, X.as_epoch(S.AS_OF) + 1, 86400), X.as_epoch(S.AS_OF) - 86400]:
+        DY.append_days(spark, log.where(F.col("datetime") == day), path)
+    return DY.read_buckets(spark, path)
+
+
+@query("daily_action_weight")
+def q_daily_action_weight(spark, d):
+    """User-item weights from day buckets that were appended day by day."""
+    from reelcast.plans import daily as DY
+    totals, lengths = S.source_stats(spark, d)
+    return DY.daily_action_weight(_buckets_day_by_day(spark, d), lengths, totals, X.as_epoch(S.AS_OF),
+                                  S.STAR_CHANNELS.film)
+
+
+@query("daily_history_play")
+def q_daily_history_play(spark, d):
+    """Play history from day buckets that were appended day by day."""
+    from reelcast.plans import daily as DY
+    titles = S.catalog(spark, d).select(F.col("id").alias("movie_id"), "title", "year")
+    return DY.daily_history(_buckets_day_by_day(spark, d), S.source_stats(spark, d)[0], "play", titles,
+                            S.STAR_CHANNELS.film)
