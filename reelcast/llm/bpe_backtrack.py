@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelcast.llm.common import small_batches
+from reelcast.llm.common import lean, small_batches
 
 # the pre-tokeniser pattern of the byte-level vocabularies (fixed value, public GPT-2 pattern)
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -33,7 +33,7 @@ PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 # (caches: results do not change).  An entry counts as its characters, four bytes an id and a fixed overhead.
 TABLE_BYTES = 24 << 20
 ENTRY_BYTES = 160
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 18
 
 
 def default_vocabulary() -> str:
@@ -390,7 +390,7 @@ def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab
                     names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return small_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+        lean(run), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 
 def op6_bpe_backtracking(spark, sf_dir: str) -> DataFrame:

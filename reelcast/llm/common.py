@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +15,7 @@ from reelcast.session import stage_table  # noqa: F401
 # rows up to which a small side is broadcast after it was counted; beyond it Spark plans a shuffled join
 BROADCAST_ROWS = 200_000
 # bytes of text that one vectorised block holds at most (a longer single text is its own block)
-BLOCK_BYTES = (1 << 20) - 1
+BLOCK_BYTES = (1 << 18) - 1
 
 
 # bytes of rows that Spark hands to a Python worker at a time; a batch is held by the JVM and by the worker, on every core
@@ -31,6 +32,20 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def lean(run):
+    """``run`` as a function of a Python worker that gives the memory it has freed back to the system when a task ends:
+    the worker lives on beside the next stages."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc only
+            if trim is not None:
+                trim(0)
+    return task
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only after counting at most ``max_rows + 1`` rows; a larger side is left to a shuffled join."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

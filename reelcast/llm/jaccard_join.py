@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reelcast.llm.common import i64, sized_broadcast, small_batches, stage_table, sum_vectors
+from reelcast.llm.common import i64, lean, sized_broadcast, small_batches, stage_table, sum_vectors
 from reelcast.llm.components import connected_components
 from reelcast.llm.shingles import text_shingles
 
@@ -54,7 +54,7 @@ def _sketch(docs: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.array([task] * parts, pa.int32()),
                                               pa.array(rows, pa.binary())], names=["part", "task", "counts"])
 
-    counted = small_batches(docs.select("text")).mapInArrow(count, "part int, task int, counts binary")
+    counted = small_batches(docs.select("text")).mapInArrow(lean(count), "part int, task int, counts binary")
     rows = sum_vectors(counted, "part", "int").collect()       # a fixed number of rows, 4 MB in all
     out = np.zeros(size, np.int64)
     for r in rows:
@@ -105,7 +105,7 @@ def _prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                 names=["id", "n", "s1", "s2", "k", "prefix"])
 
     return small_batches(docs.select("id", "text")).mapInArrow(
-        run, "id long, n long, s1 long, s2 long, k int, prefix array<long>")
+        lean(run), "id long, n long, s1 long, s2 long, k int, prefix array<long>")
 
 
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -117,7 +117,7 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
                                              names=["rep", "set"])
 
     chosen = docs.join(sized_broadcast(ids.select(F.col("rep").alias("id"))), "id", "left_semi")
-    return chosen.select("id", "text").mapInArrow(run, "rep long, set binary").dropDuplicates(["rep"])
+    return chosen.select("id", "text").mapInArrow(lean(run), "rep long, set binary").dropDuplicates(["rep"])
 
 
 def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +135,7 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     sets = stage_table(_sets(docs, ids))
     with_u = pairs.select("u", "v").join(sets.withColumnsRenamed({"rep": "u", "set": "set_u"}), "u")
     with_v = with_u.join(sets.withColumnsRenamed({"rep": "v", "set": "set_v"}), "v")
-    counted = with_v.select("u", "v", "set_u", "set_v").mapInArrow(_common, "u long, v long, common long")
+    counted = with_v.select("u", "v", "set_u", "set_v").mapInArrow(lean(_common), "u long, v long, common long")
     sizes = sets.select("rep", (F.octet_length("set") / 8).cast("long").alias("n"))
     out = (counted.join(sizes.withColumnsRenamed({"rep": "u", "n": "n_u"}), "u")
            .join(sizes.withColumnsRenamed({"rep": "v", "n": "n_v"}), "v"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelcast.llm.common import sized_broadcast, small_batches, stage_table, sum_vectors, utf8_blocks
+from reelcast.llm.common import lean, sized_broadcast, small_batches, stage_table, sum_vectors, utf8_blocks
 
 FEATURES = 1 << 15
 TEMPER = 0.2                # neighbouring trigrams overlap: their joint evidence is scaled down
@@ -73,7 +73,7 @@ def _language_counts(rows: DataFrame) -> dict[str, np.ndarray]:
                 names=["code", "task", "counts"])
 
     told = small_batches(rows.where("declared IS NOT NULL").select("declared", "text"))
-    found = sum_vectors(told.mapInArrow(count, "code string, task int, counts binary"), "code", "string").collect()
+    found = sum_vectors(told.mapInArrow(lean(count), "code string, task int, counts binary"), "code", "string").collect()
     return {r["code"]: np.frombuffer(r["counts"], np.int64) for r in sorted(found, key=lambda r: r["code"])}
 
 
@@ -97,7 +97,7 @@ def _scores(rows: DataFrame, table: np.ndarray) -> DataFrame:
 
     kinds = dict(rows.dtypes)
     return rows.select("id", "declared", "host", "suffix", "text").mapInArrow(
-        score, f"id {kinds['id']}, declared string, host string, suffix string, n_grams long, ll array<double>")
+        lean(score), f"id {kinds['id']}, declared string, host string, suffix string, n_grams long, ll array<double>")
 
 
 def _counts_by(scored: DataFrame, keys: list[str], n: int, name: str) -> DataFrame:
