@@ -482,11 +482,18 @@ def q_save_keyed_map(spark, d):
 @query("recommend_lookup")
 def q_recommend_lookup(spark, d):
     """Every user key (12-char padded id) and every item key looked up."""
-    users = S.profile_chain(spark, d)["final"].withColumn("user_id", F.lpad(F.col("user_id").cast("string"), 12, "0"))
-    items = S.item_chain(spark, d)["final"]
+    from reelcast.session import stage_table
+    users = stage_table(S.profile_chain(spark, d)["final"].withColumn(
+        "user_id", F.lpad(F.col("user_id").cast("string"), 12, "0")))
+    items = stage_table(S.item_chain(spark, d)["final"])
     keys = users.select(F.col("user_id").alias("key")).unionByName(
         items.select(F.col("movie_id").cast("string").alias("key"))).distinct()
-    return R.recommend_lookup(keys, users, items)
+    served = []
+    for name, rows, key in (("users", users, "user_id"), ("items", items, "movie_id")):
+        path = _place(spark, name)
+        SK.save_lookup(rows, path, key, buckets=16)
+        served.append(SK.read_lookup(keys.select(F.col("key").alias(key)), path, key, buckets=16))
+    return R.recommend_lookup(keys, *served)
 
 
 @query("rows_to_json")
@@ -519,9 +526,13 @@ def q_append_once(spark, d):
 
 @query("rotate_merge")
 def q_rotate_merge(spark, d):
-    """Old merged log (the first half of the month) and the open slices (everything): one row per distinct action."""
-    rows = S.click_log(spark, d, "click")
-    return SK.rotate_merge(rows.where(F.col("datetime") < X.as_epoch("2024-01-16")), rows, _place(spark, "rotate"))
+    """The merged click log by ten-day slice: everything until the middle of the month, then the slices that are still
+    open (their old rows once more, and the new ones)."""
+    rows, path = S.click_log(spark, d, "click"), _place(spark, "rotate")
+    sliced = rows.withColumn("slice", X.slice_index(F.timestamp_seconds("datetime"), (2023, 12, 10)))
+    SK.rotate_merge(sliced.where(F.col("datetime") < X.as_epoch("2024-01-16")), path)
+    merged = SK.rotate_merge(sliced.where(F.col("datetime") >= X.as_epoch("2024-01-11")), path)
+    return merged.select(*rows.columns)
 
 
 @query("save_insert")
@@ -554,12 +565,12 @@ def q_row_count_audit(spark, d):
 
 @query("scan_action_slices")
 def q_scan_action_slices(spark, d):
-    """Clicks written as log slices, one folder per ten days, found again by folder name from slice 4 on."""
-    ev = S.table(spark, d, "events").where("event_type = 'click'").select(
-        F.col("user_id").cast("string").alias("mac"), "event_id", X.slice_index("ts", (2023, 12, 10)).alias("slice"))
-    root = _place(spark, "slices")
-    for r in ev.select("slice").distinct().collect():           # a few slices of ten days
-        ev.where(F.col("slice") == r["slice"]).drop("slice").write.parquet(f"{root}/log_enter{r['slice']}")
+    """Clicks and favourites written into the slice table in one pass each; clicks read from slice 4 on."""
+    ev, root = S.table(spark, d, "events"), _place(spark, "slices")
+    for kind, event in (("click", "click"), ("top", "purchase")):
+        TB.write_action_slices(ev.where(F.col("event_type") == event).select(
+            F.col("user_id").cast("string").alias("mac"), "event_id", F.lit("focus").alias("funtype"),
+            X.slice_index("ts", (2023, 12, 10)).alias("slice")), root, kind)
     return TB.scan_action_slices(spark, root, "click", start=4).select(
         "mac", "event_id", F.col("_slice").alias("slice"))
 

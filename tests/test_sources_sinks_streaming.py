@@ -18,11 +18,62 @@ def test_append_once_is_idempotent(spark, tmp_dir):
     assert spark.read.parquet(path).count() == 3
 
 
-def test_rotate_merge_distinct(spark, tmp_dir):
-    old = spark.createDataFrame([("u", 1, 10)], "user_id string, movie_id long, datetime long")
-    new = spark.createDataFrame([("u", 1, 10), ("u", 2, 10)], "user_id string, movie_id long, datetime long")
-    out = SK.rotate_merge(old, new, os.path.join(tmp_dir, "merge_v2"))
-    assert out.count() == 2
+def _files(path):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def test_rotate_merge_rewrites_open_slices_only(spark, tmp_dir):
+    schema, path = "user_id string, movie_id long, datetime long, slice int", os.path.join(tmp_dir, "merged")
+    first = [("u", 1, 10, 0), ("u", 1, 10, 0), ("u", 2, 20, 1), ("v", 3, 30, None)]
+    SK.rotate_merge(spark.createDataFrame(first, schema), path)
+    closed = {f: t for f, t in _files(path).items() if "slice=0" in f}
+    new = [("u", 2, 20, 1), ("w", 9, 21, 1), ("x", 1, 40, 2), ("v", 3, 30, None)]
+    out = SK.rotate_merge(spark.createDataFrame(new, schema), path)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(set(first) | set(new), key=str)
+    assert closed and {f: t for f, t in _files(path).items() if "slice=0" in f} == closed
+    again = _files(path)
+    SK.rotate_merge(spark.createDataFrame(new[2:3], schema), path)
+    assert {f: t for f, t in _files(path).items() if "slice=2" not in f} == {
+        f: t for f, t in again.items() if "slice=2" not in f}
+    assert SK.rotate_merge(spark.createDataFrame([], schema), path).count() == 5
+
+
+def test_slice_table_is_pruned(spark, tmp_dir):
+    schema = "mac string, event_id long, funtype string, slice int"
+    rows = [("m1", 1, "focus", 0), ("", 2, "focus", 0), ("m2", 3, "other", 1), ("m3", 4, "focus", 2)]
+    log = spark.createDataFrame(rows, schema)
+    for kind in ("click", "top"):
+        TB.write_action_slices(log, tmp_dir, kind)
+    before = _files(tmp_dir)
+    TB.write_action_slices(log.where("slice = 2"), tmp_dir, "click")          # one slice again: replaced, not doubled
+    after = _files(tmp_dir)
+    same = {f: t for f, t in before.items() if "kind=click/slice=2" not in f}
+    assert {f: t for f, t in after.items() if "kind=click/slice=2" not in f} == same
+    scan = TB.scan_action_slices(spark, tmp_dir, "click", start=1)
+    assert sorted((r.mac, r._slice) for r in scan.collect()) == [("m2", 1), ("m3", 2)]
+    assert sorted(r.event_id for r in TB.scan_action_slices(spark, tmp_dir, "top").collect()) == [1, 4]
+    assert [r.event_id for r in TB.scan_action_slices(spark, tmp_dir, "click", index=0).collect()] == [1]
+    part = scan._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("], ")[0]
+    assert "kind" in part and "slice" in part
+    opened = {r.f.rsplit("/", 2)[1] for r in scan.select(F.input_file_name().alias("f")).collect()}
+    assert opened == {"slice=1", "slice=2"}
+
+
+def test_lookup_opens_the_keys_buckets_only(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "serving")
+    rows = spark.range(0, 3000).selectExpr("id AS movie_id", "id * 2 AS movie_id2", "1 AS sort_num")
+    SK.save_lookup(rows, path, "movie_id", buckets=64)
+    assert len(_files(path)) == 64
+    keys = spark.createDataFrame([(str(i),) for i in range(0, 2000, 200)] + [("none",), (None,)], "movie_id string")
+    hits = SK.read_lookup(keys, path, "movie_id", buckets=64)
+    assert sorted((r.movie_id, r.movie_id2) for r in hits.collect()) == sorted((str(i), 2 * i) for i in range(0, 2000, 200))
+    scan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    wanted = keys.select(F.pmod(F.xxhash64("movie_id"), F.lit(64)).alias("b")).where("movie_id IS NOT NULL").distinct().count()
+    served = spark.read.parquet(path).where(F.col("bucket").isin(*[r.b for r in keys.where("movie_id IS NOT NULL").select(
+        F.pmod(F.xxhash64("movie_id"), F.lit(64)).alias("b")).distinct().collect()]))
+    assert served.select(F.input_file_name().alias("f")).distinct().count() <= wanted <= 11
 
 
 def test_scan_action_slices(spark, tmp_dir):
