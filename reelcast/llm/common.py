@@ -15,8 +15,9 @@ from reelcast.session import stage_table  # noqa: F401
 # rows up to which a small side is broadcast after it was counted; beyond it Spark plans a shuffled join
 BROADCAST_ROWS = 200_000
 # bytes of text that one vectorised block holds at most (a longer single text is its own block)
-BLOCK_BYTES = (1 << 18) - 1
-
+BLOCK_BYTES = (1 << 20) - 1
+# the same for operators that share an executor with the pipeline's other stages
+SMALL_BLOCK = (1 << 18) - 1
 
 # bytes of rows that Spark hands to a Python worker at a time; a batch is held by the JVM and by the worker, on every core
 ARROW_BYTES = 4 << 20

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelcast.llm.common import lean, sized_broadcast, small_batches, stage_table, sum_vectors, utf8_blocks
+from reelcast.llm.common import SMALL_BLOCK, lean, sized_broadcast, small_batches, stage_table, sum_vectors, utf8_blocks
 
 FEATURES = 1 << 15
 TEMPER = 0.2                # neighbouring trigrams overlap: their joint evidence is scaled down
@@ -58,7 +58,7 @@ def _language_counts(rows: DataFrame) -> dict[str, np.ndarray]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             codes = batch.column(0).to_pylist()
-            for lo, hi, data, offsets in utf8_blocks(batch.column(1)):
+            for lo, hi, data, offsets in utf8_blocks(batch.column(1), SMALL_BLOCK):
                 feature, text = trigrams(data, offsets)
                 names, number = np.unique(np.array(codes[lo:hi], dtype=object).astype(str), return_inverse=True)
                 table = np.bincount(number[text] * FEATURES + feature, minlength=len(names) * FEATURES)
@@ -84,7 +84,7 @@ def _scores(rows: DataFrame, table: np.ndarray) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
         for batch in batches:
-            for lo, hi, data, offsets in utf8_blocks(batch.column(4)):
+            for lo, hi, data, offsets in utf8_blocks(batch.column(4), SMALL_BLOCK):
                 feature, text = trigrams(data, offsets)
                 n = np.bincount(text, minlength=hi - lo)
                 ll = np.stack([np.bincount(text, weights=w[feature], minlength=hi - lo) for w in weights], axis=1)

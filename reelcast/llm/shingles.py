@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from reelcast.llm.common import RollingHash, mix64, utf8_blocks
+from reelcast.llm.common import SMALL_BLOCK, RollingHash, mix64, utf8_blocks
 
 WIDTH = 5
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -50,7 +50,7 @@ def _combine(words: np.ndarray, width: int, n: int) -> np.ndarray:
 def text_shingles(column: pa.Array, width: int = WIDTH) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingle hashes) of every text; a text of fewer words has its whole sequence as one
     shingle, one without words none."""
-    for lo, hi, data, offsets in utf8_blocks(column):
+    for lo, hi, data, offsets in utf8_blocks(column, SMALL_BLOCK):
         words, first = word_hashes(data, offsets)
         full = _combine(words, width, max(len(words) - width + 1, 0))
         for row in range(lo, hi):

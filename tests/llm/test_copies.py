@@ -188,6 +188,39 @@ def test_suffix_dedup_matches_brute_force(spark):
     assert radix_dedup.suffix_dedup(empty(spark)).count() == 0
 
 
+def test_suffix_dedup_passages_in_changing_company(spark):
+    """Passages cut at every length around the depth, with and without equal bytes before and behind, and null ids."""
+    rng = np.random.default_rng(12)
+    passage = "".join(rng.choice(list("abcdefghij "), 400))
+    tail = "".join(rng.choice(list("abcdefghij "), 60))
+    rows = [(0, "start " + passage + tail)]
+    for i in range(1, 60):
+        a, n = int(rng.integers(0, 300)), int(rng.integers(30, 200))
+        rows.append((i, f"{i} " + passage[a:a + n] + (tail if i % 3 else str(i)) + "z" * int(rng.integers(0, 120))))
+    want = brute_suffix(rows)
+    df = spark.createDataFrame([(i, t, None, None) for i, t in rows], SCHEMA).repartition(5)
+    out = radix_dedup.suffix_dedup(df).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out} == want
+    assert 10 < sum(w[1] > 0 for w in want.values()) < 59
+    last = spark.createDataFrame([(None, rows[0][1], None, None), (0, rows[0][1], None, None), (0, "short", None, None)], SCHEMA)
+    got = {(r.doc_id, r.n_bytes): r.n_removed for r in radix_dedup.suffix_dedup(last).collect()}
+    n = len(rows[0][1])
+    assert got == {(None, n): n, (0, n): 0, (0, 5): 0}
+
+
+@pytest.mark.parametrize("n", [100, 101, 173, 400])
+def test_run_classes_cover_every_window_once(n):
+    rng = np.random.default_rng(n)
+    data = rng.integers(97, 100, n).astype(np.uint8)
+    _, at, count, _, _ = radix_dedup.window_runs(data, np.array([0, n]))
+    anchor = radix_dedup._anchors(radix_dedup._hashers()[0].prefix(data), 100, 32)[1][at]
+    run, cls, first, some = radix_dedup.run_classes(at, count, anchor)
+    starts = [s for a, c in zip(first, some) for s in range(a, a + c)]
+    assert sorted(starts) == list(range(n - 99))
+    for r, c, a, m in zip(run, cls, first, some):
+        assert all(min((anchor[r] - s) // radix_dedup.STEP, 4) == c for s in range(a, a + m))
+
+
 @pytest.mark.parametrize("n", [100, 101, 173, 400])
 def test_window_runs_cover_every_window_once(n):
     rng = np.random.default_rng(n)
