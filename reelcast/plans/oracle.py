@@ -658,7 +658,8 @@ SELECT 1.0 - count(d.doc_id) / count(*) AS doc_id_missing, 1.0 - count(l.quality
 FROM labels l RIGHT JOIN (SELECT doc_id, lang FROM documents) d ON l.doc_id = d.doc_id""",
     "describe_columns": " UNION ALL ".join(
         f"""SELECT '{c}' AS column, count({c}) AS count, ROUND(AVG({c}), 6) AS mean, ROUND(stddev_samp({c}), 6) AS std,
-       MIN(CAST({c} AS DOUBLE)) AS min, MAX(CAST({c} AS DOUBLE)) AS max, ROUND(median(CAST({c} AS DOUBLE)), 6) AS median
+       MIN(CAST({c} AS DOUBLE)) AS min, MAX(CAST({c} AS DOUBLE)) AS max, ROUND(median(CAST({c} AS DOUBLE)), 6) AS median,
+       (SELECT CAST({c} AS DOUBLE) FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1) AS mode
 FROM lineitem""" for c in ("l_quantity", "l_extendedprice", "l_discount")),
     "save_keyed_map": item_sql("""
 SELECT movie_id AS rowkey, CAST(movie_id2 AS VARCHAR) AS qualifier, ROUND(weight, 4) + 0.0 AS value FROM item_final"""),

@@ -54,12 +54,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder for stage tables that all executors share: the one of ``spark.checkpoint.dir``; where that is
-    unset (local runs, tests) a folder of its own beside the warehouse.  Never a machine-local temporary folder."""
+    unset (local runs, tests) a folder of its own beside the warehouse.  Never a machine-local folder on a cluster:
+    there an unset ``spark.checkpoint.dir`` is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
-        root = sc.getConf().get("spark.checkpoint.dir", None) or (
-            spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages")
+        root = sc.getConf().get("spark.checkpoint.dir", None)
+        if not root:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
         sc.setCheckpointDir(root)
         current = sc.getCheckpointDir()
     return current

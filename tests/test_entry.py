@@ -18,7 +18,7 @@ def test_entry_smoke(spark):
 def test_registry_and_oracles_cover_each_other():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
-    assert len(q) >= 85
+    assert len(q) >= 108                          # keys outside the optional subpackage: a lost module is seen
 
 
 def test_sample_against_duckdb(spark):
