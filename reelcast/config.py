@@ -44,6 +44,7 @@ SCORE_MAX = 10
 # ---------------------------------------------------------------------------
 # Defaults (parameters)
 # ---------------------------------------------------------------------------
+VOCABULARY_SIZE = 5_400_000         # terms of the dictionary, most frequent first
 KEYWORD_TOPK = 30
 PROFILE_TOPK = 30
 VECTOR_DIM = 100

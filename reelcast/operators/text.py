@@ -70,20 +70,32 @@ def term_vocabulary(terms: DataFrame, key="movie_id") -> DataFrame:
                                         F.sum("tf").alias("term_count"))
 
 
-def fit_idf(terms: DataFrame, key="movie_id") -> DataFrame:
-    """``idf = ln((N + 1) / (df + 1))`` (Spark ML's formula) per keyword."""
+def fit_vocabulary(terms: DataFrame, size: int = C.VOCABULARY_SIZE, min_df: int = 1) -> DataFrame:
+    """Term dictionary (keyword, doc_freq, term_count, index): the ``size`` most frequent terms that at least
+    ``min_df`` documents have.  ``index`` counts from 0 by falling term count (keyword on ties); the rank is taken
+    over range partitions, so no task or driver holds the dictionary."""
+    from reelcast.operators.ranking import rank_all
+    counts = term_vocabulary(terms).where(F.col("doc_freq") >= min_df)
+    ranked = rank_all(counts, [], [F.desc("term_count"), F.asc("keyword")], "_place").where(F.col("_place") <= size)
+    return ranked.select("keyword", "doc_freq", "term_count", (F.col("_place") - 1).alias("index"))
+
+
+def fit_idf(terms: DataFrame, key="movie_id", vocabulary: DataFrame | None = None) -> DataFrame:
+    """``idf = ln((N + 1) / (df + 1))`` (Spark ML's formula) per keyword; with a ``vocabulary`` for its terms only,
+    and with their ``index``."""
     n_docs = terms.select(F.countDistinct(key)).scalar()
-    df_ = terms.groupBy("keyword").agg(F.count(F.lit(1)).alias("doc_freq"))  # one row per (doc, keyword)
+    # terms hold one row per (document, keyword)
+    df_ = vocabulary if vocabulary is not None else terms.groupBy("keyword").agg(F.count(F.lit(1)).alias("doc_freq"))
     out = df_.withColumn("_n", n_docs)
-    return out.select("keyword", "doc_freq",
+    return out.select("keyword", *(["index"] if vocabulary is not None else []), "doc_freq",
                       F.log((F.col("_n") + 1) / (F.col("doc_freq") + 1)).alias("idf"))
 
 
 def explode_tfidf(terms: DataFrame, idf: DataFrame) -> DataFrame:
-    """Per document and distinct term: raw count, idf, ``round(tf*idf, 4)``.
-    The idf table (one row per term) is joined by key; AQE splits partitions
-    of very common terms."""
-    j = terms.join(idf.select("keyword", "idf"), "keyword")
+    """Per document and distinct term: raw count, idf, ``round(tf*idf, 4)``, and the term's index if the idf table
+    has one; terms outside the idf table's vocabulary are dropped.  The table (one row per term) is joined by key; AQE
+    splits partitions of very common terms."""
+    j = terms.join(idf.drop("doc_freq"), "keyword")
     return j.withColumn("tfidf", F.round(F.col("tf") * F.col("idf"), 4))
 
 

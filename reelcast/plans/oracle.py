@@ -320,6 +320,11 @@ topic_weights AS MATERIALIZED (SELECT a.movie_id, a.cate_id, a.keyword AS topic,
         "STOPS", stops)
 
 
+_VOCABULARY = """
+SELECT keyword, count(DISTINCT movie_id) AS doc_freq, CAST(SUM(tf) AS BIGINT) AS term_count,
+       row_number() OVER (ORDER BY SUM(tf) DESC, keyword) - 1 AS "index" FROM terms GROUP BY keyword"""
+
+
 def text_sql(body: str, by_channel: bool = False) -> str:
     return "WITH " + text_ctes(by_channel) + "\n" + body
 
@@ -344,10 +349,14 @@ SELECT p_partkey AS id, array_to_string(regexp_extract_all(lower(p_name), '([a-z
 SELECT page_id, regexp_replace(url, '\\.', ' ', 'g') AS name FROM pages""",
     "tokenize_words": text_sql("""
 SELECT movie_id, cate_id, CAST(len(words) AS INT) AS n_words, array_to_string(words, ' ') AS words FROM words"""),
-    "fit_count_vectorizer": text_sql("""
-SELECT keyword, count(DISTINCT movie_id) AS doc_freq, CAST(SUM(tf) AS BIGINT) AS term_count FROM terms GROUP BY keyword"""),
-    "fit_idf": text_sql("SELECT keyword, doc_freq, ROUND(idf, 8) AS idf FROM idf"),
-    "explode_tfidf": text_sql("SELECT movie_id, cate_id, keyword, tf, ROUND(idf, 8) AS idf, tfidf FROM tfidf"),
+    "fit_count_vectorizer": text_sql(f"SELECT * FROM ({_VOCABULARY})"),
+    "bounded_vocabulary": text_sql(f"""
+SELECT keyword, doc_freq, term_count, row_number() OVER (ORDER BY "index") - 1 AS "index" FROM ({_VOCABULARY})
+WHERE doc_freq >= 2 QUALIFY row_number() OVER (ORDER BY "index") <= 1000"""),
+    "fit_idf": text_sql(f"""
+SELECT keyword, "index", i.doc_freq, ROUND(idf, 8) AS idf FROM idf i JOIN ({_VOCABULARY}) v USING (keyword)"""),
+    "explode_tfidf": text_sql(f"""
+SELECT movie_id, cate_id, keyword, "index", tf, ROUND(idf, 8) AS idf, tfidf FROM tfidf JOIN ({_VOCABULARY}) v USING (keyword)"""),
     "topk_tfidf": text_sql("""
 SELECT * FROM (SELECT movie_id, cate_id, keyword, tfidf,
                       row_number() OVER (PARTITION BY movie_id ORDER BY tfidf DESC, keyword) AS sort_num FROM tfidf)

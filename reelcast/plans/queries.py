@@ -223,7 +223,13 @@ def q_tokenize_words(spark, d):
 
 @query("fit_count_vectorizer")
 def q_fit_count_vectorizer(spark, d):
-    return TO.term_vocabulary(S.text_chain(spark, d)["terms"])
+    return S.text_chain(spark, d)["vocabulary"]
+
+
+@query("bounded_vocabulary")
+def q_bounded_vocabulary(spark, d):
+    """The thousand most frequent terms that two documents have at least."""
+    return TO.fit_vocabulary(S.text_chain(spark, d)["terms"], size=1000, min_df=2)
 
 
 @query("fit_idf")

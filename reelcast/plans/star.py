@@ -225,7 +225,8 @@ def text_chain(spark, d) -> Chain:
         "docs": lambda c: documents(spark, d),
         "words": lambda c: TO.cut_words(c["docs"], "summary"),
         "terms": lambda c: persisted(spark, d, "terms", lambda: TO.text_terms(c["docs"], "summary")),
-        "idf": lambda c: TO.fit_idf(c["terms"]),
+        "vocabulary": lambda c: persisted(spark, d, "vocabulary", lambda: TO.fit_vocabulary(c["terms"])),
+        "idf": lambda c: TO.fit_idf(c["terms"], vocabulary=c["vocabulary"]),
         "tfidf": lambda c: persisted(spark, d, "tfidf", lambda: TO.explode_tfidf(c["terms"], c["idf"])),
         # textrank and topic weights are the chain's persisted tables: reliable
         # checkpoints keep the Python stage from running once per plan branch
