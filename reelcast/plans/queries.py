@@ -720,3 +720,10 @@ def q_daily_history_play(spark, d):
     titles = S.catalog(spark, d).select(F.col("id").alias("movie_id"), "title", "year")
     return DY.daily_history(_buckets_day_by_day(spark, d), S.source_stats(spark, d)[0], "play", titles,
                             S.STAR_CHANNELS.film)
+
+
+@query("word_embeddings")
+def q_word_embeddings(spark, d):
+    """Word vectors from the co-occurrence table of all documents."""
+    from reelcast.operators import embeddings as EM
+    return EM.word_embeddings(EM.cooccurrence(S.documents(spark, d)), dim=C.VECTOR_DIM)
