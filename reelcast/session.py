@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,11 +74,39 @@ def stage_table(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: an explicit stage that cuts the lineage,
     is computed once however often it is read, and survives lost executors."""
     spark = df.sparkSession
-    path = path or f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+    if path is None:
+        path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+        if _OPEN:
+            _OPEN[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+# paths of the stage tables written inside each open ``settled`` call, the innermost last
+_OPEN: list[list[str]] = []
+
+
+def settled(spark: SparkSession, build: Callable[[], DataFrame]) -> DataFrame:
+    """The result of ``build()`` as one stage table.  The stage tables that were written on the way are removed: what
+    a chain of operators holds on disk is what its next step reads.  The result's lineage ends at its own table, so
+    a lost executor needs none of the removed ones."""
+    made: list[str] = []
+    _OPEN.append(made)
+    kept = None
+    try:
+        out = stage_table(build())
+        kept = made[-1]
+    finally:
+        _OPEN.pop()
+        for path in made:
+            if path != kept:
+                p = spark._jvm.org.apache.hadoop.fs.Path(path)
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    if _OPEN:
+        _OPEN[-1].append(kept)
+    return out
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` is there, asked through Spark's file system layer."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
