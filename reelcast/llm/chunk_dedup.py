@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelcast.llm.common import sized_broadcast, stage_table
+from reelcast.llm.common import settled, sized_broadcast, stage_table
 
 # characters that equality ignores (fixed values): space and U+0009 to U+000D
 SPACES = " \t\n\x0b\x0c\r"
@@ -93,11 +93,16 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     several rows with the same id and an equal text of the same length (a row repeated whole, say) one stays; rows
     that share an id but not a text are decided on their own.  What goes is named by (id, text digest, length); while
     its number allows a broadcast, texts are not shuffled, but for those of rows that are repeated."""
-    rows = stage_table(recipes(df, id_col, text_col))
     order = F.struct(-F.col("chars"), F.col("id").isNull(), F.col("id"))
-    first = rows.groupBy("recipe").agg(F.min(order).alias("first"))
-    ranked = rows.join(first, "recipe").select("id", "text_digest", "chars", "copies", (order > F.col("first")).alias("later"))
-    ranked = stage_table(ranked.where("later OR copies > 1"))
+
+    def decided() -> DataFrame:
+        rows = stage_table(recipes(df, id_col, text_col))
+        first = rows.groupBy("recipe").agg(F.min(order).alias("first"))
+        ranked = rows.join(first, "recipe").select(
+            "id", "text_digest", "chars", "copies", (order > F.col("first")).alias("later"))
+        return ranked.where("later OR copies > 1")
+
+    ranked = settled(df.sparkSession, decided)
     mark = lambda t: t.select(*[F.col(c).alias(f"_{c}") for c in ("id", "text_digest", "chars")])
     text = F.col(text_col).cast("string")
     keyed = df.withColumns({"_chars_": F.length(F.coalesce(text, F.lit(""))),

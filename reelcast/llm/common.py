@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelcast.session import stage_table  # noqa: F401
+from reelcast.session import settled, stage_table  # noqa: F401
 
 # rows up to which a small side is broadcast after it was counted; beyond it Spark plans a shuffled join
 BROADCAST_ROWS = 200_000

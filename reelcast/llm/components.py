@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelcast.llm.common import stage_table
+from reelcast.llm.common import settled, stage_table
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -13,6 +13,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     A round takes each node's smallest label among itself and its neighbours, then follows that label once, so a
     path of n nodes needs about log2(n) rounds.  Each round is written to the shared folder."""
+    return settled(edges.sparkSession, lambda: _components(edges))
+
+
+def _components(edges: DataFrame) -> DataFrame:
     both = stage_table(edges.select("u", "v").union(edges.select("v", "u")).distinct())
     labels = stage_table(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label"))
                          .select(F.col("u").alias("node"), "label"))

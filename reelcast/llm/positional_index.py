@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reelcast.llm.common import lower_ascii, sized_broadcast, stage_table
+from reelcast.llm.common import lower_ascii, settled, sized_broadcast, stage_table
 
 WINDOW = 10
 SLOP = 3
@@ -137,8 +137,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without any hit, all their columns unchanged."""
-    bad = sized_broadcast(stage_table(decontaminate(docs, items, id_col, text_col).where("contaminated").select(
-        F.col(id_col).alias("_bad_id"))))
+    bad = sized_broadcast(settled(docs.sparkSession, lambda: decontaminate(docs, items, id_col, text_col).where(
+        "contaminated").select(F.col(id_col).alias("_bad_id"))))
     return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad_id"]), "left_anti")
 
 
