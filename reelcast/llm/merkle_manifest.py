@@ -129,6 +129,7 @@ def numbered(rows: DataFrame) -> DataFrame:
     """(id, tree, leaf, tampered, pos, n, block) of ``leaves``: place in the tree by ascending id (null first), then
     leaf; ``n`` is the tree's number of leaves."""
     order = [F.col("id").asc_nulls_first(), F.col("leaf").asc()]
+    rows = stage_table(rows)                    # texts are digested once; the ranges are found on the digests
     placed = stage_table(rank_all(rows, ["tree"], order, "pos").withColumn("pos", F.col("pos") - 1))
     sizes = sized_broadcast(stage_table(placed.groupBy("tree").agg((F.max("pos") + 1).alias("n"))))
     return placed.join(sizes, "tree").withColumn("block", F.floor(F.col("pos") / BLOCK))
