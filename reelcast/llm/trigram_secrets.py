@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reelcast.llm.common import lower_ascii, stage_table
+from reelcast.llm.common import lower_ascii, sized_broadcast, stage_table
 
 
 def _either_case(word: str) -> str:
@@ -135,17 +135,17 @@ def matches(text: Column, rule: Rule) -> Column:
     counted = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else found
     gaps = F.split(text, rule.pattern)
     pieces = F.arrays_zip(found.alias("m"), counted.alias("g"), gaps.alias("gap"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,size:int>>").alias("out"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out"))
 
     def step(acc, p):
         begin = acc["at"] + F.length(p["gap"])
         end = begin + F.coalesce(F.length(p["m"]), F.lit(0))
-        span = F.struct(begin.alias("start"), end.alias("end"), F.length(p["g"]).alias("size"))
-        return F.struct(end.alias("at"), F.when(p["m"].isNotNull(), F.concat(acc["out"], F.array(span)))
+        span = F.struct(begin.alias("start"), end.alias("end"))
+        # only what is long enough is appended: an append copies the array, and short pieces may be many
+        return F.struct(end.alias("at"), F.when(F.length(p["g"]) >= rule.least, F.concat(acc["out"], F.array(span)))
                         .otherwise(acc["out"]).alias("out"))
 
-    spans = F.aggregate(pieces, start, step, lambda acc: acc["out"])
-    return F.filter(spans, lambda s: s["size"] >= rule.least)
+    return F.aggregate(pieces, start, step, lambda acc: acc["out"])
 
 
 def _tagged(text: Column, rule: Rule, order: int) -> Column:
@@ -178,7 +178,7 @@ def scan_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     everywhere = F.concat(none, *[F.when(F.col("text").rlike(_run_of(r)), _tagged(F.col("text"), r, order[r.kind]))
                                   .otherwise(none) for r in scanned])
     full = rows.select("key", "id", everywhere.alias("spans"))
-    found = rows.join(stage_table(candidate_rules(rows, indexed)).hint("shuffle_hash"), "key")
+    found = rows.join(sized_broadcast(stage_table(candidate_rules(rows, indexed))), "key")
     verified = found.select("key", "id", F.concat(none, *[
         F.when(F.array_contains("kinds", r.kind), _tagged(F.col("text"), r, order[r.kind])).otherwise(none)
         for r in indexed]).alias("spans")).where(F.size("spans") > 0)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from llm_fixtures import corpus, docs, empty
 from reelcast.llm import pii_boosting, positional_index, trigram_secrets, url_automaton
@@ -15,6 +16,25 @@ SECRETS = [
     (9, "🙂" * 30 + "deadbeefdeadbeefdeadbeef" + "token='zzzzzz'"), (10, "-----BEGIN RSA PRIVATE KEY-----")]
 
 
+def test_secrets_in_a_long_text(spark):
+    """1 MB with a piece for nearly every word and some long runs: linear in the text, and the text is not shuffled."""
+    rng = random.Random(5)
+    parts = [rng.choice(["feed", "decade", "x1f", "beef9", "zzz"]) for _ in range(180_000)]
+    for at in range(100, 180_000, 6000):
+        parts[at] = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        parts[at + 50] = "api_key = 'Zz19+/aa'"
+    text = " ".join(parts)
+    assert len(text) > 900_000
+    df = spark.createDataFrame([(1, text), (2, "plain")], "doc_id long, text string")
+    began = time.time()
+    got = {r.doc_id: r for r in trigram_secrets.scan_secrets(df).collect()}
+    assert time.time() - began < 90
+    want = [m for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    assert got[1].n_hex == len(want) == 30 and got[1].n_assign == 30 and got[2].n_hex == 0
+    spans = [(s.start, s.end) for s in got[1].found if s.kind == "hex"]
+    assert spans == [m.span() for m in want]
+
+
 def test_secrets_match_python_regex(spark):
     df = spark.createDataFrame(SECRETS + SECRETS[:1], "doc_id long, text string").repartition(3)
     got = {r.doc_id: r for r in trigram_secrets.scan_secrets(df).collect()}
