@@ -158,7 +158,10 @@ def _pagerank_group(damping: float, iterations: int, key_names: list[str]):
 
 def _textrank_docs(span: int, damping: float, iterations: int, key_names: list[str]):
     def one(toks) -> tuple[np.ndarray, np.ndarray]:
-        ids, words = pd.factorize(pd.Series(list(toks), dtype=object), use_na_sentinel=True)
+        number: dict = {None: -1}
+        ids = np.array([number.setdefault(t, len(number) - 1) for t in toks], np.int64)
+        del number[None]
+        words = np.array(list(number), dtype=object)         # in order of first appearance
         n = len(words)
         if n == 0:
             return words, np.empty(0)
@@ -187,20 +190,12 @@ def _textrank_docs(span: int, damping: float, iterations: int, key_names: list[s
 
     def run(it):
         for pdf in it:
-            parts = []
-            keyvals = [pdf[k].tolist() for k in key_names]
-            for i, toks in enumerate(pdf["_k"].tolist()):
-                if toks is None:
-                    continue
-                tags, ranks = one(toks)
-                if len(tags) == 0:
-                    continue
-                res = pd.DataFrame({"tag": tags, "textrank": ranks})
-                for j in reversed(range(len(key_names))):
-                    res.insert(0, key_names[j], keyvals[j][i])
-                parts.append(res)
-            yield (pd.concat(parts, ignore_index=True) if parts
-                   else pd.DataFrame({c: [] for c in [*key_names, "tag", "textrank"]}))
+            found = [one(toks) if toks is not None else (np.empty(0, object), np.empty(0)) for toks in pdf["_k"]]
+            rows = np.repeat(np.arange(len(pdf)), [len(tags) for tags, _ in found])
+            out = pdf[key_names].take(rows).reset_index(drop=True)
+            out["tag"] = np.concatenate([tags for tags, _ in found]) if found else []
+            out["textrank"] = np.concatenate([ranks for _, ranks in found]) if found else []
+            yield out
     return run
 
 
