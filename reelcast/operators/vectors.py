@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelcast import config as C
+from reelcast.functions import columns as X
 from reelcast.operators.ranking import top_k
 from reelcast.session import stage_table
 
@@ -184,6 +185,37 @@ def lsh_neighbours(vectors: DataFrame, k: int = 10, bucket_length: float = 2.0,
     return top_k(nb, ["movie_id"], [F.asc("distance"), F.asc("movie_id2")], k)
 
 
+def within_distance(vectors: DataFrame, threshold: float, k: int = 10, projections: int = 3, digits: int = 4,
+                    block_size: int = 1024) -> DataFrame:
+    """(movie_id, movie_id2, distance, sort_num): the ``k`` nearest other items of each item at a Euclidean distance of
+    at most ``threshold``; none is missed.
+
+    Items are hashed to cells of width ``threshold`` along the ``projections`` axes of largest variance and searched
+    in their own and all adjoining cells (multi-probe).  A projection on unit axes never lengthens a distance, so what
+    is within the threshold is at most one cell away on every axis.  Null vectors have no neighbours; vectors have one
+    length."""
+    from itertools import product
+
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector
+    v = stage_table(vectors.select("movie_id", "vec").where(F.col("vec").isNotNull()))
+    if v.isEmpty():
+        return v.sparkSession.createDataFrame([], "movie_id long, movie_id2 long, distance double, sort_num long")
+    m = min(projections, len(v.first()["vec"]))
+    axes = PCA(k=m, inputCol="features", outputCol="p").fit(
+        v.withColumn("features", array_to_vector("vec"))).pc.toArray().T            # m x dim, a parameter
+    cells = [F.floor(X.dot("vec", F.array(*[F.lit(float(x)) for x in axis])) / threshold) for axis in axes]
+    placed = v.select("movie_id", "vec", F.array(*cells).alias("at"))
+    cell = lambda at: F.concat_ws(":", F.transform(at, lambda c: c.cast("string")))
+    around = F.array(*[F.array(*[F.col("at")[i] + s for i, s in enumerate(step)]) for step in product((-1, 0, 1), repeat=m)])
+    queries = placed.select("movie_id", "vec", F.explode(around).alias("at")).select(
+        cell(F.col("at")).alias("cell"), "movie_id", "vec")
+    near = block_topk(queries, placed.select(cell(F.col("at")).alias("cell"), "movie_id", "vec"), ["cell"], k, "l2",
+                      block_size, digits=digits)
+    return near.where(F.col("score") <= F.round(F.lit(threshold * threshold), digits)).select(
+        "movie_id", "movie_id2", F.round(F.sqrt("score"), digits).alias("distance"), "sort_num")
+
+
 # ---------------------------------------------------------------- models
 def word2vec(dim: int = C.VECTOR_DIM, min_count: int = C.W2V_MIN_COUNT, seed: int = C.SEED,
              partitions: int = C.W2V_PARTITIONS):

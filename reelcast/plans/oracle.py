@@ -742,3 +742,10 @@ SQL["ann_recall"] = """
 SELECT 10 AS k, 16 AS bytes_per_vector, count(*) AS items, TRUE AS recall_reached FROM embeddings"""
 SQL["daily_action_weight"] = SQL["agg_action_weight"]
 SQL["daily_history_play"] = SQL["user_history_play"]
+SQL["within_distance"] = """
+WITH vec AS (SELECT vec_id AS movie_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+p AS (SELECT a.movie_id, b.movie_id AS movie_id2,
+             ROUND(greatest(list_dot_product(a.v, a.v) + list_dot_product(b.v, b.v) - 2.0 * list_dot_product(a.v, b.v), 0.0), 4) AS d2
+      FROM vec a JOIN vec b ON a.movie_id <> b.movie_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY d2, movie_id2) AS sort_num FROM p WHERE d2 <= 1.3225)
+SELECT movie_id, movie_id2, ROUND(sqrt(d2), 4) AS distance, sort_num FROM r WHERE sort_num <= 10"""

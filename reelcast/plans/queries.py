@@ -727,3 +727,10 @@ def q_word_embeddings(spark, d):
     """Word vectors from the co-occurrence table of all documents."""
     from reelcast.operators import embeddings as EM
     return EM.word_embeddings(EM.cooccurrence(S.documents(spark, d)), dim=C.VECTOR_DIM)
+
+
+@query("within_distance")
+def q_within_distance(spark, d):
+    """The ten nearest items of every item within a distance of 1.15, by multi-probe hashing that misses none."""
+    from reelcast.operators import vectors as V
+    return V.within_distance(S.item_vectors(spark, d), 1.15, k=10)

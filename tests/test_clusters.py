@@ -119,3 +119,20 @@ def test_item_vectors_are_weighted_means(spark):
     got = {r.movie_id: (r.cate_id, list(r.vec)) for r in V.item_vector(tw, wv).collect()}
     # x twice and y once are the same vector and count once
     assert got == {1: ("a", [1.0, 3.5]), 2: ("b", [0.5, 1.0])}
+
+
+@pytest.mark.parametrize("threshold", [0.3, 1.2, 50.0])
+def test_within_distance_misses_none(spark, threshold):
+    rows = [(i, v) for ch, i, v in grouped(seed=7, centres=12, each=12, dim=6) if v is not None]
+    df = spark.createDataFrame(rows, "movie_id long, vec array<double>").repartition(3)
+    got = {(r.movie_id, r.movie_id2, r.sort_num) for r in V.within_distance(
+        df.union(spark.createDataFrame([(99_999, None)], df.schema)), threshold, k=4).collect()}
+    ids = np.array([i for i, _ in rows])
+    m = np.array([v for _, v in rows])
+    d2 = np.round(np.maximum((m * m).sum(1)[:, None] + (m * m).sum(1)[None] - 2 * m @ m.T, 0), 4)
+    want = set()
+    for at, i in enumerate(ids):
+        order = [j for j in np.lexsort((ids, d2[at])) if j != at and d2[at, j] <= round(threshold ** 2, 4)][:4]
+        want |= {(int(i), int(ids[j]), r) for r, j in enumerate(order, 1)}
+    assert got == want and want
+    assert V.within_distance(df.limit(0), threshold).count() == 0
