@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from reelcast.sources import sinks as SK
@@ -228,3 +229,39 @@ def test_foreach_batch_sink_is_per_batch(spark, tmp_dir):
     out = spark.read.parquet(target)
     assert "batch" in out.columns
     assert out.count() == IN.parse_actions(spark.read.parquet(f"{SF001}/events.parquet")).count()
+
+
+def test_settled_keeps_the_result_only(spark):
+    """Stage tables written on the way are removed, those of an outer call's own steps only when it ends."""
+    from reelcast.session import settled, shared_folder, stage_table
+    folder = shared_folder(spark).replace("file:", "")
+    tables = lambda: {f for f in os.listdir(folder) if f.startswith("stage-")}
+    before = tables()
+
+    def build():
+        a = stage_table(spark.range(10))
+        b = settled(spark, lambda: stage_table(a.where("id > 3")).withColumn("x", F.lit(1)))
+        assert len(tables() - before) == 2
+        return a.join(b, "id")
+
+    out = settled(spark, build)
+    assert len(tables() - before) == 1 and out.count() == 6
+
+    def broken():
+        stage_table(spark.range(3))
+        raise RuntimeError("lost")
+
+    left = tables()
+    with pytest.raises(RuntimeError):
+        settled(spark, broken)
+    assert tables() == left
+
+
+def test_stages_need_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from reelcast.session import shared_folder
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:7077")
+    with pytest.raises(ValueError):
+        shared_folder(SimpleNamespace(sparkContext=sc, conf=conf))
