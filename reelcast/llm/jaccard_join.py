@@ -4,10 +4,10 @@ Order all shingles by corpus frequency (a fixed-size count sketch over every doc
 reach the threshold, the first ``n - ceil(t * n) + k`` shingles of both share at least k.  Each document chooses its
 own k: a longer prefix costs more postings, but a pair must then share more of it before it is verified; the choice
 minimises (shingles sent) + (postings read) + (expected candidates) x (set size), with the sketch's counts as
-estimates.  A pair is a
-candidate when it shares ``min(k_x, k_y)`` prefix shingles and the shared part plus the longer rest can still reach
-the threshold.  What a pair must share is known from both sizes and from which prefix ends earlier in the common
-order, so only the first shingles of each prefix are looked up, as many as a pair that shares less cannot do without.
+estimates.  A pair is a candidate when it shares ``min(k_x, k_y)`` prefix shingles and the shared part plus the longer rest can still reach
+the threshold.  What a pair must share is known from both sizes, so only the first shingles of each prefix are looked
+up, as many as a pair that shares less cannot do without; and a pair that has one of its first ``len(HEADS)`` open
+shingles in common is taken there only, not again at each of its later common shingles.
 
 Documents with equal sets are one class before the join.  Large groups of near copies are not expanded into all
 pairs: some rounds link each class only to one class of each posting list (the busiest first) and merge what links; then every
@@ -35,6 +35,7 @@ SKETCH_PART = 1 << 13
 MAX_MATCHES = 8                 # largest k
 POSTING_COST, VERIFY_COST = 1.0, 0.05
 HUB_ROUNDS = 2
+HEADS = ["h0", "h1", "h2"]      # first open shingles of a class, kept beside each of its postings
 
 
 def _sketch(docs: DataFrame) -> np.ndarray:
@@ -74,8 +75,7 @@ def choose_prefix(estimates: np.ndarray, n: int) -> tuple[int, int]:
 
 
 def _prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """(id, n, s1, s2, k, reach, prefix): set size, signature of the set, the chosen prefix of every document, and how
-    far it reaches in the common order of all shingles (estimate, then upper half of the hash, of its last one)."""
+    """(id, n, s1, s2, k, prefix): set size, signature of the set, and the chosen prefix of every document."""
     spark = docs.sparkSession
     mean = counts.mean()
     shared = spark.sparkContext.broadcast(np.maximum(counts - mean - 3 * np.sqrt(mean) - 1, 0).astype(np.int64))
@@ -84,33 +84,29 @@ def _prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
         estimate = shared.value
         low = np.uint64(len(estimate) - 1)
         for batch in batches:
-            n, s1, s2, ks, reach, prefixes = [], [], [], [], [], []
+            n, s1, s2, ks, prefixes = [], [], [], [], []
             for _, h in text_shingles(batch.column(1)):
                 n.append(len(h))
                 s1.append(int(h.sum(dtype=np.uint64).view(np.int64)))
                 s2.append(int(np.bitwise_xor.reduce(h * h | np.uint64(1)).view(np.int64)) if len(h) else 0)
                 if not len(h):
                     ks.append(0)
-                    reach.append(0)
                     prefixes.append(h)
                     continue
                 e = estimate[(h & low).astype(np.int64)]
                 order = np.argsort(e, kind="stable")       # ties by hash: one order for all documents
                 k, length = choose_prefix(e[order], len(h))
                 ks.append(k)
-                last = order[length - 1]
-                # estimates beyond 31 bits count as equal, whatever their hashes
-                reach.append(int(e[last]) << 32 | int(h[last]) >> 32 if e[last] >> 31 == 0 else ((1 << 31) - 1) << 32)
                 prefixes.append(h[order[:length]])
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             flat = i64(np.concatenate(prefixes) if prefixes else np.zeros(0, np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()),
-                 pa.array(ks, pa.int32()), pa.array(reach, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), flat)],
-                names=["id", "n", "s1", "s2", "k", "reach", "prefix"])
+                 pa.array(ks, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), flat)],
+                names=["id", "n", "s1", "s2", "k", "prefix"])
 
     return small_batches(docs.select("id", "text")).mapInArrow(
-        lean(run), "id long, n long, s1 long, s2 long, k int, reach long, prefix array<long>")
+        lean(run), "id long, n long, s1 long, s2 long, k int, prefix array<long>")
 
 
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -158,13 +154,8 @@ def _needed():
 
 
 def _share():
-    """Open prefix shingles that the pair must share at least (open: some other component has the shingle too).  Of
-    the two prefixes, what the one that ends earlier in the common order shares with the other set lies in the other
-    prefix too, so only that one's rest can hold further common shingles; where both end alike, the longer rest may."""
-    rest_u, rest_v = _rest("n_u", "k_u"), _rest("n_v", "k_v")
-    rest = F.when(F.col("reach_u") < F.col("reach_v"), rest_u).when(
-        F.col("reach_u") > F.col("reach_v"), rest_v).otherwise(F.greatest(rest_u, rest_v))
-    return F.greatest(_needed() - rest, F.least("k_u", "k_v"))
+    """Open prefix shingles that the pair must share at least (open: some other component has the shingle too)."""
+    return F.greatest(_needed() - F.greatest(_rest("n_u", "k_u"), _rest("n_v", "k_v")), F.least("k_u", "k_v"))
 
 
 def _hopeful():
@@ -179,7 +170,7 @@ def _hopeful():
 
 def _candidates(hits: DataFrame, here: DataFrame) -> DataFrame:
     """Pairs that share enough open prefix shingles."""
-    pairs = stage_table(hits.select("u", "v", "n_u", "n_v", "k_u", "k_v", "reach_u", "reach_v").distinct())
+    pairs = stage_table(hits.select("u", "v", "n_u", "n_v", "k_u", "k_v").distinct())
     reps = pairs.select(F.col("u").alias("rep")).union(pairs.select(F.col("v").alias("rep"))).distinct()
     tokens = here.join(reps, "rep", "left_semi").groupBy("rep").agg(F.collect_list("token").alias("tokens"))
     both = (pairs.join(tokens.withColumnsRenamed({"rep": "u", "tokens": "tokens_u"}), "u")
@@ -195,23 +186,39 @@ def _index(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFr
     named = found.where("id IS NOT NULL AND n > 0")
     classes = named.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
     heads = named.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.first("k").alias("k"),
-                                               F.first("reach").alias("reach"), F.first("prefix").alias("prefix"))
+                                               F.first("prefix").alias("prefix"))
     # one number for size (31 bits), place in the prefix (28 bits) and k (4 bits)
-    postings = heads.select("rep", "n", "k", "reach", F.posexplode("prefix").alias("pos", "token")).select(
-        "token", "rep", "reach", (F.shiftleft("n", 32) + F.shiftleft(F.col("pos").cast("long"), 4) + F.col("k")).alias("meta"))
+    postings = heads.select("rep", "n", "k", F.posexplode("prefix").alias("pos", "token")).select(
+        "token", "rep", (F.shiftleft("n", 32) + F.shiftleft(F.col("pos").cast("long"), 4) + F.col("k")).alias("meta"))
     repeated = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
     lists = stage_table(postings.join(repeated, "token"))
-    unpacked = lists.select("token", "rep", "reach", F.shiftright("meta", 32).alias("n"),
+    unpacked = lists.select("token", "rep", F.shiftright("meta", 32).alias("n"),
                             F.shiftright("meta", 4).bitwiseAND((1 << 28) - 1).alias("pos"),
                             F.col("meta").bitwiseAND(15).alias("k"))
     return docs, found, named, classes, unpacked
 
 
-def _placed(here: DataFrame) -> DataFrame:
-    """Every posting with the number of its class's open shingles and its place among them."""
+def _placed(here: DataFrame, heads: bool = False) -> DataFrame:
+    """Every posting with the number of its class's open shingles and its place among them, and with ``heads`` the
+    first of them."""
     by_rep = Window.partitionBy("rep")
-    return stage_table(here.withColumn("open", F.count(F.lit(1)).over(by_rep)).withColumn(
-        "at", F.row_number().over(by_rep.orderBy("pos")) - 1))
+    out = here.withColumn("open", F.count(F.lit(1)).over(by_rep)).withColumn(
+        "at", F.row_number().over(by_rep.orderBy("pos")) - 1)
+    if heads:
+        out = out.withColumns({h: F.max(F.when(F.col("at") == i, F.col("token"))).over(by_rep)
+                               for i, h in enumerate(HEADS)})
+    return stage_table(out)
+
+
+def _first_meeting():
+    """False where a pair's common shingle comes after one that stands in both heads.  That one precedes it in both
+    prefixes (all sets have one order), so it satisfies :func:`_hopeful` wherever a linking pair's later ones do."""
+    met = F.lit(False)
+    for a in HEADS:
+        for b in HEADS:
+            met = met | F.coalesce(F.col(f"{a}_u") == F.col(f"{b}_v"), F.lit(False))
+    inside = (F.col("at_u") < len(HEADS)) & (F.col("at_v") < len(HEADS))
+    return inside | ~met
 
 
 def _sided(here: DataFrame, side: str) -> DataFrame:
@@ -235,17 +242,18 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         open_tokens = here.groupBy("token").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where(
             "l0 <> l1").select("token")
         here = here.join(open_tokens, "token")
-        here = _placed(here)
-        names = ["rep", "n", "k", "reach", "pos", "open", "at", "label"]
+        last = turn == HUB_ROUNDS
+        here = _placed(here, heads=last)
+        names = ["rep", "n", "k", "pos", "open", "at", "label", *(HEADS if last else [])]
         left = here.withColumnsRenamed({x: "u" if x == "rep" else f"{x}_u" for x in names})
-        if turn < HUB_ROUNDS:
+        if not last:
             rank = F.struct((F.col("open") if turn == 0 else F.xxhash64("rep", F.lit(turn))).alias("first_"), *names)
             hubs = here.groupBy("token").agg(F.max(rank).alias("h"))
             right = hubs.select("token", *[F.col(f"h.{x}").alias("v" if x == "rep" else f"{x}_v") for x in names])
             apart = F.col("label_u") != F.col("label_v")
         else:
             right = here.withColumnsRenamed({x: "v" if x == "rep" else f"{x}_v" for x in names})
-            apart = F.col("label_u") < F.col("label_v")
+            apart = (F.col("label_u") < F.col("label_v")) & _first_meeting()
         hits = left.join(right, "token").where(apart & _hopeful())
         linked = settled(df.sparkSession, lambda: _verify(stage_table(_candidates(hits, here)), docs).select("u", "v"))
         links = linked if links is None else stage_table(links.union(linked))
@@ -267,8 +275,9 @@ def jaccard_links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def _links(docs: DataFrame, postings: DataFrame) -> DataFrame:
-    here = _placed(postings)
-    hits = _sided(here, "u").join(_sided(here, "v"), "token").where((F.col("u") < F.col("v")) & _hopeful())
+    here = _placed(postings, heads=True)
+    hits = _sided(here, "u").join(_sided(here, "v"), "token").where(
+        (F.col("u") < F.col("v")) & _first_meeting() & _hopeful())
     return stage_table(_verify(stage_table(_candidates(hits, here)), docs).select("u", "v"))
 
 
