@@ -4,10 +4,10 @@ Order all shingles by corpus frequency (a fixed-size count sketch over every doc
 reach the threshold, the first ``n - ceil(t * n) + k`` shingles of both share at least k.  Each document chooses its
 own k: a longer prefix costs more postings, but a pair must then share more of it before it is verified; the choice
 minimises (shingles sent) + (postings read) + (expected candidates) x (set size), with the sketch's counts as
-estimates.  A pair is a candidate when it shares ``min(k_x, k_y)`` prefix shingles and the shared part plus the longer rest can still reach
-the threshold.  What a pair must share is known from both sizes, so only the first shingles of each prefix are looked
-up, as many as a pair that shares less cannot do without; and a pair that has one of its first ``len(HEADS)`` open
-shingles in common is taken there only, not again at each of its later common shingles.
+estimates.  A pair is a candidate when it shares ``min(k_x, k_y)`` prefix shingles and the shared part plus the longer
+rest can still reach the threshold.  What a pair must share is known from both sizes, so only the first shingles of
+each prefix are looked up, as many as a pair that shares less cannot do without; and a pair that has one of its first
+``len(HEADS)`` open shingles in common is taken there only, not again at each of its later common shingles.
 
 Documents with equal sets are one class before the join.  Large groups of near copies are not expanded into all
 pairs: some rounds link each class only to one class of each posting list (the busiest first) and merge what links; then every
