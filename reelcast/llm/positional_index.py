@@ -135,6 +135,27 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def phrase_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   item_col: str = "item_id", item_text_col: str = "text", width: int = WINDOW,
+                   slop: int = SLOP) -> DataFrame:
+    """(id, item, phrase, start, size, exact): every match of a window of an item, by word position in the document.
+
+    ``exact`` matches are verified word by word.  The others are proximity matches: the window's two rarest terms
+    stand within ``slop`` words of their places around ``start`` (which may lie before the text), and the window does
+    not stand there itself.  Documents and items as in :func:`decontaminate`; a window of one distinct term has exact
+    matches and, where that term is repeated nearby, proximity matches."""
+    windows = stage_table(item_windows(items, item_col, item_text_col, width))
+    found = stage_table(candidates(docs, windows, id_col, text_col, slop))
+    keys = sized_broadcast(found.select("key").distinct())
+    texts = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.col(id_col).alias("id"),
+                        F.col(text_col).alias("text")).join(keys, "key", "left_semi")
+    placed = found.join(texts.select("key", "id", words(F.col("text")).alias("w")).dropDuplicates(["key", "id"]), "key")
+    here = F.when(F.col("start") >= 0, F.array_join(F.slice("w", F.col("start") + 1, F.col("size")), " "))
+    return placed.withColumn("exact", F.coalesce(here == F.col("phrase"), F.lit(False))).join(
+        sized_broadcast(windows.select("phrase", "item")), "phrase").select(
+        F.col("id").alias(id_col), F.col("item").alias(item_col), "phrase", "start", "size", "exact")
+
+
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without any hit, all their columns unchanged."""
     bad = sized_broadcast(settled(docs.sparkSession, lambda: decontaminate(docs, items, id_col, text_col).where(

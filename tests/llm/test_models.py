@@ -257,3 +257,13 @@ def test_pipeline_matches_brute_force(spark):
 def test_stages_return_the_columns_of_documents(spark, stage):
     df = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     assert corpus_pipeline.STAGES[stage][1](spark, df, SF).columns == df.columns
+
+
+def test_page_language_uses_markup_host_and_text(spark):
+    """Every page has one row; the language found agrees with the markup where the page has text enough."""
+    from conftest import SF001
+    out = language_evidence.page_language(spark, SF001).collect()
+    assert len(out) == spark.read.parquet(f"{SF001}/pages.parquet").count() == len({r.page_id for r in out})
+    told = [r for r in out if r.declared and r.kept and r.n_grams > 200]
+    assert told and sum(r.lang == r.declared[:2].lower() for r in told) / len(told) >= 0.9
+    assert all(r.kept == (r.lang != "und") and (r.n_grams > 0 or not r.kept) for r in out)

@@ -204,6 +204,32 @@ def test_proximity_finds_reordered_neighbours(spark):
     assert out[1].n_near == 1 and out[1].n_hit == 0 and out[2].n_near == 0
 
 
+def test_matches_are_returned_as_rows(spark):
+    """Exact matches are all places of all windows; proximity matches name the item and the place."""
+    rng = random.Random(21)
+    pool = [f"w{i}" for i in range(30)]
+    item = [rng.choice(pool) for _ in range(14)]
+    texts = [" ".join(item), "x " + " ".join(item[2:13]) + " y " + " ".join(item[:10]), " ".join(rng.choice(pool) for _ in range(50)),
+             "short one", None, ""]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "Short ONE"), (3, None)], "item_id long, text string")
+    df = spark.createDataFrame(list(enumerate(texts)) + [(0, texts[0])], "doc_id long, text string").repartition(3)
+    want = set()
+    for i, t in enumerate(texts):
+        w = (t or "").split()
+        for n, source in ((1, item), (2, ["short", "one"])):
+            size = min(10, len(source))
+            for p in {tuple(source[a:a + size]) for a in range(len(source) - size + 1)}:
+                want |= {(i, n, " ".join(p), a, size) for a in range(len(w) - size + 1) if tuple(w[a:a + size]) == p}
+    got = positional_index.phrase_matches(df, bench).collect()
+    assert {(r.doc_id, r.item_id, r.phrase, r.start, r.size) for r in got if r.exact} == want and len(want) > 5
+    assert len({tuple(r) for r in got}) == len(got)
+    bench = spark.createDataFrame([(1, "zebra the quartz of and to in a is it")], "item_id long, text string")
+    near = spark.createDataFrame([(1, "zebra of the quartz and"), (2, "zebra " + "the " * 9 + "quartz"),
+                                  (3, "to in a is it of and the " * 3)], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id, r.exact) for r in positional_index.phrase_matches(near, bench).collect()} == {(1, 1, False)}
+    assert positional_index.phrase_matches(df.limit(0), bench).count() == 0
+
+
 def test_thresholds_come_from_all_held_out_candidates(spark):
     """A kind that is rare among very many candidates of another kind has its threshold too."""
     from pyspark.sql import functions as F
