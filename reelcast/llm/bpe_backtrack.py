@@ -29,9 +29,9 @@ from reelcast.llm.common import lean, small_batches
 
 # the pre-tokeniser pattern of the byte-level vocabularies (fixed value, public GPT-2 pattern)
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# bytes that a worker's tables of pieces, pre-tokens and token pairs may take, each; a table starts anew beyond it
-# (caches: results do not change).  An entry counts as its characters, four bytes an id and a fixed overhead.
-TABLE_BYTES = 24 << 20
+# bytes that a worker's tables of pieces and of token pairs may take, each, and that of pre-tokens; a table starts anew
+# beyond it (caches: results do not change).  An entry counts as its characters, its ids and a fixed overhead.
+TABLE_BYTES, WORD_BYTES = 24 << 20, 44 << 20
 ENTRY_BYTES = 160
 SLICE_CHARS = 1 << 18
 
@@ -251,7 +251,7 @@ class Encoder:
             if ids is None:
                 ids = self.vocabulary.encode(word)
                 if len(ids) < 64:
-                    if self.word_bytes > TABLE_BYTES:
+                    if self.word_bytes > WORD_BYTES:
                         self.words.clear()
                         self.word_bytes = 0
                     self.words[word] = ids

@@ -179,6 +179,7 @@ def test_bpe_matches_the_library(spark):
 
 def test_bpe_survives_full_tables(monkeypatch):
     monkeypatch.setattr(bpe_backtrack, "TABLE_BYTES", 9000)
+    monkeypatch.setattr(bpe_backtrack, "WORD_BYTES", 9000)
     e, t = bpe_backtrack.Encoder(bpe_backtrack.default_vocabulary()), library()
     rng = random.Random(8)
     for _ in range(5):
