@@ -73,13 +73,30 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
     return vectors.select("movie_id", unit("vec").alias("vec")).where(F.col("vec").isNotNull())
 
 
+def sample(units: DataFrame, n: int) -> np.ndarray:
+    """The ``SAMPLE`` vectors of smallest hash (the documented bound) of ``n`` rows, by hash and id.  Only rows that can
+    be among them are sorted, and they come to the driver as bytes of doubles, not as lists of Python numbers."""
+    h = F.xxhash64("movie_id")
+    share = min(1.0, (1.5 * SAMPLE + 1000) / max(n, 1))
+    low = units.where(h <= F.lit(int(-(1 << 63) + share * (1 << 64)) - 1 if share < 1 else (1 << 63) - 1))
+    if low.count() < min(SAMPLE, n):                        # ids that repeat can leave too few
+        low = units
+    rows = low.orderBy(h, "movie_id").limit(SAMPLE)
+
+    def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame({"vec": [np.asarray(v, "float64").tobytes() for v in f["vec"]]})
+
+    packed = rows.select("vec").mapInPandas(pack, "vec binary").collect()
+    return np.stack([np.frombuffer(r["vec"], "float64") for r in packed])
+
+
 def fit_books(units: DataFrame, lists: int | None = None, parts: int = PARTS, seed: int = C.SEED) -> Books | None:
     """Codebooks of unit vectors; None for an empty table.  Without ``lists`` their number is the root of the rows."""
     n = units.count()
     if not n:
         return None
-    rows = units.orderBy(F.xxhash64("movie_id"), "movie_id").limit(SAMPLE).collect()      # the documented bound
-    x = np.array([r["vec"] for r in rows])
+    x = sample(units, n)
     rng = np.random.default_rng(seed)
     k = min(lists or math.ceil(math.sqrt(n)), len(x), MAX_LISTS)
     widths = [len(p) for p in np.array_split(np.arange(x.shape[1]), min(parts, x.shape[1]))]
@@ -128,16 +145,20 @@ def _table_scorer(books: Books, k: int):
                                  "movie_id2": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
         code = np.frombuffer(b"".join(c["vec"]), np.uint8).reshape(len(c), -1)
         qid, cid = q["movie_id"].to_numpy(), c["movie_id"].to_numpy()
-        total = np.zeros((len(q), len(c)))
-        for j, (piece, book) in enumerate(zip(books.pieces(np.stack(q["vec"].to_numpy())), books.codes)):
-            total += (piece @ book.T)[:, code[:, j]]
-        key = np.where(qid[:, None] == cid[None, :], np.inf, -total)
-        kk = min(k, len(cid))
-        best = np.argpartition(key, kk - 1, axis=1)[:, :kk]
-        rows, picked = np.repeat(np.arange(len(qid)), kk), best.reshape(-1)
-        keep = np.isfinite(key[rows, picked])
-        return pd.DataFrame({"list_id": q["list_id"].iloc[0], "movie_id": qid[rows][keep],
-                             "movie_id2": cid[picked][keep], "score": total[rows, picked][keep]})
+        pieces, kk, found = books.pieces(np.stack(q["vec"].to_numpy())), min(k, len(cid)), []
+        step = max(1, V.SLICE_CELLS // len(cid))
+        for at in range(0, len(qid), step):
+            cut = slice(at, at + step)
+            total = np.zeros((len(qid[cut]), len(cid)))
+            for j, (piece, book) in enumerate(zip(pieces, books.codes)):
+                total += (piece[cut] @ book.T)[:, code[:, j]]
+            key = np.where(qid[cut, None] == cid[None, :], np.inf, -total)
+            picked = np.argpartition(key, kk - 1, axis=1)[:, :kk].reshape(-1)
+            rows = np.repeat(np.arange(len(key)), kk)
+            keep = np.isfinite(key[rows, picked])
+            found.append((qid[cut][rows][keep], cid[picked][keep], total[rows, picked][keep]))
+        ids, near, scores = (np.concatenate(x) for x in zip(*found))
+        return pd.DataFrame({"list_id": q["list_id"].iloc[0], "movie_id": ids, "movie_id2": near, "score": scores})
     return score
 
 

@@ -42,3 +42,12 @@ def test_sliced_scores_are_those_of_one_piece(monkeypatch):
     whole = V._block_scorer("cosine", 5, True, 2, [])(f, f)
     monkeypatch.setattr(V, "SLICE_CELLS", 90)
     assert V._block_scorer("cosine", 5, True, 2, [])(f, f).equals(whole) and len(whole) == 200
+
+
+def test_sample_is_the_rows_of_smallest_hash(spark, monkeypatch):
+    monkeypatch.setattr(pq, "SAMPLE", 50)
+    u = spark.range(6000).select(F.col("id").alias("movie_id"), F.array(F.col("id") + 0.5, F.lit(1.0)).alias("vec"))
+    want = [list(r.vec) for r in u.orderBy(F.xxhash64("movie_id"), "movie_id").limit(50).collect()]
+    assert pq.sample(u, 6000).tolist() == want
+    same = spark.range(500).select(F.lit(7).cast("long").alias("movie_id"), F.array(F.lit(1.0)).alias("vec"))
+    assert len(pq.sample(same, 500)) == 50                  # one id: its hash says nothing of how many there are
