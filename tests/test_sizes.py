@@ -44,6 +44,34 @@ def test_sliced_scores_are_those_of_one_piece(monkeypatch):
     assert V._block_scorer("cosine", 5, True, 2, [])(f, f).equals(whole) and len(whole) == 200
 
 
+def test_terms_read_a_text_once(spark):
+    """The token rules are a compiled filter on rows; no filter tokenises the text a second time."""
+    docs = spark.createDataFrame(TEXTS, DOC)
+    lines = [x for x in plan(TO.text_terms(docs)).splitlines() if "Filter" in x]
+    assert lines and not any("regexp_extract_all" in x for x in lines)
+    want = Counter()
+    for r in docs.select("movie_id", "cate_id", TX.tokenize_words("summary").alias("w")).collect():
+        want.update((r.movie_id, r.cate_id, w) for w in r.w or [])
+    got = {(r.movie_id, r.cate_id, r.keyword): r.tf for r in TO.text_terms(docs).collect()}
+    assert got == dict(want) and (2, None, "of") in got and (1, "a", "漢字") in got and (1, "a", "字漢") in got
+
+
+def test_edges_are_counted_in_one_pass(spark):
+    docs = spark.createDataFrame(TEXTS, DOC)
+    edges = TO.textrank_edges(docs, span=3)
+    assert "Union" not in plan(edges)
+    want = Counter()
+    for r in docs.collect():
+        toks = docs.sparkSession.createDataFrame([(r.summary,)], "s string").select(TX.raw_tokens("s").alias("t"),
+            F.transform(TX.raw_tokens("s"), lambda t: TX.keep_token(t) & (F.length(t) >= 2)).alias("k")).first()
+        for i in range(len(toks.t or [])):
+            for j in range(i + 1, min(i + 3, len(toks.t))):
+                if toks.k[i] and toks.k[j]:
+                    want[r.movie_id, r.cate_id, toks.t[i], toks.t[j]] += 1
+                    want[r.movie_id, r.cate_id, toks.t[j], toks.t[i]] += 1
+    assert want and {(r.movie_id, r.cate_id, r.a, r.b): r.w for r in edges.collect()} == dict(want)
+
+
 def test_sample_is_the_rows_of_smallest_hash(spark, monkeypatch):
     monkeypatch.setattr(pq, "SAMPLE", 50)
     u = spark.range(6000).select(F.col("id").alias("movie_id"), F.array(F.col("id") + 0.5, F.lit(1.0)).alias("vec"))
