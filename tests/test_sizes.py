@@ -72,6 +72,18 @@ def test_edges_are_counted_in_one_pass(spark):
     assert want and {(r.movie_id, r.cate_id, r.a, r.b): r.w for r in edges.collect()} == dict(want)
 
 
+def test_block_means():
+    """Each word once for its block, slices of pairs summed; pairs without a vector count for nothing."""
+    pairs = pd.DataFrame({"ia": [1, 2, 1, 3], "ib": [2, 1, 3, 9], "w": [1.0, 2.0, 3.0, 1.0]})
+    vectors = pd.DataFrame({"id": [1, 2, 3], "vec": [np.array([1.0, 0.0]), np.array([0.0, 4.0]), np.array([4.0, 0.0])]})
+    EM.SLICE_PAIRS, held = 1, EM.SLICE_PAIRS
+    try:
+        out = EM._means(pairs, vectors)
+    finally:
+        EM.SLICE_PAIRS = held
+    assert {i: v.tolist() for i, v in zip(out["id"], out["_v"])} == {1: [3.0, 1.0], 2: [1.0, 0.0]}
+
+
 def test_sample_is_the_rows_of_smallest_hash(spark, monkeypatch):
     monkeypatch.setattr(pq, "SAMPLE", 50)
     u = spark.range(6000).select(F.col("id").alias("movie_id"), F.array(F.col("id") + 0.5, F.lit(1.0)).alias("vec"))
