@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelcast.llm.common import lean, small_batches
+from reelcast.llm.common import kept, lean, small_batches
 
 # the pre-tokeniser pattern of the byte-level vocabularies (fixed value, public GPT-2 pattern)
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -197,14 +197,15 @@ class Vocabulary(TokenBytes):
             last = out[-1] if out else -1
 
 
-_LOADED: dict[tuple[type, str], object] = {}
+OPERATOR = "bpe"
 
 
 def _loaded(kind: type, path: str):
-    """One object of a kind and file in each worker."""
-    if (kind, path) not in _LOADED:
-        _LOADED[kind, path] = kind(path)
-    return _LOADED[kind, path]
+    """One object of a kind and file in each worker, until another operator's task takes it over."""
+    loaded = kept(OPERATOR)
+    if (kind, path) not in loaded:
+        loaded[kind, path] = kind(path)
+    return loaded[kind, path]
 
 
 class Encoder:
@@ -390,7 +391,7 @@ def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab
                     names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return small_batches(df).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        lean(run), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+        lean(run, OPERATOR), f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
 
 
 def op6_bpe_backtracking(spark, sf_dir: str) -> DataFrame:

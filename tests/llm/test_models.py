@@ -268,3 +268,16 @@ def test_page_language_uses_markup_host_and_text(spark):
     told = [r for r in out if r.declared and r.kept and r.n_grams > 200]
     assert told and sum(r.lang == r.declared[:2].lower() for r in told) / len(told) >= 0.9
     assert all(r.kept == (r.lang != "und") and (r.n_grams > 0 or not r.kept) for r in out)
+
+
+def test_a_worker_drops_what_it_kept_for_another_operator():
+    from reelcast.llm import bpe_backtrack, common
+    common._KEPT.clear()
+    class File:
+        def __init__(self, path):
+            self.path = path
+    held = bpe_backtrack._loaded(File, "a")
+    assert list(common.lean(iter, bpe_backtrack.OPERATOR)([1, 2])) == [1, 2]
+    assert bpe_backtrack._loaded(File, "a") is held          # its own next task finds it again
+    assert list(common.lean(iter)([3])) == [3]               # the next stage of a pipeline runs in the same worker
+    assert not common._KEPT
