@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark.ml.feature import Word2VecModel
 from pyspark.sql import functions as F
 
 from reelcast import config as C
@@ -19,6 +18,7 @@ from reelcast.operators import clusters as CL
 from reelcast.operators import factors as FA
 from reelcast.operators import text as TO
 from reelcast.operators import vectors as V
+from reelcast.operators.skipgram import WordModel
 from reelcast.plans import daily as DY
 from reelcast.plans import incremental as INC
 from reelcast.plans import star as S
@@ -97,7 +97,7 @@ def pipeline_item(spark, d, out, full: bool = True) -> dict:
 def pipeline_vectors(spark, d, out, refit: bool) -> dict:
     """Word vectors, item vectors and their clusters; without ``refit`` (a weekly matter) the stored model is used."""
     words = TO.cut_words(S.documents(spark, d), "summary")
-    model = SK.fit_or_load(V.word2vec(), Word2VecModel, words, os.path.join(out, "word2vec_model"), refit)
+    model = SK.fit_or_load(V.word2vec(), WordModel, words, os.path.join(out, "word2vec_model"), refit)
     items = V.item_vector(S.text_chain(spark, d)["topic_weights"], V.word_vectors(model))
     counts = {"item_vector": _save(items, out, "item_vector")}
     items = spark.read.parquet(os.path.join(out, "item_vector"))

@@ -153,3 +153,52 @@ def test_rules_item_final_title_rules(spark):
     out = {r.movie_id2: r.title3 for r in R.rules_item_final(rec, C.DEFAULT_CHANNELS).collect()}
     # film: deny suffix, 【】 pair, 《 and the same first two characters are dropped; series: 合集; others: same first 4
     assert out == {6: "满江", 12: "人世", 22: "极限挑战"}
+
+
+def _moved_above_join(df):
+    """Whether the plan has an exchange above its first join."""
+    lines = df._jdf.queryExecution().sparkPlan().toString().splitlines()
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert any("Join" in x for x in lines)
+    return any("Exchange" in x for x in plan[:next(i for i, x in enumerate(plan) if "Join" in x)])
+
+
+def test_rows_expanded_by_user_are_the_same_and_merged_where_they_are(spark, monkeypatch):
+    profile = spark.createDataFrame(
+        [("u", "k", "a", 0.9), ("u", "k", "b", 0.4), ("v", "k", "a", 0.3), ("v", "m", "b", 0.7), ("v", "k", "a", 0.3),
+         (None, "k", "b", 0.2), ("w", None, "a", 0.5), ("x", "k", "none", 0.5)],
+        "user_id string, cate_id string, topic string, weight double")
+    inverted = spark.createDataFrame(
+        [("k", "a", 1, 0.5), ("k", "a", 2, 0.5), ("k", "b", 1, 0.8), ("m", "b", 1, 0.1), ("k", "b", 3, None),
+         ("k", "a", 2, 0.5), ("k", "unread", 9, 0.5), (None, "a", 4, 0.5)],
+        "cate_id string, topic string, movie_id long, weight double")
+    key = lambda rows: sorted(map(str, rows.collect()))
+    plain = R.expand_candidates(profile, inverted)
+    sent = R.expand_candidates(profile, inverted, by_user=True)
+    merged = key(R.merge_same_item(plain))
+    assert key(sent) == key(plain) and key(R.merge_same_item(sent)) == merged
+    assert not _moved_above_join(R.merge_same_item(sent))
+    assert not _moved_above_join(R.dedupe_keep_max(sent))
+    monkeypatch.setattr(R, "LIST_ROWS", 0)          # lists that are too long to be sent
+    dealt = R.expand_candidates(profile, inverted, by_user=True)
+    assert key(dealt) == key(plain) and key(R.merge_same_item(dealt)) == merged
+    nothing = R.expand_candidates(profile.limit(0), inverted, by_user=True)
+    assert R.merge_same_item(nothing).count() == 0
+
+
+def test_word_vectors_follow_company_and_not_the_partitions(spark, tmp_path):
+    import random
+    from reelcast.operators import skipgram
+    rng = random.Random(1)
+    groups = [[f"{g}{i}" for i in range(40)] for g in "abcd"]
+    rows = [(i, [rng.choice(groups[i % 4]) for _ in range(100)] + [None, f"once{i}"]) for i in range(800)]
+    df = spark.createDataFrame([*rows, (800, None), (801, [])], "movie_id long, words array<string>")
+    fits = [V.fit_word2vec(df.repartition(n), dim=16, min_count=3, partitions=2) for n in (3, 5)]
+    vecs = [{r.word: list(r.vec) for r in V.word_vectors(m).collect()} for m in fits]
+    assert vecs[0] == vecs[1] and set(vecs[0]) == {w for g in groups for w in g}
+    near = [r.word for r in V.word_synonyms(fits[0], "a0", 5).collect()]
+    assert len(near) == 5 and "a0" not in near and set(near) < set(groups[0])
+    fits[0].write().overwrite().save(str(tmp_path / "m"))
+    again = skipgram.WordModel.load(str(tmp_path / "m"))
+    assert {r.word: list(r.vec) for r in V.word_vectors(again).collect()} == vecs[0]
+    assert V.word_vectors(V.fit_word2vec(df.limit(0), dim=16)).count() == 0
