@@ -137,9 +137,12 @@ class ChannelTables:
     def update(self, source: DataFrame, stages: list[Stage]) -> Run:
         """Bring all stages up to date with ``source`` (item, channel, content columns)."""
         last, places = self.manifest()
-        items = Stage(ITEMS, f"{KEY} long, digest long", lambda s: digests(s["source"]), by_item=True)
+        # the source is read for its digests once: the marker and the item stage take them from here
+        now = stage_table(digests(source))
+        items = Stage(ITEMS, f"{KEY} long, digest long", lambda s: now.join(alive, _same(now, alive), "left_semi"),
+                      by_item=True)
         before = self.read(items.name, items.schema, places).drop("run")
-        marker = stage_table(change_marker(before, digests(source)))
+        marker = stage_table(change_marker(before, now))
         marked = [r[CHANNEL] for r in marker.select(CHANNEL).distinct().limit(MAX_CHANNELS + 1).collect()]
         if not marked:
             return Run(last)
@@ -171,8 +174,9 @@ class ChannelTables:
 def channel_topic_weights(textrank: DataFrame, terms: DataFrame, stamp: int) -> DataFrame:
     """Topic words with their weights; the idf of a word counts the documents of the channel only."""
     tfidf = TO.explode_tfidf_by(terms, TO.fit_idf_by(terms, CHANNEL), CHANNEL)
-    by_idf = P.topk_keywords(P.idf_textrank(textrank, tfidf), C.KEYWORD_TOPK)
-    by_tfidf = P.topk_keywords(P.tfidf_textrank(textrank, tfidf), C.KEYWORD_TOPK)
+    factors = P.keyword_factors(textrank, tfidf)
+    by_idf = P.topk_keywords(P.idf_textrank(factors), C.KEYWORD_TOPK)
+    by_tfidf = P.topk_keywords(P.tfidf_textrank(factors), C.KEYWORD_TOPK)
     return P.topic_weights_direct(by_idf, P.topic_words(by_idf, by_tfidf), stamp)
 
 
