@@ -43,3 +43,22 @@ def test_a_run_reads_the_source_for_its_digests_once(spark, tmp_dir, monkeypatch
                                  "movie_id long, cate_id string, title string, summary string")
     assert INC.update_items(spark, docs, os.path.join(tmp_dir, "once")).number == 1
     assert len(asked) == 1
+
+
+def test_an_item_is_sent_once_to_a_block_of_clusters(spark, monkeypatch):
+    """Random directions, where no cluster can be ruled out: a vector goes to each block, not to each cluster."""
+    import numpy as np
+
+    from reelcast.operators import clusters as CL
+    from reelcast.operators import vectors as V
+    rng, sent = np.random.default_rng(3), []
+    frame = spark.createDataFrame([("a", i, rng.normal(size=24).tolist()) for i in range(300)],
+                                  "cate_id string, movie_id long, vec array<double>")
+    want = {(r.movie_id, r.movie_id2, r.cos_sim) for r in V.block_topk(
+        frame, frame, ["cate_id"], 5).withColumnRenamed("score", "cos_sim").collect()}
+    topk = V.block_topk
+    monkeypatch.setattr(V, "block_topk", lambda q, *a, **b: sent.append(q) or topk(q, *a, **b))
+    visits = []
+    got = CL.nearest_by_clusters(frame, ["cate_id"], 5, 16, visits=visits)
+    assert {(r.movie_id, r.movie_id2, r.cos_sim) for r in got.collect()} == want
+    assert visits[0].count() > 300 * 10 and sent[-1].count() == 300
