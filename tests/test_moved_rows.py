@@ -62,3 +62,25 @@ def test_an_item_is_sent_once_to_a_block_of_clusters(spark, monkeypatch):
     got = CL.nearest_by_clusters(frame, ["cate_id"], 5, 16, visits=visits)
     assert {(r.movie_id, r.movie_id2, r.cos_sim) for r in got.collect()} == want
     assert visits[0].count() > 300 * 10 and sent[-1].count() == 300
+
+
+WEIGHTS = "user_id string, movie_id long, cate_id string, weight double"
+TOPICS = "movie_id long, cate_id string, topic string, weight double"
+
+
+def test_topics_join_where_a_users_actions_lie(spark, monkeypatch):
+    """One item with most actions, null keys and repeated rows: the join's rows, and none is moved to be grouped by user."""
+    actions = [(f"u{i % 40}", 1, "a", i / 80) for i in range(60)] + [
+        ("u1", 2, "b", 0.5), (None, 2, "b", 0.25), ("u2", None, "a", 0.5), ("u3", 3, None, 0.5), ("u4", 9, "a", 1.0)]
+    topics = [(1, "a", "x", 0.5), (1, "c", "x", 0.5), (1, "a", "y", None), (2, "b", None, 0.75), (3, "a", "x", 1.0),
+              (None, "a", "x", 1.0), (8, "a", "z", 1.0)]
+    want = sorted(((m, u, c, t, w * v if v is not None else None) for u, m, c, w in actions for n, _, t, v in topics
+                   if m is not None and m == n), key=str)
+    frames = spark.createDataFrame(actions, WEIGHTS), spark.createDataFrame(topics, TOPICS)
+    joined = P.join_user_topics(*frames)
+    assert sorted(map(tuple, joined.collect()), key=str) == want and len(want) == 183
+    plan = joined.groupBy("user_id", "cate_id", "topic").count()._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "Join" in line)
+    assert not any("Exchange" in line for line in plan[:at])
+    monkeypatch.setattr(P, "TOPIC_ROWS", 0)         # too many to be sent
+    assert sorted(map(tuple, P.join_user_topics(*frames).collect()), key=str) == want
