@@ -84,3 +84,28 @@ def test_topics_join_where_a_users_actions_lie(spark, monkeypatch):
     assert not any("Exchange" in line for line in plan[:at])
     monkeypatch.setattr(P, "TOPIC_ROWS", 0)         # too many to be sent
     assert sorted(map(tuple, P.join_user_topics(*frames).collect()), key=str) == want
+
+
+def test_profiles_are_ranked_where_they_were_summed(spark, monkeypatch):
+    """Null users, channels and topics count and drop out as in the joins of the counts; the weights are summed once."""
+    from math import log
+    rows = [(f"u{i % 6}", "ab"[i % 2], f"t{i % 5}", i / 60) for i in range(60)] + [
+        (None, "a", "t1", 0.5), ("u1", None, "t1", 0.5), ("u0", "a", None, 2.0), ("u9", "a", None, 1.0), ("u9", "c", "t9", 0.0)]
+    summed, own = {}, {}
+    for u, c, t, w in rows:
+        summed[u, c, t] = summed.get((u, c, t), 0) + w
+        own[u, c] = own.get((u, c), 0) + w
+    users = {c: len({u for u, d, _ in summed if d == c and u}) for _, c, _ in summed}
+    holds = {(c, t): sum(1 for u, d, s in summed if u and (d, s) == (c, t)) for _, c, t in summed}
+    want = {(u, c, t): round(w / (own[u, c] + 1) * (log((users[c] + 1) / (holds[c, t] + 1)) + 1), 8)
+            for (u, c, t), w in summed.items() if u and c and t}
+    frame = spark.createDataFrame(rows, "user_id string, cate_id string, topic string, weight double")
+    staged = []
+    monkeypatch.setattr(P, "stage_table", lambda df, f=P.stage_table: staged.append(df.columns) or f(df))
+    for most in (P.TOPIC_ROWS, 0):
+        monkeypatch.setattr(P, "TOPIC_ROWS", most)
+        got = P.user_topic_profile(frame, None).collect()
+        assert len(got) == len(want) and all(abs(r.weight - want[r.user_id, r.cate_id, r.topic]) < 2e-8 for r in got)
+        top = P.user_topic_profile(frame, 2).collect()
+        assert all(r.row_number <= 2 for r in top) and len(top) == sum(min(2, sum(1 for v in want if v[:2] == g)) for g in {v[:2] for v in want})
+    assert staged.count(["user_id", "cate_id", "topic", "weight", "user_weight"]) == 4
