@@ -109,3 +109,32 @@ def test_profiles_are_ranked_where_they_were_summed(spark, monkeypatch):
         top = P.user_topic_profile(frame, 2).collect()
         assert all(r.row_number <= 2 for r in top) and len(top) == sum(min(2, sum(1 for v in want if v[:2] == g)) for g in {v[:2] for v in want})
     assert staged.count(["user_id", "cate_id", "topic", "weight", "user_weight"]) == 4
+
+
+def test_ranked_words_stay_in_arrow(spark, monkeypatch):
+    """Word codes number as words do, null texts and repeated keys included, and a batch's result leaves in parts."""
+    import numpy as np
+    import pyarrow as pa
+
+    from reelcast.operators import text as TO
+    texts = [["b", None, "a", "b", "c", None, "a"], [], None, [None, None], ["a"], ["c", "d", "c", "e", "d", "b"]]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3, 4, 5, 1]), pa.array(["k", None, "k", "k", "k", "k"]),
+                                        pa.array(texts, pa.list_(pa.string()))], ["movie_id", "cate_id", "_k"])
+    flat = batch.column("_k").values.dictionary_encode()
+    codes, words = flat.indices.fill_null(-1).to_numpy(zero_copy_only=False), flat.dictionary.to_pylist()
+    for at, toks in ((0, texts[0]), (7, texts[3]), (9, texts[4]), (10, texts[5])):
+        ids, named = TO._numbered(toks)
+        got, first = TO._numbered_codes(codes[at:at + len(toks)], np.empty(len(words), np.int64))
+        assert got.tolist() == ids.tolist() and [words[c] for c in first] == list(named)
+    run = TO._textrank_docs(3, 0.85, 10, ["movie_id", "cate_id"])
+    whole = list(run(iter([batch.slice(0), batch.slice(1)])))
+    monkeypatch.setattr(TO, "EDGE_ROWS", 1)
+    parts = list(run(iter([batch.slice(0), batch.slice(1)])))
+    assert [b.num_rows for b in parts] == [3, 4, 4] and [b.num_rows for b in whole] == [7, 4]
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches(whole).combine_chunks())
+    assert whole[0].column("movie_id").to_pylist() == [1] * 7 and whole[0].column("tag").to_pylist()[3:] == ["c", "d", "e", "b"]
+    docs = spark.createDataFrame([(1, "a", "river stone water river bridge water"), (2, None, "lamp oil lamp light oil"),
+                                  (3, "b", None), (None, "b", "night light night bell")],
+                                 "movie_id long, cate_id string, summary string")
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(TO.textrank_documents(docs)) == key(TO.textrank_keywords(TO.textrank_edges(docs)))
