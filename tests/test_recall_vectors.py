@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -202,3 +203,28 @@ def test_word_vectors_follow_company_and_not_the_partitions(spark, tmp_path):
     again = skipgram.WordModel.load(str(tmp_path / "m"))
     assert {r.word: list(r.vec) for r in V.word_vectors(again).collect()} == vecs[0]
     assert V.word_vectors(V.fit_word2vec(df.limit(0), dim=16)).count() == 0
+
+
+def test_lsh_pairs_are_all_pairs_that_share_a_bucket(spark):
+    """A bucket with more partners than ten keeps them all, once each, ranked by distance."""
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(60, 4)), 2)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "movie_id long, vec array<double>")
+    f = df.withColumn("features", array_to_vector("vec"))
+    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=2.0, numHashTables=3,
+                                        seed=C.SEED).fit(f)
+    at = {r.movie_id: [h[0] for h in r.hashes] for r in model.transform(f).collect()}
+    want = {(i, j): round(float(np.sqrt(round(float(((x[i] - x[j]) ** 2).sum()), 4))), 4) for i in at for j in at
+            if i != j and any(a == b for a, b in zip(at[i], at[j]))}
+    assert max(sum(1 for i, _ in want if i == q) for q in at) > 10
+    for size in (7, 2048):
+        rows = V.lsh_pairs(df, bucket_length=2.0, tables=3, block_size=size).collect()
+        assert len(rows) == len(want)
+        assert {(r.movie_id, r.movie_id2): r.distance for r in rows} == pytest.approx(want, abs=1.1e-4)
+        for q in at:
+            mine = sorted((r.sort_num, r.distance, r.movie_id2) for r in rows if r.movie_id == q)
+            assert [r[0] for r in mine] == list(range(1, len(mine) + 1)) and [r[1:] for r in mine] == sorted(r[1:] for r in mine)
+    near = V.lsh_pairs(df, bucket_length=2.0, tables=3, threshold=1.0).collect()
+    assert near and all(r.distance <= 1.0 for r in near)
