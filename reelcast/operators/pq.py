@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelcast import config as C
-from reelcast.functions import columns as X
 from reelcast.operators import vectors as V
 from reelcast.operators.clusters import unit
 from reelcast.operators.ranking import top_k
@@ -33,6 +32,10 @@ PARTS, CODES = 16, 256
 MAX_LISTS = 65_536
 ROUNDS = 12
 TUNE_QUERIES = 200
+SHELF = 32_768              # stored items that one task searches
+TASK_CELLS = 8_000_000      # table sums of one task, about
+FRAME_ROWS = 20_000         # rows with vectors that are held beside their table at once
+DIGITS = 4
 
 
 @dataclass(frozen=True)
@@ -105,7 +108,7 @@ def fit_books(units: DataFrame, lists: int | None = None, parts: int = PARTS, se
 
 
 def encode(units: DataFrame, books: Books) -> DataFrame:
-    """(list_id, movie_id, vec binary): every row's coarse list and its code."""
+    """(list_id, movie_id, vec binary, unit): every row's coarse list and its code, beside the vector itself."""
     shared = units.sparkSession.sparkContext.broadcast(books)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,44 +117,52 @@ def encode(units: DataFrame, books: Books) -> DataFrame:
             x = np.stack(f["vec"].to_numpy()) if len(f) else np.zeros((0, b.centres.shape[1]))
             code = np.stack([_nearest(p, c) for p, c in zip(b.pieces(x), b.codes)], axis=1).astype(np.uint8)
             yield pd.DataFrame({"list_id": _nearest(x, b.centres).astype("int32"), "movie_id": f["movie_id"],
-                                "vec": [row.tobytes() for row in code]})
+                                "vec": [row.tobytes() for row in code], "unit": f["vec"]})
 
-    return units.select("movie_id", "vec").mapInPandas(run, "list_id int, movie_id long, vec binary")
+    return units.select("movie_id", "vec").mapInPandas(run, "list_id int, movie_id long, vec binary, unit array<double>")
+
+
+def _nearest_lists(x: np.ndarray, centres: np.ndarray, probes: int) -> np.ndarray:
+    """The numbers of the ``probes`` nearest lists of each row, nearest first."""
+    return np.argsort((centres * centres).sum(1) / 2 - x @ centres.T, axis=1, kind="stable")[:, :probes]
 
 
 def probe(units: DataFrame, books: Books, probes: int) -> DataFrame:
-    """(list_id, movie_id, vec, rank): each query once for each of its ``probes`` nearest lists."""
+    """(list_id, movie_id, rank): each query's ``probes`` nearest lists."""
     shared = units.sparkSession.sparkContext.broadcast(books.centres)
     p = min(probes, len(books.centres))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c = shared.value
-        half = (c * c).sum(1) / 2
         for f in frames:
-            x = np.stack(f["vec"].to_numpy()) if len(f) else np.zeros((0, c.shape[1]))
-            near = np.argsort(half - x @ c.T, axis=1, kind="stable")[:, :p]
-            out = f.loc[f.index.repeat(p)].reset_index(drop=True)
-            yield out.assign(list_id=near.reshape(-1).astype("int32"), rank=np.tile(np.arange(p, dtype="int32"), len(f)))[
-                ["list_id", "movie_id", "vec", "rank"]]
+            x = np.stack(f["vec"].to_numpy()) if len(f) else np.zeros((0, shared.value.shape[1]))
+            near = _nearest_lists(x, shared.value, p)
+            yield pd.DataFrame({"list_id": near.reshape(-1).astype("int32"), "movie_id": np.repeat(f["movie_id"].to_numpy(), p),
+                                "rank": np.tile(np.arange(p, dtype="int32"), len(f))})
 
-    return units.select("movie_id", "vec").mapInPandas(run, "list_id int, movie_id long, vec array<double>, rank int")
+    return units.select("movie_id", "vec").mapInPandas(run, "list_id int, movie_id long, rank int")
 
 
-def _table_scorer(books: Books, k: int):
+def _table_sums(books: Books, x: np.ndarray, code: np.ndarray) -> np.ndarray:
     """Dot products of whole queries with codes: one table of query pieces times centres per part, entries summed."""
+    total = np.zeros((len(x), len(code)))
+    for j, (piece, book) in enumerate(zip(books.pieces(x), books.codes)):
+        total += (piece @ book.T)[:, code[:, j]]
+    return total
+
+
+def _table_scorer(books: Books, k: int):
+    """The ``k`` best table sums of each query in one list."""
     def score(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if q.empty or c.empty:
             return pd.DataFrame({"list_id": pd.Series(dtype="int32"), "movie_id": pd.Series(dtype="int64"),
                                  "movie_id2": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
         code = np.frombuffer(b"".join(c["vec"]), np.uint8).reshape(len(c), -1)
         qid, cid = q["movie_id"].to_numpy(), c["movie_id"].to_numpy()
-        pieces, kk, found = books.pieces(np.stack(q["vec"].to_numpy())), min(k, len(cid)), []
+        x, kk, found = np.stack(q["vec"].to_numpy()), min(k, len(cid)), []
         step = max(1, V.SLICE_CELLS // len(cid))
         for at in range(0, len(qid), step):
             cut = slice(at, at + step)
-            total = np.zeros((len(qid[cut]), len(cid)))
-            for j, (piece, book) in enumerate(zip(pieces, books.codes)):
-                total += (piece[cut] @ book.T)[:, code[:, j]]
+            total = _table_sums(books, x[cut], code)
             key = np.where(qid[cut, None] == cid[None, :], np.inf, -total)
             picked = np.argpartition(key, kk - 1, axis=1)[:, :kk].reshape(-1)
             rows = np.repeat(np.arange(len(key)), kk)
@@ -162,20 +173,126 @@ def _table_scorer(books: Books, k: int):
     return score
 
 
-def candidates(queries: DataFrame, index: DataFrame, books: Books, probes: int, rerank: int) -> DataFrame:
-    """(movie_id, movie_id2, sort_num): the ``rerank`` best of each query by its codes' table sums."""
-    visits = probe(queries, books, probes).drop("rank")
-    near = V.block_topk(visits, index, ["list_id"], rerank, "cosine", scorer=_table_scorer(books, rerank))
-    return near.select("movie_id", "movie_id2", "sort_num")
+def _shelves(counts: dict[int, int], lists: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, parts) of each list: lists are laid side by side on shelves of about ``size`` items; a longer list has
+    as many shelves of its own as it takes."""
+    first, parts = np.zeros(lists, np.int64), np.ones(lists, np.int64)
+    shelf, held = 0, 0
+    for i in range(lists):
+        n = counts.get(i, 0)
+        if held and held + n > size:
+            shelf, held = shelf + 1, 0
+        first[i], parts[i], held = shelf, max(1, math.ceil(n / size)), held + n
+        if parts[i] > 1:
+            shelf, held = shelf + parts[i], 0
+    return first, parts
 
 
-def exact(pairs: DataFrame, units: DataFrame, k: int, digits: int = 4) -> DataFrame:
-    """(movie_id, movie_id2, cos_sim, sort_num): the pairs' true cosines, the ``k`` best of each query."""
-    left = units.select("movie_id", F.col("vec").alias("_a"))
-    right = units.select(F.col("movie_id").alias("movie_id2"), F.col("vec").alias("_b"))
-    scored = pairs.select("movie_id", "movie_id2").join(left, "movie_id").join(right, "movie_id2").select(
-        "movie_id", "movie_id2", F.round(X.dot("_a", "_b"), digits).alias("cos_sim"))
-    return top_k(scored, ["movie_id"], [F.desc("cos_sim"), F.asc("movie_id2")], k)
+def _visits(shared, probes: int, first: np.ndarray, parts: np.ndarray):
+    """A query leaves once for each shelf that has one of its lists, whatever the number of lists."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            if f.empty:
+                continue
+            near = _nearest_lists(np.stack(f["vec"].to_numpy()), shared.value.centres, probes)
+            goes = np.zeros((len(f), int((first + parts).max())), bool)
+            for more in range(int(parts.max())):
+                row, at = np.nonzero(parts[near] > more)
+                goes[row, first[near[row, at]] + more] = True
+            row, shelf = np.nonzero(goes)
+            for at in range(0, len(row), FRAME_ROWS):
+                cut = slice(at, at + FRAME_ROWS)
+                yield pd.DataFrame({"shelf": shelf[cut], "movie_id": f["movie_id"].to_numpy()[row[cut]],
+                                    "vec": f["vec"].to_numpy()[row[cut]]})
+    return run
+
+
+def _shelf_scorer(shared, probes: int, rerank: int, k: int | None):
+    """The ``rerank`` best table sums of each query on one shelf; with ``k`` the best of them by their exact cosine."""
+    def score(key, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        books, found = shared.value, []
+        if not (q.empty or c.empty):
+            c = c.sort_values(["list_id", "movie_id"])
+            x, exact = np.stack(q["vec"].to_numpy()), np.stack(c["vec"].to_numpy())
+            code = np.frombuffer(b"".join(c["code"]), np.uint8).reshape(len(c), -1)
+            qid, cid, cl = q["movie_id"].to_numpy(), c["movie_id"].to_numpy(), c["list_id"].to_numpy()
+            near = _nearest_lists(x, books.centres, probes)
+            order = np.argsort(near[:, 0], kind="stable")       # queries of one list visit much the same lists
+            step = max(1, V.SLICE_CELLS // len(cid))
+            for lo in range(0, len(order), step):
+                mine = order[lo:lo + step]
+                goes = np.zeros((len(mine), len(books.centres)), bool)
+                goes[np.arange(len(mine))[:, None], near[mine]] = True
+                some = np.flatnonzero(goes.any(axis=0)[cl])
+                if not len(some):
+                    continue
+                sums = _table_sums(books, x[mine], code[some])
+                sums = np.where(goes[:, cl[some]] & (qid[mine, None] != cid[some][None, :]), -sums, np.inf)
+                row, at = V._best(sums, cid[some], rerank)
+                value = -sums[row, at]
+                if k:
+                    value = np.concatenate([np.einsum("ij,ij->i", x[mine[row[i:i + FRAME_ROWS]]], exact[some[at[i:i + FRAME_ROWS]]])
+                                            for i in range(0, len(row), FRAME_ROWS)] or [value])
+                    rounded = np.round(value, DIGITS)
+                    by = np.lexsort((cid[some[at]], -rounded, row))
+                    by = by[np.arange(len(by)) - np.searchsorted(row[by], row[by]) < k]
+                    row, at, value = row[by], at[by], rounded[by]
+                found.append((qid[mine[row]], cid[some[at]], value))
+        ids, other, scores = (np.concatenate(x) for x in zip(*found)) if found else ([], [], [])
+        return pd.DataFrame({"movie_id": np.asarray(ids, "int64"), "movie_id2": np.asarray(other, "int64"),
+                             "score": np.asarray(scores, "float64")})
+    return score
+
+
+def _search(queries: DataFrame, index: DataFrame, books: Books, probes: int, rerank: int, k: int | None) -> DataFrame:
+    """(movie_id, movie_id2, score) of the best rows of each query and shelf.
+
+    The codes lie beside their exact vectors on shelves of about ``SHELF`` items; a query's vector goes once to each
+    shelf, so what is moved grows with queries x shelves, not with queries x lists or queries x candidates."""
+    spark, lists = queries.sparkSession, len(books.centres)
+    probes = min(probes, lists)
+    counts = {r["list_id"]: r["count"] for r in index.groupBy("list_id").count().collect()}     # a row a list
+    first, parts = _shelves(counts, lists, SHELF)
+    shelves, n = int((first + parts).max()), queries.count()
+    places = F.broadcast(spark.createDataFrame([(i, int(first[i]), int(parts[i])) for i in range(lists)],
+                                               "list_id int, _first long, _parts long"))
+    shared = spark.sparkContext.broadcast(books)
+    # blocks of queries: bounded rows, and tasks enough for the work that there is
+    work = math.ceil(n * sum(counts.values()) / shelves / TASK_CELLS)
+    blocks = max(math.ceil(n / SHELF), min(work, math.ceil(int(spark.conf.get("spark.sql.shuffle.partitions")) / shelves)), 1)
+    q = queries.where("movie_id IS NOT NULL").select("movie_id", "vec").mapInPandas(
+        _visits(shared, probes, first, parts), "shelf long, movie_id long, vec array<double>")
+    q = q.withColumn("block", F.pmod(F.xxhash64("movie_id"), F.lit(blocks)))
+    c = index.where("movie_id IS NOT NULL").join(places, "list_id").withColumn(
+        "shelf", F.col("_first") + F.pmod(F.xxhash64("movie_id"), F.col("_parts")))
+    c = c.select("shelf", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"),
+                 "list_id", "movie_id", F.col("vec").alias("code"), F.col("unit").alias("vec"))
+    return q.groupBy("shelf", "block").cogroup(c.groupBy("shelf", "block")).applyInPandas(
+        _shelf_scorer(shared, probes, rerank, k), "movie_id long, movie_id2 long, score double")
+
+
+def candidates(queries: DataFrame, index: DataFrame, books: Books, probes: int, rerank: int) -> DataFrame:
+    """(movie_id, movie_id2, sort_num): the ``rerank`` best of each query by its codes' table sums."""
+    near = _search(queries, index, books, probes, rerank, None)
+    return top_k(near, ["movie_id"], [F.desc("score"), F.asc("movie_id2")], rerank).select("movie_id", "movie_id2", "sort_num")
+
+
+def nearest(units: DataFrame, index: DataFrame, books: Books, probes: int, rerank: int, k: int) -> DataFrame:
+    """(movie_id, movie_id2, cos_sim, sort_num): the ``k`` best of each query by the true cosine among the ``rerank``
+    best table sums of every shelf it visits."""
+    order = [F.desc("cos_sim"), F.asc("movie_id2")]
+    best = top_k(_search(units, index, books, probes, rerank, k).withColumnRenamed("score", "cos_sim"),
+                 ["movie_id"], order, k)
+    again = units.groupBy("movie_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    again = stage_table(again.where("movie_id IS NOT NULL"))
+    if again.isEmpty():
+        return best
+    # ids that come more than once: a pair's cosine stands once for each row of either id
+    other = again.select(F.col("movie_id").alias("movie_id2"), F.col("_n").alias("_m"))
+    times = F.coalesce("_n", F.lit(1)) * F.coalesce("_m", F.lit(1))
+    rows = best.drop("sort_num").join(again, "movie_id", "left").join(other, "movie_id2", "left").select(
+        "movie_id", "movie_id2", "cos_sim", F.explode(F.array_repeat(F.lit(0), times.cast("int"))).alias("_")).drop("_")
+    return top_k(rows, ["movie_id"], order, k)
 
 
 def tune(units: DataFrame, index: DataFrame, books: Books, k: int, recall: float, queries: int = TUNE_QUERIES) -> tuple[int, int]:
@@ -185,7 +302,7 @@ def tune(units: DataFrame, index: DataFrame, books: Books, k: int, recall: float
     wanted = 1 - (1 - recall) / 4
     truth = stage_table(V.block_topk(asked, units, [], k, "cosine").select("movie_id", "movie_id2"))
     lists = len(books.centres)
-    place = probe(asked, books, lists).select("movie_id", "list_id", "rank")
+    place = probe(asked, books, lists)
     ranks = truth.join(index.select(F.col("movie_id").alias("movie_id2"), "list_id"), "movie_id2").join(
         place, ["movie_id", "list_id"])
     need = ranks.agg(F.percentile("rank", wanted)).first()[0]
@@ -205,7 +322,7 @@ def pq_neighbours(vectors: DataFrame, k: int = C.NEIGHBOURS_K, recall: float = 0
         return units.sparkSession.createDataFrame([], "movie_id long, movie_id2 long, cos_sim double, sort_num long")
     index = stage_table(encode(units, books))
     probes, rerank = tune(units, index, books, k, recall)
-    return exact(candidates(units, index, books, probes, rerank), units, k)
+    return nearest(units, index, books, probes, rerank, k)
 
 
 def recall_at(found: DataFrame, truth: DataFrame) -> float:

@@ -65,3 +65,29 @@ def test_odd_tables(spark):
     got = {(r.movie_id, r.movie_id2, r.cos_sim) for r in pq.pq_neighbours(df, k=2).collect()}
     assert got == {(1, 2, 1.0), (2, 1, 1.0), (1, 5, 0.0), (2, 5, 0.0), (5, 1, 0.0), (5, 2, 0.0)}
     assert pq.pq_neighbours(df.limit(0), k=2).count() == 0
+
+
+def test_a_query_and_its_candidates_leave_once_a_shelf(spark, units, monkeypatch):
+    """Rows that leave a search grow with queries x shelves, not with queries x lists x candidates."""
+    books = pq.fit_books(units, lists=20)
+    index = stage_table(pq.encode(units, books))
+    n = units.count()
+    assert pq._search(units, index, books, 20, 50, 3).count() == 3 * n            # 20 lists, one shelf
+    truth = {(r.movie_id, r.movie_id2) for r in V.block_topk(units, units, [], 3, "cosine").collect()}
+    monkeypatch.setattr(pq, "SHELF", 60)                                          # many shelves, some lists on several
+    got = pq.nearest(units, index, books, 20, 60, 3).collect()
+    assert {(r.movie_id, r.movie_id2) for r in got} == truth                      # all lists, all candidates: exact
+
+
+def test_shelves_hold_every_list():
+    first, parts = pq._shelves({0: 3, 1: 4, 2: 25, 3: 2, 5: 9}, 6, 10)
+    assert first.tolist() == [0, 0, 1, 4, 4, 5] and parts.tolist() == [1, 1, 3, 1, 1, 1]
+
+
+def test_unit_takes_the_length_once(spark):
+    """The length is no part of the lambda, which runs for every number of the vector."""
+    from reelcast.operators.clusters import unit
+    df = spark.createDataFrame([(1, [3.0, 4.0]), (2, [0.0, 0.0]), (3, None)], SCHEMA).select("movie_id", unit("vec").alias("u"))
+    assert {r.movie_id: r.u for r in df.collect()} == {1: [0.6, 0.8], 2: None, 3: None}
+    text = df._jdf.queryExecution().analyzed().toString()
+    assert "transform(" not in text and "array_repeat(" in text
