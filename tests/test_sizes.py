@@ -91,3 +91,13 @@ def test_sample_is_the_rows_of_smallest_hash(spark, monkeypatch):
     assert pq.sample(u, 6000).tolist() == want
     same = spark.range(500).select(F.lit(7).cast("long").alias("movie_id"), F.array(F.lit(1.0)).alias("vec"))
     assert len(pq.sample(same, 500)) == 50                  # one id: its hash says nothing of how many there are
+
+
+def test_edges_are_not_moved(spark):
+    """Texts that share their keys meet before they are counted; no edge goes through an exchange."""
+    docs = spark.createDataFrame(TEXTS + [(1, "a", "ring blue"), (2, None, "red ring"), (2, None, "ring red ring")], DOC).repartition(5)
+    edges = TO.textrank_edges(docs, span=3)
+    assert "Aggregate" not in plan(edges)
+    got = {(r.movie_id, r.cate_id, r.a, r.b): r.w for r in edges.collect()}
+    assert len(got) == edges.count()
+    assert got[2, None, "red", "ring"] == 3.0 and got[1, "a", "ring", "blue"] == 1.0 and got[1, "a", "red", "ring"] == 3.0
